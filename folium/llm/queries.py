@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from folium.llm import bpe, language_id, mixing, quality_rules
 from folium.llm.suffix_dedup import without_repeats
 
 
@@ -13,13 +15,93 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def word_vocabulary() -> str:
+    """The public word-end vocabulary that is installed on every machine."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    return quality_rules.judge(_table(spark, sf_dir, "documents")).select(*columns)
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(language_id.fold(F.col("doc_id"), 4) == 2, F.lit(False))
+    samples = language_id.dictionaries(docs.filter(~held_out))
+    return language_id.identify(docs, samples).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "accepted")
+
+
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(bpe.encode(_table(spark, sf_dir, "documents"), word_vocabulary()))
+
+
+def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "source", "n_chars", "copy", "copies", "place")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_suffix_dedup,)}
+    return {f.__name__: f for f in (op1_suffix_dedup, op5_quality_rules, op6_language_id, op9_bpe, op10_source_mix)}
+
+
+_QUALITY_SQL = r"""
+with t as (select row_number() over () as r, doc_id, source, coalesce(text, '') as t from documents),
+w as (select r, list_filter(regexp_split_to_array(t, '[ \x09-\x0D]+'), lambda x: x <> '') as w from t),
+m as (
+  select t.r, doc_id, source, len(w) as n_words, length(regexp_replace(t, '[ \x09-\x0D]+', '', 'g')) as word_chars,
+    length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) as n_symbols,
+    list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ \x09-\x0D]')) as l
+  from t join w using (r)
+),
+g as (
+  select r, i, array_to_string(list_slice(w, i, i + 4), chr(1)) as g
+  from (select r, w, unnest(generate_series(1, len(w) - 4)) as i from w where len(w) >= 5)
+),
+p as (select r, i from (select r, i, count(*) over (partition by r, g) as c from g) where c > 1),
+q as (select r, sum(least(5, i - before)) as n from (select r, i, coalesce(lag(i) over (partition by r order by i), -9) as before from p) group by r),
+d as (
+  select m.r, doc_id, source, n_words, word_chars, n_symbols, len(l) as n_lines,
+    len(l) - len(list_distinct(l)) as n_dup_lines, coalesce(q.n, 0)::bigint as n_repeat_words
+  from m left join q using (r)
+),
+f as (
+  select *, [n_words < 10, 100 * n_repeat_words > 20 * n_words, 10 * n_symbols > word_chars,
+    10 * n_dup_lines > 3 * n_lines, word_chars < 3 * n_words or word_chars > 12 * n_words] as fails from d
+),
+h as (select source, rule, count(*) as n, sum(fails[rule]::int) as failed from f, (select unnest([1, 2, 3, 4, 5]) as rule) group by source, rule),
+prior as (select rule, avg(failed / n) as mean, var_pop(failed / n) as spread from h group by rule),
+weights as (select rule, mean, case when spread <= 1e-12 then 1000 else greatest(2, least(1000, mean * (1 - mean) / spread - 1)) end as weight from prior),
+hosts as (select source, max((failed + mean * weight) / (n + weight)) as host_rate from h join weights using (rule) group by source)
+select doc_id, n_words::bigint as n_words, word_chars::bigint as word_chars, n_symbols::bigint as n_symbols, n_dup_lines::bigint as n_dup_lines, n_repeat_words,
+  fails[1] or fails[2] as base_failed, not (fails[1] or fails[2]) and host_rate <= 0.5 as kept
+from f join hosts on f.source is not distinct from hosts.source
+"""
+
+_MIX_SQL = """
+with s as (select source, count(*) as n, sqrt(count(*)) as w from documents group by source),
+r as (select source, (w / sum(w) over ()) * (sum(n) over ())::double / n as rate from s),
+parts as (select source, rate, greatest(1, ceil(rate / 100.0))::int as parts, rate / greatest(1, ceil(rate / 100.0)) as m from r),
+steps as (select source, rate, parts, m, unnest(range(0, ceil(m + 12 * sqrt(m) + 20)::int + 1)) as k from parts),
+logs as (select *, sum(case when k = 0 then -m else ln(m / k) end) over (partition by source order by k) as p from steps where m > 0),
+cdf as (select source, k, parts, sum(exp(p)) over (partition by source order by k) as c from logs),
+u as (
+  select doc_id, d.source, n_chars, part, ('0x' || substr(md5('0:' || coalesce(doc_id::varchar, '') || ':' || part), 1, 13))::bigint / 4503599627370496.0 as u
+  from documents d join (select source, unnest(range(1, parts + 1)) as part from parts) x on d.source is not distinct from x.source
+),
+counts as (
+  select doc_id, u.source, any_value(n_chars) as n_chars, sum((select count(*) from cdf where cdf.source is not distinct from u.source and cdf.c <= u.u))::int as copies
+  from u group by doc_id, u.source
+)
+select doc_id, source, n_chars, copy::int as copy, copies, ('0x' || substr(md5('place 0:' || coalesce(doc_id::varchar, '') || ':' || copy), 1, 15))::bigint as place
+from (select *, unnest(range(1, copies + 1)) as copy from counts)
+"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_quality_rules": _QUALITY_SQL, "op10_source_mix": _MIX_SQL}
