@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folium.llm import bpe, language_id, mixing, quality_rules
+from folium.llm import bpe, language_id, mixing, nearest, quality_rules, scratch, sharding, url_filter
 from folium.llm.suffix_dedup import without_repeats
 
 
@@ -26,6 +26,10 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(_table(spark, sf_dir, "pages").select("page_id", "url"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
     return quality_rules.judge(_table(spark, sf_dir, "documents")).select(*columns)
@@ -38,6 +42,18 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs, samples).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "accepted")
 
 
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = sharding.ShardStore(spark, scratch.folder(spark))
+    docs = _table(spark, sf_dir, "documents")
+    store.append(docs, sharding.arrival_of(F.col("doc_id")), F.octet_length(F.coalesce("text", F.lit(""))))
+    store.compact()
+    return store.read().select("doc_id", "shard", "n_bytes")
+
+
+def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode(_table(spark, sf_dir, "documents"), word_vocabulary()))
 
@@ -47,7 +63,35 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_suffix_dedup, op5_quality_rules, op6_language_id, op9_bpe, op10_source_mix)}
+    return {f.__name__: f for f in (op1_suffix_dedup, op3_url_filter, op5_quality_rules, op6_language_id, op7_sharding, op8_nearest, op9_bpe, op10_source_mix)}
+
+
+def _url_sql() -> str:
+    """The URL filter, one step for each length of context."""
+    order, both = url_filter.ORDER, ("allow", "block")
+    steps = [f"p0 as (select gram, {', '.join(f'1.0 / {url_filter.CLASSES}::double as p_{v}' for v in both)} from counts)"]
+    for k in range(order + 1):
+        steps.append(f"s{k} as (select right(gram, {k + 1}) as s, {', '.join(f'sum({v}) as n_{v}' for v in both)} from counts group by 1)")
+        steps.append(f"a{k} as (select left(s, {k}) as x, {', '.join(f'sum(n_{v}) as all_{v}, count(*) filter (n_{v} > 0) as kinds_{v}' for v in both)} from s{k} group by 1)")
+        smooth = ", ".join(f"case when all_{v} = 0 then p_{v} else (n_{v} + kinds_{v} * p_{v}) / (all_{v} + kinds_{v}) end as p_{v}" for v in both)
+        steps.append(f"p{k + 1} as (select gram, {smooth} from p{k} join s{k} on s = right(gram, {k + 1}) join a{k} on x = substr(gram, {order + 1 - k}, {k}))")
+    rules = " ".join(f"when (host = '{h}' or ends_with(host, '.{h}')) and starts_with(path, '{p}') then '{h}{p}|{v}'" for (h, p), v in sorted(url_filter.RULES.items(), key=lambda x: -len("".join(x[0]))))
+    return f"""
+with u as (select page_id, url, case when instr(url, '://') > 0 then substr(url, instr(url, '://') + 3) else '' end as rest from pages),
+h as (select page_id, url, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path from u),
+j as (select *, case {rules} end as j from h),
+r as (select row_number() over () as r, page_id, url, host, path, string_split(j, '|')[1] as rule, string_split(j, '|')[2] as ruled, coalesce(page_id % 5, 1) = 0 as fold from j),
+t as (select r, ruled, fold, '^^^' || regexp_replace(translate(coalesce(url, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789', 'abcdefghijklmnopqrstuvwxyz000000000'), '[^a-z0/.\\-_?=&%:#~]', '*', 'g') || '$' as t from r),
+g as (select r, ruled, fold, substr(t, i, 4) as gram from (select *, unnest(range(1, length(t) - 2)) as i from t)),
+counts as (select gram, count(*) filter (not fold and ruled = 'allow') as allow, count(*) filter (not fold and ruled = 'block') as block from g group by gram),
+{", ".join(steps)},
+scores as (select r, avg(ln(p_allow) - ln(p_block)) as score from g join p{order + 1} using (gram) group by r),
+bins as (select floor(score / 0.01)::bigint as bin, count(*) filter (ruled = 'allow') as allow, count(*) filter (ruled = 'block') as block from scores join r using (r) where fold and ruled is not null group by 1),
+sums as (select bin, sum(allow) over () as allows, sum(block) over () as blocks, coalesce(sum(allow) over (order by bin rows between unbounded preceding and 1 preceding), 0) as a, coalesce(sum(block) over (order by bin rows between unbounded preceding and 1 preceding), 0) as b from bins),
+best as (select bin * 0.01::double as cut from sums where allows > 0 and blocks > 0 order by round(b / blocks + 1 - a / allows, 9) desc, abs(bin), bin limit 1)
+select page_id, host, path, rule, coalesce(ruled, case when score >= coalesce((select cut from best), 0) then 'allow' else 'block' end) as verdict, round(score, 9) as score
+from r join scores using (r)
+"""
 
 
 _QUALITY_SQL = r"""
@@ -83,6 +127,16 @@ select doc_id, n_words::bigint as n_words, word_chars::bigint as word_chars, n_s
 from f join hosts on f.source is not distinct from hosts.source
 """
 
+_SHARDS_SQL = f"""
+with a as (select coalesce(doc_id // {sharding.ARRIVAL_ROWS}, -1) as arrival, sum(strlen(coalesce(text, ''))) as size, count(*) as n from documents group by 1),
+t as (select *, floor(log2(greatest(size, 1)) / 2) as tier from a where size < {sharding.TARGET_BYTES // 2}),
+g as (select *, (coalesce(sum(size) over (partition by tier order by arrival rows between unbounded preceding and 1 preceding), 0) // {sharding.TARGET_BYTES})::bigint as part from t),
+m as (select tier, part, min(arrival) as first, max(arrival) as last, count(*) as runs from g group by tier, part),
+s as (select arrival, case when runs > 1 then first || '-' || last || '-t' || tier::int || '-v2' else arrival || '-v1' end as shard from g join m using (tier, part)
+      union all select arrival, arrival || '-v1' from a where size >= {sharding.TARGET_BYTES // 2})
+select doc_id, shard, strlen(coalesce(text, ''))::bigint as n_bytes from documents join s on coalesce(doc_id // {sharding.ARRIVAL_ROWS}, -1) = arrival
+"""
+
 _MIX_SQL = """
 with s as (select source, count(*) as n, sqrt(count(*)) as w from documents group by source),
 r as (select source, (w / sum(w) over ()) * (sum(n) over ())::double / n as rate from s),
@@ -104,4 +158,4 @@ from (select *, unnest(range(1, copies + 1)) as copy from counts)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_quality_rules": _QUALITY_SQL, "op10_source_mix": _MIX_SQL}
+    return {"op3_url_filter": _url_sql(), "op5_quality_rules": _QUALITY_SQL, "op7_sharding": _SHARDS_SQL, "op10_source_mix": _MIX_SQL}
