@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folium.llm import bpe, language_id, mixing, nearest, quality_rules, scratch, sharding, url_filter
+from folium.llm import bpe, language_id, mixing, near_dedup, nearest, quality_rules, scratch, sharding, url_filter
 from folium.llm.suffix_dedup import without_repeats
 
 
@@ -26,6 +26,11 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dedup.group(_table(spark, sf_dir, "documents").select("doc_id", "text"), size=2)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(_table(spark, sf_dir, "pages").select("page_id", "url"))
 
@@ -63,7 +68,7 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_suffix_dedup, op3_url_filter, op5_quality_rules, op6_language_id, op7_sharding, op8_nearest, op9_bpe, op10_source_mix)}
+    return {f.__name__: f for f in (op1_suffix_dedup, op2_near_dedup, op3_url_filter, op5_quality_rules, op6_language_id, op7_sharding, op8_nearest, op9_bpe, op10_source_mix)}
 
 
 def _url_sql() -> str:
