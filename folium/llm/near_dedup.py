@@ -165,7 +165,9 @@ def _blocks(percent: int):
 
 
 def group(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept, tid) of each row; tid is the 16-byte digest of its text.
+    """(doc_id, n_shingles, component_id, kept, tid, root) of each row.
+
+    tid is the 16-byte digest of its text, root that of one text of its group; null without shingles.
 
     Two documents are linked if 100 * intersection >= percent * union of their sets of `size`-word shingles, words
     being what stands between the bytes 0x20 and 0x09-0x0D, A-Z lowered; fewer words are one shingle. The
@@ -210,7 +212,24 @@ def group(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size: int
     named_classes = classes.join(roots, F.col("cid") == F.col("node"), "left").select("sid", "first", F.coalesce("root", "cid").alias("root"))
     named_classes = stored(named_classes)
     least = named_classes.groupBy("root").agg(F.min("first").alias("component_id"))
-    named_classes = named_classes.join(least, "root").select(F.col("sid").alias("s"), "component_id")
+    named_classes = named_classes.join(least, "root").select(F.col("sid").alias("s"), "component_id", "root")
     out = signed.select("doc_id", "n_shingles", "sid", "tid").join(named_classes, F.col("sid") == F.col("s"), "left")
     component = F.when(F.col("sid").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "tid")
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "tid", "root")
+
+
+def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **how) -> DataFrame:
+    """The rows of docs without all but one of each group: the one with the smallest id, then the least text digest.
+
+    Rows without shingles stay. Of rows with equal ids and texts in one group any one stays.
+    """
+    found = stored(group(docs, text, doc_id, **how).withColumnRenamed("doc_id", "_id"))
+    first = found.filter("root is not null and kept").groupBy("root").agg(F.min(F.struct("tid", "_id")).alias("x")).select("root", "x.tid", "x._id")
+    stay = found.filter("root is null").select("_id", "tid").distinct().withColumn("many", F.lit(False))
+    same = [found["root"] == first["root"], found["tid"] == first["tid"], found["_id"].eqNullSafe(first["_id"])]
+    stay = stay.union(found.join(first, same, "left_semi").groupBy("_id", "tid").agg((F.count("*") > 1).alias("many")))
+    stay = stored(stay)
+    rows = docs.withColumn("_tid", text_id(F.col(text))).join(stay, (F.col("_tid") == F.col("tid")) & F.col(doc_id).eqNullSafe(F.col("_id")))
+    if stay.filter("many").limit(1).count():
+        rows = rows.filter("not many").unionByName(rows.filter("many").dropDuplicates(["_tid", "_id"]))
+    return rows.select(*docs.columns)

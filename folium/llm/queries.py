@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folium.llm import bpe, language_id, mixing, near_dedup, nearest, quality_rules, scratch, sharding, url_filter
+from folium.llm import bpe, language_id, lm_scoring, mixing, near_dedup, nearest, quality_rules, scratch, sharding, url_filter
 from folium.llm.suffix_dedup import without_repeats
 
 
@@ -35,6 +35,11 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(_table(spark, sf_dir, "pages").select("page_id", "url"))
 
 
+def op4_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lm_scoring.score(docs, language_id.fold(F.col("doc_id"), 5) == 1, word_vocabulary())
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
     return quality_rules.judge(_table(spark, sf_dir, "documents")).select(*columns)
@@ -68,7 +73,7 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_suffix_dedup, op2_near_dedup, op3_url_filter, op5_quality_rules, op6_language_id, op7_sharding, op8_nearest, op9_bpe, op10_source_mix)}
+    return {f.__name__: f for f in (op1_suffix_dedup, op2_near_dedup, op3_url_filter, op4_lm_scores, op5_quality_rules, op6_language_id, op7_sharding, op8_nearest, op9_bpe, op10_source_mix)}
 
 
 def _url_sql() -> str:

@@ -13,10 +13,10 @@ _CASE = np.arange(256, dtype=np.uint8)
 _CASE[65:91] += 32
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The hash of each word, A-Z lowered, and the number of the first word of each row (one more than rows)."""
+def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where each word starts and ends, and the number of the first word of each row (one more than rows)."""
     if not len(data):
-        return np.empty(0, np.uint64), np.zeros(len(offsets), np.int64)
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.zeros(len(offsets), np.int64)
     blank = _SPACE[data]
     starts = np.empty(len(data), bool)
     starts[0] = not blank[0]
@@ -28,8 +28,19 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
         if 0 < at < len(data) and not blank[at - 1] and not blank[at]:
             starts[at] = ends[at - 1] = True
     starts, ends = np.flatnonzero(starts), np.flatnonzero(ends) + 1
-    total, inverse = prefix_hashes(_CASE[data])
-    return hash_between(total, inverse, starts, ends), np.searchsorted(starts, offsets)
+    return starts, ends, np.searchsorted(starts, offsets)
+
+
+def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of each word, A-Z lowered, and the number of the first word of each row (one more than rows)."""
+    starts, ends, first = word_spans(data, offsets)
+    total, inverse = prefix_hashes(lowered(data))
+    return hash_between(total, inverse, starts, ends), first
+
+
+def lowered(data: np.ndarray) -> np.ndarray:
+    """The bytes with A-Z lowered."""
+    return _CASE[data]
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int) -> list[np.ndarray]:
