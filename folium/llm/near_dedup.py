@@ -228,8 +228,8 @@ def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **h
     stay = found.filter("root is null").select("_id", "tid").distinct().withColumn("many", F.lit(False))
     same = [found["root"] == first["root"], found["tid"] == first["tid"], found["_id"].eqNullSafe(first["_id"])]
     stay = stay.union(found.join(first, same, "left_semi").groupBy("_id", "tid").agg((F.count("*") > 1).alias("many")))
-    stay = stored(stay)
-    rows = docs.withColumn("_tid", text_id(F.col(text))).join(stay, (F.col("_tid") == F.col("tid")) & F.col(doc_id).eqNullSafe(F.col("_id")))
-    if stay.filter("many").limit(1).count():
-        rows = rows.filter("not many").unionByName(rows.filter("many").dropDuplicates(["_tid", "_id"]))
+    stay = stored(stay.selectExpr("_id", "tid as _same", "many as _many"))
+    rows = docs.withColumn("_tid", text_id(F.col(text))).join(stay, (F.col("_tid") == F.col("_same")) & F.col(doc_id).eqNullSafe(F.col("_id")))
+    if stay.filter("_many").limit(1).count():
+        rows = rows.filter("not _many").unionByName(rows.filter("_many").dropDuplicates(["_tid", "_id"]))
     return rows.select(*docs.columns)

@@ -97,8 +97,8 @@ counts as (select gram, count(*) filter (not fold and ruled = 'allow') as allow,
 {", ".join(steps)},
 scores as (select r, avg(ln(p_allow) - ln(p_block)) as score from g join p{order + 1} using (gram) group by r),
 bins as (select floor(score / 0.01)::bigint as bin, count(*) filter (ruled = 'allow') as allow, count(*) filter (ruled = 'block') as block from scores join r using (r) where fold and ruled is not null group by 1),
-sums as (select bin, sum(allow) over () as allows, sum(block) over () as blocks, coalesce(sum(allow) over (order by bin rows between unbounded preceding and 1 preceding), 0) as a, coalesce(sum(block) over (order by bin rows between unbounded preceding and 1 preceding), 0) as b from bins),
-best as (select bin * 0.01::double as cut from sums where allows > 0 and blocks > 0 order by round(b / blocks + 1 - a / allows, 9) desc, abs(bin), bin limit 1)
+sums as (select bin, coalesce((lag(bin) over (order by bin) + 1 + bin) / 2, bin) as cut, sum(allow) over () as allows, sum(block) over () as blocks, coalesce(sum(allow) over (order by bin rows between unbounded preceding and 1 preceding), 0) as a, coalesce(sum(block) over (order by bin rows between unbounded preceding and 1 preceding), 0) as b from bins),
+best as (select cut * 0.01::double as cut from sums where allows > 0 and blocks > 0 order by round(b / blocks + 1 - a / allows, 9) desc, abs(bin), bin limit 1)
 select page_id, host, path, rule, coalesce(ruled, case when score >= coalesce((select cut from best), 0) then 'allow' else 'block' end) as verdict, round(score, 9) as score
 from r join scores using (r)
 """

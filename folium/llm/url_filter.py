@@ -82,13 +82,14 @@ def threshold(scored: DataFrame) -> float:
     """The score from which urls are accepted: where the calibrating urls of both verdicts are told apart best.
 
     Best is the greatest sum of both verdicts' shares that fall on their side; of several such places the one
-    nearest to 0, then the smallest. Without urls of both verdicts it is 0.
+    nearest to 0, then the smallest. The threshold lies halfway between the scores on both sides of that place.
+    Without urls of both verdicts it is 0.
     """
     bins = scored.filter("calibrates").groupBy(F.floor(F.col("score") / GRAIN).alias("bin")).agg(*(F.count(F.when(F.col("ruled") == v, 1)).alias(v) for v in ("allow", "block")))
     # at most a few thousand bins: scores per character are logs of probabilities that smoothing bounds
-    below = bins.selectExpr("bin", "sum(allow) over () as allows", "sum(block) over () as blocks", "coalesce(sum(allow) over (order by bin rows between unbounded preceding and 1 preceding), 0) as allow_below", "coalesce(sum(block) over (order by bin rows between unbounded preceding and 1 preceding), 0) as block_below")
-    best = below.filter("allows > 0 and blocks > 0").selectExpr("bin", "round(block_below / blocks + 1 - allow_below / allows, 9) as told").orderBy(F.desc("told"), F.abs("bin"), "bin").first()
-    return best["bin"] * GRAIN if best else 0.0
+    below = bins.selectExpr("bin", "coalesce((lag(bin) over (order by bin) + 1 + bin) / 2, bin) as cut", "sum(allow) over () as allows", "sum(block) over () as blocks", "coalesce(sum(allow) over (order by bin rows between unbounded preceding and 1 preceding), 0) as allow_below", "coalesce(sum(block) over (order by bin rows between unbounded preceding and 1 preceding), 0) as block_below")
+    best = below.filter("allows > 0 and blocks > 0").selectExpr("bin", "cut", "round(block_below / blocks + 1 - allow_below / allows, 9) as told").orderBy(F.desc("told"), F.abs("bin"), "bin").first()
+    return best["cut"] * GRAIN if best else 0.0
 
 
 def judge(pages: DataFrame, url: str = "url", page_id: str = "page_id", rules: dict[tuple[str, str], str] = RULES) -> DataFrame:
