@@ -17,7 +17,7 @@ from pyspark.sql.window import Window
 #: Documents whose ids share this quotient arrive together.
 ARRIVAL_ROWS = 500
 #: Bytes of text that a merged shard is to hold. Shards of half as many are left as they are.
-TARGET_BYTES = 48 << 20
+TARGET_BYTES = 16 << 20
 #: Sizes whose logarithm to the base 4 has the same whole part form a tier.
 FANOUT = 4
 
@@ -62,7 +62,7 @@ class ShardStore:
     def _write(self, rows: DataFrame) -> str:
         """Rows with their shard's name, as one folder for each shard in a new folder."""
         folder = f"data/{uuid.uuid4().hex}"
-        rows.write.partitionBy("shard").parquet(f"{self.path}/{folder}")
+        rows.write.partitionBy("shard").option("compression", "zstd").parquet(f"{self.path}/{folder}")
         return folder
 
     def append(self, docs: DataFrame, arrival: Column, size: Column) -> int:
