@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 
-def queries() -> dict:
-    return {}
+from pyspark.sql import DataFrame, SparkSession
+
+from folium.plans import structure
+
+_MODULES = (structure,)
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {f.__name__: f for m in _MODULES for f in m.QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {name: sql for m in _MODULES for name, sql in m.SQL.items()}
