@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from folium.llm import bpe, language_id, mixing, near_dedup, suffix_dedup
 from folium.llm.queries import word_vocabulary
-from folium.llm.scratch import stored
+from folium.llm.scratch import Scratch
 
 
 def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,8 +25,10 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the 200-byte strings that stand elsewhere too; n_chars follows the text."""
     names = docs.columns
-    rows = suffix_dedup.without_repeats(docs, with_text=True)
-    return rows.withColumn("text", F.when(F.col("text").isNotNull(), F.col("kept_text"))).withColumn("n_chars", F.length("text").cast("long")).select(*names)
+    others = [c for c in names if c not in ("text", "n_chars")]
+    rows = suffix_dedup.without_repeats(docs.withColumn("_null", F.col("text").isNull()), keep=(*others, "_null"), with_text=True)
+    rows = rows.withColumn("text", F.when(~F.col("_null"), F.col("kept_text")))
+    return rows.withColumn("n_chars", F.length("text").cast("long")).select(*names)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,5 +59,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k + 1 < len(STAGES):
-            docs = stored(docs)
+            docs = Scratch(spark).keep(docs)
     return docs

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folium.llm.scratch import stored
+from folium.llm.scratch import Scratch
 
 #: Links that one union-find takes at most.
 FOREST = 500_000
@@ -65,9 +65,13 @@ def components(links: DataFrame, rounds: int = 40) -> DataFrame:
     """
     u, v = links.columns
     kind = "u binary, v binary"
-    edges = links.filter(F.col(u) != F.col(v)).select(F.greatest(u, v).alias("u"), F.least(u, v).alias("v")).mapInArrow(_forest, kind)
+    own = Scratch(links.sparkSession)
+    edges, before = links.filter(F.col(u) != F.col(v)).select(F.greatest(u, v).alias("u"), F.least(u, v).alias("v")).mapInArrow(_forest, kind), None
     for _ in range(rounds):
-        edges = stored(edges.repartition("u").sortWithinPartitions("u").mapInArrow(_forest, kind))
+        edges = own.stored(edges.repartition("u").sortWithinPartitions("u").mapInArrow(_forest, kind))
+        if before is not None:
+            own.drop(before)
+        before = edges
         ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("low"), F.lit(0).alias("high")).union(edges.select("v", F.lit(0), F.lit(1)))
         open_ends = ends.groupBy("x").agg(F.sum("low").alias("low"), F.max("high").alias("high")).filter("low > 1 or low = 1 and high = 1")
         if not open_ends.limit(1).count():
@@ -78,4 +82,5 @@ def components(links: DataFrame, rounds: int = 40) -> DataFrame:
     else:
         raise RuntimeError(f"components did not settle in {rounds} rounds")
     roots = edges.select(F.col("v").alias("node")).distinct()
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(roots.select("node", F.col("node").alias("root")))
+    with own:
+        return own.keep(edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(roots.select("node", F.col("node").alias("root"))))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folium.llm.scratch import stored
+from folium.llm.scratch import Scratch
 
 #: Without given weights a source weighs its number of documents to this power.
 TEMPERATURE = 0.5
@@ -37,7 +37,7 @@ def rates(docs: DataFrame, source: str = "source", weights: dict[str | None, flo
         weight = F.lit(0.0)
         for k, w in weights.items():
             weight = F.when(F.col("src").eqNullSafe(F.lit(k)), float(w)).otherwise(weight)
-    counted = stored(counted.withColumn("weight", weight))
+    counted = Scratch(docs.sparkSession).keep(counted.withColumn("weight", weight))
     total = counted.agg(F.sum("weight").alias("weight"), F.sum("n").alias("n")).first()
     if not total["weight"]:
         return counted.selectExpr("src", "n", "0d as share", "0d as rate")
@@ -59,7 +59,7 @@ def mix(docs: DataFrame, source: str = "source", doc_id: str = "doc_id", weights
     table = table.selectExpr("src", "rate as _rate", f"{parts} as _parts", f"rate / {parts} as m")
     last = "cast(ceil(m + 12 * sqrt(m) + 20) as int)"
     steps = f"aggregate(sequence(1, {last}), struct(exp(-m) as p, array(exp(-m)) as c), (a, k) -> struct(a.p * m / k as p, array_append(a.c, a.c[k - 1] + a.p * m / k) as c), a -> a.c)"
-    table = stored(table.selectExpr("src", "_rate", "_parts", f"{steps} as _cdf"))
+    table = Scratch(docs.sparkSession).keep(table.selectExpr("src", "_rate", "_parts", f"{steps} as _cdf"))
     key = F.coalesce(F.col(doc_id).cast("string"), F.lit(""))
     drawn = rows.join(table, F.col(source).eqNullSafe(F.col("src")), "left").drop("src")
     count = F.aggregate(F.sequence(F.lit(1), F.col("_parts")), F.lit(0), lambda a, i: a + F.size(F.filter("_cdf", lambda c: c <= _point(F.lit(str(seed)), key, i.cast("string")))))

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folium.llm.graph import UnionFind, components
-from folium.llm.scratch import stored
+from folium.llm.scratch import Scratch
 from folium.llm.shingles import band_keys, shingle_sets, signatures
 from folium.llm.suffix_dedup import text_id
 from folium.llm.windows import flat_bytes
@@ -175,47 +175,47 @@ def group(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size: int
     Null and empty texts and texts of white space have no shingles, link with nothing and are kept. Null ids count
     as larger than all others; rows with equal ids stay apart but share the mark. Other columns play no part.
     """
-    spark = docs.sparkSession
-    named = docs.select(F.col(doc_id).alias("doc_id"), text_id(F.col(text)).alias("tid"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    id_type = named.schema["doc_id"].dataType.simpleString()
-    signed = stored(named.mapInArrow(_sign(size, bands, rows), f"doc_id {id_type}, tid binary, n_shingles long, sid binary, keys array<long>"))
-    # a class is named by the least digest of its texts
-    classes = signed.filter("sid is not null").groupBy("sid").agg(F.min("tid").alias("cid"), F.min("doc_id").alias("first"), F.first("keys").alias("keys"), F.first("n_shingles").alias("n"))
-    classes = stored(classes)
-    places = classes.select(F.explode("keys").alias("key"), "cid", "n")
-    leaders = places.groupBy("key").agg(F.min(F.struct("cid", "n")).alias("leader"), F.count("*").alias("size")).filter("size > 1")
-    members = stored(places.join(leaders, "key").select("key", "cid", "n", F.col("leader.cid").alias("leader"), F.col("leader.n").alias("leader_n")).filter("cid != leader"))
-    # 100 i >= p u needs 100 * smaller size >= p * larger size
-    possible = F.expr(f"100 * least(n, leader_n) >= {percent} * greatest(n, leader_n)")
-    pairs = members.filter(possible).select("leader", "cid").distinct()
-    led = pairs.groupBy("leader").agg(F.ceil(F.count("*") / LED).cast("int").alias("shares"))
-    texts = named.groupBy("tid").agg(F.first("text").alias("text"))
-    none = F.lit(None).cast("binary")
-    fronts = led.join(texts, F.col("leader") == F.col("tid")).select("leader", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), none.alias("member"), "text")
-    behind = pairs.join(texts, F.col("cid") == F.col("tid")).join(led, "leader").select("leader", F.pmod(F.xxhash64("cid"), "shares").cast("int").alias("share"), F.col("cid").alias("member"), "text")
-    links = fronts.union(behind).repartition("leader", "share").sortWithinPartitions("leader", "share", F.col("member").asc_nulls_first()).mapInArrow(_led(size, percent), "a binary, b binary")
-    links = stored(links)
-    roots = stored(components(links))
-    # buckets whose members, the leader aside, are not in one component yet
-    lasting = members.join(roots, F.col("cid") == F.col("node"), "left").select("key", "cid", "n", F.coalesce("root", "cid").alias("root"))
-    lasting = stored(lasting)
-    open_keys = lasting.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("blocks")).filter("a != b")
-    rest = stored(lasting.join(open_keys.select("key", "blocks"), "key"))
-    if rest.limit(1).count():
-        wanted = rest.select("cid").distinct().join(texts, F.col("cid") == F.col("tid")).select("cid", "text").mapInArrow(_full_sets(size), "cid binary, shingles array<long>")
-        rest = rest.withColumn("mine", F.pmod(F.xxhash64("cid", "key"), "blocks").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        rest = rest.select("key", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"), "mine", "cid", "root").join(wanted, "cid").select("key", "low", "high", "mine", "cid", "root", "shingles")
-        more = rest.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high").mapInArrow(_blocks(percent), "a binary, b binary")
-        more = stored(more)
-        if more.limit(1).count():
-            roots = stored(components(links.union(more)))
-    named_classes = classes.join(roots, F.col("cid") == F.col("node"), "left").select("sid", "first", F.coalesce("root", "cid").alias("root"))
-    named_classes = stored(named_classes)
-    least = named_classes.groupBy("root").agg(F.min("first").alias("component_id"))
-    named_classes = named_classes.join(least, "root").select(F.col("sid").alias("s"), "component_id", "root")
-    out = signed.select("doc_id", "n_shingles", "sid", "tid").join(named_classes, F.col("sid") == F.col("s"), "left")
-    component = F.when(F.col("sid").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "tid", "root")
+    with Scratch(docs.sparkSession) as own:
+        named = docs.select(F.col(doc_id).alias("doc_id"), text_id(F.col(text)).alias("tid"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+        id_type = named.schema["doc_id"].dataType.simpleString()
+        signed = own.stored(named.mapInArrow(_sign(size, bands, rows), f"doc_id {id_type}, tid binary, n_shingles long, sid binary, keys array<long>"))
+        # a class is named by the least digest of its texts
+        classes = signed.filter("sid is not null").groupBy("sid").agg(F.min("tid").alias("cid"), F.min("doc_id").alias("first"), F.first("keys").alias("keys"), F.first("n_shingles").alias("n"))
+        classes = own.stored(classes)
+        places = classes.select(F.explode("keys").alias("key"), "cid", "n")
+        leaders = places.groupBy("key").agg(F.min(F.struct("cid", "n")).alias("leader"), F.count("*").alias("size")).filter("size > 1")
+        members = own.stored(places.join(leaders, "key").select("key", "cid", "n", F.col("leader.cid").alias("leader"), F.col("leader.n").alias("leader_n")).filter("cid != leader"))
+        # 100 i >= p u needs 100 * smaller size >= p * larger size
+        possible = F.expr(f"100 * least(n, leader_n) >= {percent} * greatest(n, leader_n)")
+        pairs = members.filter(possible).select("leader", "cid").distinct()
+        led = pairs.groupBy("leader").agg(F.ceil(F.count("*") / LED).cast("int").alias("shares"))
+        texts = named.groupBy("tid").agg(F.first("text").alias("text"))
+        none = F.lit(None).cast("binary")
+        fronts = led.join(texts, F.col("leader") == F.col("tid")).select("leader", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), none.alias("member"), "text")
+        behind = pairs.join(texts, F.col("cid") == F.col("tid")).join(led, "leader").select("leader", F.pmod(F.xxhash64("cid"), "shares").cast("int").alias("share"), F.col("cid").alias("member"), "text")
+        links = fronts.union(behind).repartition("leader", "share").sortWithinPartitions("leader", "share", F.col("member").asc_nulls_first()).mapInArrow(_led(size, percent), "a binary, b binary")
+        links = own.stored(links)
+        roots = components(links)
+        # buckets whose members, the leader aside, are not in one component yet
+        lasting = members.join(roots, F.col("cid") == F.col("node"), "left").select("key", "cid", "n", F.coalesce("root", "cid").alias("root"))
+        lasting = own.stored(lasting)
+        open_keys = lasting.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("blocks")).filter("a != b")
+        rest = own.stored(lasting.join(open_keys.select("key", "blocks"), "key"))
+        if rest.limit(1).count():
+            wanted = rest.select("cid").distinct().join(texts, F.col("cid") == F.col("tid")).select("cid", "text").mapInArrow(_full_sets(size), "cid binary, shingles array<long>")
+            rest = rest.withColumn("mine", F.pmod(F.xxhash64("cid", "key"), "blocks").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            rest = rest.select("key", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"), "mine", "cid", "root").join(wanted, "cid").select("key", "low", "high", "mine", "cid", "root", "shingles")
+            more = rest.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high").mapInArrow(_blocks(percent), "a binary, b binary")
+            more = own.stored(more)
+            if more.limit(1).count():
+                roots = components(links.union(more))
+        named_classes = classes.join(roots, F.col("cid") == F.col("node"), "left").select("sid", "first", F.coalesce("root", "cid").alias("root"))
+        named_classes = own.stored(named_classes)
+        least = named_classes.groupBy("root").agg(F.min("first").alias("component_id"))
+        named_classes = named_classes.join(least, "root").select(F.col("sid").alias("s"), "component_id", "root")
+        out = signed.select("doc_id", "n_shingles", "sid", "tid").join(named_classes, F.col("sid") == F.col("s"), "left")
+        component = F.when(F.col("sid").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+        return own.keep(out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "tid", "root"))
 
 
 def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **how) -> DataFrame:
@@ -223,12 +223,12 @@ def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **h
 
     Rows without shingles stay. Of rows with equal ids and texts in one group any one stays.
     """
-    found = stored(group(docs, text, doc_id, **how).withColumnRenamed("doc_id", "_id"))
+    found = group(docs, text, doc_id, **how).withColumnRenamed("doc_id", "_id")
     first = found.filter("root is not null and kept").groupBy("root").agg(F.min(F.struct("tid", "_id")).alias("x")).select("root", "x.tid", "x._id")
     stay = found.filter("root is null").select("_id", "tid").distinct().withColumn("many", F.lit(False))
     same = [found["root"] == first["root"], found["tid"] == first["tid"], found["_id"].eqNullSafe(first["_id"])]
     stay = stay.union(found.join(first, same, "left_semi").groupBy("_id", "tid").agg((F.count("*") > 1).alias("many")))
-    stay = stored(stay.selectExpr("_id", "tid as _same", "many as _many"))
+    stay = Scratch(docs.sparkSession).keep(stay.selectExpr("_id", "tid as _same", "many as _many"))
     rows = docs.withColumn("_tid", text_id(F.col(text))).join(stay, (F.col("_tid") == F.col("_same")) & F.col(doc_id).eqNullSafe(F.col("_id")))
     if stay.filter("_many").limit(1).count():
         rows = rows.filter("not _many").unionByName(rows.filter("_many").dropDuplicates(["_tid", "_id"]))

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from folium.llm.scratch import stored
+from folium.llm.scratch import Scratch
 
 #: Vectors that the centres are fitted on at most, and queries that set the number of probed lists.
 SAMPLE, TRIALS = 20_000, 300
@@ -189,6 +189,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10, vector: str = "emb
     The centres and the number of probed lists are fitted on a sample of SAMPLE vectors; every row is indexed.
     """
     spark = vectors.sparkSession
+    own = Scratch(spark)
     rows = usable(vectors, vector, vec_id)
     total = rows.count()
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
@@ -203,12 +204,12 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10, vector: str = "emb
     probed = min(lists, probed or probes(sample, found, k, aim))
     shared = spark.sparkContext.broadcast(found)
     kind = rows.schema["v"].dataType.simpleString()
-    indexed = stored(rows.mapInArrow(_assign(shared, k), f"vec_id long, v {kind}, list int"))
-    asked = stored(rows.filter(is_query).dropDuplicates(["vec_id"]).mapInArrow(_probe(shared, probed), f"vec_id long, v {kind}, lists array<int>").withColumn("list", F.explode("lists")).drop("lists"))
+    indexed = own.keep(rows.mapInArrow(_assign(shared, k), f"vec_id long, v {kind}, list int"))
+    asked = own.keep(rows.filter(is_query).dropDuplicates(["vec_id"]).mapInArrow(_probe(shared, probed), f"vec_id long, v {kind}, lists array<int>").withColumn("list", F.explode("lists")).drop("lists"))
     # large lists, and lists with many queries, are dealt to several groups; there is a row for each list
     sizes = indexed.groupBy("list").agg(F.ceil(F.count("*") / GROUP_ROWS).cast("int").alias("blocks"))
     sizes = sizes.join(asked.groupBy("list").agg(F.ceil(F.count("*") / GROUP_QUERIES).cast("int").alias("shares")), "list")
-    sizes = F.broadcast(stored(sizes))
+    sizes = F.broadcast(own.keep(sizes))
     deal = lambda n: F.pmod(F.xxhash64("vec_id"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     left = indexed.join(sizes, "list").withColumn("block", deal("blocks")).withColumn("part", every("shares")).select("list", "block", "part", "vec_id", "v")

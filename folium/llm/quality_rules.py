@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folium.llm.scratch import stored
+from folium.llm.scratch import Scratch
 
 #: The rules, each true where a document fails it.
 RULES = {
@@ -77,9 +77,10 @@ def judge(docs: DataFrame, text: str = "text", host: str = "source", keep: tuple
     texts or hosts and repeated rows are judged like others. Other columns of docs play no part.
     """
     columns = tuple(dict.fromkeys((*keep, host)))
-    measured = stored(measures(docs, text, columns))
+    own = Scratch(docs.sparkSession)
+    measured = own.keep(measures(docs, text, columns))
     # a small table of known size: the planner sends it to all tasks while it is small, else splits large hosts
-    verdicts = stored(host_rates(measured, host).groupBy("host").agg(F.max("rate").alias("host_rate")))
+    verdicts = own.keep(host_rates(measured, host).groupBy("host").agg(F.max("rate").alias("host_rate")))
     rows = measured.join(verdicts, F.col(host).eqNullSafe(F.col("host")), "left").drop("host")
     failed = F.expr(f"({RULES['too_short']}) or ({RULES['repetitive']})")
     return rows.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & (F.col("host_rate") <= max_rate))

@@ -23,7 +23,7 @@ def word_vocabulary() -> str:
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return without_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    return without_repeats(_table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

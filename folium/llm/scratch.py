@@ -16,8 +16,47 @@ def folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/folium/{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """The frame written as Parquet to the shared folder and read again: its lineage is cut, and it outlives executors."""
-    path = folder(df.sparkSession)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+class Scratch:
+    """Tables that an operator writes on its way. At the end of the `with` block all but the kept ones are deleted.
+
+    A stored frame's lineage is cut, and it outlives executors. What comes out of the block may read kept tables
+    alone; those stay in the shared folder, since nobody knows when a lazy frame is read for the last time.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self._paths: set[str] = set()
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        for path in self._paths:
+            self._delete(path)
+
+    def _delete(self, path: str) -> None:
+        where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        """The frame, written as Parquet and read again; it stays."""
+        return self._write(df)[0]
+
+    def stored(self, df: DataFrame) -> DataFrame:
+        """The same until the block ends."""
+        out, path = self._write(df)
+        self._paths.add(path)
+        out._scratch = path
+        return out
+
+    def drop(self, df: DataFrame) -> None:
+        """Delete a stored table before the block ends."""
+        self._paths.discard(df._scratch)
+        self._delete(df._scratch)
+
+    def _write(self, df: DataFrame) -> tuple[DataFrame, str]:
+        path = folder(self.spark)
+        df.write.parquet(path)
+        # the job's shuffle files are of no more use; Spark deletes them when the driver has collected its plan
+        self.spark.sparkContext._jvm.System.gc()
+        return self.spark.read.schema(df.schema).parquet(path), path

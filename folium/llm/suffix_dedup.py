@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folium.llm.scratch import stored
+from folium.llm.scratch import Scratch
 from folium.llm.windows import chunks, flat_bytes, minimiser_runs, mix
 
 LENGTH = 200
@@ -227,12 +227,12 @@ def _repeats(length: int):
 
 
 def _cut(with_text: bool):
-    """Join the spans of each text, and take what they leave."""
+    """Join the spans of each text, and take what they leave; columns before text and spans pass through."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = [[] for _ in range(5)]
-            for text, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            for text, spans in zip(batch.column(batch.num_columns - 2).to_pylist(), batch.column(batch.num_columns - 1).to_pylist(), strict=True):
                 raw = text.encode()
                 kept, removed, count, at = [], 0, 0, 0
                 for a, b in sorted(zip(spans[::2], spans[1::2], strict=True)) if spans else ():
@@ -247,7 +247,8 @@ def _cut(with_text: bool):
                 for column, x in zip(out, (len(raw), removed, count, hashlib.sha256(kept).hexdigest(), kept.decode(errors="ignore") if with_text else None), strict=True):
                     column.append(x)
             types = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string())
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(out, types, strict=True))], ["cid", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"])
+            columns = [*batch.columns[:-2], *(pa.array(c, t) for c, t in zip(out, types, strict=True))]
+            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:-2], "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"])
 
     return run
 
@@ -257,37 +258,38 @@ def text_id(text: Column) -> Column:
     return F.substring(F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256)), 1, 16)
 
 
-def repeated_spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, wide: int = WIDE_GROUP) -> tuple[DataFrame, DataFrame]:
-    """Of rows (cid, text): the distinct texts, and for those with repeated strings the flat spans (cid, spans)."""
+def repeated_spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, wide: int = WIDE_GROUP) -> DataFrame:
+    """(cid, spans) of those texts among rows (cid, text) that hold repeated strings: flat starts and ends of bytes."""
     spark = texts.sparkSession
-    repeated = texts.select("cid", "text").mapInArrow(_scan(length, gram, False), "value long, places long").groupBy("value").agg(F.sum("places").alias("places")).filter("places > 1").select("value")
-    runs = texts.select("cid", "text").mapInArrow(_scan(length, gram, True), "cid binary, start long, n long, value long, piece long")
-    members = stored(runs.join(repeated, "value", "left_semi").groupBy("cid", "start", "n", "value", "piece").agg(F.count("*").alias("copies")))
-    pieces = members.groupBy("value", "piece").agg(F.sum("copies").alias("copies"), F.min(F.struct("cid", "start", "n")).alias("at"))
-    groups = pieces.groupBy("value").agg(F.count("*").alias("group")).filter(F.col("group") > wide)
-    wanted = pieces.join(groups, "value", "left").select("at.cid", F.struct("at.start", "at.n", "value", "piece", "copies", F.coalesce("group", F.lit(0)).alias("group")).alias("w"))
-    distinct = texts.groupBy("cid").agg(F.first("text").alias("text"))
-    cuts = distinct.join(wanted.groupBy("cid").agg(F.collect_list("w").alias("wanted")), "cid").select("text", "wanted")
-    cuts = cuts.mapInArrow(_divide(length, gram, wide), "key long, value long, piece long, base long, n long, copies long, bytes binary")
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    hits = cuts.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(_repeats(length), "value long, piece long, spans array<long>")
-    spans = members.select("cid", "start", "value", "piece").join(hits, ["value", "piece"]).select("cid", F.transform("spans", lambda x: x + F.col("start")).alias("spans"))
-    return distinct, spans.groupBy("cid").agg(F.flatten(F.collect_list("spans")).alias("spans"))
-
-
-def without_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, gram: int = GRAM, wide: int = WIDE_GROUP, with_text: bool = False) -> DataFrame:
-    """The rows of docs with their text's n_bytes, n_removed, n_spans and kept_sha256; with_text also adds kept_text.
+    with Scratch(spark) as own:
+        repeated = texts.select("cid", "text").mapInArrow(_scan(length, gram, False), "value long, places long").groupBy("value").agg(F.sum("places").alias("places")).filter("places > 1").select("value")
+        runs = texts.select("cid", "text").mapInArrow(_scan(length, gram, True), "cid binary, start long, n long, value long, piece long")
+        members = own.stored(runs.join(repeated, "value", "left_semi").groupBy("cid", "start", "n", "value", "piece").agg(F.count("*").alias("copies")))
+        pieces = members.groupBy("value", "piece").agg(F.sum("copies").alias("copies"), F.min(F.struct("cid", "start", "n")).alias("at"))
+        groups = pieces.groupBy("value").agg(F.count("*").alias("group")).filter(F.col("group") > wide)
+        wanted = pieces.join(groups, "value", "left").select("at.cid", F.struct("at.start", "at.n", "value", "piece", "copies", F.coalesce("group", F.lit(0)).alias("group")).alias("w"))
+        distinct = texts.groupBy("cid").agg(F.first("text").alias("text"))
+        cuts = distinct.join(wanted.groupBy("cid").agg(F.collect_list("w").alias("wanted")), "cid").select("text", "wanted")
+        cuts = cuts.mapInArrow(_divide(length, gram, wide), "key long, value long, piece long, base long, n long, copies long, bytes binary")
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        hits = own.stored(cuts.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(_repeats(length), "value long, piece long, spans array<long>"))
+        spans = members.select("cid", "start", "value", "piece").join(hits, ["value", "piece"]).select("cid", F.transform("spans", lambda x: x + F.col("start")).alias("spans"))
+        return own.keep(spans.groupBy("cid").agg(F.flatten(F.collect_list("spans")).alias("spans")))
+
+
+def without_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, gram: int = GRAM, wide: int = WIDE_GROUP, keep: tuple[str, ...] = ("doc_id",), with_text: bool = False) -> DataFrame:
+    """The columns `keep` of each row with its text's n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, kept_text.
 
     Every byte that lies in a `length`-byte string which starts at another place too, in this or any other row,
     is removed. Null and empty texts, and texts shorter than `length`, lose nothing; a null counts as empty.
     Repeated rows are copies of one another: each loses all bytes if it's long enough. Ids play no part, and may
-    be null or repeated. kept_text leaves out bytes of characters that were cut in two. Columns of these names
-    (and `_cid`) in docs are replaced.
+    be null or repeated. kept_text leaves out bytes of characters that were cut in two. Other columns of docs,
+    whatever their names, play no part.
     """
+    named = docs.select(*(F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)), text_id(F.col(text)).alias("cid"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    spans = repeated_spans(named.select("cid", "text"), length, gram, wide)
+    rows = named.join(spans, "cid", "left").select(*(f"_k{i}" for i in range(len(keep))), "text", "spans")
+    kinds = [f"_k{i} {named.schema[f'_k{i}'].dataType.simpleString()}" for i in range(len(keep))]
+    out = rows.mapInArrow(_cut(with_text), ", ".join([*kinds, "n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string"]))
     names = ["n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept_text"] * with_text
-    texts = docs.select(text_id(F.col(text)).alias("cid"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    distinct, spans = repeated_spans(texts, length, gram, wide)
-    result = distinct.join(spans, "cid", "left").select("cid", "text", "spans").mapInArrow(_cut(with_text), "cid binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string")
-    rows = docs.drop(*names).withColumn("_cid", text_id(F.col(text)))
-    result = result.select(F.col("cid").alias("_cid"), *names)
-    return rows.join(result, "_cid", "left").drop("_cid")
+    return out.select(*(F.col(f"_k{i}").alias(c) for i, c in enumerate(keep)), *names)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folium.llm.scratch import stored
+from folium.llm.scratch import Scratch
 
 #: (host, start of the path) -> verdict; a rule fits its host and all subdomains.
 RULES = {("net", "/"): "block", ("example.net", "/en/"): "allow", ("example.com", "/de/"): "block", ("org", "/fr/"): "allow"}
@@ -57,12 +57,12 @@ def _grams(rows: DataFrame, *keep: str) -> DataFrame:
     return rows.select(*keep, "_t", places.alias("_i")).select(*keep, F.expr(f"substring(_t, _i, {ORDER + 1})").alias("gram"))
 
 
-def model(judged: DataFrame) -> DataFrame:
+def model(judged: DataFrame, own: Scratch) -> DataFrame:
     """For each gram of any url: the log of its last character's likelihood after the others, as accepted less as rejected.
 
     judged has url, verdict (allow or block; else it teaches nothing) and teaches.
     """
-    counts = stored(_grams(judged.select("url", F.when(F.col("teaches"), F.col("verdict")).alias("verdict")), "verdict").groupBy("gram").agg(*(F.count(F.when(F.col("verdict") == v, 1)).alias(v) for v in ("allow", "block"))))
+    counts = own.stored(_grams(judged.select("url", F.when(F.col("teaches"), F.col("verdict")).alias("verdict")), "verdict").groupBy("gram").agg(*(F.count(F.when(F.col("verdict") == v, 1)).alias(v) for v in ("allow", "block"))))
     table = counts.select("gram")
     for v in ("allow", "block"):
         table = table.withColumn(f"p_{v}", F.lit(1.0 / CLASSES))
@@ -75,7 +75,7 @@ def model(judged: DataFrame) -> DataFrame:
         for v in ("allow", "block"):
             table = table.withColumn(f"p_{v}", F.expr(f"if(all_{v} = 0, p_{v}, (n_{v} + kinds_{v} * p_{v}) / (all_{v} + kinds_{v}))"))
         table = table.select("gram", "p_allow", "p_block")
-    return stored(table.select("gram", (F.ln("p_allow") - F.ln("p_block")).alias("ratio")))
+    return own.stored(table.select("gram", (F.ln("p_allow") - F.ln("p_block")).alias("ratio")))
 
 
 def threshold(scored: DataFrame) -> float:
@@ -99,15 +99,20 @@ def judge(pages: DataFrame, url: str = "url", page_id: str = "page_id", rules: d
     empty ones; null ids and repeated rows are rows like others. Without rules that fit, scores and threshold are 0
     and all is allowed.
     """
+    with Scratch(pages.sparkSession) as own:
+        return _judged(pages, url, page_id, rules, own)
+
+
+def _judged(pages: DataFrame, url: str, page_id: str, rules: dict[tuple[str, str], str], own: Scratch) -> DataFrame:
     rows = ruled(pages, url, (page_id,), rules)
     fold = F.coalesce(F.pmod(F.col(page_id), F.lit(FOLDS)), F.lit(CALIBRATES + 1))
     judged = rows.select("url", F.col("ruled").alias("verdict"), (F.col("ruled").isNotNull() & (fold != CALIBRATES)).alias("teaches"))
-    ratios = model(judged)
+    ratios = model(judged, own)
     # one score for each different url; a task's own characters are summed before anything moves
     scores = _grams(rows.select("url"), "url").join(F.broadcast(ratios), "gram").groupBy(F.col("url").alias("u")).agg(F.avg("ratio").alias("score"))
     calibrates = (F.col("ruled").isNotNull() & (fold == CALIBRATES)).alias("calibrates")
     rows = rows.join(scores, F.col("url").eqNullSafe(F.col("u")), "left").select(page_id, "host", "path", "rule", "ruled", "score", calibrates)
-    rows = stored(rows)
+    rows = own.keep(rows)
     limit = threshold(rows)
     verdict = F.coalesce("ruled", F.when(F.col("score") >= limit, "allow").otherwise("block"))
     return rows.select(page_id, "host", "path", "rule", verdict.alias("verdict"), F.round("score", 9).alias("score"))

@@ -44,7 +44,7 @@ def test_empty_table_clashing_columns_and_repeated_rows(spark):
     assert suffix_dedup.without_repeats(empty).count() == 0
     row = (7, "abcdefgh" * 40, "kept?", 1, None)
     docs = spark.createDataFrame([row, row, (None, "fresh", "x", 2, "y")], "doc_id long, text string, cid string, n_bytes int, spans string")
-    rows = suffix_dedup.without_repeats(docs, with_text=True).orderBy(suffix_dedup.F.col("doc_id").desc_nulls_last()).collect()
+    rows = suffix_dedup.without_repeats(docs, keep=("doc_id", "cid"), with_text=True).orderBy(suffix_dedup.F.col("doc_id").desc_nulls_last()).collect()
     assert [(r["doc_id"], r["n_bytes"], r["n_removed"], r["kept_text"], r["cid"]) for r in rows] == [(7, 320, 320, "", "kept?")] * 2 + [(None, 5, 0, "fresh", "x")]
 
 
