@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folium.plans import structure
+from folium.plans import checks, contents_search, readside, structure
 
-_MODULES = (structure,)
+_MODULES = (structure, readside, contents_search, checks)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
