@@ -45,15 +45,15 @@ def planned(runs: DataFrame, input_tokens: int = INPUT_TOKENS, output_tokens: in
     return rows.select(*runs.columns, cut(create, 4).alias("create_usd"), cut(keep, 4).alias("storage_usd"), cut(each, 6).alias("question_usd"), cut(create + keep + each * F.col("n_questions"), 4).alias("total_usd"))
 
 
-def actual(runs: DataFrame) -> DataFrame:
+def actual(runs: DataFrame, digits: int = 6) -> DataFrame:
     """Runs (model, mode, input_tokens, output_tokens, cached_tokens, token_hours) with cost_usd; 0 for unknown models."""
     rows = runs.join(F.broadcast(prices(runs.sparkSession)), "model", "left")
     fresh = F.greatest(F.col("input_tokens") - F.col("cached_tokens"), F.lit(0))
     cost = fresh * F.col("input_p") * _discount(F.col("mode")) / 1e6 + F.col("cached_tokens") * F.col("cached_p") / 1e6 + F.col("output_tokens") * F.col("output_p") * _discount(F.col("mode")) / 1e6 + F.col("token_hours") * F.col("storage_p") / 1e6
-    return rows.select(*runs.columns, F.coalesce(F.round(cost, 6), F.lit(0.0)).alias("cost_usd"))
+    return rows.select(*runs.columns, F.coalesce(F.round(cost, digits), F.lit(0.0)).alias("cost_usd"))
 
 
-def scenarios(documents: DataFrame, model: str = "gemini-2.5-flash") -> DataFrame:
+def scenarios(documents: DataFrame, model: str = "gemini-2.5-flash", digits: int = 6) -> DataFrame:
     """Documents (doc_id, n_chunks, chars), one question a chunk: cost at once, without cache, in batches, and savings."""
     into, cached, out, keep = PRICES[model]
     tokens = token_estimate(F.col("chars"))
@@ -61,5 +61,5 @@ def scenarios(documents: DataFrame, model: str = "gemini-2.5-flash") -> DataFram
     once = tokens * (into + keep) / 1e6 + n * (tokens * cached + INPUT_TOKENS * into + OUTPUT_TOKENS * out) / 1e6
     bare = n * ((tokens + INPUT_TOKENS) * into + OUTPUT_TOKENS * out) / 1e6
     batch = tokens * (into + keep) / 1e6 + n * (tokens * cached + BATCH_DISCOUNT * (INPUT_TOKENS * into + OUTPUT_TOKENS * out)) / 1e6
-    rows = documents.select("doc_id", "n_chunks", tokens.alias("tokens"), F.round(once, 6).alias("immediate_usd"), F.round(bare, 6).alias("no_cache_usd"), F.round(batch, 6).alias("batch_usd"))
+    rows = documents.select("doc_id", "n_chunks", tokens.alias("tokens"), F.round(once, digits).alias("immediate_usd"), F.round(bare, digits).alias("no_cache_usd"), F.round(batch, digits).alias("batch_usd"))
     return rows.withColumn("savings_pct", F.when(F.col("no_cache_usd") > 0, F.round(100 * (1 - F.col("batch_usd") / F.col("no_cache_usd")), 4)).otherwise(0.0))

@@ -258,13 +258,13 @@ def _usage(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def cost_actual(spark: SparkSession, sf: str) -> DataFrame:
-    return cost.actual(_usage(spark, sf)).select("run_id", "model", "mode", "cost_usd")
+    return cost.actual(_usage(spark, sf), 10).select("run_id", "model", "mode", "cost_usd")
 
 
 _PRICES = "p(model, i, c, o, s) as (values ('gemini-2.5-flash', 0.30::double, 0.03::double, 2.50::double, 1.00::double), ('gemini-2.5-pro', 1.25::double, 0.125::double, 10.00::double, 4.50::double))"
 SQL["cost_actual"] = f"""with {S.RUNS}, {_PRICES},
 u as (select l_orderkey as run_id, sum(l_partkey) as a, sum(l_suppkey) as b, sum(l_linenumber) as k, sum(l_quantity) as h from lineitem group by 1)
-select run_id, r.model, mode, coalesce(round(greatest(a - k, 0) * i * (case when mode = 'batch' then 0.5::double else 1 end) / 1e6::double + k * c / 1e6::double + b * o * (case when mode = 'batch' then 0.5::double else 1 end) / 1e6::double + h * s / 1e6::double, 6), 0) as cost_usd
+select run_id, r.model, mode, coalesce(round(greatest(a - k, 0) * i * (case when mode = 'batch' then 0.5::double else 1 end) / 1e6::double + k * c / 1e6::double + b * o * (case when mode = 'batch' then 0.5::double else 1 end) / 1e6::double + h * s / 1e6::double, 10), 0) as cost_usd
 from runs r join u using (run_id) left join p on p.model = r.model"""
 
 
@@ -284,14 +284,14 @@ select run_id, model, mode, n_questions, doc_tokens, round(a, 9) as create_usd,
 
 def cost_scenarios(spark: SparkSession, sf: str) -> DataFrame:
     docs = S.chunks(spark, sf).groupBy("doc_id").agg(F.count("*").alias("n_chunks"), F.sum(F.length("text")).alias("chars"))
-    return cost.scenarios(docs)
+    return cost.scenarios(docs, digits=10)
 
 
 SQL["cost_scenarios"] = f"""with {S.STORE},
 d as (select doc_id, count(*) as n, floor(sum(length(text)) / 4.0)::bigint as t from chunks group by doc_id),
-s as (select doc_id, n as n_chunks, t as tokens, round(t * (0.30::double + 1.00::double) / 1e6::double + n * (t * 0.03::double + 1100 * 0.30::double + 600 * 2.50::double) / 1e6::double, 6) as immediate_usd,
-  round(n * ((t + 1100) * 0.30::double + 600 * 2.50::double) / 1e6::double, 6) as no_cache_usd,
-  round(t * (0.30::double + 1.00::double) / 1e6::double + n * (t * 0.03::double + 0.5::double * (1100 * 0.30::double + 600 * 2.50::double)) / 1e6::double, 6) as batch_usd from d)
+s as (select doc_id, n as n_chunks, t as tokens, round(t * (0.30::double + 1.00::double) / 1e6::double + n * (t * 0.03::double + 1100 * 0.30::double + 600 * 2.50::double) / 1e6::double, 10) as immediate_usd,
+  round(n * ((t + 1100) * 0.30::double + 600 * 2.50::double) / 1e6::double, 10) as no_cache_usd,
+  round(t * (0.30::double + 1.00::double) / 1e6::double + n * (t * 0.03::double + 0.5::double * (1100 * 0.30::double + 600 * 2.50::double)) / 1e6::double, 10) as batch_usd from d)
 select *, case when no_cache_usd > 0 then round(100 * (1 - batch_usd / no_cache_usd), 4) else 0 end as savings_pct from s"""
 
 
