@@ -13,8 +13,7 @@ from folium.llm.scratch import Scratch
 def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told by a clear margin; texts that are null or without letters go."""
     names = docs.columns
-    samples = language_id.dictionaries(docs)
-    return language_id.identify(docs.withColumn("_text", F.col("text")), samples, "_text", tuple(names)).filter("accepted").select(*names)
+    return language_id.identify(docs, language_id.dictionaries(docs), keep=tuple(names)).filter("accepted").select(*names)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

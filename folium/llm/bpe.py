@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Words that a worker keeps in each of two generations.
-KEPT_WORDS = 300_000
+KEPT_WORDS = 200_000
 _HALF = 1 << 32
 
 

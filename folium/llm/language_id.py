@@ -81,15 +81,17 @@ def _compressors(samples: tuple[tuple[str, bytes], ...]) -> Compressors:
     return Compressors(dict(samples))
 
 
-def _judge(shared):
+def _judge(shared, at: int, kept: int):
+    """Languages of the texts in column `at`; the first `kept` columns pass through."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = _compressors(tuple(shared.value.items())).judge
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
-                found = [judge(x) for x in part.column(part.num_columns - 1).to_pylist()]
-                columns = [*part.columns[:-1], pa.array([x for x, _ in found], pa.string()), pa.array([x for _, x in found], pa.float64())]
-                yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:-1], "lang_pred", "score"])
+            for row in range(0, batch.num_rows, 500):
+                part = batch.slice(row, 500)
+                found = [judge(x) for x in part.column(at).to_pylist()]
+                columns = [*part.columns[:kept], pa.array([x for x, _ in found], pa.string()), pa.array([x for _, x in found], pa.float64())]
+                yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:kept], "lang_pred", "score"])
 
     return run
 
@@ -100,9 +102,10 @@ def identify(docs: DataFrame, samples: dict[str, bytes], text: str = "text", kee
     A text that is null or has no letter gets `und` and 0; so does every text if nothing was learned. Of equal
     sizes the first language in order wins, with score 0. accepted is false for `und` and for narrow margins.
     """
-    rows = docs.select(*keep, F.col(text).alias("__text"))
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]), "lang_pred string, score double"])
-    found = rows.mapInArrow(_judge(docs.sparkSession.sparkContext.broadcast(samples)), schema)
+    rows = docs.select(*keep) if text in keep else docs.select(*keep, F.col(text).alias("__text"))
+    at = keep.index(text) if text in keep else len(keep)
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[: len(keep)]), "lang_pred string, score double"])
+    found = rows.mapInArrow(_judge(docs.sparkSession.sparkContext.broadcast(samples), at, len(keep)), schema)
     return found.withColumn("accepted", (F.col("lang_pred") != "und") & (F.col("score") >= min_margin))
 
 
