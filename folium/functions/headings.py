@@ -140,3 +140,10 @@ def genre(sample: Column) -> Column:
 def depth_label(depth: Column) -> Column:
     """The label of a contents entry that names no kind, by its depth."""
     return F.element_at(F.array(*(F.lit(LABELS[k]) for k in ("PARTE", "CAPITULO", "SECCION", "SUBSECCION"))), F.least(depth, F.lit(3)) + 1)
+
+
+def without_prefix(title: Column) -> Column:
+    """A contents title without its first two words, if they name a heading; else the title itself."""
+    words = F.split(strip(title), r"(?U)\s+", 3)
+    names = F.lower(words[0]).rlike(r"(?U)^(parte|libro|t[íi]tulo|cap[íi]tulo|secci[óo]n|subsecci[óo]n|art[íi]culo|anexo)$")
+    return F.when(names & (F.size(words) == 3), strip(F.get(words, F.lit(2)))).when(names, F.lit("")).otherwise(title)

@@ -124,3 +124,8 @@ def safe_int(value: Column) -> Column:
 def match_key(title: Column) -> Column:
     """Titles as they are compared across contents and body: lower case, no punctuation, one blank between words."""
     return collapse(F.translate(F.lower(title), "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~—·", ""))
+
+
+def shown_page(page: Column, pages: Column) -> Column:
+    """The page index to show for a page number: inside the document, from 0."""
+    return F.greatest(F.lit(0), F.least(page - 1, pages - 1))

@@ -56,3 +56,10 @@ def symbol_frequencies(pages: DataFrame, limit: int = 15) -> DataFrame:
     """(symbol, n): the commonest characters that are neither letters, digits nor white space; ties by code point."""
     symbols = pages.select(F.explode(F.split(F.regexp_replace("text", r"(?U)[\w\s&&[^_]]", ""), "")).alias("symbol")).filter("symbol != ''")
     return symbols.groupBy("symbol").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "symbol").limit(limit)
+
+
+def markdown(metrics: DataFrame, title: str = "Extraction", limit: int = 1000) -> str:
+    """A table of a few documents' metrics as text."""
+    rows = metrics.orderBy(metrics.columns[0]).limit(limit).collect()
+    lines = [f"# {title}", "", "| " + " | ".join(metrics.columns) + " |", "|" + "---|" * len(metrics.columns)]
+    return "\n".join([*lines, *("| " + " | ".join("" if v is None else str(v) for v in r) + " |" for r in rows)]) + "\n"

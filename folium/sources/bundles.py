@@ -67,3 +67,16 @@ def next_versions(files: DataFrame) -> DataFrame:
     name = r"^([a-z0-9._-]+)--(\d{8})--v(\d+)\.json(?:\.gz)?$"
     found = files.select(F.regexp_extract("name", name, 1).alias("slug"), F.regexp_extract("name", name, 3).alias("v")).filter("slug != ''")
     return found.groupBy("slug").agg((F.max(F.col("v").cast("int")) + 1).alias("next_version"))
+
+
+def file_digests(spark: SparkSession, path: str) -> DataFrame:
+    """(path, sha256, size) of the files under a path, whatever they are."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return files.select("path", F.sha2("content", 256).alias("sha256"), F.col("length").alias("size"))
+
+
+def with_source_digests(documents: DataFrame, files: DataFrame) -> DataFrame:
+    """Documents with the digest of their source file by name, null where it is gone."""
+    name = lambda c: F.regexp_extract(c, r"([^/]*)$", 1)
+    known = files.groupBy(name(F.col("path")).alias("_name")).agg(F.min("sha256").alias("source_sha256"))
+    return documents.drop("source_sha256").join(known, name(F.col("source_path")) == F.col("_name"), "left").drop("_name")
