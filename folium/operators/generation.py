@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from folium.functions.text import cited, collapse, draft_option_key, safe_int, without_options
+from folium.functions.text import cited, collapse, draft_option_key, page_label, safe_int, strip, without_options
 
 #: A client takes a prompt and returns a record with text, input_tokens, output_tokens and error.
 Client = Callable[[str], dict]
@@ -122,8 +122,6 @@ def run_totals(outcomes: DataFrame) -> DataFrame:
 
 def prompts(nodes: DataFrame, chunks: DataFrame) -> DataFrame:
     """(node_id, prompt): where a section stands and its text."""
-    from folium.functions.text import page_label, strip
-
     text = chunks.filter(strip(F.col("text")) != "").groupBy("node_id").agg(F.array_sort(F.collect_list(F.struct("ordinal", "text"))).alias("t"))
     rows = nodes.join(text, "node_id", "left")
     body = F.coalesce(F.nullif(F.array_join(F.transform("t", lambda x: x["text"]), "\n\n"), F.lit("")), F.lit("(sin texto)"))
