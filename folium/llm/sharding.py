@@ -1,7 +1,7 @@
 """A store of immutable shards with size-tiered compaction and versioned manifests.
 
 DataFrame and SQL functions only. Arrivals are appended as small shards; compaction merges runs of similar size
-into shards of about the target size. Each change writes new files, then a new manifest beside the others, and
+into shards of about the target size, and brings the rows of larger arrivals together in files of that size. Each change writes new files, then a new manifest beside the others, and
 renames it to the next version: readers see the old version or the new one, and a second writer of the same
 version fails. Nothing that a manifest names is ever rewritten; a job that dies leaves files that no manifest names.
 """
@@ -16,8 +16,8 @@ from pyspark.sql.window import Window
 
 #: Documents whose ids share this quotient arrive together.
 ARRIVAL_ROWS = 500
-#: Bytes of text that a merged shard is to hold. Shards of half as many are left as they are.
-TARGET_BYTES = 16 << 20
+#: Bytes of text that a merged shard, and a file of a larger one, is to hold. Shards of half as many are not merged.
+TARGET_BYTES = 48 << 20
 #: Sizes whose logarithm to the base 4 has the same whole part form a tier.
 FANOUT = 4
 
@@ -59,9 +59,9 @@ class ShardStore:
         jvm.org.apache.hadoop.fs.FileContext.getFileContext(source.toUri(), self.spark._jsc.hadoopConfiguration()).rename(source, target, options)
         return base + 1
 
-    def _write(self, rows: DataFrame) -> str:
-        """Rows with their shard's name, as one folder for each shard in a new folder."""
-        folder = f"data/{uuid.uuid4().hex}"
+    def _write(self, rows: DataFrame, under: str) -> str:
+        """Rows with their shard's name, as one folder for each shard in a new folder under the named one."""
+        folder = f"{under}/{uuid.uuid4().hex}"
         rows.write.partitionBy("shard").option("compression", "zstd").parquet(f"{self.path}/{folder}")
         return folder
 
@@ -74,7 +74,7 @@ class ShardStore:
         base = self.version()
         before = self.manifest(base) if base else None
         rows = docs.drop("shard", "n_bytes").withColumn("n_bytes", size.cast("long")).withColumn("shard", F.concat(arrival.cast("string"), F.lit(f"-v{base + 1}")))
-        folder = self._write(rows)
+        folder = self._write(rows, "data")
         added = self._read(folder, rows).groupBy("shard").agg(F.sum("n_bytes").alias("size"), F.count("*").alias("n"))
         seq = F.regexp_extract("shard", r"^(-?\d+)", 1).cast("long")
         added = added.select("shard", seq.alias("seq"), seq.alias("last"), F.coalesce("size", F.lit(0)).alias("size"), "n", F.lit(folder).alias("folder"))
@@ -87,42 +87,53 @@ class ShardStore:
         return reader.parquet(f"{self.path}/{folder}")
 
     def plan(self) -> DataFrame:
-        """The newest shards that are to be merged, with the new shard of each.
+        """The newest shards that are to be rewritten, with the new shard of each and the files that it gets.
 
         Shards under half the target are dealt to tiers by size; in a tier, in the order of arrival, neighbours go
-        together until they fill the target. Groups of one are left alone.
+        together until they fill the target. Groups of one are left alone. Larger shards that still lie as they
+        arrived keep their names and get a file for each target size begun.
         """
         base = self.version()
-        small = self.manifest(base).filter(F.col("size") < self.target // 2)
+        manifest = self.manifest(base)
+        small = manifest.filter(F.col("size") < self.target // 2)
         tier = F.floor(F.log2(F.greatest(F.col("size"), F.lit(1))) / F.lit(float(FANOUT.bit_length() - 1)))
         small = small.withColumn("tier", tier)
         before = F.coalesce(F.sum("size").over(Window.partitionBy("tier").orderBy("seq", "shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
         small = small.withColumn("part", F.floor(before / F.lit(self.target)))
         group = Window.partitionBy("tier", "part")
         name = F.concat_ws("-", F.min("seq").over(group).cast("string"), F.max("last").over(group).cast("string"), F.concat(F.lit("t"), F.col("tier").cast("string")), F.lit(f"v{base + 1}"))
-        return small.withColumn("runs", F.count("*").over(group)).withColumn("into", name).filter("runs > 1").drop("part", "runs", "tier")
+        small = small.withColumn("runs", F.count("*").over(group)).withColumn("into", name).filter("runs > 1").drop("part", "runs", "tier").withColumn("files", F.lit(1).cast("long"))
+        large = manifest.filter((F.col("size") >= self.target // 2) & F.col("folder").startswith("data/"))
+        return small.unionByName(large.withColumn("into", F.col("shard")).withColumn("files", F.ceil(F.col("size") / F.lit(self.target))))
 
     def compact(self) -> int:
-        """Merge what plan() names and commit; without anything to merge the version stays."""
+        """Rewrite what plan() names and commit; without anything to rewrite the version stays."""
         base = self.version()
         manifest = self.manifest(base)
         plan = self.plan()
         folders = [r["folder"] for r in plan.select("folder").distinct().collect()]
         if not folders:
             return base
-        merges = plan.select("shard", "folder", "into")
+        # files are numbered through, so that each is one task's
+        made = plan.groupBy(F.col("into").alias("shard")).agg(F.min("seq").alias("seq"), F.max("last").alias("last"), F.sum("size").alias("size"), F.sum("n").alias("n"), F.max("files").alias("files"))
+        first = made.select(F.col("shard").alias("into"), (F.sum("files").over(Window.orderBy("shard")) - F.col("files")).alias("first"))
+        merges = plan.select("shard", "folder", "into", "files").join(first, "into")
+        # a row's place in the store deals it to a file, so that equal rows spread and a repeated task deals alike
+        file = F.pmod(F.xxhash64("__at.file_path", "__at.row_index"), F.col("files"))
         parts = []
         for folder in folders:
-            # the list of shards is small beside their rows, and only the merged ones are read
-            rows = self._read(folder).withColumn("shard", F.col("shard").cast("string"))
-            parts.append(rows.join(merges.filter(F.col("folder") == folder).drop("folder"), "shard").drop("shard").withColumnRenamed("into", "shard"))
+            # the list of shards is small beside their rows, and only the rewritten ones are read
+            rows = self._read(folder)
+            rows = rows.select("*", F.col("_metadata").alias("__at")).withColumn("shard", F.col("shard").cast("string"))
+            rows = rows.join(merges.filter(F.col("folder") == folder).drop("folder"), "shard").drop("shard").withColumnRenamed("into", "shard")
+            parts.append(rows.withColumn("__file", (F.col("first") + file).cast("int")).drop("__at", "files", "first"))
         rows = parts[0]
         for part in parts[1:]:
             rows = rows.unionByName(part, allowMissingColumns=True)
         # a merged shard has the target's size at most and one small one more: it fits a task
-        count = max(1, plan.select("into").distinct().count())
-        folder = self._write(rows.repartition(count, "shard"))
-        made = plan.groupBy(F.col("into").alias("shard")).agg(F.min("seq").alias("seq"), F.max("last").alias("last"), F.sum("size").alias("size"), F.sum("n").alias("n")).withColumn("folder", F.lit(folder))
+        count = made.agg(F.sum("files")).first()[0]
+        folder = self._write(rows.repartitionById(count, F.col("__file")).drop("__file"), "merged")
+        made = made.drop("files").withColumn("folder", F.lit(folder))
         kept = manifest.join(merges.select("shard", "folder"), ["shard", "folder"], "left_anti").select(manifest.columns)
         return self._commit(kept.unionByName(made), base)
 

@@ -135,6 +135,24 @@ def test_shards_round_trip_and_versions(spark):
         store._commit(store.manifest(), 0)
 
 
+def test_large_arrivals_get_files_of_target_size(spark):
+    assert sharding.TARGET_BYTES == 48 << 20
+    store = sharding.ShardStore(spark, scratch.folder(spark), target=4000)
+    rows = [(None, "x" * 50)] * 400 + [(1, "y" * 100)] * 30 + [(40, "z"), (60, "z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    assert store.append(docs, sharding.arrival_of(F.col("doc_id"), 20), F.octet_length("text")) == 1
+    assert store.compact() == 2
+    folder = {r["folder"] for r in store.manifest().collect()}.pop()
+    files = store._read(folder).select("text", "shard", F.col("_metadata.file_path").alias("f")).groupBy("shard", "f").agg(F.sum(F.length("text")).alias("size")).collect()
+    sizes = {k: sorted(r["size"] for r in files if r["shard"] == k) for k in ("-1-v1", "0-v1")}
+    assert {r["folder"] for r in store.manifest().collect()} == {folder}
+    assert len(sizes["-1-v1"]) == 5 and max(sizes["-1-v1"]) < 8000 and sizes["0-v1"] == [3000]
+    assert len({r["f"] for r in files}) == len(files) == 7
+    want = sorted(map(repr, docs.collect()))
+    assert sorted(map(repr, store.read().select("doc_id", "text").collect())) == want
+    assert store.compact() == 2
+
+
 def test_empty_store(spark):
     store = sharding.ShardStore(spark, scratch.folder(spark))
     empty = spark.createDataFrame([], "doc_id long, text string")
