@@ -17,6 +17,9 @@ from pyspark.sql import functions as F
 #: Texts, and characters of each, that a language's dictionary holds at most.
 SAMPLE_TEXTS, SAMPLE_CHARS = 96, 1200
 LEVELS = (3, 12)
+#: Bytes of a text that are compressed at once. A dictionary saves a bounded number of them, so that without blocks
+#: the margin would fall with a text's length.
+BLOCK = 1 << 14
 #: Texts that win by a smaller share of their size than this are rejected.
 MIN_MARGIN = 0.004
 
@@ -70,7 +73,8 @@ class Compressors:
         raw = letters(text).encode()
         # a strong level also tells short texts apart; long ones don't need it
         used = slice(0, 1) if len(raw) > 2000 else slice(0, None)
-        sizes = sorted((sum(len(c.compress(raw)) for c in own[used]), i) for i, own in enumerate(self.ways))
+        blocks = [raw[at : at + BLOCK] for at in range(0, len(raw), BLOCK)]
+        sizes = sorted((sum(len(c.compress(x)) for c in own[used] for x in blocks), i) for i, own in enumerate(self.ways))
         best = sizes[0][0]
         rival = sizes[1][0] if len(sizes) > 1 else 2 * best
         return self.langs[sizes[0][1]], min(1.0, max(0.0, (rival - best) / rival))

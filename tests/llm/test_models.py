@@ -47,6 +47,17 @@ def test_language_edges(spark):
     assert tie == ("a", 0.0)
 
 
+def test_language_margin_at_every_length(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    judge = language_id.Compressors(language_id.dictionaries(docs.select("text", "lang"))).judge
+    for lang in ("en", "fr"):
+        texts = "\n".join(r["text"] for r in docs.filter(F.col("lang") == lang).orderBy("doc_id").select("text").collect() if r["text"])
+        whole = texts * (1 + 5_000_000 // len(texts))
+        short, long = judge(whole[:50_000]), judge(whole[:5_000_000])
+        assert short[0] == long[0] == lang
+        assert long[1] > language_id.MIN_MARGIN and long[1] > short[1] / 2
+
+
 def test_windows_score_each_place_once():
     lengths = np.array([0, 1, 2, attention.WINDOW, attention.WINDOW + 1, attention.WINDOW + 2, 200, 3])
     places, exists, counts = attention.window_places(lengths)
