@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 #: Texts, and characters of each, that a language's dictionary holds at most.
 SAMPLE_TEXTS, SAMPLE_CHARS = 96, 1200
+#: Texts of fewer characters teach only where a language has fewer than SAMPLE_TEXTS others.
+SHORT_CHARS = 40
 LEVELS = (3, 12)
 #: Bytes of a text that are compressed at once. A dictionary saves a bounded number of them, so that without blocks
 #: the margin would fall with a text's length.
@@ -35,21 +37,24 @@ def letters(text: str) -> str:
 def dictionaries(labelled: DataFrame, text: str = "text", lang: str = "lang") -> dict[str, bytes]:
     """For each language, the starts of a bounded sample of its different texts; the sample is dealt by the texts' hash.
 
-    Rows without text or language teach nothing. The rows come back to the driver: SAMPLE_TEXTS * SAMPLE_CHARS
-    characters a language.
+    A language has min(SAMPLE_TEXTS, its different texts) in it, however often each occurs; texts under SHORT_CHARS
+    characters come after all longer ones. Rows without a letter or a language teach nothing. The rows come back to
+    the driver: SAMPLE_TEXTS * SAMPLE_CHARS characters a language.
     """
-    rows = labelled.select(F.col(lang).alias("lang"), F.col(text).alias("text")).filter("lang is not null and length(text) >= 40")
-    order = F.xxhash64("text", F.lit(6))
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    rows = labelled.select(F.col(lang).alias("lang"), F.col(text).alias("text")).filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    rows = rows.select("lang", "text", (F.length("text") < SHORT_CHARS).alias("short"), F.xxhash64("text", F.lit(6)).alias("h"))
+    counts = {(r["lang"], r["short"]): r["n"] for r in rows.select("lang", "short", "h").distinct().groupBy("lang", "short").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return {}
-    # enough rows of each language pass the hash; the cut to the exact number is then on few rows
-    share = F.create_map(*(F.lit(x) for k, n in sorted(counts.items()) for x in (k, min(1.0, 4 * SAMPLE_TEXTS / n))))
-    drawn = rows.withColumn("h", order).filter((F.col("h") / F.lit(2.0**64) + 0.5) < share[F.col("lang")]).select("lang", "h", F.substring("text", 1, SAMPLE_CHARS).alias("text")).distinct()
-    texts: dict[str, list] = {k: [] for k in sorted(counts)}
+    # enough texts of each language pass the hash; the cut to the exact number is then on few rows
+    passing = {k: min(1.0, 4 * SAMPLE_TEXTS / n) for k, n in counts.items() if not k[1] or counts.get((k[0], False), 0) < SAMPLE_TEXTS}
+    share = lambda short: F.create_map(*(F.lit(x) for k in sorted({k for k, _ in counts}) for x in (k, passing.get((k, short), 0.0))))[F.col("lang")]
+    passes = (F.col("h") / F.lit(2.0**64) + 0.5) < F.when(F.col("short"), share(True)).otherwise(share(False))
+    drawn = rows.filter(passes).select("lang", "short", "h", F.substring("text", 1, SAMPLE_CHARS).alias("text")).distinct()
+    texts: dict[str, list] = {k: [] for k in sorted({k for k, _ in counts})}
     for r in drawn.collect():
-        texts[r["lang"]].append((r["h"], r["text"]))
-    return {k: letters("\n".join(t for _, t in sorted(x)[:SAMPLE_TEXTS])).encode() for k, x in texts.items()}
+        texts[r["lang"]].append((r["short"], r["h"], r["text"]))
+    return {k: letters("\n".join(t for _, _, t in sorted(x)[:SAMPLE_TEXTS])).encode() for k, x in texts.items()}
 
 
 class Compressors:

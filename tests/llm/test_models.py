@@ -58,6 +58,15 @@ def test_language_margin_at_every_length(spark):
         assert long[1] > language_id.MIN_MARGIN and long[1] > short[1] / 2
 
 
+def test_dictionaries_count_different_texts(spark):
+    copies = spark.range(200_000).select(F.lit("the very same english text again and again and again").alias("text"), F.lit("en").alias("lang"))
+    others = [(f"different english text with the number word {'abcdefghij'[k // 10]}{'abcdefghij'[k % 10]}", "en") for k in range(50)]
+    short = [("kurz", "de"), ("und gut", "de"), ("12 345", "de"), ("so", None)]
+    got = language_id.dictionaries(copies.unionByName(spark.createDataFrame([*others, *short], "text string, lang string")))
+    assert sorted(got) == ["de", "en"] and set(got["de"].decode().split()) == {"kurz", "und", "gut"}
+    assert got["en"].count(b"different english") == 50 and got["en"].count(b"the very same") == 1
+
+
 def test_windows_score_each_place_once():
     lengths = np.array([0, 1, 2, attention.WINDOW, attention.WINDOW + 1, attention.WINDOW + 2, 200, 3])
     places, exists, counts = attention.window_places(lengths)
