@@ -1,8 +1,8 @@
 """Byte-pair encoding of whole texts with a public word-end vocabulary, and its decoding.
 
 Words are merged over a doubly linked list of symbols: a priority queue holds the ranks of possible merges, and
-entries whose symbols have changed meanwhile are skipped when they come up. Each Python worker keeps the words
-that it met lately, so that a common word is merged once.
+entries whose symbols have changed meanwhile are skipped when they come up. Each task keeps the words that
+it met lately, so that a common word is merged once.
 """
 
 from __future__ import annotations
@@ -20,8 +20,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Words that a worker keeps in each of two generations.
-KEPT_WORDS = 200_000
+from folium.llm.columns import free_names
+from folium.llm.tasks import frugal, slices
+
+#: Bytes, about, of the words that a task keeps in each of two generations.
+KEPT_BYTES = 12 << 20
 _HALF = 1 << 32
 
 
@@ -54,8 +57,13 @@ class WordBpe:
         splits = next(x["pattern"]["Regex"] for x in spec["pre_tokenizer"]["pretokenizers"] if x["type"] == "Split")
         self.words = regex.compile(splits.replace(r"\s", r"\p{White_Space}"))
         self.parts = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
+        self.forget()
+
+    def forget(self) -> None:
+        """Let go of the words met so far."""
         self.young: dict[str, tuple[int, ...]] = {}
         self.old: dict[str, tuple[int, ...]] = {}
+        self.size = 0
 
     def merge(self, word: str) -> tuple[int, ...]:
         """The ids of one word."""
@@ -89,9 +97,10 @@ class WordBpe:
             if found is None:
                 found = self.merge(word)
             if len(word) <= 64:
-                if len(self.young) >= KEPT_WORDS:
-                    self.old, self.young = self.young, {}
+                if self.size >= KEPT_BYTES:
+                    self.old, self.young, self.size = self.young, {}, 0
                 self.young[word] = found
+                self.size += 200 + len(word) + 8 * len(found)
         return found
 
     def encode(self, text: str) -> list[int]:
@@ -111,9 +120,9 @@ class WordBpe:
         return " ".join(map(self.names.__getitem__, ids))
 
 
-@functools.cache
+@functools.lru_cache(1)
 def encoder(path: str) -> WordBpe:
-    """One encoder for each Python worker and path."""
+    """The encoder of a path, read once a task."""
     return WordBpe(path)
 
 
@@ -122,11 +131,11 @@ def _encode(path: str):
         bpe = encoder(path)
         for batch in batches:
             texts = batch.column(batch.num_columns - 1)
-            for at in range(0, len(texts), 500):
-                ids = [bpe.encode(x or "") for x in texts[at : at + 500].to_pylist()]
+            for at, n in slices(texts):
+                ids = [bpe.encode(x or "") for x in texts[at : at + n].to_pylist()]
                 ends = np.cumsum([0, *map(len, ids)])
                 flat = np.fromiter(itertools.chain.from_iterable(ids), np.int32, int(ends[-1]))
-                columns = [c.slice(at, 500) for c in batch.columns[:-1]]
+                columns = [c.slice(at, n) for c in batch.columns[:-1]]
                 columns += [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)), pa.array(list(map(bpe.decode, ids)), pa.string())]
                 yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:-1], "ids", "decoded"])
 
@@ -136,12 +145,14 @@ def _encode(path: str):
 def encode(docs: DataFrame, path: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The columns `keep` of every row, the ids of its whole text, and `decoded`, the text of those ids.
 
-    A null text counts as empty; it and texts of white space alone have no ids. Order and number of rows stay.
-    Other columns of docs, whatever their names, play no part.
+    A null text counts as empty; it and texts of white space alone have no ids. Order and number of rows stay,
+    repeated rows too, and an empty table gives none. Texts of any length are encoded whole. Other columns of docs,
+    whatever their names, play no part; `ids` and `decoded` get underscores if `keep` has these names.
     """
-    rows = docs.select(*keep, F.col(text).alias("__text"))
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]), "ids array<int>", "decoded string"])
-    return rows.mapInArrow(_encode(path), schema)
+    names = free_names(keep, ("ids", "decoded"))
+    rows = docs.select(*(F.col(c).alias(f"c{k}") for k, c in enumerate(keep)), F.col(text).alias("text"))
+    schema = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]), "ids array<int>", "decoded string"])
+    return rows.mapInArrow(frugal(_encode(path), encoder.cache_clear), schema).toDF(*keep, *names)
 
 
 def digests(encoded: DataFrame) -> DataFrame:

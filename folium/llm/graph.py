@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folium.llm.scratch import Scratch
+from folium.llm.tasks import frugal
 
 #: Links that one union-find takes at most.
 FOREST = 500_000
@@ -56,19 +57,20 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield stars(sets)
 
 
-def components(links: DataFrame, rounds: int = 40) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """(node, root) of all nodes that links (two binary columns) touch; the root is the component's least node.
 
     In each round a union-find joins what the links of the same nodes hang on; then, unless all components are
     stars by now, every node's larger neighbours are hung on its least one. Null nodes and links of a node with
-    itself count for nothing.
+    itself count for nothing. Each round hangs nodes on smaller ones, so it ends.
     """
     u, v = links.columns
     kind = "u binary, v binary"
     own = Scratch(links.sparkSession)
-    edges, before = links.filter(F.col(u) != F.col(v)).select(F.greatest(u, v).alias("u"), F.least(u, v).alias("v")).mapInArrow(_forest, kind), None
-    for _ in range(rounds):
-        edges = own.stored(edges.repartition("u").sortWithinPartitions("u").mapInArrow(_forest, kind))
+    edges, before = links.filter(F.col(u) != F.col(v)).select(F.greatest(u, v).alias("u"), F.least(u, v).alias("v")).mapInArrow(frugal(_forest), kind), None
+    least = None
+    while True:
+        edges = own.stored(edges.repartition("u").sortWithinPartitions("u").mapInArrow(frugal(_forest), kind))
         if before is not None:
             own.drop(before)
         before = edges
@@ -77,10 +79,11 @@ def components(links: DataFrame, rounds: int = 40) -> DataFrame:
         if not open_ends.limit(1).count():
             break
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        edges = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).mapInArrow(_forest, kind)
-    else:
-        raise RuntimeError(f"components did not settle in {rounds} rounds")
+        if least is not None:
+            own.drop(least)
+        # a table of its own, so that Spark can split the links of a hub
+        least = own.stored(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
+        edges = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).mapInArrow(frugal(_forest), kind)
     roots = edges.select(F.col("v").alias("node")).distinct()
     with own:
         return own.keep(edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(roots.select("node", F.col("node").alias("root"))))

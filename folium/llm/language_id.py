@@ -14,11 +14,15 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from folium.llm.columns import free_names
+from folium.llm.tasks import frugal, slices
+
 #: Texts, and characters of each, that a language's dictionary holds at most.
 SAMPLE_TEXTS, SAMPLE_CHARS = 96, 1200
 #: Texts of fewer characters teach only where a language has fewer than SAMPLE_TEXTS others.
 SHORT_CHARS = 40
-LEVELS = (3, 12)
+#: zstandard's level, for texts of every length.
+LEVEL = 6
 #: Bytes of a text that are compressed at once. A dictionary saves a bounded number of them, so that without blocks
 #: the margin would fall with a text's length.
 BLOCK = 1 << 14
@@ -64,22 +68,17 @@ class Compressors:
         self.langs = sorted(samples)
         self.ways = []
         for k in self.langs:
-            own = []
-            for level in LEVELS:
-                known = zstandard.ZstdCompressionDict(samples[k], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-                known.precompute_compress(level=level)
-                own.append(zstandard.ZstdCompressor(level=level, dict_data=known, write_content_size=False, write_checksum=False))
-            self.ways.append(own)
+            known = zstandard.ZstdCompressionDict(samples[k], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            known.precompute_compress(level=LEVEL)
+            self.ways.append(zstandard.ZstdCompressor(level=LEVEL, dict_data=known, write_content_size=False, write_checksum=False))
 
     def judge(self, text: str | None) -> tuple[str, float]:
         """The language and its margin: the share by which the next best size is larger. `und` without a letter."""
         if not text or not self.langs or not any(map(str.isalpha, text)):
             return "und", 0.0
         raw = letters(text).encode()
-        # a strong level also tells short texts apart; long ones don't need it
-        used = slice(0, 1) if len(raw) > 2000 else slice(0, None)
         blocks = [raw[at : at + BLOCK] for at in range(0, len(raw), BLOCK)]
-        sizes = sorted((sum(len(c.compress(x)) for c in own[used] for x in blocks), i) for i, own in enumerate(self.ways))
+        sizes = sorted((sum(len(c.compress(x)) for x in blocks), i) for i, c in enumerate(self.ways))
         best = sizes[0][0]
         rival = sizes[1][0] if len(sizes) > 1 else 2 * best
         return self.langs[sizes[0][1]], min(1.0, max(0.0, (rival - best) / rival))
@@ -96,8 +95,8 @@ def _judge(shared, at: int, kept: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = _compressors(tuple(shared.value.items())).judge
         for batch in batches:
-            for row in range(0, batch.num_rows, 500):
-                part = batch.slice(row, 500)
+            for row, n in slices(batch.column(at)):
+                part = batch.slice(row, n)
                 found = [judge(x) for x in part.column(at).to_pylist()]
                 columns = [*part.columns[:kept], pa.array([x for x, _ in found], pa.string()), pa.array([x for _, x in found], pa.float64())]
                 yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:kept], "lang_pred", "score"])
@@ -110,12 +109,17 @@ def identify(docs: DataFrame, samples: dict[str, bytes], text: str = "text", kee
 
     A text that is null or has no letter gets `und` and 0; so does every text if nothing was learned. Of equal
     sizes the first language in order wins, with score 0. accepted is false for `und` and for narrow margins.
+    Every row is judged by itself, repeated ones too, on its whole text of any length; an empty table gives none.
+    Of the new columns, those whose names are in `keep` get underscores; other columns of docs play no part.
     """
-    rows = docs.select(*keep) if text in keep else docs.select(*keep, F.col(text).alias("__text"))
+    names = free_names(keep, ("lang_pred", "score", "accepted"))
+    own = [F.col(c).alias(f"c{k}") for k, c in enumerate(keep)]
+    rows = docs.select(*own) if text in keep else docs.select(*own, F.col(text).alias("text"))
     at = keep.index(text) if text in keep else len(keep)
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[: len(keep)]), "lang_pred string, score double"])
-    found = rows.mapInArrow(_judge(docs.sparkSession.sparkContext.broadcast(samples), at, len(keep)), schema)
-    return found.withColumn("accepted", (F.col("lang_pred") != "und") & (F.col("score") >= min_margin))
+    schema = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[: len(keep)]), "lang_pred string, score double"])
+    judge = frugal(_judge(docs.sparkSession.sparkContext.broadcast(samples), at, len(keep)), _compressors.cache_clear)
+    found = rows.mapInArrow(judge, schema)
+    return found.withColumn("accepted", (F.col("lang_pred") != "und") & (F.col("score") >= min_margin)).toDF(*keep, *names)
 
 
 def fold(column: Column, n: int) -> Column:

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from folium.llm.columns import free_names, numbered
 from folium.llm.scratch import Scratch
 
 #: Without given weights a source weighs its number of documents to this power.
@@ -28,7 +29,7 @@ def rates(docs: DataFrame, source: str = "source", weights: dict[str | None, flo
     The shares are the weights of the sources that have documents, made to sum to 1; sources that `weights`
     doesn't name get none. `size` is the number of documents drawn on average, as a multiple of those there are.
     """
-    counted = docs.groupBy(F.col(source).alias("src")).agg(F.count("*").alias("n"))
+    counted = docs.select(F.col(source).alias("src")).groupBy("src").agg(F.count("*").alias("n"))
     if weights is None:
         weight = F.pow(F.col("n").cast("double"), F.lit(TEMPERATURE))
     else:
@@ -48,23 +49,30 @@ def rates(docs: DataFrame, source: str = "source", weights: dict[str | None, flo
 def mix(docs: DataFrame, source: str = "source", doc_id: str = "doc_id", weights: dict[str | None, float] | None = None, size: float = 1.0, seed: int = 0, shuffled: bool = True) -> DataFrame:
     """All columns of docs, each row as often as drawn, with copy (from 1), copies, rate and place, the global order.
 
-    Rows are in the order of `place`, dealt to tasks by its range. Rows with equal ids draw equal numbers, nulls
-    too; a null source is a source of its own. No rows give no rows. Columns of docs by these names are replaced.
+    Rows are in the order of `place`, dealt to tasks by equal ranges of it. Rows with equal ids draw equal numbers,
+    nulls too; a null source is a source of its own. No rows give no rows; texts play no part and may have any
+    length. Of the new columns, those whose names docs has get underscores.
     """
-    names = ["copy", "copies", "rate", "place"]
-    rows = docs.drop(*names)
-    table = rates(rows, source, weights, size)
+    names = free_names(docs.columns, ("copy", "copies", "rate", "place"))
+    own = [f"c{k}" for k in range(len(docs.columns))]
+    src, key = (F.col(f"c{docs.columns.index(c)}") for c in (source, doc_id))
+    table = rates(docs, source, weights, size)
     # cumulated probabilities of 0, 1, 2, ... for one part of the rate; beyond the last the rest is below 1e-16
     parts = f"cast(greatest(1, ceil(rate / {MAX_RATE})) as int)"
-    table = table.selectExpr("src", "rate as _rate", f"{parts} as _parts", f"rate / {parts} as m")
+    table = table.selectExpr("src", "rate", f"{parts} as parts", f"rate / {parts} as m")
     last = "cast(ceil(m + 12 * sqrt(m) + 20) as int)"
     steps = f"aggregate(sequence(1, {last}), struct(exp(-m) as p, array(exp(-m)) as c), (a, k) -> struct(a.p * m / k as p, array_append(a.c, a.c[k - 1] + a.p * m / k) as c), a -> a.c)"
-    table = Scratch(docs.sparkSession).keep(table.selectExpr("src", "_rate", "_parts", f"{steps} as _cdf"))
-    key = F.coalesce(F.col(doc_id).cast("string"), F.lit(""))
-    drawn = rows.join(table, F.col(source).eqNullSafe(F.col("src")), "left").drop("src")
-    count = F.aggregate(F.sequence(F.lit(1), F.col("_parts")), F.lit(0), lambda a, i: a + F.size(F.filter("_cdf", lambda c: c <= _point(F.lit(str(seed)), key, i.cast("string")))))
-    drawn = drawn.withColumn("copies", count).drop("_cdf", "_parts").filter("copies > 0")
-    drawn = drawn.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).withColumnRenamed("_rate", "rate")
+    # a row for each source; where the planner doesn't send it to all tasks, Spark can split a large source
+    table = Scratch(docs.sparkSession).keep(table.selectExpr("src", "rate", "parts", f"{steps} as cdf"))
+    key = F.coalesce(key.cast("string"), F.lit(""))
+    drawn = numbered(docs).join(table, src.eqNullSafe(F.col("src")), "left")
+    count = F.aggregate(F.sequence(F.lit(1), F.col("parts")), F.lit(0), lambda a, i: a + F.size(F.filter("cdf", lambda c: c <= _point(F.lit(str(seed)), key, i.cast("string")))))
+    drawn = drawn.select(*own, "rate", count.alias("copies")).filter("copies > 0")
+    drawn = drawn.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
     order = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(f"place {seed}"), key, F.col("copy").cast("string"))), 1, 15), 16, 10).cast("long")
-    drawn = drawn.withColumn("place", order)
-    return drawn.repartitionByRange(F.col("place")).sortWithinPartitions("place") if shuffled else drawn
+    drawn = drawn.select(*own, "copy", "copies", "rate", order.alias("place"))
+    if shuffled:
+        # places are even over 60 bits, so equal ranges need no sampling pass
+        tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        drawn = drawn.repartitionById(tasks, F.floor(F.col("place") / F.lit(2.0**60) * tasks).cast("int")).sortWithinPartitions("place")
+    return drawn.toDF(*docs.columns, *names)

@@ -16,36 +16,27 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from folium.llm.columns import numbered
 from folium.llm.graph import UnionFind, components
 from folium.llm.scratch import Scratch
 from folium.llm.shingles import band_keys, shingle_sets, signatures
 from folium.llm.suffix_dedup import text_id
+from folium.llm.tasks import frugal, slices
 from folium.llm.windows import flat_bytes
 
 #: Bands of the signature and values in each: two sets with a similarity of 0.8 share a band but for 1 in 100 000.
 BANDS, ROWS = 38, 6
 #: Members that are compared with a leader in one go.
-LED = 2000
+LED = 400
 #: Shingles of all members in one block of a bucket, about.
 BLOCK_SHINGLES = 1 << 20
-_SETS = 1 << 19
-
-
-def _slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
-    """Row ranges of bounded size in bytes."""
-    offsets = flat_bytes(texts)[1]
-    row, rows = 0, len(texts)
-    while row < rows:
-        last = max(int(np.searchsorted(offsets, offsets[row] + _SETS, "right")) - 1, row + 1)
-        yield row, last - row
-        row = last
 
 
 def _sign(size: int, bands: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(batch.num_columns - 1)
-            for at, n in _slices(texts):
+            for at, n in slices(texts):
                 sets = shingle_sets(*flat_bytes(texts.slice(at, n)), size)
                 keys = band_keys(signatures(sets, bands * rows), rows).view(np.int64)
                 digests = [xxhash.xxh3_128_digest(s) if len(s) else None for s in sets]
@@ -60,7 +51,7 @@ def _sign(size: int, bands: int, rows: int):
 def _full_sets(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at, n in _slices(batch.column(1)):
+            for at, n in slices(batch.column(1)):
                 sets = shingle_sets(*flat_bytes(batch.column(1).slice(at, n)), size)
                 ends = np.cumsum([0, *map(len, sets)])
                 flat = np.concatenate(sets).view(np.int64) if sets else np.empty(0, np.int64)
@@ -77,7 +68,7 @@ def _led(size: int, percent: int):
         for batch in batches:
             found: tuple[list, list] = ([], [])
             texts = batch.column(batch.num_columns - 1)
-            for at, n in _slices(texts):
+            for at, n in slices(texts):
                 part = batch.slice(at, n)
                 sets = shingle_sets(*flat_bytes(texts.slice(at, n)), size)
                 for lead, member, s in zip(part.column(0).to_pylist(), part.column(2).to_pylist(), sets, strict=True):
@@ -173,46 +164,50 @@ def group(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size: int
     being what stands between the bytes 0x20 and 0x09-0x0D, A-Z lowered; fewer words are one shingle. The
     component_id is the smallest id of all documents that links reach, kept marks the documents with that id.
     Null and empty texts and texts of white space have no shingles, link with nothing and are kept. Null ids count
-    as larger than all others; rows with equal ids stay apart but share the mark. Other columns play no part.
+    as larger than all others; rows with equal ids stay apart but share the mark. Texts of any length count whole,
+    an empty table gives no rows. Other columns of docs, whatever their names, play no part.
     """
     with Scratch(docs.sparkSession) as own:
         named = docs.select(F.col(doc_id).alias("doc_id"), text_id(F.col(text)).alias("tid"), F.coalesce(F.col(text), F.lit("")).alias("text"))
         id_type = named.schema["doc_id"].dataType.simpleString()
-        signed = own.stored(named.mapInArrow(_sign(size, bands, rows), f"doc_id {id_type}, tid binary, n_shingles long, sid binary, keys array<long>"))
+        signed = own.stored(named.mapInArrow(frugal(_sign(size, bands, rows)), f"doc_id {id_type}, tid binary, n_shingles long, sid binary, keys array<long>"))
         # a class is named by the least digest of its texts
         classes = signed.filter("sid is not null").groupBy("sid").agg(F.min("tid").alias("cid"), F.min("doc_id").alias("first"), F.first("keys").alias("keys"), F.first("n_shingles").alias("n"))
         classes = own.stored(classes)
+        # the small side of each join below is a table of its own, so that Spark can split a hot key of the other one
         places = classes.select(F.explode("keys").alias("key"), "cid", "n")
-        leaders = places.groupBy("key").agg(F.min(F.struct("cid", "n")).alias("leader"), F.count("*").alias("size")).filter("size > 1")
-        members = own.stored(places.join(leaders, "key").select("key", "cid", "n", F.col("leader.cid").alias("leader"), F.col("leader.n").alias("leader_n")).filter("cid != leader"))
+        leaders = own.stored(places.groupBy("key").agg(F.min(F.struct("cid", "n")).alias("leader"), F.count("*").alias("size")).filter("size > 1").select("key", F.col("leader.cid").alias("leader"), F.col("leader.n").alias("leader_n")))
+        members = own.stored(places.join(leaders, "key").filter("cid != leader"))
         # 100 i >= p u needs 100 * smaller size >= p * larger size
         possible = F.expr(f"100 * least(n, leader_n) >= {percent} * greatest(n, leader_n)")
-        pairs = members.filter(possible).select("leader", "cid").distinct()
-        led = pairs.groupBy("leader").agg(F.ceil(F.count("*") / LED).cast("int").alias("shares"))
-        texts = named.groupBy("tid").agg(F.first("text").alias("text"))
+        pairs = own.stored(members.filter(possible).select("leader", "cid").distinct())
+        led = own.stored(pairs.groupBy("leader").agg(F.ceil(F.count("*") / LED).cast("int").alias("shares")))
+        # only texts of classes that meet another one travel
+        met = own.stored(members.select("cid").union(members.select("leader")).distinct())
+        texts = own.stored(named.join(met, F.col("tid") == F.col("cid"), "left_semi").groupBy("tid").agg(F.first("text").alias("text")))
         none = F.lit(None).cast("binary")
         fronts = led.join(texts, F.col("leader") == F.col("tid")).select("leader", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), none.alias("member"), "text")
-        behind = pairs.join(texts, F.col("cid") == F.col("tid")).join(led, "leader").select("leader", F.pmod(F.xxhash64("cid"), "shares").cast("int").alias("share"), F.col("cid").alias("member"), "text")
-        links = fronts.union(behind).repartition("leader", "share").sortWithinPartitions("leader", "share", F.col("member").asc_nulls_first()).mapInArrow(_led(size, percent), "a binary, b binary")
+        dealt = pairs.join(led, "leader").select("leader", F.pmod(F.xxhash64("cid"), "shares").cast("int").alias("share"), F.col("cid").alias("member"))
+        behind = dealt.join(texts, F.col("member") == F.col("tid")).select("leader", "share", "member", "text")
+        links = fronts.union(behind).repartition("leader", "share").sortWithinPartitions("leader", "share", F.col("member").asc_nulls_first()).mapInArrow(frugal(_led(size, percent)), "a binary, b binary")
         links = own.stored(links)
         roots = components(links)
         # buckets whose members, the leader aside, are not in one component yet
-        lasting = members.join(roots, F.col("cid") == F.col("node"), "left").select("key", "cid", "n", F.coalesce("root", "cid").alias("root"))
-        lasting = own.stored(lasting)
-        open_keys = lasting.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("blocks")).filter("a != b")
-        rest = own.stored(lasting.join(open_keys.select("key", "blocks"), "key"))
+        lasting = own.stored(members.join(roots, F.col("cid") == F.col("node"), "left").select("key", "cid", "n", F.coalesce("root", "cid").alias("root")))
+        open_keys = own.stored(lasting.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("blocks")).filter("a != b").select("key", "blocks"))
+        rest = own.stored(lasting.join(open_keys, "key"))
         if rest.limit(1).count():
-            wanted = rest.select("cid").distinct().join(texts, F.col("cid") == F.col("tid")).select("cid", "text").mapInArrow(_full_sets(size), "cid binary, shingles array<long>")
+            asked = own.stored(rest.select("cid").distinct())
+            wanted = asked.join(texts, F.col("cid") == F.col("tid")).select("cid", "text").mapInArrow(frugal(_full_sets(size)), "cid binary, shingles array<long>")
             rest = rest.withColumn("mine", F.pmod(F.xxhash64("cid", "key"), "blocks").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             rest = rest.select("key", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"), "mine", "cid", "root").join(wanted, "cid").select("key", "low", "high", "mine", "cid", "root", "shingles")
-            more = rest.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high").mapInArrow(_blocks(percent), "a binary, b binary")
+            more = rest.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high").mapInArrow(frugal(_blocks(percent)), "a binary, b binary")
             more = own.stored(more)
             if more.limit(1).count():
                 roots = components(links.union(more))
-        named_classes = classes.join(roots, F.col("cid") == F.col("node"), "left").select("sid", "first", F.coalesce("root", "cid").alias("root"))
-        named_classes = own.stored(named_classes)
-        least = named_classes.groupBy("root").agg(F.min("first").alias("component_id"))
-        named_classes = named_classes.join(least, "root").select(F.col("sid").alias("s"), "component_id", "root")
+        named_classes = own.stored(classes.join(roots, F.col("cid") == F.col("node"), "left").select("sid", "first", F.coalesce("root", "cid").alias("root")))
+        least = own.stored(named_classes.groupBy("root").agg(F.min("first").alias("component_id")))
+        named_classes = own.stored(named_classes.join(least, "root").select(F.col("sid").alias("s"), "component_id", "root"))
         out = signed.select("doc_id", "n_shingles", "sid", "tid").join(named_classes, F.col("sid") == F.col("s"), "left")
         component = F.when(F.col("sid").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
         return own.keep(out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "tid", "root"))
@@ -221,15 +216,19 @@ def group(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size: int
 def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **how) -> DataFrame:
     """The rows of docs without all but one of each group: the one with the smallest id, then the least text digest.
 
-    Rows without shingles stay. Of rows with equal ids and texts in one group any one stays.
+    Rows without shingles stay. Of rows with equal ids and texts in one group any one stays. Columns of docs may have
+    any names; an empty table gives no rows.
     """
-    found = group(docs, text, doc_id, **how).withColumnRenamed("doc_id", "_id")
-    first = found.filter("root is not null and kept").groupBy("root").agg(F.min(F.struct("tid", "_id")).alias("x")).select("root", "x.tid", "x._id")
-    stay = found.filter("root is null").select("_id", "tid").distinct().withColumn("many", F.lit(False))
-    same = [found["root"] == first["root"], found["tid"] == first["tid"], found["_id"].eqNullSafe(first["_id"])]
-    stay = stay.union(found.join(first, same, "left_semi").groupBy("_id", "tid").agg((F.count("*") > 1).alias("many")))
-    stay = Scratch(docs.sparkSession).keep(stay.selectExpr("_id", "tid as _same", "many as _many"))
-    rows = docs.withColumn("_tid", text_id(F.col(text))).join(stay, (F.col("_tid") == F.col("_same")) & F.col(doc_id).eqNullSafe(F.col("_id")))
-    if stay.filter("_many").limit(1).count():
-        rows = rows.filter("not _many").unionByName(rows.filter("_many").dropDuplicates(["_tid", "_id"]))
-    return rows.select(*docs.columns)
+    rows = numbered(docs)
+    at = {c: f"c{docs.columns.index(c)}" for c in (text, doc_id)}
+    own = Scratch(docs.sparkSession)
+    found = group(rows, at[text], at[doc_id], **how).withColumnRenamed("doc_id", "id")
+    first = own.keep(found.filter("root is not null and kept").groupBy("root").agg(F.min(F.struct("tid", "id")).alias("x")).select(F.col("root").alias("of"), F.col("x.tid").alias("first_tid"), F.col("x.id").alias("first_id")))
+    stay = found.filter("root is null").select("id", "tid").distinct().withColumn("many", F.lit(False))
+    same = [F.col("root") == F.col("of"), F.col("tid") == F.col("first_tid"), F.col("id").eqNullSafe(F.col("first_id"))]
+    stay = stay.union(found.join(first, same, "left_semi").groupBy("id", "tid").agg((F.count("*") > 1).alias("many")))
+    stay = own.keep(stay)
+    rows = rows.withColumn("own_tid", text_id(F.col(at[text]))).join(stay, (F.col("own_tid") == F.col("tid")) & F.col(at[doc_id]).eqNullSafe(F.col("id")))
+    if stay.filter("many").limit(1).count():
+        rows = rows.filter("not many").unionByName(rows.filter("many").dropDuplicates(["tid", "id"]))
+    return rows.select(*(f"c{k}" for k in range(len(docs.columns)))).toDF(*docs.columns)

@@ -69,7 +69,9 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "source", "n_chars", "copy", "copies", "place")
+    # whole documents are exploded and shuffled; the digest is of the text that arrives
+    mixed = mixing.mix(_table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "source", "n_chars", F.sha2("text", 256).alias("text_sha256"), "copy", "copies", "place")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -139,31 +141,29 @@ from f join hosts on f.source is not distinct from hosts.source
 
 _SHARDS_SQL = f"""
 with a as (select coalesce(doc_id // {sharding.ARRIVAL_ROWS}, -1) as arrival, sum(strlen(coalesce(text, ''))) as size, count(*) as n from documents group by 1),
-t as (select *, floor(log2(greatest(size, 1)) / 2) as tier from a where size < {sharding.TARGET_BYTES // 2}),
-g as (select *, (coalesce(sum(size) over (partition by tier order by arrival rows between unbounded preceding and 1 preceding), 0) // {sharding.TARGET_BYTES})::bigint as part from t),
-m as (select tier, part, min(arrival) as first, max(arrival) as last, count(*) as runs from g group by tier, part),
-s as (select arrival, case when runs > 1 then first || '-' || last || '-t' || tier::int || '-v2' else arrival || '-v1' end as shard from g join m using (tier, part)
+t as (select *, floor(log2(greatest(size, 1)) / 2) as tier, floor(arrival / {sharding.SPAN}.0) as span from a where size < {sharding.TARGET_BYTES // 2}),
+g as (select *, (coalesce(sum(size) over (partition by tier, span order by arrival rows between unbounded preceding and 1 preceding), 0) // {sharding.TARGET_BYTES})::bigint as part from t),
+m as (select tier, span, part, min(arrival) as first, max(arrival) as last, count(*) as runs from g group by tier, span, part),
+s as (select arrival, case when runs > 1 then first || '-' || last || '-t' || tier::int || '-v2' else arrival || '-v1' end as shard from g join m using (tier, span, part)
       union all select arrival, arrival || '-v1' from a where size >= {sharding.TARGET_BYTES // 2})
 select doc_id, shard, strlen(coalesce(text, ''))::bigint as n_bytes from documents join s on coalesce(doc_id // {sharding.ARRIVAL_ROWS}, -1) = arrival
 """
 
 _MIX_SQL = """
-with s as (select source, count(*) as n, sqrt(count(*)) as w from documents group by source),
+with d as (select row_number() over () as i, * from documents),
+s as (select source, count(*) as n, sqrt(count(*)) as w from documents group by source),
 r as (select source, (w / sum(w) over ()) * (sum(n) over ())::double / n as rate from s),
 parts as (select source, rate, greatest(1, ceil(rate / 100.0))::int as parts, rate / greatest(1, ceil(rate / 100.0)) as m from r),
 steps as (select source, rate, parts, m, unnest(range(0, ceil(m + 12 * sqrt(m) + 20)::int + 1)) as k from parts),
 logs as (select *, sum(case when k = 0 then -m else ln(m / k) end) over (partition by source order by k) as p from steps where m > 0),
 cdf as (select source, k, parts, sum(exp(p)) over (partition by source order by k) as c from logs),
 u as (
-  select doc_id, d.source, n_chars, part, ('0x' || substr(md5('0:' || coalesce(doc_id::varchar, '') || ':' || part), 1, 13))::bigint / 4503599627370496.0 as u
-  from documents d join (select source, unnest(range(1, parts + 1)) as part from parts) x on d.source is not distinct from x.source
+  select i, d.source, part, ('0x' || substr(md5('0:' || coalesce(doc_id::varchar, '') || ':' || part), 1, 13))::bigint / 4503599627370496.0 as u
+  from d join (select source, unnest(range(1, parts + 1)) as part from parts) x on d.source is not distinct from x.source
 ),
-counts as (
-  select doc_id, u.source, any_value(n_chars) as n_chars, sum((select count(*) from cdf where cdf.source is not distinct from u.source and cdf.c <= u.u))::int as copies
-  from u group by doc_id, u.source
-)
-select doc_id, source, n_chars, copy::int as copy, copies, ('0x' || substr(md5('place 0:' || coalesce(doc_id::varchar, '') || ':' || copy), 1, 15))::bigint as place
-from (select *, unnest(range(1, copies + 1)) as copy from counts)
+counts as (select i, sum((select count(*) from cdf where cdf.source is not distinct from u.source and cdf.c <= u.u))::int as copies from u group by i)
+select doc_id, source, n_chars, sha256(text) as text_sha256, copy::int as copy, copies, ('0x' || substr(md5('place 0:' || coalesce(doc_id::varchar, '') || ':' || copy), 1, 15))::bigint as place
+from d join (select i, copies, unnest(range(1, copies + 1)) as copy from counts) using (i)
 """
 
 

@@ -1,9 +1,11 @@
 """A store of immutable shards with size-tiered compaction and versioned manifests.
 
 DataFrame and SQL functions only. Arrivals are appended as small shards; compaction merges runs of similar size
-into shards of about the target size, and brings the rows of larger arrivals together in files of that size. Each change writes new files, then a new manifest beside the others, and
-renames it to the next version: readers see the old version or the new one, and a second writer of the same
-version fails. Nothing that a manifest names is ever rewritten; a job that dies leaves files that no manifest names.
+into shards of about the target size, and brings the rows of larger arrivals together in files of that size. Each
+change writes new files, then a new manifest beside the others, and renames it to the next version: readers see the
+old version or the new one, and a second writer of the same version fails. Nothing that a manifest names is ever
+rewritten; a job that dies leaves files that no manifest names. A row lies in a struct of its own, so that its
+columns may have any names.
 """
 
 from __future__ import annotations
@@ -14,12 +16,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from folium.llm.columns import free_names
+from folium.llm.scratch import tidy_write
+
 #: Documents whose ids share this quotient arrive together.
-ARRIVAL_ROWS = 500
+ARRIVAL_ROWS = 2000
 #: Bytes of text that a merged shard, and a file of a larger one, is to hold. Shards of half as many are not merged.
-TARGET_BYTES = 48 << 20
+TARGET_BYTES = 128 << 20
 #: Sizes whose logarithm to the base 4 has the same whole part form a tier.
 FANOUT = 4
+#: Only shards whose first arrivals share this quotient merge, so that planning is never one task's work.
+SPAN = 4096
 
 
 def arrival_of(doc_id: Column, rows: int = ARRIVAL_ROWS) -> Column:
@@ -62,22 +69,24 @@ class ShardStore:
     def _write(self, rows: DataFrame, under: str) -> str:
         """Rows with their shard's name, as one folder for each shard in a new folder under the named one."""
         folder = f"{under}/{uuid.uuid4().hex}"
-        rows.write.partitionBy("shard").option("compression", "zstd").parquet(f"{self.path}/{folder}")
+        tidy_write(self.spark, lambda: rows.write.partitionBy("shard").option("compression", "zstd").parquet(f"{self.path}/{folder}"))
         return folder
 
     def append(self, docs: DataFrame, arrival: Column, size: Column) -> int:
         """Add rows, each arrival as a shard of its own; `size` is the bytes that a row counts.
 
-        Rows stay in the tasks that read them: each task adds a file to the shards of its rows. Null values of any
-        column are kept; no rows make a version without new shards. Columns shard and n_bytes of docs are replaced.
+        The rows of an arrival are brought together before they are written; a large arrival is split among tasks.
+        Null values of any column, repeated rows and texts of any length are kept; no rows make a version without
+        new shards.
         """
         base = self.version()
         before = self.manifest(base) if base else None
-        rows = docs.drop("shard", "n_bytes").withColumn("n_bytes", size.cast("long")).withColumn("shard", F.concat(arrival.cast("string"), F.lit(f"-v{base + 1}")))
-        folder = self._write(rows, "data")
+        rows = docs.select(F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("row"), F.coalesce(size, F.lit(0)).cast("long").alias("n_bytes"), F.concat(arrival.cast("string"), F.lit(f"-v{base + 1}")).alias("shard"))
+        tidy_write(self.spark, lambda: self.spark.createDataFrame([], rows.schema).write.parquet(f"{self.path}/schemas/{uuid.uuid4().hex}-v{base + 1}"))
+        folder = self._write(rows.hint("rebalance", "shard"), "data")
         added = self._read(folder, rows).groupBy("shard").agg(F.sum("n_bytes").alias("size"), F.count("*").alias("n"))
         seq = F.regexp_extract("shard", r"^(-?\d+)", 1).cast("long")
-        added = added.select("shard", seq.alias("seq"), seq.alias("last"), F.coalesce("size", F.lit(0)).alias("size"), "n", F.lit(folder).alias("folder"))
+        added = added.select("shard", seq.alias("seq"), seq.alias("last"), "size", "n", F.lit(folder).alias("folder"))
         return self._commit(before.unionByName(added) if before is not None else added, base)
 
     def _read(self, folder: str, like: DataFrame | None = None) -> DataFrame:
@@ -89,20 +98,20 @@ class ShardStore:
     def plan(self) -> DataFrame:
         """The newest shards that are to be rewritten, with the new shard of each and the files that it gets.
 
-        Shards under half the target are dealt to tiers by size; in a tier, in the order of arrival, neighbours go
-        together until they fill the target. Groups of one are left alone. Larger shards that still lie as they
+        Shards under half the target are dealt to tiers by size; in a tier and span, in the order of arrival, neighbours
+        go together until they fill the target. Groups of one are left alone. Larger shards that still lie as they
         arrived keep their names and get a file for each target size begun.
         """
         base = self.version()
         manifest = self.manifest(base)
         small = manifest.filter(F.col("size") < self.target // 2)
         tier = F.floor(F.log2(F.greatest(F.col("size"), F.lit(1))) / F.lit(float(FANOUT.bit_length() - 1)))
-        small = small.withColumn("tier", tier)
-        before = F.coalesce(F.sum("size").over(Window.partitionBy("tier").orderBy("seq", "shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        small = small.withColumn("tier", tier).withColumn("span", F.floor(F.col("seq") / F.lit(SPAN)))
+        before = F.coalesce(F.sum("size").over(Window.partitionBy("tier", "span").orderBy("seq", "shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
         small = small.withColumn("part", F.floor(before / F.lit(self.target)))
-        group = Window.partitionBy("tier", "part")
+        group = Window.partitionBy("tier", "span", "part")
         name = F.concat_ws("-", F.min("seq").over(group).cast("string"), F.max("last").over(group).cast("string"), F.concat(F.lit("t"), F.col("tier").cast("string")), F.lit(f"v{base + 1}"))
-        small = small.withColumn("runs", F.count("*").over(group)).withColumn("into", name).filter("runs > 1").drop("part", "runs", "tier").withColumn("files", F.lit(1).cast("long"))
+        small = small.withColumn("runs", F.count("*").over(group)).withColumn("into", name).filter("runs > 1").drop("part", "runs", "tier", "span").withColumn("files", F.lit(1).cast("long"))
         large = manifest.filter((F.col("size") >= self.target // 2) & F.col("folder").startswith("data/"))
         return small.unionByName(large.withColumn("into", F.col("shard")).withColumn("files", F.ceil(F.col("size") / F.lit(self.target))))
 
@@ -138,17 +147,23 @@ class ShardStore:
         return self._commit(kept.unionByName(made), base)
 
     def read(self, version: int | None = None) -> DataFrame:
-        """All rows of a version with the shard and size of each."""
+        """All rows of a version with the shard and n_bytes of each; these get underscores if rows have such columns.
+
+        A version without shards has no rows, and the columns of the newest append.
+        """
         manifest = self.manifest(version)
         folders = [r["folder"] for r in manifest.select("folder").distinct().collect()]
-        if not folders:
-            raise ValueError("the store has no shards")
         parts = []
         for folder in folders:
             rows = self._read(folder).withColumn("shard", F.col("shard").cast("string"))
             live = manifest.filter(F.col("folder") == folder).select("shard")
-            parts.append(rows.join(live, "shard", "left_semi"))
+            parts.append(rows.join(live, "shard", "left_semi").select("row", "n_bytes", "shard"))
+        if not parts:
+            where, files = self._files("schemas")
+            newest = max((x.getPath().getName() for x in files.listStatus(where)), key=lambda n: int(n.rpartition("v")[2]))
+            parts = [self.spark.read.parquet(f"{self.path}/schemas/{newest}")]
         rows = parts[0]
         for part in parts[1:]:
             rows = rows.unionByName(part, allowMissingColumns=True)
-        return rows
+        columns = rows.schema["row"].dataType.names
+        return rows.select("row.*", "n_bytes", "shard").toDF(*columns, *free_names(columns, ("n_bytes", "shard")))

@@ -23,7 +23,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from folium.llm.columns import free_names
 from folium.llm.scratch import Scratch
+from folium.llm.tasks import SLICE, frugal, slices
 from folium.llm.windows import chunks, flat_bytes, minimiser_runs, mix
 
 LENGTH = 200
@@ -175,11 +177,20 @@ def _divide(length: int, gram: int, wide: int):
     """Cut pieces out of texts. Pieces of wide groups are divided again by the minimisers of shorter strings."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = {k: [] for k in ("key", "value", "piece", "base", "n", "copies", "bytes")}
+        schema = pa.schema([(k, pa.binary() if k == "bytes" else pa.int64()) for k in rows])
+
+        def out() -> pa.RecordBatch:
+            found = pa.RecordBatch.from_pydict(rows, schema)
+            for x in rows.values():
+                x.clear()
+            return found
+
         for batch in batches:
-            rows = {k: [] for k in ("key", "value", "piece", "base", "n", "copies", "bytes")}
-            for text, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                raw = text.encode()
-                for w in wanted:
+            size = 0
+            for at in range(batch.num_rows):
+                raw = batch.column(0)[at].as_buffer().to_pybytes()
+                for w in batch.column(1)[at].as_py():
                     body = raw[w["start"] : w["start"] + w["n"] + length - 1]
                     parts = [(w["value"], 0, w["n"], body)]
                     if w["group"] > wide:
@@ -190,7 +201,11 @@ def _divide(length: int, gram: int, wide: int):
                     for key, base, n, part in parts:
                         for k, x in zip(rows, (key, w["value"], w["piece"], base, n, w["copies"], part), strict=True):
                             rows[k].append(x)
-            yield pa.RecordBatch.from_pydict(rows, pa.schema([(k, pa.binary() if k == "bytes" else pa.int64()) for k in rows]))
+                    size += len(body)
+                if size > SLICE:
+                    yield out()
+                    size = 0
+            yield out()
 
     return run
 
@@ -230,20 +245,21 @@ def _cut(with_text: bool):
     """Join the spans of each text, and take what they leave; columns before text and spans pass through."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for whole, at, n in ((b, *x) for b in batches for x in slices(b.column(b.num_columns - 2))):
+            batch = whole.slice(at, n)
             out = [[] for _ in range(5)]
-            for text, spans in zip(batch.column(batch.num_columns - 2).to_pylist(), batch.column(batch.num_columns - 1).to_pylist(), strict=True):
-                raw = text.encode()
-                kept, removed, count, at = [], 0, 0, 0
+            for row in range(n):
+                raw, spans = batch.column(batch.num_columns - 2)[row].as_buffer().to_pybytes(), batch.column(batch.num_columns - 1)[row].as_py()
+                kept, removed, count, done = [], 0, 0, 0
                 for a, b in sorted(zip(spans[::2], spans[1::2], strict=True)) if spans else ():
-                    if a > at or not count:
-                        kept.append(raw[at:a])
+                    if a > done or not count:
+                        kept.append(raw[done:a])
                         count += 1
-                        at = a
-                    if b > at:
-                        removed += b - at
-                        at = b
-                kept = b"".join([*kept, raw[at:]])
+                        done = a
+                    if b > done:
+                        removed += b - done
+                        done = b
+                kept = b"".join([*kept, raw[done:]])
                 for column, x in zip(out, (len(raw), removed, count, hashlib.sha256(kept).hexdigest(), kept.decode(errors="ignore") if with_text else None), strict=True):
                     column.append(x)
             types = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string())
@@ -262,17 +278,20 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, wid
     """(cid, spans) of those texts among rows (cid, text) that hold repeated strings: flat starts and ends of bytes."""
     spark = texts.sparkSession
     with Scratch(spark) as own:
-        repeated = texts.select("cid", "text").mapInArrow(_scan(length, gram, False), "value long, places long").groupBy("value").agg(F.sum("places").alias("places")).filter("places > 1").select("value")
-        runs = texts.select("cid", "text").mapInArrow(_scan(length, gram, True), "cid binary, start long, n long, value long, piece long")
+        # the small side of each join is a table of its own, so that Spark can split a hot value of the other one
+        repeated = own.stored(texts.select("cid", "text").mapInArrow(frugal(_scan(length, gram, False)), "value long, places long").groupBy("value").agg(F.sum("places").alias("places")).filter("places > 1").select("value"))
+        runs = texts.select("cid", "text").mapInArrow(frugal(_scan(length, gram, True)), "cid binary, start long, n long, value long, piece long")
         members = own.stored(runs.join(repeated, "value", "left_semi").groupBy("cid", "start", "n", "value", "piece").agg(F.count("*").alias("copies")))
-        pieces = members.groupBy("value", "piece").agg(F.sum("copies").alias("copies"), F.min(F.struct("cid", "start", "n")).alias("at"))
-        groups = pieces.groupBy("value").agg(F.count("*").alias("group")).filter(F.col("group") > wide)
+        own.drop(repeated)
+        pieces = own.stored(members.groupBy("value", "piece").agg(F.sum("copies").alias("copies"), F.min(F.struct("cid", "start", "n")).alias("at")))
+        groups = own.stored(pieces.groupBy("value").agg(F.count("*").alias("group")).filter(F.col("group") > wide))
         wanted = pieces.join(groups, "value", "left").select("at.cid", F.struct("at.start", "at.n", "value", "piece", "copies", F.coalesce("group", F.lit(0)).alias("group")).alias("w"))
         distinct = texts.groupBy("cid").agg(F.first("text").alias("text"))
         cuts = distinct.join(wanted.groupBy("cid").agg(F.collect_list("w").alias("wanted")), "cid").select("text", "wanted")
-        cuts = cuts.mapInArrow(_divide(length, gram, wide), "key long, value long, piece long, base long, n long, copies long, bytes binary")
+        cuts = cuts.mapInArrow(frugal(_divide(length, gram, wide)), "key long, value long, piece long, base long, n long, copies long, bytes binary")
         parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        hits = own.stored(cuts.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(_repeats(length), "value long, piece long, spans array<long>"))
+        hits = own.stored(cuts.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(frugal(_repeats(length)), "value long, piece long, spans array<long>"))
+        own.drop(pieces)
         spans = members.select("cid", "start", "value", "piece").join(hits, ["value", "piece"]).select("cid", F.transform("spans", lambda x: x + F.col("start")).alias("spans"))
         return own.keep(spans.groupBy("cid").agg(F.flatten(F.collect_list("spans")).alias("spans")))
 
@@ -283,13 +302,14 @@ def without_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, g
     Every byte that lies in a `length`-byte string which starts at another place too, in this or any other row,
     is removed. Null and empty texts, and texts shorter than `length`, lose nothing; a null counts as empty.
     Repeated rows are copies of one another: each loses all bytes if it's long enough. Ids play no part, and may
-    be null or repeated. kept_text leaves out bytes of characters that were cut in two. Other columns of docs,
-    whatever their names, play no part.
+    be null or repeated. kept_text leaves out bytes of characters that were cut in two. Texts of any length count
+    whole; an empty table gives no rows. Of the new columns, those whose names are in `keep` get underscores;
+    other columns of docs, whatever their names, play no part.
     """
     named = docs.select(*(F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)), text_id(F.col(text)).alias("cid"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     spans = repeated_spans(named.select("cid", "text"), length, gram, wide)
     rows = named.join(spans, "cid", "left").select(*(f"_k{i}" for i in range(len(keep))), "text", "spans")
     kinds = [f"_k{i} {named.schema[f'_k{i}'].dataType.simpleString()}" for i in range(len(keep))]
-    out = rows.mapInArrow(_cut(with_text), ", ".join([*kinds, "n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string"]))
-    names = ["n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept_text"] * with_text
-    return out.select(*(F.col(f"_k{i}").alias(c) for i, c in enumerate(keep)), *names)
+    out = rows.mapInArrow(frugal(_cut(with_text)), ", ".join([*kinds, "n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string"]))
+    names = free_names(keep, ["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"])
+    return (out if with_text else out.drop("kept_text")).toDF(*keep, *names[: 4 + with_text])

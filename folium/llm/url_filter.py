@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folium.llm.scratch import Scratch
+from folium.llm.suffix_dedup import text_id
 
 #: (host, start of the path) -> verdict; a rule fits its host and all subdomains.
 RULES = {("net", "/"): "block", ("example.net", "/en/"): "allow", ("example.com", "/de/"): "block", ("org", "/fr/"): "allow"}
@@ -52,9 +53,10 @@ def _grams(rows: DataFrame, *keep: str) -> DataFrame:
     """Every character of a url with its context: ORDER + 1 characters of the classed url, marked at both ends."""
     text = F.translate(F.coalesce("url", F.lit("")), f"{_UPPER}123456789", _LOWER + "0" * 9)
     text = F.regexp_replace(text, f"[^{_KEPT.replace('-', chr(92) + '-')}]", "*")
-    rows = rows.select(*keep, F.concat(F.lit("^" * ORDER), text, F.lit("$")).alias("_t"))
-    places = F.explode(F.sequence(F.lit(1), F.length("_t") - ORDER))
-    return rows.select(*keep, "_t", places.alias("_i")).select(*keep, F.expr(f"substring(_t, _i, {ORDER + 1})").alias("gram"))
+    # characters in an array, so that a gram costs the same anywhere in a long url
+    rows = rows.select(*keep, F.split(F.concat(F.lit("^" * ORDER), text, F.lit("$")), "").alias("_t"))
+    gram = f"concat({', '.join(f'_t[i + {k}]' for k in range(ORDER + 1))})"
+    return rows.select(*keep, F.explode(F.expr(f"transform(sequence(0, array_position(_t, '$') - {ORDER + 1}), i -> {gram})")).alias("gram"))
 
 
 def model(judged: DataFrame, own: Scratch) -> DataFrame:
@@ -96,8 +98,9 @@ def judge(pages: DataFrame, url: str = "url", page_id: str = "page_id", rules: d
     """Each row's id, host, path, rule, verdict and score (per character, as accepted less as rejected).
 
     Where a rule fits, its verdict holds; else allow if the score reaches the threshold. Null urls are scored as
-    empty ones; null ids and repeated rows are rows like others. Without rules that fit, scores and threshold are 0
-    and all is allowed.
+    empty ones; null ids and repeated rows are rows like others; urls of any length are judged whole. Without rules
+    that fit, scores and threshold are 0 and all is allowed; an empty table gives no rows. Other columns of pages,
+    whatever their names, play no part.
     """
     with Scratch(pages.sparkSession) as own:
         return _judged(pages, url, page_id, rules, own)
@@ -108,10 +111,11 @@ def _judged(pages: DataFrame, url: str, page_id: str, rules: dict[tuple[str, str
     fold = F.coalesce(F.pmod(F.col(page_id), F.lit(FOLDS)), F.lit(CALIBRATES + 1))
     judged = rows.select("url", F.col("ruled").alias("verdict"), (F.col("ruled").isNotNull() & (fold != CALIBRATES)).alias("teaches"))
     ratios = model(judged, own)
-    # one score for each different url; a task's own characters are summed before anything moves
-    scores = _grams(rows.select("url"), "url").join(F.broadcast(ratios), "gram").groupBy(F.col("url").alias("u")).agg(F.avg("ratio").alias("score"))
+    # one score for each different url; a task's own characters are summed before anything moves, under a short key
+    rows = rows.withColumn("of", text_id(F.col("url")))
+    scores = _grams(rows.select("url", "of"), "of").join(F.broadcast(ratios), "gram").groupBy(F.col("of").alias("u")).agg(F.avg("ratio").alias("score"))
     calibrates = (F.col("ruled").isNotNull() & (fold == CALIBRATES)).alias("calibrates")
-    rows = rows.join(scores, F.col("url").eqNullSafe(F.col("u")), "left").select(page_id, "host", "path", "rule", "ruled", "score", calibrates)
+    rows = rows.join(scores, F.col("of") == F.col("u"), "left").select(page_id, "host", "path", "rule", "ruled", "score", calibrates)
     rows = own.keep(rows)
     limit = threshold(rows)
     verdict = F.coalesce("ruled", F.when(F.col("score") >= limit, "allow").otherwise("block"))

@@ -61,6 +61,11 @@ def _powers(n: int, base: int) -> np.ndarray:
     return np.multiply.accumulate(power, out=power)
 
 
+def forget() -> None:
+    """Let go of the tables that hashing has left."""
+    _powers.cache_clear()
+
+
 def prefix_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Prefix sums of the polynomial hash and powers of the inverse multiplier, for hash_between()."""
     n = len(data)
