@@ -1,8 +1,8 @@
 """Byte-pair encoding of whole texts with a public word-end vocabulary, and its decoding.
 
 Words are merged over a doubly linked list of symbols: a priority queue holds the ranks of possible merges, and
-entries whose symbols have changed meanwhile are skipped when they come up. Each task keeps the words that
-it met lately, so that a common word is merged once.
+entries whose symbols have changed meanwhile are skipped when they come up. Each Python worker keeps the words
+that it met lately, so that a common word is merged once.
 """
 
 from __future__ import annotations
@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 from folium.llm.columns import free_names
 from folium.llm.tasks import frugal, slices
 
-#: Bytes, about, of the words that a task keeps in each of two generations.
-KEPT_BYTES = 12 << 20
+#: Bytes, about, of the words that a Python worker keeps in each of two generations.
+KEPT_BYTES = 32 << 20
 _HALF = 1 << 32
 
 
@@ -57,10 +57,6 @@ class WordBpe:
         splits = next(x["pattern"]["Regex"] for x in spec["pre_tokenizer"]["pretokenizers"] if x["type"] == "Split")
         self.words = regex.compile(splits.replace(r"\s", r"\p{White_Space}"))
         self.parts = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
-        self.forget()
-
-    def forget(self) -> None:
-        """Let go of the words met so far."""
         self.young: dict[str, tuple[int, ...]] = {}
         self.old: dict[str, tuple[int, ...]] = {}
         self.size = 0
@@ -122,7 +118,7 @@ class WordBpe:
 
 @functools.lru_cache(1)
 def encoder(path: str) -> WordBpe:
-    """The encoder of a path, read once a task."""
+    """One encoder for each Python worker, of the path used last."""
     return WordBpe(path)
 
 
@@ -152,7 +148,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", keep: tuple[str, ...]
     names = free_names(keep, ("ids", "decoded"))
     rows = docs.select(*(F.col(c).alias(f"c{k}") for k, c in enumerate(keep)), F.col(text).alias("text"))
     schema = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]), "ids array<int>", "decoded string"])
-    return rows.mapInArrow(frugal(_encode(path), encoder.cache_clear), schema).toDF(*keep, *names)
+    return rows.mapInArrow(frugal(_encode(path)), schema).toDF(*keep, *names)
 
 
 def digests(encoded: DataFrame) -> DataFrame:

@@ -184,7 +184,8 @@ def group(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size: int
         led = own.stored(pairs.groupBy("leader").agg(F.ceil(F.count("*") / LED).cast("int").alias("shares")))
         # only texts of classes that meet another one travel
         met = own.stored(members.select("cid").union(members.select("leader")).distinct())
-        texts = own.stored(named.join(met, F.col("tid") == F.col("cid"), "left_semi").groupBy("tid").agg(F.first("text").alias("text")))
+        # grouped by an expression, so that copies are combined before they are dealt anew and a hot text can be split
+        texts = own.stored(named.join(met, F.col("tid") == F.col("cid"), "left_semi").groupBy(F.substring("tid", 1, 16).alias("tid")).agg(F.first("text").alias("text")))
         none = F.lit(None).cast("binary")
         fronts = led.join(texts, F.col("leader") == F.col("tid")).select("leader", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), none.alias("member"), "text")
         dealt = pairs.join(led, "leader").select("leader", F.pmod(F.xxhash64("cid"), "shares").cast("int").alias("share"), F.col("cid").alias("member"))
