@@ -53,6 +53,24 @@ def actual(runs: DataFrame, digits: int = 6) -> DataFrame:
     return rows.select(*runs.columns, F.coalesce(F.round(cost, digits), F.lit(0.0)).alias("cost_usd"))
 
 
+def selected(nodes: DataFrame, runs: DataFrame, questions_each: int = 1) -> DataFrame:
+    """planned() of runs (run_id, doc_id, model, mode, doc_tokens) for the selected sections (doc_id, node_id) alone."""
+    asked = nodes.groupBy("doc_id").agg((F.countDistinct("node_id") * questions_each).alias("n_questions"))
+    return planned(runs.join(asked, "doc_id"))
+
+
+def bundle_total(bundles: DataFrame) -> DataFrame:
+    """(bundle_id, cost_usd): the cost of all runs in each bundle, unknown ones counting 0."""
+    each = F.aggregate("runs", F.lit(0.0), lambda a, r: a + F.coalesce(r["cost_usd"].cast("double"), F.lit(0.0)))
+    return bundles.select("bundle_id", F.round(F.coalesce(each, F.lit(0.0)), 6).alias("cost_usd"))
+
+
+def scenario_totals(rows: DataFrame, digits: int = 6) -> DataFrame:
+    """One row with the sums of scenarios() and the savings that follow from them."""
+    sums = rows.agg(F.count("*").alias("documents"), F.sum("n_chunks").alias("n_chunks"), F.sum("tokens").alias("tokens"), *(F.round(F.sum(c), digits).alias(c) for c in ("immediate_usd", "no_cache_usd", "batch_usd")))
+    return sums.withColumn("savings_pct", F.when(F.col("no_cache_usd") > 0, F.round(100 * (1 - F.col("batch_usd") / F.col("no_cache_usd")), 4)).otherwise(0.0))
+
+
 def scenarios(documents: DataFrame, model: str = "gemini-2.5-flash", digits: int = 6) -> DataFrame:
     """Documents (doc_id, n_chunks, chars), one question a chunk: cost at once, without cache, in batches, and savings."""
     into, cached, out, keep = PRICES[model]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -13,6 +15,8 @@ from folium.functions.text import cited, collapse, draft_option_key, page_label,
 
 #: A client takes a prompt and returns a record with text, input_tokens, output_tokens and error.
 Client = Callable[[str], dict]
+# Seconds before the second attempt, what chance adds, and how many drafts a response may have.
+WAIT, JITTER, DRAFTS = 15.0, (1.0, 5.0), (1, 5)
 
 
 def select_nodes(nodes: DataFrame, chunks: DataFrame, questions: DataFrame, doc_id: int | None = None, node_id: int | None = None, regenerate: bool = False, limit: int | None = None) -> DataFrame:
@@ -67,8 +71,16 @@ def stub_client(prompt: str) -> dict:
     return {"text": f"¿{prompt.strip().splitlines()[-1][:80]}?" if prompt.strip() else None, "input_tokens": len(prompt) // 4, "output_tokens": 20, "error": None if prompt.strip() else "empty prompt"}
 
 
-def generate(prompts: DataFrame, client: Client = stub_client, retries: int = 8) -> DataFrame:
-    """(key, response, input_tokens, output_tokens, error) of prompts (key, prompt); overloads (429, 503) are tried again."""
+def _wait(attempt: int) -> float:
+    """Seconds before another attempt: WAIT, doubled each time, and some more by chance."""
+    return WAIT * 2**attempt + random.uniform(*JITTER)
+
+
+def generate(prompts: DataFrame, client: Client = stub_client, retries: int = 8, wait: Callable[[int], float] = _wait) -> DataFrame:
+    """(key, response, input_tokens, output_tokens, error, seconds) of prompts (key, prompt); seconds is the call's latency.
+
+    Overloads (429, 503) are tried again after wait(attempt) seconds.
+    """
 
     def call(prompt: str) -> dict:
         for attempt in range(retries):
@@ -77,15 +89,36 @@ def generate(prompts: DataFrame, client: Client = stub_client, retries: int = 8)
             except Exception as e:  # noqa: BLE001  the client's failure is a result
                 if attempt + 1 == retries or not any(x in str(e) for x in ("429", "503")):
                     return {"text": None, "input_tokens": 0, "output_tokens": 0, "error": f"{type(e).__name__}: {e}"}
+                time.sleep(wait(attempt))
         raise AssertionError
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [call(p or "") for p in batch["prompt"]]
-            yield pd.DataFrame({"key": batch["key"], "response": [x["text"] for x in found], "input_tokens": [x["input_tokens"] for x in found], "output_tokens": [x["output_tokens"] for x in found], "error": [x["error"] for x in found]})
+            found, seconds = [], []
+            for p in batch["prompt"]:
+                began = time.monotonic()
+                found.append(call(p or ""))
+                seconds.append(time.monotonic() - began)
+            yield pd.DataFrame({"key": batch["key"], "response": [x["text"] for x in found], "input_tokens": [x["input_tokens"] for x in found], "output_tokens": [x["output_tokens"] for x in found], "error": [x["error"] for x in found], "seconds": seconds})
 
     kind = prompts.schema["key"].dataType.simpleString()
-    return prompts.select("key", "prompt").mapInPandas(run, f"key {kind}, response string, input_tokens long, output_tokens long, error string")
+    return prompts.select("key", "prompt").mapInPandas(run, f"key {kind}, response string, input_tokens long, output_tokens long, error string, seconds double")
+
+
+def drafts(responses: DataFrame) -> DataFrame:
+    """(key, draft, question_text, justification, options, error) of responses whose text is a JSON list of drafts.
+
+    A list has one to five drafts, each with question_text, justification and options (role, text). Other texts, and
+    lists of another length, give one row with error and without a draft.
+    """
+    option = "struct<role:string, text:string>"
+    parsed = F.from_json("response", f"array<struct<question_text:string, justification:string, options:array<{option}>>>")
+    rows = responses.withColumn("found", parsed)
+    sound = F.coalesce(F.size("found").between(*DRAFTS), F.lit(False))
+    error = F.coalesce("error", F.when(F.col("found").isNull(), "not a list of drafts").when(~sound, "a response has one to five drafts"))
+    listed = F.when(sound & F.col("error").isNull(), F.col("found"))
+    rows = rows.select("key", error.alias("error"), F.posexplode_outer(listed).alias("draft", "x"))
+    return rows.select("key", "draft", "x.question_text", "x.justification", "x.options", "error")
 
 
 def numbered(questions: DataFrame) -> DataFrame:

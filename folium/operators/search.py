@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import unicodedata
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -12,14 +13,20 @@ from folium.functions.text import strip
 
 # Assumption: the usual constants, and a floor for words that most texts hold.
 K1, B, FLOOR = 1.2, 0.75, 1e-6
-# Accented letters and what they are searched as.
-ACCENTED = "áàâäãåéèêëíìîïóòôöõúùûüñçýÿ"
-PLAIN = "aaaaaaeeeeiiiiooooouuuuncyy"
+
+
+def _accented() -> dict[str, str]:
+    """Each lower-case Latin letter that decomposes into one of a-z and marks, with that letter."""
+    parts = {chr(c): unicodedata.normalize("NFD", chr(c)) for c in (*range(0xC0, 0x250), *range(0x1E00, 0x1F00)) if chr(c).islower()}
+    return {c: d[0] for c, d in parts.items() if len(d) > 1 and d[0].isascii() and all(map(unicodedata.combining, d[1:]))}
+
+
+ACCENTED, PLAIN = "".join(_accented()), "".join(_accented().values())
 
 
 def fold(text: Column) -> Column:
-    """Lower case without accents."""
-    return F.translate(F.lower(text), ACCENTED, PLAIN)
+    """Lower case without accents, whether they are part of a letter or marks behind it."""
+    return F.regexp_replace(F.translate(F.lower(text), ACCENTED, PLAIN), r"\p{Mn}+", "")
 
 
 def tokens(text: Column) -> Column:
@@ -52,8 +59,8 @@ class Query:
 
 
 def _words(text: str) -> tuple[str, ...]:
-    table = str.maketrans(ACCENTED, PLAIN)
-    return tuple(w for w in re.split(r"[^\w]+|_", text.lower().translate(table)) if w)
+    plain = text.lower().translate(str.maketrans(ACCENTED, PLAIN))
+    return tuple(w for w in re.split(r"[^\w]+|_", "".join(c for c in plain if unicodedata.category(c) != "Mn")) if w)
 
 
 def parse(query: str) -> Query | None:
@@ -109,12 +116,22 @@ def hits(indexed: DataFrame, query: Query, key: str = "chunk_id") -> DataFrame:
     return places.filter(matched).select(key)
 
 
-def bm25(indexed: DataFrame, query: Query, limit: int = 50, key: str = "chunk_id") -> DataFrame:
-    """(key, rank) of the best matches, the more negative the better; ties by key. Each phrase weighs as its words."""
+def lengths(indexed: DataFrame, key: str = "chunk_id") -> DataFrame:
+    """(key, dl): the number of tokens of each text, to be stored beside the index."""
+    return indexed.groupBy(key).agg(F.count("*").alias("dl"))
+
+
+def bm25(indexed: DataFrame, query: Query, limit: int = 50, key: str = "chunk_id", sizes: DataFrame | None = None) -> DataFrame:
+    """(key, rank) of the best matches, the more negative the better; ties by key. Each phrase weighs as its words.
+
+    With `sizes`, the stored lengths() of the index, only the query's own words are read from the index.
+    """
     words = sorted({w for way in query.any_of for p in way for w in p})
-    sizes = indexed.groupBy(key).agg(F.count("*").alias("dl"), *(F.count_if(F.col("token") == w).alias(f"tf{i}") for i, w in enumerate(words)))
-    totals = sizes.agg(F.count("*").alias("n"), F.avg("dl").alias("avgdl"), *(F.count_if(F.col(f"tf{i}") > 0).alias(f"df{i}") for i in range(len(words))))
-    t = totals.first()  # one row
+    sizes = lengths(indexed, key) if sizes is None else sizes
+    counts = indexed.filter(F.col("token").isin(*words)).groupBy(key).agg(*(F.count_if(F.col("token") == w).alias(f"tf{i}") for i, w in enumerate(words)))
+    t = sizes.agg(F.count("*").alias("n"), F.avg("dl").alias("avgdl")).first().asDict()  # one row
+    t |= counts.agg(F.count("*").alias("matched"), *(F.count_if(F.col(f"tf{i}") > 0).alias(f"df{i}") for i in range(len(words)))).first().asDict()
+    sizes = counts.join(sizes, key)
     score = F.lit(0.0)
     for i in range(len(words)):
         idf = F.greatest(F.lit(FLOOR), F.ln((F.lit(float(t["n"])) - t[f"df{i}"] + 0.5) / F.lit(t[f"df{i}"] + 0.5)))

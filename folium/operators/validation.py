@@ -7,8 +7,10 @@ from __future__ import annotations
 
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from folium.functions.text import option_key, strip
@@ -19,8 +21,9 @@ VERSIONS = (1,)
 LIMITS = {"code": 64, "edition": 64, "title": 512, "branch": 64, "level_label": 32, "ordinal": 64, "node_title": 1024, "ref": 64, "question": 1000, "justification": 2000, "option": 500, "model": 64, "profile": 32}
 MODES = ("immediate", "batch")
 RUN_STATUSES = ("succeeded", "failed", "partial", "cancelled")
+UNSERVED = ("needs_review", "rejected")
 ROLES = {"correct": 1, "confusa": 1, "distractor": 2}
-STAMP = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(?:\.\d+)?(?:Z|[+-]\d{2}:\d{2})$"
+STAMP = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(?:\.\d+)?Z$"
 SECRETS = {"google_key": r"AIza[0-9A-Za-z_\-]{20,}", "openai_key": r"\bsk-[A-Za-z0-9]{20,}\b", "connection_string": r"\b[a-z][a-z0-9+.\-]*://[^\s:/@]+:[^\s@]+@", "private_key": r"-----BEGIN [A-Z ]*PRIVATE KEY-----"}
 SECRET_NAMES = r"(?i)^(api[_-]?keys?|secrets?|passwords?|passwd|tokens?|credentials?|authorizations?)$"
 SECRET_LENGTH = 12
@@ -72,13 +75,23 @@ def header_errors(bundles: DataFrame) -> DataFrame:
 
 
 def cycles(nodes: DataFrame) -> DataFrame:
-    """(bundle_id, ref) of sections that never reach a root: each round halves what is left of every path."""
-    left = nodes.filter("parent_ref is not null").select("bundle_id", "ref", F.col("parent_ref").alias("up"))
-    n = nodes.groupBy("bundle_id").agg(F.count("*").alias("n")).agg(F.max("n").alias("n")).first()["n"] or 0
-    for _ in range(max(1, n).bit_length()):
-        step = left.select("bundle_id", F.col("ref").alias("up"), F.col("up").alias("further"))
-        left = left.join(step, ["bundle_id", "up"]).select("bundle_id", "ref", F.col("further").alias("up"))
-    return left.select("bundle_id", "ref")
+    """(bundle_id, ref) of sections whose way up never ends. One bundle's sections, which came in one row, are one group."""
+
+    def looped(rows: pd.DataFrame) -> pd.DataFrame:
+        above = dict(zip(rows["ref"], rows["up"], strict=True))
+        state: dict[str, bool] = {}  # whether the way up goes round
+        for ref in above:
+            way, on_way = [], set()
+            while ref in above and ref not in state and ref not in on_way:
+                way.append(ref)
+                on_way.add(ref)
+                ref = above[ref]
+            round_ = ref in on_way or state.get(ref, False)
+            state.update((r, round_) for r in way)
+        return rows.loc[rows["ref"].map(state), ["bundle_id", "ref"]]
+
+    left = nodes.filter("parent_ref is not null and ref is not null").select("bundle_id", "ref", F.col("parent_ref").alias("up"))
+    return left.groupBy("bundle_id").applyInPandas(looped, "bundle_id string, ref string")
 
 
 def node_errors(bundles: DataFrame) -> DataFrame:
@@ -143,15 +156,41 @@ def question_errors(bundles: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def secrets(rows: DataFrame, key: str = "bundle_id", column: str = "metadata") -> DataFrame:
-    """(key, path, rule) of values in a map column that look like secrets, or whose names do and that are long enough."""
-    pairs = rows.select(F.col(key).alias("bundle_id"), F.explode(F.map_entries(column)).alias("e")).select("bundle_id", "e.*")
-    named = pairs["key"].rlike(SECRET_NAMES) & (F.length(strip(pairs["value"])) >= SECRET_LENGTH)
+def _strings(value: Column, kind: T.DataType, path: Column, name: Column) -> Column | None:
+    """All strings under a value as an array of (path, name, value); null where its type can't hold any."""
+    empty = F.expr("cast(array() as array<struct<path:string, name:string, value:string>>)")
+    if isinstance(kind, T.StringType):
+        return F.array(F.struct(path.alias("path"), name.alias("name"), value.alias("value")))
+    if isinstance(kind, T.StructType):
+        parts = [_strings(value[f.name], f.dataType, F.concat(path, F.lit(f".{f.name}")), F.lit(f.name)) for f in kind.fields]
+        parts = [F.coalesce(x, empty) for x in parts if x is not None]
+        return F.concat(*parts) if parts else None
+    if isinstance(kind, T.ArrayType):
+        if _strings(value, kind.elementType, path, name) is None:
+            return None
+        each = F.transform(value, lambda x, i: F.coalesce(_strings(x, kind.elementType, F.concat(path, F.lit("["), i.cast("string"), F.lit("]")), name), empty))
+        return F.coalesce(F.flatten(each), empty)
+    if isinstance(kind, T.MapType):
+        if _strings(value, kind.valueType, path, name) is None:
+            return None
+        each = F.transform(F.map_entries(value), lambda e: F.coalesce(_strings(e["value"], kind.valueType, F.concat(path, F.lit("."), e["key"].cast("string")), e["key"].cast("string")), empty))
+        return F.coalesce(F.flatten(each), empty)
+    return None
+
+
+def secrets(rows: DataFrame, key: str = "bundle_id", columns: tuple[str, ...] | None = None) -> DataFrame:
+    """(key, path, rule) of strings anywhere in the rows that look like secrets, or whose names do and that are long enough.
+
+    All columns but the key are looked through, however deeply strings lie in structs, lists and maps.
+    """
+    names = columns or tuple(c for c in rows.columns if c != key)
+    found = [_strings(F.col(c), rows.schema[c].dataType, F.lit(f"$.{c}"), F.lit(c)) for c in names]
+    pairs = rows.select(F.col(key).alias("bundle_id"), F.explode(F.concat(*(x for x in found if x is not None))).alias("e")).select("bundle_id", "e.*")
+    named = pairs["name"].rlike(SECRET_NAMES) & (F.length(strip(pairs["value"])) >= SECRET_LENGTH)
     by_value = F.lit(None).cast("string")
     for label, pattern in reversed(SECRETS.items()):
         by_value = F.when(pairs["value"].rlike(pattern), label).otherwise(by_value)
-    rule = F.when(named, "name").otherwise(by_value)
-    return pairs.select("bundle_id", F.concat(F.lit(f"$.{column}."), "key").alias("path"), rule.alias("rule")).filter("rule is not null")
+    return pairs.select("bundle_id", "path", F.when(named, "name").otherwise(by_value).alias("rule")).filter("rule is not null")
 
 
 def errors(bundles: DataFrame) -> DataFrame:
@@ -164,14 +203,16 @@ def errors(bundles: DataFrame) -> DataFrame:
 
 
 def warnings(bundles: DataFrame) -> DataFrame:
-    """(bundle_id, path, rule, message): failed sections, no or unserved questions, sections with text and no question."""
+    """(bundle_id, path, rule, message): failed sections, no or unserved questions, by status too, texts without a question."""
     rows, q, n = runs_of(bundles), questions_of(bundles), nodes_of(bundles)
     per = bundles.select("bundle_id").join(q.groupBy("bundle_id").agg(F.count("*").alias("n"), F.count_if(F.col("status").isin("pending", "valid")).alias("s")), "bundle_id", "left").fillna(0, ["n", "s"])
+    unserved = q.filter(F.col("status").isin(*UNSERVED)).groupBy("bundle_id", "status").agg(F.count("*").alias("n"))
     bare = n.filter(F.size("chunks") > 0).join(q.select("bundle_id", F.col("node_ref").alias("ref")).distinct(), ["bundle_id", "ref"], "left_anti")
     return reduce(DataFrame.unionByName, [
         _found(rows, F.col("nodes_failed") > 0, _at("runs"), "failed_nodes", "some sections failed"),
         _found(per, F.col("n") == 0, F.lit("$.questions"), "no_questions", "there are no questions"),
         _found(per, (F.col("n") > 0) & (F.col("s") == 0), F.lit("$.questions"), "none_served", "no question is served"),
+        _found(unserved, F.lit(True), F.concat(F.lit("$.questions."), "status"), "unserved_status", "questions of this status are not served"),
         _found(bare, F.lit(True), _at("nodes"), "uncovered", "a section with text has no question"),
     ])
 

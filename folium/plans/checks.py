@@ -16,7 +16,7 @@ def _bundles(spark: SparkSession, sf: str) -> DataFrame:
     """Customers as documents, orders as sections and runs, lines as chunks; with faults by number."""
     o, li, c = S.table(spark, sf, "orders"), S.table(spark, sf, "lineitem"), S.table(spark, sf, "customer")
     chunks = li.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct((F.col("l_linenumber") % 6).cast("int").alias("ordinal"), F.when(F.col("l_quantity") > 2, F.col("l_returnflag")).otherwise(" ").alias("text"), F.lit(1).alias("page_start"), F.lit(1).alias("page_end")))).alias("chunks"))
-    parent = F.when(F.col("o_orderkey") % 4 != 0, (F.col("o_orderkey") - F.col("o_orderkey") % 4).cast("string"))
+    parent = F.when(F.col("o_orderkey") % 4 != 0, (F.col("o_orderkey") - F.col("o_orderkey") % 4).cast("string")).when(F.col("o_custkey") % 50 == 7, F.col("o_orderkey").cast("string"))
     node = F.struct(F.col("o_orderkey").cast("string").alias("ref"), parent.alias("parent_ref"), (F.col("o_orderkey") % 7 - 1).cast("int").alias("level"), F.when(F.col("o_orderkey") % 9 == 0, "").otherwise("Capítulo").alias("level_label"), F.lit("I").alias("ordinal"), F.col("o_orderpriority").alias("title"), F.lit(1).alias("page_start"), F.lit(1).alias("page_end"), F.coalesce("chunks", F.expr(f"cast(array() as array<{bundles.CHUNK}>)")).alias("chunks"))
     nodes = o.join(chunks, F.col("o_orderkey") == F.col("l_orderkey"), "left").groupBy("o_custkey").agg(F.array_sort(F.collect_list(node)).alias("nodes"))
     run = F.struct((F.col("o_orderkey") % 50).cast("string").alias("ref"), F.lit("m").alias("model"), F.when(F.col("o_orderstatus") == "F", "batch").when(F.col("o_orderstatus") == "O", "immediate").otherwise("other").alias("mode"), F.when(F.col("o_orderkey") % 5 == 0, "running").otherwise("succeeded").alias("status"), F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("started_at"), F.lit(None).cast("string").alias("completed_at"), F.lit(1).alias("nodes_total"), F.lit(1).alias("nodes_completed"), (F.col("o_orderkey") % 6 - 1).cast("int").alias("nodes_failed"), F.col("o_totalprice").alias("cost_usd"))
@@ -24,17 +24,17 @@ def _bundles(spark: SparkSession, sf: str) -> DataFrame:
     role = F.element_at(F.array(*map(F.lit, ("correct", "confusa", "distractor", "distractor"))), ((F.col("l_linenumber") - 1) % 4 + 1).cast("int"))
     option = F.struct(F.col("l_linenumber").cast("int").alias("order_in_question"), role.alias("role"), F.concat(F.lit(" "), "l_returnflag", F.lit("  "), "l_linestatus").alias("text"), (F.col("l_linenumber") == 1).alias("is_correct"))
     options = li.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(option)).alias("options"))
-    question = F.struct((F.col("o_orderkey") % 40).cast("string").alias("run_ref"), (F.col("o_orderkey") - F.col("o_orderkey") % 3).cast("string").alias("node_ref"), F.col("o_orderpriority").alias("question"), F.lit("j").alias("justification"), F.when(F.col("o_orderkey") % 8 == 0, "draft").otherwise("valid").alias("status"), "options")
+    question = F.struct((F.col("o_orderkey") % 40).cast("string").alias("run_ref"), (F.col("o_orderkey") - F.col("o_orderkey") % 3).cast("string").alias("node_ref"), F.col("o_orderpriority").alias("question"), F.when(F.col("o_orderkey") % 16 == 1, "see sk-abcdefghijklmnopqrstuvwx").otherwise("j").alias("justification"), F.when(F.col("o_orderkey") % 8 == 0, "draft").when(F.col("o_orderkey") % 8 == 3, "rejected").otherwise("valid").alias("status"), "options")
     questions = o.join(options, F.col("o_orderkey") == F.col("l_orderkey")).groupBy("o_custkey").agg(F.array_sort(F.collect_list(question)).alias("questions"))
     rows = c
     for name, part, kind in (("nodes", nodes, bundles.NODE), ("runs", runs, bundles.RUN), ("questions", questions, bundles.QUESTION)):
         rows = rows.join(part.withColumnRenamed("o_custkey", "c_custkey"), "c_custkey", "left").withColumn(name, F.coalesce(name, F.expr(f"cast(array() as array<{kind}>)")))
     manual = F.when(F.col("c_custkey") % 20 != 0, F.struct(F.col("c_name").alias("code"), F.lit(None).cast("string").alias("edition"), F.when(F.col("c_custkey") % 15 == 0, "  ").otherwise(F.col("c_mktsegment")).alias("title"), F.lit(None).cast("string").alias("branch"), F.lit(None).cast("string").alias("source_sha256")))
     secret = F.create_map(F.lit("note"), F.when(F.col("c_custkey") % 10 == 0, "postgres://user:hunter2@host/db").when(F.col("c_custkey") % 10 == 1, "AIzaSyA1234567890abcdefghij").otherwise("plain"), F.lit("api_key"), F.when(F.col("c_custkey") % 10 == 3, "a rather long one").otherwise("short"), F.lit("cost_input_tokens"), F.lit("123456789012345"))
-    return rows.select(F.col("c_custkey").cast("string").alias("bundle_id"), F.when(F.col("c_custkey") % 30 == 0, 9).otherwise(1).alias("version"), F.lit("2024-01-01T00:00:00Z").alias("generated_at"), manual.alias("manual"), secret.alias("metadata"), "nodes", "runs", "questions")
+    return rows.select(F.col("c_custkey").cast("string").alias("bundle_id"), F.when(F.col("c_custkey") % 30 == 0, 9).otherwise(1).alias("version"), F.when(F.col("c_custkey") % 25 == 0, "2024-01-01T00:00:00+02:00").otherwise("2024-01-01T00:00:00Z").alias("generated_at"), manual.alias("manual"), secret.alias("metadata"), "nodes", "runs", "questions")
 
 
-_SOUND = "sound as (select c_custkey from customer where c_custkey % 30 <> 0 and c_custkey % 20 <> 0 and c_custkey % 15 <> 0)"
+_SOUND = "sound as (select c_custkey from customer where c_custkey % 30 <> 0 and c_custkey % 20 <> 0 and c_custkey % 15 <> 0 and c_custkey % 25 <> 0)"
 _RUNS = "r as (select o_custkey::varchar as bundle_id, row_number() over (partition by o_custkey order by (o_orderkey % 50)::varchar, mode, case when o_orderkey % 5 = 0 then 'running' else 'succeeded' end, o_orderdate, o_orderkey % 6, o_totalprice) - 1 as i, (o_orderkey % 50)::varchar as ref, mode, o_orderkey, o_orderkey % 6 - 1 as failed from (select *, case o_orderstatus when 'F' then 'batch' when 'O' then 'immediate' else 'other' end as mode from orders) where o_custkey in (select c_custkey from sound))"
 
 
@@ -43,20 +43,22 @@ def bundle_header_errors(spark: SparkSession, sf: str) -> DataFrame:
 
 
 SQL["bundle_header_errors"] = """select c_custkey::varchar as bundle_id, 'version' as rule from customer where c_custkey % 30 = 0 union all select c_custkey::varchar, 'manual' from customer where c_custkey % 20 = 0
-union all select c_custkey::varchar, 'manual_title' from customer where c_custkey % 15 = 0 and c_custkey % 20 <> 0"""
+union all select c_custkey::varchar, 'manual_title' from customer where c_custkey % 15 = 0 and c_custkey % 20 <> 0
+union all select c_custkey::varchar, 'generated_at' from customer where c_custkey % 25 = 0"""
 
 
 def orphan_parent(spark: SparkSession, sf: str) -> DataFrame:
     return validation.node_errors(_bundles(spark, sf)).groupBy("bundle_id", "rule").agg(F.count("*").alias("n"))
 
 
-SQL["orphan_parent"] = """with n as (select o_custkey::varchar as bundle_id, o_orderkey, case when o_orderkey % 4 <> 0 then o_orderkey - o_orderkey % 4 end as parent from orders),
+SQL["orphan_parent"] = """with n as (select o_custkey::varchar as bundle_id, o_orderkey, case when o_orderkey % 4 <> 0 then o_orderkey - o_orderkey % 4 when o_custkey % 50 = 7 then o_orderkey end as parent from orders),
 c as (select o_custkey::varchar as bundle_id, l_orderkey, l_linenumber, l_linenumber % 6 as ordinal, l_quantity from lineitem join orders on o_orderkey = l_orderkey),
 e as (
   select bundle_id, 'parent_exists' as rule from n where parent is not null and not exists (select 1 from n p where p.bundle_id = n.bundle_id and p.o_orderkey = n.parent)
   union all select bundle_id, 'node_numbers' from n where o_orderkey % 7 = 0
   union all select bundle_id, 'node_fields' from n where o_orderkey % 9 = 0
   union all select bundle_id, 'root' from n group by bundle_id having count(parent) = count(*)
+  union all select distinct bundle_id, 'cycle' from n where parent = o_orderkey
   union all select bundle_id, 'chunk_fields' from c where l_quantity <= 2
   union all select bundle_id, 'chunk_ordinal_unique' from c qualify row_number() over (partition by bundle_id, l_orderkey, ordinal order by l_linenumber) > 1
 ) select bundle_id, rule, count(*) as n from e group by all"""
@@ -91,21 +93,32 @@ e as (
 
 
 def secret_scan_flat(spark: SparkSession, sf: str) -> DataFrame:
-    return validation.secrets(_bundles(spark, sf))
+    return validation.secrets(_bundles(spark, sf), columns=("metadata",))
 
 
 SQL["secret_scan_flat"] = "select c_custkey::varchar as bundle_id, case when c_custkey % 10 = 3 then '$.metadata.api_key' else '$.metadata.note' end as path, case c_custkey % 10 when 0 then 'connection_string' when 1 then 'google_key' else 'name' end as rule from customer where c_custkey % 10 in (0, 1, 3)"
 
 
+def secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Everywhere in whole bundles: metadata, sections, chunks, runs, questions and options."""
+    return validation.secrets(_bundles(spark, sf)).groupBy("bundle_id", F.regexp_replace("path", r"\d+", "#").alias("place"), "rule").agg(F.count("*").alias("n"))
+
+
+SQL["secret_scan"] = f"""with f as ({SQL["secret_scan_flat"]})
+select bundle_id, path as place, rule, 1::bigint as n from f
+union all select o_custkey::varchar, '$.questions[#].justification', 'openai_key', count(*) from orders where o_orderkey % 16 = 1 and o_orderkey in (select l_orderkey from lineitem) group by 1"""
+
+
 def bundle_warnings(spark: SparkSession, sf: str) -> DataFrame:
     return validation.warnings(_bundles(spark, sf)).groupBy("bundle_id", "rule").agg(F.count("*").alias("n"))
 
 
-SQL["bundle_warnings"] = """with q as (select o_custkey, o_orderkey, o_orderkey - o_orderkey % 3 as node, o_orderkey % 8 <> 0 as served from orders where o_orderkey in (select l_orderkey from lineitem)),
+SQL["bundle_warnings"] = """with q as (select o_custkey, o_orderkey, o_orderkey - o_orderkey % 3 as node, o_orderkey % 8 not in (0, 3) as served, o_orderkey % 8 = 3 as rejected from orders where o_orderkey in (select l_orderkey from lineitem)),
 e as (
   select o_custkey as c, 'failed_nodes' as rule from orders where o_orderkey % 6 - 1 > 0
   union all select c_custkey, 'no_questions' from customer where c_custkey not in (select o_custkey from q)
   union all select o_custkey, 'none_served' from q group by o_custkey having not bool_or(served)
+  union all select o_custkey, 'unserved_status' from q where rejected group by o_custkey
   union all select o.o_custkey, 'uncovered' from orders o where o_orderkey in (select l_orderkey from lineitem) and not exists (select 1 from q where q.o_custkey = o.o_custkey and q.node = o.o_orderkey)
 ) select c::varchar as bundle_id, rule, count(*) as n from e group by all"""
 
@@ -115,8 +128,8 @@ def bundle_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 SQL["bundle_counts"] = """with l as (select l_orderkey, count(*) as n from lineitem group by 1)
-select c_custkey::varchar as bundle_id, count(o_orderkey)::int as nodes, coalesce(sum(l.n), 0)::int as chunks, count(o_orderkey)::int as runs, count(l.n)::int as questions, count(l.n) filter (o_orderkey % 8 <> 0) as served,
-0::bigint as status_pending, count(l.n) filter (o_orderkey % 8 <> 0) as status_valid, 0::bigint as status_needs_review, 0::bigint as status_rejected
+select c_custkey::varchar as bundle_id, count(o_orderkey)::int as nodes, coalesce(sum(l.n), 0)::int as chunks, count(o_orderkey)::int as runs, count(l.n)::int as questions, count(l.n) filter (o_orderkey % 8 not in (0, 3)) as served,
+0::bigint as status_pending, count(l.n) filter (o_orderkey % 8 not in (0, 3)) as status_valid, 0::bigint as status_needs_review, count(l.n) filter (o_orderkey % 8 = 3) as status_rejected
 from customer left join orders on o_custkey = c_custkey left join l on l_orderkey = o_orderkey group by c_custkey"""
 
 
@@ -160,4 +173,4 @@ SQL["vendor_labels"] = """with i as (select user_id as doc_id, event_id as pos,
 select doc_id, pos, case when event_id % 7 <> 0 then event_id % 9 else 0 end::int as page_number, kind, case when event_id % 3 = 0 then '- ' || bare else bare end as text, case when event_id % 7 <> 0 then value end as x1
 from i where bare <> '' or event_id % 3 = 0 or kind in ('table', 'figure')"""
 
-QUERIES = [bundle_header_errors, orphan_parent, run_checks, role_counts, secret_scan_flat, bundle_warnings, bundle_counts, bundle_json, merge_rules, html_elements, vendor_labels]
+QUERIES = [bundle_header_errors, orphan_parent, run_checks, role_counts, secret_scan_flat, secret_scan, bundle_warnings, bundle_counts, bundle_json, merge_rules, html_elements, vendor_labels]

@@ -157,12 +157,12 @@ def search_excerpts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def index_backfill(spark: SparkSession, sf: str) -> DataFrame:
-    docs = S.table(spark, sf, "documents").select(F.col("doc_id").alias("chunk_id"), "text")
-    have = search.index(docs.filter("chunk_id % 3 != 0"))
+    docs = S.table(spark, sf, "documents").select(F.col("doc_id").alias("chunk_id"), "text", "lang")
+    have = search.index(docs.filter("lang = 'en'"))
     return search.index(search.stale(docs, have)).groupBy("chunk_id").agg(F.count("*").alias("n_tokens"))
 
 
-SQL["index_backfill"] = f"with {_TOKENS}, h as (select distinct chunk_id from tokens where chunk_id % 3 <> 0) select chunk_id, count(*) as n_tokens from tokens where chunk_id not in (select chunk_id from h) group by chunk_id"
+SQL["index_backfill"] = f"with {_TOKENS}, h as (select distinct chunk_id from tokens join documents on doc_id = chunk_id where lang = 'en') select chunk_id, count(*) as n_tokens from tokens where chunk_id not in (select chunk_id from h) group by chunk_id"
 
 
 def run_ref_iso(spark: SparkSession, sf: str) -> DataFrame:
@@ -192,10 +192,10 @@ def roman_to_int(spark: SparkSession, sf: str) -> DataFrame:
     """Numbers spelled in roman digits by place, and read again; and a wrong spelling."""
     n = F.col("p_partkey") % 3999 + 1
     places = [F.element_at(F.array(*map(F.lit, digits.split(","))), (F.floor(n / 10**k) % 10 + 1).cast("int")) for k, digits in ((3, ",M,MM,MMM,,,,,,"), (2, ",C,CC,CCC,CD,D,DC,DCC,DCCC,CM"), (1, ",X,XX,XXX,XL,L,LX,LXX,LXXX,XC"), (0, ",I,II,III,IV,V,VI,VII,VIII,IX"))]
-    return S.table(spark, sf, "part").select("p_partkey", T.roman_to_int(F.concat(*places)).alias("value"), T.roman_to_int(F.lower(F.substring("p_name", 1, 4))).alias("of_name"))
+    return S.table(spark, sf, "part").select("p_partkey", T.roman_to_int(F.concat(*places)).alias("value"), T.roman_to_int(F.lower("p_name")).alias("of_name"))
 
 
-SQL["roman_to_int"] = """with n as (select p_partkey, lower(p_name[1:4]) as s from part),
+SQL["roman_to_int"] = """with n as (select p_partkey, lower(p_name) as s from part),
 v as (select p_partkey, list_transform(string_split(s, ''), lambda c: case c when 'i' then 1 when 'v' then 5 when 'x' then 10 when 'l' then 50 when 'c' then 100 when 'd' then 500 when 'm' then 1000 else 0 end) as v from n)
 select p_partkey, (p_partkey % 3999 + 1)::int as value, list_sum(list_transform(v, lambda x, i: case when x < coalesce(v[i + 1], 0) then -x else x end))::int as of_name from v"""
 

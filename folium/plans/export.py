@@ -29,9 +29,31 @@ def repeated_keys(nodes: DataFrame, runs: DataFrame) -> DataFrame:
     return n.unionByName(r).filter("count > 1").select("doc_id", "key")
 
 
-def export(built: DataFrame, path: str | None, shown: int = 20) -> DataFrame:
-    """Write bundles to path (None: only check them); returns their warnings. Raises Unsound with the first errors."""
-    errors = validation.errors(built).orderBy("bundle_id", "path", "rule").limit(shown).collect()
+def source_errors(nodes: DataFrame, runs: DataFrame, requested: DataFrame | None = None) -> DataFrame:
+    """What makes an export impossible before bundles are built: requested runs that are not there, and repeated keys."""
+    twice = repeated_keys(nodes, runs).select(F.col("doc_id").cast("string").alias("bundle_id"), F.col("key").alias("path"), F.lit("repeated_key").alias("rule"), F.lit("two sections or runs have this key").alias("message"))
+    if requested is None:
+        return twice
+    gone = missing_runs(requested, runs).select(F.lit("").alias("bundle_id"), F.col("run_id").cast("string").alias("path"), F.lit("missing_run").alias("rule"), F.lit("the store has no such run").alias("message"))
+    return twice.unionByName(gone)
+
+
+def export_store(documents: DataFrame, nodes: DataFrame, chunks: DataFrame, runs: DataFrame, questions: DataFrame, path: str | None, requested: DataFrame | None = None) -> DataFrame:
+    """Build the bundles of a store's tables and export them; with `requested` (run_id) only those runs' questions."""
+    errors = source_errors(nodes, runs, requested)
+    if requested is not None:
+        runs = runs.join(requested.select("run_id").distinct(), "run_id", "left_semi")
+        questions = questions.join(requested.select("run_id").distinct(), "run_id", "left_semi")
+    return export(bundles.build(documents, nodes, chunks, runs, questions), path, before=errors)
+
+
+def export(built: DataFrame, path: str | None, shown: int = 20, before: DataFrame | None = None) -> DataFrame:
+    """Write bundles to path (None: only check them); returns their warnings. Raises Unsound with the first errors.
+
+    `before` has errors found in what the bundles were built from.
+    """
+    errors = before.orderBy("bundle_id", "path").limit(shown).collect() if before is not None else []
+    errors = errors or validation.errors(built).orderBy("bundle_id", "path", "rule").limit(shown).collect()
     if errors:
         raise Unsound(errors)
     if path is not None:

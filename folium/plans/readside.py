@@ -194,11 +194,11 @@ from q left join documents d on d.doc_id = q.node_id"""
 
 
 def strip_inline_options(spark: SparkSession, sf: str) -> DataFrame:
-    docs = S.table(spark, sf, "documents").select("doc_id", F.concat(F.substring("text", 1, 60), F.when(F.col("doc_id") % 2 == 0, " a) uno B. dos").otherwise(" fin")).alias("question_text"))
+    docs = S.table(spark, sf, "documents").select("doc_id", F.concat("text", F.when(F.col("doc_id") % 2 == 0, " a) uno B. dos").otherwise(" fin")).alias("question_text"))
     return generation.strip_options(docs)
 
 
-SQL["strip_inline_options"] = "select doc_id, trim(string_split_regex(substr(text, 1, 60) || case when doc_id % 2 = 0 then ' a) uno B. dos' else ' fin' end, '(?i)\\b[A-D][.)]\\s')[1], ' ' || chr(10)) as question_text from documents"
+SQL["strip_inline_options"] = "select doc_id, trim(string_split_regex(text || case when doc_id % 2 = 0 then ' a) uno B. dos' else ' fin' end, '(?i)\\b[A-D][.)]\\s')[1], ' ' || chr(10)) as question_text from documents"
 
 
 def question_shape(spark: SparkSession, sf: str) -> DataFrame:
@@ -221,13 +221,13 @@ select question_id, rule from (unpivot r on question_length, option_length, four
 def reconcile_batch(spark: SparkSession, sf: str) -> DataFrame:
     e = S.table(spark, sf, "events")
     responses = e.select(F.col("user_id").alias("batch"), F.col("event_id").alias("n"), F.when(F.col("event_id") % 3 == 0, F.concat(F.lit("own-"), F.col("event_id").cast("string"))).alias("key"))
-    requests = e.filter("event_id % 2 = 0").select(F.col("user_id").alias("batch"), F.col("event_id").alias("n"), F.concat(F.lit("request-"), F.col("event_id").cast("string")).alias("key"))
+    requests = e.select(F.col("user_id").alias("batch"), F.col("event_id").alias("n"), F.concat(F.lit("request-"), F.col("event_id").cast("string")).alias("key"))
     return generation.reconcile(responses, requests)
 
 
 SQL["reconcile_batch"] = """with r as (select user_id as batch, event_id as n, case when event_id % 3 = 0 then 'own-' || event_id end as key from events),
 p as (select *, case when key is null then sum(case when key is null then 1 else 0 end) over (partition by batch order by n) end as place from r),
-q as (select user_id as batch, 'request-' || event_id as by_place, row_number() over (partition by user_id order by event_id) as place from events where event_id % 2 = 0)
+q as (select user_id as batch, 'request-' || event_id as by_place, row_number() over (partition by user_id order by event_id) as place from events)
 select p.batch, p.n, coalesce(key, by_place) as key from p left join q on q.batch = p.batch and q.place = p.place"""
 
 

@@ -106,7 +106,7 @@ def nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Body elements as chunks of their sections: (doc_id, node_id, ordinal, text, page_start, page_end)."""
-    rows = hierarchy.body(annotated(spark, sf_dir)).filter("local_id is not null and pos % 2 = 0")
+    rows = hierarchy.body(annotated(spark, sf_dir)).filter("local_id is not null")
     return rows.select("doc_id", (F.col("doc_id") * 10000 + F.col("local_id")).alias("node_id"), F.col("pos").alias("ordinal"), "text", F.col("page_number").alias("page_start"), F.col("page_number").alias("page_end"))
 
 
@@ -116,8 +116,8 @@ def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     status = F.element_at(F.array(*map(F.lit, ("pending", "valid", "needs_review", "rejected"))), ((F.col("conv_id") + F.col("turn")) % 4 + 1).cast("int"))
     return rows.select(
         (F.col("conv_id") * 100 + F.col("turn")).alias("question_id"),
-        ((F.col("conv_id") % 200) * 10000 + F.col("turn") % 6).alias("node_id"),
-        (F.col("conv_id") % 200).alias("doc_id"),
+        (F.col("conv_id") * 10000 + F.col("turn") % 6).alias("node_id"),
+        F.col("conv_id").alias("doc_id"),
         (F.col("conv_id") % 7).alias("run_id"),
         F.col("turn").alias("generation_order"),
         F.col("text").alias("question_text"),
@@ -129,9 +129,9 @@ def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
 #: Sections, chunks and questions as above.
 STORE = f"""{CLASSIFIED},
 nodes as (select *, doc_id * 10000 + local_id as node_id from parents),
-chunks as (select doc_id, doc_id * 10000 + local_id as node_id, pos as ordinal, text, page_number as page_start, page_number as page_end from body where local_id is not null and pos % 2 = 0),
+chunks as (select doc_id, doc_id * 10000 + local_id as node_id, pos as ordinal, text, page_number as page_start, page_number as page_end from body where local_id is not null),
 questions as (
-  select conv_id * 100 + turn as question_id, (conv_id % 200) * 10000 + turn % 6 as node_id, conv_id % 200 as doc_id, conv_id % 7 as run_id, turn as generation_order,
+  select conv_id * 100 + turn as question_id, conv_id * 10000 + turn % 6 as node_id, conv_id as doc_id, conv_id % 7 as run_id, turn as generation_order,
     text as question_text, role as justification, ['pending', 'valid', 'needs_review', 'rejected'][(conv_id + turn) % 4 + 1] as status
   from conversations
 )"""
@@ -143,7 +143,7 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = F.when(F.col("o_orderkey") % 3 == 0, "gemini-2.5-pro").when(F.col("o_orderkey") % 3 == 1, "gemini-2.5-flash").otherwise("unknown-model")
     mode = F.when(F.col("o_orderstatus") == "F", "batch").otherwise("immediate")
     status = F.when(F.col("o_orderstatus") == "P", "running").when(F.col("o_orderkey") % 5 == 0, "running").otherwise("succeeded")
-    return o.select(F.col("o_orderkey").alias("run_id"), model.alias("model"), mode.alias("mode"), status.alias("status"), F.col("o_orderdate").alias("started_at"), F.col("o_totalprice").alias("cost_estimate_usd"), (F.col("o_custkey") % 200).alias("doc_id"))
+    return o.select(F.col("o_orderkey").alias("run_id"), model.alias("model"), mode.alias("mode"), status.alias("status"), F.col("o_orderdate").alias("started_at"), F.col("o_totalprice").alias("cost_estimate_usd"), F.col("o_custkey").alias("doc_id"))
 
 
 RUNS = """
@@ -151,6 +151,6 @@ runs as (
   select o_orderkey as run_id, case o_orderkey % 3 when 0 then 'gemini-2.5-pro' when 1 then 'gemini-2.5-flash' else 'unknown-model' end as model,
     case when o_orderstatus = 'F' then 'batch' else 'immediate' end as mode,
     case when o_orderstatus = 'P' or o_orderkey % 5 = 0 then 'running' else 'succeeded' end as status,
-    o_orderdate as started_at, o_totalprice as cost_estimate_usd, o_custkey % 200 as doc_id
+    o_orderdate as started_at, o_totalprice as cost_estimate_usd, o_custkey as doc_id
   from orders
 )"""

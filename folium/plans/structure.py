@@ -213,14 +213,14 @@ def profile_autodetect(spark: SparkSession, sf: str) -> DataFrame:
     phrases = F.element_at(F.array(*map(F.lit, ("LIBRO PRIMERO ", "TÍTULO PRIMERO Artículo 1 ", "Manual de campo ", "Artículo 2 ", "Nada "))), (F.col("doc_id") % 5 + 1).cast("int"))
     first = F.when(F.col("pos") == 3, F.concat(phrases, F.when(F.col("doc_id") % 10 == 0, "Código de ").otherwise(""), "text")).otherwise(F.col("text"))
     lines = elements.from_lines(S.table(spark, sf, "documents")).withColumn("text", first)
-    return elements.genres(lines, 1500)
+    return elements.genres(lines)
 
 
 SQL["profile_autodetect"] = """
 with l as (select doc_id, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) - 1 as pos from documents),
 e as (select doc_id, pos, case when pos = 3 then ['LIBRO PRIMERO ', 'TÍTULO PRIMERO Artículo 1 ', 'Manual de campo ', 'Artículo 2 ', 'Nada '][doc_id % 5 + 1] || case when doc_id % 10 = 0 then 'Código de ' else '' end || line else line end as text from l),
 b as (select *, coalesce(sum(length(text)) over (partition by doc_id order by pos rows between unbounded preceding and 1 preceding), 0) as before from e where text <> ''),
-s as (select doc_id, lower(string_agg(text, ' ' order by pos)) as t from b where before < 1500 group by doc_id),
+s as (select doc_id, lower(string_agg(text, ' ' order by pos)) as t from b where before < 4000 group by doc_id),
 f as (select doc_id, regexp_matches(t, '\\blibro\\s+primero\\b') as book, regexp_matches(t, '\\bt[íi]tulo\\s+primero\\b') as title, regexp_matches(t, '\\bart[íi]culo\\s+\\d') as article,
   contains(t, 'código de') or contains(t, 'codigo de') as code, regexp_matches(t, '\\b(primera|segunda|tercera)\\s+parte\\b') as part, contains(t, 'manual de') as manual from s)
 select d.doc_id, case when book and (title or article or code) then 'codigo_legal' when title and article and not book and not part then 'ley_organica'

@@ -1,11 +1,14 @@
 """The store of documents, sections, chunks, runs and questions: Parquet tables under one folder.
 
-Tables are append-only; what changes is a log, and the newest entry holds. A document's rows are written whole by
-one append a table, so that a reader sees all of a document's rows of a table or none.
+Tables are append-only; what changes is a log, and the newest entry holds. A document, its sections and its chunks are
+appended under the number of a save, and the save is logged last, by one append of one file: until then readers see
+the save before it. Saving a document again replaces it.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -23,34 +26,54 @@ SCHEMAS = {
 }
 
 
+#: Tables of which a document's newest logged save counts.
+SAVED = ("documents", "nodes", "chunks")
+_SAVES = "doc_id bigint, save_id string, saved_at timestamp"
+
+
 class Store:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
 
     def create(self) -> Store:
         """Empty tables where there are none yet."""
-        for name, schema in SCHEMAS.items():
-            self.spark.createDataFrame([], schema).write.mode("append").parquet(f"{self.path}/{name}")
+        for name in SCHEMAS:
+            self.spark.createDataFrame([], self._schema(name)).write.mode("append").parquet(f"{self.path}/{name}")
+        self.spark.createDataFrame([], _SAVES).write.mode("append").parquet(f"{self.path}/saves")
         return self
 
+    @staticmethod
+    def _schema(name: str) -> str:
+        return SCHEMAS[name] + ", save_id string" * (name in SAVED)
+
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.path}/{name}")
+        """The rows that hold: all of a log, of each document those of its newest save."""
+        rows = self.spark.read.schema(self._schema(name)).parquet(f"{self.path}/{name}")
+        if name not in SAVED:
+            return rows
+        saves = self.spark.read.schema(_SAVES).parquet(f"{self.path}/saves")
+        newest = saves.groupBy("doc_id").agg(F.max_by("save_id", F.struct("saved_at", "save_id")).alias("save_id"))
+        return rows.join(newest, ["doc_id", "save_id"], "left_semi").drop("save_id").select(*(f.name for f in self.spark.createDataFrame([], SCHEMAS[name]).schema))
 
     def append(self, name: str, rows: DataFrame) -> None:
-        columns = [f.name for f in self.spark.createDataFrame([], SCHEMAS[name]).schema]
+        columns = [f.name for f in self.spark.createDataFrame([], self._schema(name)).schema]
         rows.select(*(F.col(c) for c in columns)).write.mode("append").parquet(f"{self.path}/{name}")
 
     def save_document(self, documents: DataFrame, nodes: DataFrame, chunks: DataFrame) -> None:
         """Documents with their sections (doc_id, local_id, parent_pos, pos, …) and chunks (doc_id, local_id, …).
 
-        Node ids are doc_id and local_id in one number; chunks of unknown sections are left out.
+        Node ids are doc_id and local_id in one number; chunks of unknown sections are left out. A document that was
+        saved before is replaced; a save that fails half way leaves rows that no log names.
         """
+        save = F.lit(uuid.uuid4().hex).alias("save_id")
         number = lambda c: F.col("doc_id") * F.lit(1 << 20) + c
         above = nodes.select("doc_id", F.col("pos").alias("parent_pos"), F.col("local_id").alias("_up"))
         rows = nodes.join(above, ["doc_id", "parent_pos"], "left").withColumns({"node_id": number(F.col("local_id")), "parent_id": number(F.col("_up"))})
-        self.append("documents", documents)
-        self.append("nodes", rows)
-        self.append("chunks", chunks.join(nodes.select("doc_id", "local_id"), ["doc_id", "local_id"]).withColumn("node_id", number(F.col("local_id"))))
+        self.append("documents", documents.withColumn("save_id", save))
+        self.append("nodes", rows.withColumn("save_id", save))
+        self.append("chunks", chunks.join(nodes.select("doc_id", "local_id"), ["doc_id", "local_id"]).withColumns({"node_id": number(F.col("local_id")), "save_id": save}))
+        saved = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), save, F.current_timestamp().alias("saved_at"))
+        saved.distinct().coalesce(1).write.mode("append").parquet(f"{self.path}/saves")
 
     def save_questions(self, questions: DataFrame) -> None:
         """Questions with an array of options (role, text); their order is the array's, the role says which is correct."""

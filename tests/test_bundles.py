@@ -78,7 +78,7 @@ def test_warnings_and_counts(spark):
     rejected["runs"][0]["nodes_failed"] = 2
     items = frame(spark, [SOUND, empty, rejected])
     got = sorted((r["bundle_id"], r["rule"]) for r in validation.warnings(items).collect())
-    assert got == [("e", "no_questions"), ("e", "uncovered"), ("r", "failed_nodes"), ("r", "none_served")]
+    assert got == [("e", "no_questions"), ("e", "uncovered"), ("r", "failed_nodes"), ("r", "none_served"), ("r", "unserved_status")]
     counts = {r["bundle_id"]: (r["nodes"], r["chunks"], r["runs"], r["questions"], r["served"], r["status_rejected"]) for r in validation.counts(items).collect()}
     assert counts == {"s": (2, 1, 1, 1, 1, 0), "e": (2, 1, 1, 0, 0, 0), "r": (2, 1, 1, 1, 0, 1)}
 
@@ -105,3 +105,19 @@ def test_build_is_stable(spark):
     assert validation.errors(built).count() == 0 and '"edition":null' in bundles.as_json(built).first()["json"]
     row = built.first()
     assert [c["text"] for c in row["nodes"][0]["chunks"]] == ["a", "b"] and row["runs"][0]["cost_usd"] == 0.123457
+
+
+def test_cycles_stamps_and_secrets_anywhere(spark):
+    looped = copy.deepcopy(SOUND) | {"bundle_id": "loop"}
+    looped["nodes"][0]["parent_ref"] = looped["nodes"][1]["ref"]
+    looped["nodes"][1]["parent_ref"] = looped["nodes"][0]["ref"]
+    offset = copy.deepcopy(SOUND) | {"bundle_id": "offset", "generated_at": "2024-01-01T00:00:00+02:00"}
+    hidden = copy.deepcopy(SOUND) | {"bundle_id": "hidden"}
+    hidden["nodes"][0]["title"] = "sk-abcdefghijklmnopqrstuvwx"
+    hidden["questions"][0]["options"][1]["text"] = "AIzaSyA1234567890abcdefghij"
+    items = frame(spark, [SOUND, looped, offset, hidden])
+    got = {(r["bundle_id"], r["path"], r["rule"]) for r in validation.errors(items).collect()}
+    assert {("loop", "$.nodes", "cycle"), ("offset", "$", "generated_at"), ("hidden", "$.nodes[0].title", "openai_key"), ("hidden", "$.questions[0].options[1].text", "google_key")} <= got
+    assert not any(b == "s" for b, _, _ in got)
+    nodes = spark.createDataFrame([("b", "1", None), ("b", "2", "1"), ("b", "3", "4"), ("b", "4", "3"), ("b", "5", "3"), ("b", "6", "gone"), ("c", "1", "1")], "bundle_id string, ref string, parent_ref string")
+    assert sorted(map(tuple, validation.cycles(nodes).collect())) == [("b", "3"), ("b", "4"), ("b", "5"), ("c", "1")]

@@ -149,6 +149,12 @@ def test_ingest_fills_the_store(spark, tmp_path):
     assert nodes.filter("parent_id is null").count() == 2
     assert nodes.alias("a").join(nodes.alias("b"), F.expr("a.parent_id = b.node_id")).filter("not startswith(a.sort_key, b.sort_key || '.')").count() == 0
     assert {r["doc_id"] for r in store.table("chunks").select("doc_id").collect()} == {7, 8}
+    # saving again replaces, and rows that no save has logged are not there
+    before = {c: store.table(c).count() for c in ("documents", "nodes", "chunks")}
+    ingest.run(store, documents, rows).collect()
+    assert {c: store.table(c).count() for c in before} == before
+    store.append("documents", documents.withColumn("save_id", F.lit("half")))
+    assert store.table("documents").count() == 2
 
 
 def test_questions_and_reviews(spark, tmp_path):

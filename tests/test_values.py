@@ -80,6 +80,32 @@ def test_generation(spark):
     assert sorted((r["sort_key"], r["draft"], r["generation_order"]) for r in numbered.collect()) == [("01", 0, 1), ("01", 1, 2), ("02", 0, 3)]
 
 
+def test_overloads_wait_and_drafts(spark):
+    prompts = spark.createDataFrame([(1, "x")], "key long, prompt string")
+
+    def busy(prompt):
+        raise RuntimeError("503 overloaded")
+
+    row = generation.generate(prompts, busy, retries=3, wait=lambda attempt: 0.1 * (attempt + 1)).first()
+    assert row["error"] == "RuntimeError: 503 overloaded" and 0.29 < row["seconds"] < 5
+    assert 16 <= generation._wait(0) <= 20 and 121 <= generation._wait(3) <= 125
+    one = '{"question_text": "q", "justification": "j", "options": [{"role": "correct", "text": "a"}]}'
+    responses = spark.createDataFrame([(1, f"[{one}, {one}]", None), (2, "[]", None), (3, "no", None), (4, None, "gone"), (5, f"[{', '.join([one] * 6)}]", None)], "key long, response string, error string")
+    got = sorted((r["key"], r["draft"], r["question_text"], r["error"]) for r in generation.drafts(responses).collect())
+    assert got == [(1, 0, "q", None), (1, 1, "q", None), (2, None, None, "a response has one to five drafts"), (3, None, None, "not a list of drafts"), (4, None, None, "gone"), (5, None, None, "a response has one to five drafts")]
+
+
+def test_cost_totals(spark):
+    runs = spark.createDataFrame([(1, 7, "gemini-2.5-flash", "batch", 1000), (2, 8, "gemini-2.5-flash", "batch", 1000)], "run_id long, doc_id long, model string, mode string, doc_tokens long")
+    nodes = spark.createDataFrame([(7, 70), (7, 71), (7, 71)], "doc_id long, node_id long")
+    assert [(r["run_id"], r["n_questions"]) for r in cost.selected(nodes, runs).collect()] == [(1, 2)]
+    bundles = spark.createDataFrame([("a", [(0.5,), (None,), (0.25,)]), ("b", [])], "bundle_id string, runs array<struct<cost_usd:double>>")
+    assert {(r["bundle_id"], r["cost_usd"]) for r in cost.bundle_total(bundles).collect()} == {("a", 0.75), ("b", 0.0)}
+    rows = cost.scenarios(spark.createDataFrame([(1, 2, 4000), (2, 1, 400)], "doc_id long, n_chunks long, chars long"))
+    total = cost.scenario_totals(rows).first()
+    assert (total["documents"], total["n_chunks"], total["tokens"]) == (2, 3, 1100) and abs(total["batch_usd"] - sum(r["batch_usd"] for r in rows.collect())) < 1e-9
+
+
 def test_rules(spark):
     over = spark.createDataFrame([(1, '{"profile": "codigo_legal", "question_rules": {"forbidden_topics": [], "style_guide": "x"}}'), (2, "no json"), (3, None)], "doc_id long, metadata_json string")
     got = {r["doc_id"]: r for r in rules.merged(rules.table(spark), rules.from_metadata(over)).collect()}
