@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from folium.llm import attention, bpe, language_id, lm_scoring, subwords
 from folium.llm.queries import op6_language_id, word_vocabulary
+from folium.llm.shingles import word_spans
 
 SMALL = "/root/testdata/sf0.001"
 tokenizers = pytest.importorskip("tokenizers")
@@ -133,6 +134,39 @@ def test_scores(spark, common, monkeypatch):
     assert all(r["score"] < 0 for r in got)
 
 
+def test_scores_against_a_plain_mixture_and_the_base(spark, monkeypatch):
+    """score is the sum of mixed log10 probabilities, and on held-out texts the attention model alone beats the base."""
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect() if r["text"]]
+    tuned, fitted = lm_scoring.tuned, {}
+    monkeypatch.setattr(lm_scoring, "tuned", lambda model, pieces, *more: fitted.setdefault("model", (tuned(model, pieces, *more), pieces))[0])
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in lm_scoring.score(docs, language_id.fold(F.col("doc_id"), 5) == 1, word_vocabulary()).collect()}
+    model, pieces = fitted["model"]
+    held = [(i, t) for i, t in rows if crc32(str(i).encode()) % 5 == 1]
+    counts = Counter(w for i, t in rows if crc32(str(i).encode()) % 5 != 1 for w in [*words(t), "\n"])
+    divisor = sum(counts.values()) + 0.5 * (len(counts) + 1)
+    alone = base = 0
+    for i, t in held:
+        ws = words(t)
+        data = np.frombuffer(" ".join(ws).encode(), np.uint8)
+        starts, ends, first = word_spans(data, np.array([0, len(data)]))
+        ids, n = subwords.cut(pieces, data, starts, ends)
+        stream, lengths = lm_scoring._streams(pieces, ids, n, first)
+        places, _, count = attention.window_places(lengths)
+        z = attention.forward(model.weights, stream[places])[0]
+        logs = np.zeros(len(stream))
+        nxt = places[count] + 1
+        logs[nxt] = z[count, model.classes[stream[nxt]]] + model.shares[stream[nxt]]
+        per = [x.sum() for x in np.split(logs[1:-1], np.cumsum(n)[:-1])] + [logs[-1]]
+        share = [(counts[w] + 0.5) / divisor for w in [*ws, "\n"]]
+        want = sum(math.log10(0.5 * s + 0.5 * math.exp(p)) for s, p in zip(share, per, strict=True))
+        assert abs(got[i]["score"] - want) < 1e-3 * len(share)
+        alone += sum(per) / math.log(10)
+        base += got[i]["base_score"]
+    print("held-out log10:", alone, base, sum(got[i]["score"] for i, _ in held))
+    assert alone > base and sum(got[i]["score"] for i, _ in held) > base
+
+
 def test_scores_without_training_or_rows(spark):
     docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     row = lm_scoring.score(docs, F.lit(True), word_vocabulary()).first()
@@ -142,8 +176,6 @@ def test_scores_without_training_or_rows(spark):
 
 def test_pieces_rebuild_words():
     data = np.frombuffer("the theory étude \U0001f600x 10".encode(), np.uint8)
-    from folium.llm.shingles import word_spans
-
     starts, ends, _ = word_spans(data, np.array([0, len(data)]))
     pieces = subwords.chosen(word_vocabulary(), data, starts, ends, 50)
     ids, counts = subwords.cut(pieces, data, starts, ends)
