@@ -84,12 +84,14 @@ def test_attention_gradients_and_scores():
     model = attention.train(streams, 10, epochs=1)
     w = {k: v.astype(np.float64) for k, v in model.weights.items()}
     ids = rng.integers(0, 10, (2, attention.WINDOW))
-    target = rng.integers(0, attention.CLASSES, ids.shape)
-    loss = lambda: -np.take_along_axis(attention.forward(w, ids)[0], target[..., None], -1).sum()
-    z, kept = attention.forward(w, ids)
-    dz = np.exp(z)
-    np.put_along_axis(dz, target[..., None], np.take_along_axis(dz, target[..., None], -1) - 1, -1)
-    for name, g in attention.backward(w, kept, dz).items():
+    target = rng.integers(0, 10, ids.size)
+    hidden = lambda: attention.forward(w, ids)[0].reshape(ids.size, -1)
+    loss = lambda: -attention.choose(w, model.groups, hidden(), target)[0].sum()
+    _, kept = attention.forward(w, ids)
+    _, dr, grads = attention.choose(w, model.groups, hidden(), target, 1.0)
+    grads |= attention.backward(w, kept, dr.reshape(*ids.shape, -1))
+    assert sorted(grads) == sorted(w)
+    for name, g in grads.items():
         place = tuple(rng.integers(0, n) for n in w[name].shape)
         if name == "embed":
             place = (ids[0, 3], 2)
@@ -100,11 +102,9 @@ def test_attention_gradients_and_scores():
         w[name][place] += 1e-5
     whole, lengths = np.concatenate(streams), np.array([len(s) for s in streams])
     places, _, counts = attention.window_places(lengths)
-    slow = attention.forward(model.weights, whole[places])[0]
     want = np.zeros(len(whole))
-    want[places[counts] + 1] = slow[counts, model.classes[whole[places[counts] + 1]]]
-    want += model.shares[whole]
-    want[np.cumsum(lengths) - lengths] = 0
+    nxt = places[counts] + 1
+    want[nxt] = all_logs(model, attention.forward(model.weights, whole[places])[0][counts])[np.arange(len(nxt)), whole[nxt]]
     assert np.abs(want - attention.score(model, whole, lengths)).max() < 1e-4
     # what follows a place has no part in its score
     other = whole.copy()
@@ -112,9 +112,26 @@ def test_attention_gradients_and_scores():
     assert np.allclose(attention.score(model, other, lengths)[:30], attention.score(model, whole, lengths)[:30], atol=1e-5)
 
 
-def test_classes_share_all_probability():
-    classes, shares = attention.subword_classes(np.arange(300) % 150, 200, attention.CLASSES)
-    assert np.allclose(np.bincount(classes, np.exp(shares), attention.CLASSES)[np.unique(classes)], 1, atol=1e-4)
+def all_logs(model: attention.Model, r: np.ndarray) -> np.ndarray:
+    """The logs of all subwords' probabilities after each hidden layer, in a plain way."""
+    w, groups = model.weights, model.groups
+    log_softmax = lambda z: z - np.log(np.exp(z.astype(np.float64)).sum(1, keepdims=True))
+    first, out = log_softmax(r @ w["out"] + w["prior"]), np.empty((len(r), len(groups.of)))
+    for k in range(len(groups.edges) - 1):
+        members = np.flatnonzero(groups.of == k)
+        at = groups.place[members]
+        out[:, members] = first[:, [k]] + log_softmax(r @ w["member"][:, at] + w["usual"][at])
+    return out
+
+
+def test_groups_hold_each_subword_once_and_share_all_probability():
+    stream = np.arange(300) % 150
+    groups = attention.subword_groups(stream, 200, attention.GROUPS)
+    assert sorted(groups.place) == list(range(200)) and groups.edges[-1] == 200 and (np.diff(groups.edges) > 0).all()
+    assert ((groups.edges[groups.of] <= groups.place) & (groups.place < groups.edges[groups.of + 1])).all()
+    model = attention.train([stream], 200, epochs=1)
+    r = attention.forward(model.weights, stream[:48].reshape(2, 24))[0].reshape(48, -1)
+    assert np.allclose(np.exp(all_logs(model, r)).sum(1), 1, atol=1e-4)
 
 
 @pytest.mark.parametrize("common", [1, 50, 1 << 19])
@@ -153,10 +170,9 @@ def test_scores_against_a_plain_mixture_and_the_base(spark, monkeypatch):
         ids, n = subwords.cut(pieces, data, starts, ends)
         stream, lengths = lm_scoring._streams(pieces, ids, n, first)
         places, _, count = attention.window_places(lengths)
-        z = attention.forward(model.weights, stream[places])[0]
         logs = np.zeros(len(stream))
         nxt = places[count] + 1
-        logs[nxt] = z[count, model.classes[stream[nxt]]] + model.shares[stream[nxt]]
+        logs[nxt] = all_logs(model, attention.forward(model.weights, stream[places])[0][count])[np.arange(len(nxt)), stream[nxt]]
         per = [x.sum() for x in np.split(logs[1:-1], np.cumsum(n)[:-1])] + [logs[-1]]
         share = [(counts[w] + 0.5) / divisor for w in [*ws, "\n"]]
         want = sum(math.log10(0.5 * s + 0.5 * math.exp(p)) for s, p in zip(share, per, strict=True))
