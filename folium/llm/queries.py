@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folium.llm import bpe, language_id, lm_scoring, mixing, near_dedup, nearest, quality_rules, scratch, sharding, url_filter
+from folium.llm import bpe, divergence, filter_audit, language_id, lm_scoring, mixing, near_dedup, nearest, quality_model, quality_rules, scratch, sharding, url_filter
 from folium.llm.suffix_dedup import without_repeats
 
 
@@ -74,8 +74,24 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "source", "n_chars", F.sha2("text", 256).alias("text_sha256"), "copy", "copies", "place")
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
+def op12_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "labels")
+    held_out = F.coalesce(language_id.fold(F.col("doc_id"), 5) == 0, F.lit(False))
+    scored = quality_model.score(docs, labels, ~held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    flags = filter_audit.failures(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return filter_audit.audit(flags, "ABCDE")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_suffix_dedup, op2_near_dedup, op3_url_filter, op4_lm_scores, op5_quality_rules, op6_language_id, op7_sharding, op8_nearest, op9_bpe, op10_source_mix)}
+    return {f.__name__: f for f in (op1_suffix_dedup, op2_near_dedup, op3_url_filter, op4_lm_scores, op5_quality_rules, op6_language_id, op7_sharding, op8_nearest, op9_bpe, op10_source_mix, op11_source_divergence, op12_quality_model, op13_filter_audit)}
 
 
 def _url_sql() -> str:
@@ -167,5 +183,55 @@ from d join (select i, copies, unnest(range(1, copies + 1)) as copy from counts)
 """
 
 
+_DIVERGENCE_SQL = """
+with d as (select row_number() over () as r, coalesce(lang, '') as lang, coalesce(source, '') as source,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t from documents),
+w as (select r, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) as term from d),
+k as (select lang, term from w group by all having count(distinct r) >= 10),
+c as (select lang, source, term, count(*) as n from w join k using (lang, term) group by all),
+g as (select distinct lang, source from d),
+dense as (select g.lang, g.source, k.term, coalesce(c.n, 0)::hugeint as n from g join k using (lang) left join c on c.lang = g.lang and c.source = g.source and c.term = k.term),
+ps as (select lang, source, term, n, (1 + 1000000000 * (n + 2) // (sum(n) over w + 2 * count(*) over w))::hugeint as p from dense window w as (partition by lang, source)),
+whole as (select lang, term, sum(n)::hugeint as n from dense group by all),
+qs as (select lang, term, (1 + 1000000000 * (n + 2) // (sum(n) over w + 2 * count(*) over w))::hugeint as q from whole window w as (partition by lang)),
+sums as (select a.lang, a.source, b.source as item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p))::bigint as value
+  from ps a join ps b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all),
+pairs as (select a.lang, a.source, 'pair' as part, b.source as item, coalesce(sums.value, 0) as value
+  from g a join g b on a.lang = b.lang and a.source <> b.source left join sums on sums.lang = a.lang and sums.source = a.source and sums.item = b.source),
+terms as (select ps.lang, ps.source, 'term' as part, ps.term as item, ((p - q) * (p - q) // (p + q))::bigint as value
+  from ps join qs on ps.lang = qs.lang and ps.term = qs.term where n > 0 and p > q)
+select lang, source, part, item, value, rank::int as rank
+from (select *, row_number() over (partition by lang, source, part order by value desc, item) as rank from (from pairs union all from terms))
+where part = 'pair' or rank <= 10
+"""
+
+_AUDIT_SQL = """
+with t as (select doc_id, coalesce(source, '') as part, coalesce(text, '') as t from documents),
+w as (select *, list_filter(regexp_split_to_array(t, '[ \x09-\x0D]+'), lambda x: x <> '') as w, min(doc_id) over (partition by t) as first from t),
+f as (
+  select doc_id, part, case when len(w) < 50 then 'A' else '' end
+    || case when 100 * len(list_distinct(w)) < 65 * len(w) then 'B' else '' end
+    || case when 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 5 * length(t) then 'C' else '' end
+    || case when regexp_matches(t, '[#$%&*|]') then 'D' else '' end
+    || case when first < doc_id then 'E' else '' end as fails
+  from w
+),
+l as (select doc_id, bool_or(coalesce(quality = 1, false)) as good, bool_or(coalesce(toxic = 1, false)) as toxic from labels group by doc_id),
+m as (select part, fails, count(*) as n, count(*) filter (good) as good, count(*) filter (toxic) as toxic from f left join l on f.doc_id = l.doc_id group by part, fails),
+x as (select unnest(['A', 'B', 'C', 'D', 'E']) as x),
+o as (select a.x || b.x || c.x || d.x || e.x as o from x a, x b, x c, x d, x e where len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+s as (select o, step::int as step, substr(o, step, 1) as letter, string_split(left(o, step - 1), '') as earlier from o, range(1, 6) r(step)),
+j as (select m.*, o, step, letter, contains(fails, letter) as here, list_has_any(earlier, string_split(fails, '')) and fails <> '' and step > 1 as gone from m, s),
+counts as (
+  select part, o as filter_order, step, letter, coalesce(sum(n) filter (not gone and not here), 0)::bigint as kept,
+    coalesce(sum(n) filter (not gone and here), 0)::bigint as removed, coalesce(sum(n) filter (gone and here), 0)::bigint as redundant,
+    coalesce(sum(n) filter (fails = letter), 0)::bigint as unique_fails, coalesce(sum(good) filter (not gone and here), 0)::bigint as good_lost,
+    coalesce(sum(toxic) filter (not gone and here), 0)::bigint as toxic_lost
+  from j group by part, o, step, letter
+)
+select * exclude (letter), (sum(removed) over (partition by part, letter))::bigint as shapley from counts
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_url_filter": _url_sql(), "op5_quality_rules": _QUALITY_SQL, "op7_sharding": _SHARDS_SQL, "op10_source_mix": _MIX_SQL}
+    return {"op3_url_filter": _url_sql(), "op5_quality_rules": _QUALITY_SQL, "op7_sharding": _SHARDS_SQL, "op10_source_mix": _MIX_SQL, "op11_source_divergence": _DIVERGENCE_SQL, "op13_filter_audit": _AUDIT_SQL}

@@ -168,5 +168,6 @@ def test_stores_keep_columns_of_any_name(spark):
     store.compact()
     assert sorted(map(repr, store.read().select(*docs.columns).collect())) == sorted(map(repr, docs.collect()))
     # an arrival's rows come together before they are written
-    first = store.read(1).select(F.input_file_name().alias("f"), "shard_").distinct()
-    assert first.count() == 10
+    folder = {r["folder"] for r in store.manifest(1).collect()}.pop()
+    files = store._read(folder).select(F.col("_metadata.file_path").alias("f"), "shard").distinct()
+    assert files.count() == 10 and files.select("shard").distinct().count() == 10
