@@ -7,12 +7,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from folium import shared
 from folium.functions.text import option_key, strip
 from folium.operators.explore import STATUSES
 
@@ -71,27 +71,33 @@ def header_errors(bundles: DataFrame) -> DataFrame:
         (~F.coalesce(F.col("generated_at").rlike(STAMP), F.lit(False)), "generated_at", "not an ISO stamp"),
         (F.col("nodes").isNull() | F.col("runs").isNull() | F.col("questions").isNull(), "lists", "nodes, runs and questions must be lists"),
     ]
-    return reduce(DataFrame.unionByName, [_found(bundles, bad, root, rule, message) for bad, rule, message in rules])
+    return _broken(bundles, root, rules)
 
 
 def cycles(nodes: DataFrame) -> DataFrame:
-    """(bundle_id, ref) of sections whose way up never ends. One bundle's sections, which came in one row, are one group."""
+    """(bundle_id, ref) of sections whose way up never ends: in a circle, or below one.
+
+    Pointer doubling: each round a section's link jumps over twice as many ancestors as before, and drops out where the
+    way ends. Whoever is left after more jumps than its bundle has sections goes round. So a chain of n sections takes
+    log2(n) joins, whose rows shrink; of a ref that stands twice the smaller parent counts.
+    """
+    keys = nodes.filter("ref is not null").groupBy("bundle_id", "ref").agg(F.min("parent_ref").alias("up"))
+    most = keys.groupBy("bundle_id").agg(F.count("*").alias("most"))
+    left, path = shared.stored(keys.filter("up is not null").join(most, "bundle_id").select("bundle_id", "ref", "up", "most"))
+    jumped = 1
+    while not left.filter(F.col("most") >= jumped).isEmpty():
+        over = left.select("bundle_id", F.col("ref").alias("up"), F.col("up").alias("next"))
+        behind = path
+        left, path = shared.stored(left.join(over, ["bundle_id", "up"]).select("bundle_id", "ref", F.col("next").alias("up"), "most"))
+        shared.delete(nodes.sparkSession, behind)
+        jumped *= 2
+    return left.select("bundle_id", "ref")
 
-    def looped(rows: pd.DataFrame) -> pd.DataFrame:
-        above = dict(zip(rows["ref"], rows["up"], strict=True))
-        state: dict[str, bool] = {}  # whether the way up goes round
-        for ref in above:
-            way, on_way = [], set()
-            while ref in above and ref not in state and ref not in on_way:
-                way.append(ref)
-                on_way.add(ref)
-                ref = above[ref]
-            round_ = ref in on_way or state.get(ref, False)
-            state.update((r, round_) for r in way)
-        return rows.loc[rows["ref"].map(state), ["bundle_id", "ref"]]
 
-    left = nodes.filter("parent_ref is not null and ref is not null").select("bundle_id", "ref", F.col("parent_ref").alias("up"))
-    return left.groupBy("bundle_id").applyInPandas(looped, "bundle_id string, ref string")
+def _broken(rows: DataFrame, path: Column, rules: list[tuple[Column, str, str]]) -> DataFrame:
+    """Findings by all rules in one pass: of each row the array of those that it breaks."""
+    told = F.array(*(F.when(F.coalesce(bad, F.lit(False)), F.struct(F.lit(rule).alias("rule"), F.lit(message).alias("message"))) for bad, rule, message in rules))
+    return rows.select("bundle_id", path.alias("path"), F.explode(F.filter(told, lambda e: e.isNotNull())).alias("e")).select("bundle_id", "path", "e.rule", "e.message")
 
 
 def node_errors(bundles: DataFrame) -> DataFrame:
@@ -106,8 +112,7 @@ def node_errors(bundles: DataFrame) -> DataFrame:
     looped = cycles(rows).groupBy("bundle_id").agg(F.min("ref").alias("ref"))
     true = F.lit(True)
     return reduce(DataFrame.unionByName, [
-        _found(rows, bad, _at("nodes"), "node_fields", "a text is missing, blank or too long"),
-        _found(rows, numbers, _at("nodes"), "node_numbers", "a number is missing or negative"),
+        _broken(rows, _at("nodes"), [(bad, "node_fields", "a text is missing, blank or too long"), (numbers, "node_numbers", "a number is missing or negative")]),
         _found(_repeated(rows.filter("ref is not null"), ["ref"]), true, _at("nodes"), "node_ref_unique", "ref is repeated"),
         _found(chunks, F.col("ordinal").isNull() | (F.col("ordinal") < 0) | F.col("text").isNull() | (strip(F.col("text")) == ""), chunk_path, "chunk_fields", "a chunk's text or ordinal is wrong"),
         _found(_repeated(chunks, ["i", "ordinal"], "j"), true, chunk_path, "chunk_ordinal_unique", "ordinal is repeated"),
@@ -121,14 +126,14 @@ def run_errors(bundles: DataFrame) -> DataFrame:
     rows = runs_of(bundles)
     counters = reduce(lambda a, b: a | b, [F.coalesce(F.col(c) < 0, F.lit(True)) for c in ("nodes_total", "nodes_completed", "nodes_failed")])
     stamp = lambda c: ~F.coalesce(F.col(c).rlike(STAMP), F.lit(False))
-    return reduce(DataFrame.unionByName, [
-        _found(rows, _text(F.col("ref"), LIMITS["ref"] * 4) | _text(F.col("model"), LIMITS["model"]), _at("runs"), "run_fields", "a text is missing, blank or too long"),
-        _found(_repeated(rows, ["ref"]), F.lit(True), _at("runs"), "run_ref_unique", "ref is repeated"),
-        _found(rows, ~F.coalesce(F.col("mode").isin(*MODES), F.lit(False)), _at("runs"), "run_mode", "unknown mode"),
-        _found(rows, ~F.coalesce(F.col("status").isin(*RUN_STATUSES), F.lit(False)), _at("runs"), "run_status", "unknown status, or still running"),
-        _found(rows, stamp("started_at") | (F.col("completed_at").isNotNull() & stamp("completed_at")), _at("runs"), "run_stamps", "not an ISO stamp"),
-        _found(rows, counters | F.coalesce(F.col("cost_usd") < 0, F.lit(False)), _at("runs"), "run_counters", "a counter is missing or negative"),
+    own = _broken(rows, _at("runs"), [
+        (_text(F.col("ref"), LIMITS["ref"] * 4) | _text(F.col("model"), LIMITS["model"]), "run_fields", "a text is missing, blank or too long"),
+        (~F.coalesce(F.col("mode").isin(*MODES), F.lit(False)), "run_mode", "unknown mode"),
+        (~F.coalesce(F.col("status").isin(*RUN_STATUSES), F.lit(False)), "run_status", "unknown status, or still running"),
+        (stamp("started_at") | (F.col("completed_at").isNotNull() & stamp("completed_at")), "run_stamps", "not an ISO stamp"),
+        (counters | F.coalesce(F.col("cost_usd") < 0, F.lit(False)), "run_counters", "a counter is missing or negative"),
     ])
+    return own.unionByName(_found(_repeated(rows, ["ref"]), F.lit(True), _at("runs"), "run_ref_unique", "ref is repeated"))
 
 
 def question_errors(bundles: DataFrame) -> DataFrame:
@@ -149,7 +154,7 @@ def question_errors(bundles: DataFrame) -> DataFrame:
         (F.size(F.array_distinct(texts)) < F.size(texts), "option_texts", "two options say the same"),
         (F.size(F.array_distinct(places)) < F.size(places), "option_order", "two options have the same place"),
     ]
-    parts = [_found(rows, bad, _at("questions"), rule, message) for bad, rule, message in found]
+    parts = [_broken(rows, _at("questions"), found)]
     parts.append(_found(rows.join(nodes, ["bundle_id", "node_ref"], "left_anti"), F.lit(True), _at("questions"), "node_exists", "node_ref names no section"))
     parts.append(_found(rows.join(runs, ["bundle_id", "run_ref"], "left_anti"), F.lit(True), _at("questions"), "run_exists", "run_ref names no run"))
     parts.append(_found(_repeated(rows, ["run_ref", "node_ref"]), F.lit(True), _at("questions"), "pair_unique", "a run has one question a section"))

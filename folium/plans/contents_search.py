@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from folium.functions import text as T
 from folium.operators import contents, quality, search
 from folium.plans import standins as S
+from folium.sources.bundles import next_versions
 
 SQL: dict[str, str] = {}
 
@@ -174,8 +175,9 @@ SQL["run_ref_iso"] = f"with {S.RUNS} select run_id, strftime(started_at, '%Y-%m-
 
 def slug_version(spark: SparkSession, sf: str) -> DataFrame:
     """Parts as codes; their sizes are the versions that files have."""
-    p = S.table(spark, sf, "part").select(T.slug(F.concat(F.lit(" "), "p_brand", F.lit("_Ñ/"), "p_type", F.lit("--."))).alias("slug"), "p_size")
-    return p.groupBy("slug").agg((F.coalesce(F.max("p_size"), F.lit(0)) + 1).alias("next_version"))
+    slug = T.slug(F.concat(F.lit(" "), "p_brand", F.lit("_Ñ/"), "p_type", F.lit("--.")))
+    name = F.concat(slug, F.lit("--2024010"), (F.col("p_partkey") % 9 + 1).cast("string"), F.lit("--v"), F.col("p_size").cast("string"), F.when(F.col("p_partkey") % 2 == 0, ".json").otherwise(".json.gz"))
+    return next_versions(S.table(spark, sf, "part").select(name.alias("name")))
 
 
 SQL["slug_version"] = "select coalesce(nullif(regexp_replace(regexp_replace(lower(trim(' ' || p_brand || '_Ñ/' || p_type || '--.')), '[^a-z0-9._-]+', '-', 'g'), '^[-.]+|[-.]+$', '', 'g'), ''), 'manual') as slug, max(p_size) + 1 as next_version from part group by 1"

@@ -47,7 +47,7 @@ def normalise(items: DataFrame, extractor: str) -> DataFrame:
     """
     bare = strip(F.coalesce("text", F.lit("")))
     marker = strip(F.coalesce("marker", F.lit("")))
-    text = F.when((marker != "") & ~bare.startswith(marker), F.concat(marker, F.lit(" "), bare)).otherwise(bare)
+    text = F.when((marker != "") & ~bare.startswith(marker), strip(F.concat(marker, F.lit(" "), bare))).otherwise(bare)
     place = F.try_element_at("prov", F.lit(1))
     page = F.coalesce(place["page_no"], F.lit(0))
     rows = items.select("doc_id", "pos", page.alias("page_number"), (page - 1).alias("physical_page_index"), kind_of(F.col("label"), extractor).alias("kind"), text.alias("text"), place["bbox"].alias("bbox"))
@@ -90,6 +90,29 @@ READERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {"cache": lambda
 
 
 def reader(name: str) -> Callable[[SparkSession, str], DataFrame]:
-    if name not in READERS:
-        raise ValueError(f"unknown extractor {name!r}; known: {sorted(READERS)}")
-    return READERS[name]
+    from folium.sources import extractors
+
+    known = READERS | extractors.READERS
+    if name not in known:
+        raise ValueError(f"unknown extractor {name!r}; known: {sorted(known)}")
+    return known[name]
+
+
+def cached(spark: SparkSession, path: str, wanted: DataFrame) -> DataFrame:
+    """Of wanted (doc_id, source_path, code) the cached results: those named by the source's stem, else by the code.
+
+    Cache files are {name}.{extractor}.json, one result each, the first extractor in order if there are several; what
+    can't be parsed counts as not cached. In codes any run of other characters than letters and digits is alike.
+    Returns (doc_id, found_by, elements); found_by is stem, code or null.
+    """
+    files = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.json")
+    name = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)(?:\.[^.]*)?\.json$", 1)
+    files = files.select(name.alias("name"), F.from_json("value", RESULT.replace("doc_id bigint, ", "")).alias("r")).filter("r.elements is not null")
+    files = files.groupBy("name").agg(F.min_by("r.elements", "r.extractor").alias("elements"))
+    loose = lambda c: F.regexp_replace(F.lower(c), r"[^\p{L}\p{N}]+", "-")
+    names = files.select(F.explode(F.array(F.struct(F.lit("stem").alias("found_by"), F.col("name").alias("name")), F.struct(F.lit("code").alias("found_by"), loose(F.col("name")).alias("name")))).alias("n"), "elements").select("n.*", "elements")
+    names = names.groupBy("found_by", "name").agg(F.min_by("elements", F.to_json("elements")).alias("elements"))
+    stem = F.regexp_replace(F.regexp_extract("source_path", r"([^/]*)$", 1), r"\.[^.]*$", "")
+    asked = wanted.select("doc_id", F.explode(F.array(F.struct(F.lit(0).alias("rank"), F.lit("stem").alias("found_by"), stem.alias("name")), F.struct(F.lit(1).alias("rank"), F.lit("code").alias("found_by"), loose(F.col("code")).alias("name")))).alias("a")).select("doc_id", "a.*")
+    best = asked.join(names, ["found_by", "name"]).groupBy("doc_id").agg(F.min_by(F.struct("found_by", "elements"), "rank").alias("b"))
+    return wanted.select("doc_id").join(best, "doc_id", "left").select("doc_id", "b.found_by", "b.elements")
