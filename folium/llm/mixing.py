@@ -1,12 +1,12 @@
 """Mixing of sources to target weights: each document comes a Poisson number of times, in a global random order.
 
-The number is the inverse of the Poisson distribution at a point that a hash of the document's id and a seed
-gives, so that any task draws the same number again.
+The number is the inverse of the Poisson distribution at a point that a hash of the whole row, its number among
+equal rows and a seed gives, so that any task draws the same number again.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folium.llm.columns import free_names, numbered
@@ -16,6 +16,8 @@ from folium.llm.scratch import Scratch
 TEMPERATURE = 0.5
 #: Rates above this are drawn as sums of several numbers, so that exp(-rate) stays exact.
 MAX_RATE = 100.0
+#: Equal rows are numbered in groups of about so many.
+EQUAL_ROWS = 4096
 
 
 def _point(*parts: Column) -> Column:
@@ -46,16 +48,42 @@ def rates(docs: DataFrame, source: str = "source", weights: dict[str | None, flo
     return counted.select("src", "n", share.alias("share"), (share * F.lit(size * total["n"]) / F.col("n")).alias("rate"))
 
 
-def mix(docs: DataFrame, source: str = "source", doc_id: str = "doc_id", weights: dict[str | None, float] | None = None, size: float = 1.0, seed: int = 0, shuffled: bool = True) -> DataFrame:
+def digest(columns: list[Column]) -> Column:
+    """md5 of a row's values as text, in order; nulls differ from all texts."""
+    return F.md5(F.concat_ws("\x1f", *(F.coalesce(F.concat(F.lit("v"), c.cast("string")), F.lit("n")) for c in columns)))
+
+
+def _numbered_equals(rows: DataFrame) -> DataFrame:
+    """`rows` with digest and number: 0 for rows unlike all others, 1, 2, ... among equal ones.
+
+    Only equal rows are shuffled, and a group of any size is dealt to several tasks, each of which numbers its part
+    behind those before; which of two equal rows has which number makes no difference.
+    """
+    spark = rows.sparkSession
+    own = rows.columns
+    rows = rows.withColumn("digest", digest([F.col(c) for c in own]))
+    repeated = Scratch(spark).keep(rows.groupBy("digest").agg(F.count("*").alias("equals")).filter("equals > 1"))
+    single = rows.join(repeated, "digest", "left_anti").select(*own, "digest", F.lit(0).cast("long").alias("number"))
+    many = rows.join(repeated, "digest").withColumn("deal", F.expr(f"pmod(monotonically_increasing_id(), ceil(equals / {EQUAL_ROWS}))"))
+    many = many.withColumn("number", F.row_number().over(Window.partitionBy("digest", "deal").orderBy(F.lit(0))))
+    many = Scratch(spark).keep(many.select(*own, "digest", "deal", "number"))
+    before = Window.partitionBy("digest").orderBy("deal").rowsBetween(Window.unboundedPreceding, -1)
+    deals = many.groupBy("digest", "deal").agg(F.count("*").alias("n")).withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    many = many.join(deals, ["digest", "deal"]).select(*own, "digest", (F.col("before") + F.col("number")).alias("number"))
+    return single.unionByName(many)
+
+
+def mix(docs: DataFrame, source: str = "source", weights: dict[str | None, float] | None = None, size: float = 1.0, seed: int = 0, shuffled: bool = True) -> DataFrame:
     """All columns of docs, each row as often as drawn, with copy (from 1), copies, rate and place, the global order.
 
-    Rows are in the order of `place`, dealt to tasks by equal ranges of it. Rows with equal ids draw equal numbers,
-    nulls too; a null source is a source of its own. No rows give no rows; texts play no part and may have any
-    length. Of the new columns, those whose names docs has get underscores.
+    Rows are in the order of `place`, dealt to tasks by equal ranges of it. Every row is drawn by itself, whatever its
+    id: rows with null or equal ids, and rows that are equal throughout, draw different numbers. A null source is a
+    source of its own. No rows give no rows; texts of any length play no part but for the draw. Of the new columns,
+    those whose names docs has get underscores.
     """
     names = free_names(docs.columns, ("copy", "copies", "rate", "place"))
     own = [f"c{k}" for k in range(len(docs.columns))]
-    src, key = (F.col(f"c{docs.columns.index(c)}") for c in (source, doc_id))
+    src = F.col(f"c{docs.columns.index(source)}")
     table = rates(docs, source, weights, size)
     # cumulated probabilities of 0, 1, 2, ... for one part of the rate; beyond the last the rest is below 1e-16
     parts = f"cast(greatest(1, ceil(rate / {MAX_RATE})) as int)"
@@ -64,12 +92,12 @@ def mix(docs: DataFrame, source: str = "source", doc_id: str = "doc_id", weights
     steps = f"aggregate(sequence(1, {last}), struct(exp(-m) as p, array(exp(-m)) as c), (a, k) -> struct(a.p * m / k as p, array_append(a.c, a.c[k - 1] + a.p * m / k) as c), a -> a.c)"
     # a row for each source; where the planner doesn't send it to all tasks, Spark can split a large source
     table = Scratch(docs.sparkSession).keep(table.selectExpr("src", "rate", "parts", f"{steps} as cdf"))
-    key = F.coalesce(key.cast("string"), F.lit(""))
-    drawn = numbered(docs).join(table, src.eqNullSafe(F.col("src")), "left")
+    key = F.concat_ws(":", "digest", F.col("number").cast("string"))
+    drawn = _numbered_equals(numbered(docs)).join(table, src.eqNullSafe(F.col("src")), "left")
     count = F.aggregate(F.sequence(F.lit(1), F.col("parts")), F.lit(0), lambda a, i: a + F.size(F.filter("cdf", lambda c: c <= _point(F.lit(str(seed)), key, i.cast("string")))))
-    drawn = drawn.select(*own, "rate", count.alias("copies")).filter("copies > 0")
+    drawn = drawn.select(*own, "rate", count.alias("copies"), key.alias("key")).filter("copies > 0")
     drawn = drawn.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-    order = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(f"place {seed}"), key, F.col("copy").cast("string"))), 1, 15), 16, 10).cast("long")
+    order = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(f"place {seed}"), F.col("key"), F.col("copy").cast("string"))), 1, 15), 16, 10).cast("long")
     drawn = drawn.select(*own, "copy", "copies", "rate", order.alias("place"))
     if shuffled:
         # places are even over 60 bits, so equal ranges need no sampling pass

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from folium.llm.columns import free_names
 from folium.llm.scratch import Scratch
 
 #: The rules, each true where a document fails it.
@@ -74,13 +75,17 @@ def judge(docs: DataFrame, text: str = "text", host: str = "source", keep: tuple
 
     base_failed: fewer than ten words, or more than a fifth of the words in repeated runs of five. kept is false
     for those, and for all documents of hosts that fail a rule at a shrunk rate over max_rate. Rows with null ids,
-    texts or hosts and repeated rows are judged like others. Other columns of docs play no part.
+    texts or hosts and repeated rows are judged like others, texts of any length are judged whole, and no rows give
+    none. Of the new columns, those whose names are among the kept ones get underscores; other columns play no part.
     """
     columns = tuple(dict.fromkeys((*keep, host)))
+    inside = tuple(f"c{k}" for k in range(len(columns)))
     own = Scratch(docs.sparkSession)
-    measured = own.keep(measures(docs, text, columns))
+    measured = own.keep(measures(docs.select(*(F.col(c).alias(k) for c, k in zip(columns, inside, strict=True)), F.col(text).alias("text")), "text", inside))
+    its_host = inside[columns.index(host)]
     # a small table of known size: the planner sends it to all tasks while it is small, else splits large hosts
-    verdicts = own.keep(host_rates(measured, host).groupBy("host").agg(F.max("rate").alias("host_rate")))
-    rows = measured.join(verdicts, F.col(host).eqNullSafe(F.col("host")), "left").drop("host")
+    verdicts = own.keep(host_rates(measured, its_host).groupBy("host").agg(F.max("rate").alias("host_rate")))
+    rows = measured.join(verdicts, F.col(its_host).eqNullSafe(F.col("host")), "left").drop("host")
     failed = F.expr(f"({RULES['too_short']}) or ({RULES['repetitive']})")
-    return rows.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & (F.col("host_rate") <= max_rate))
+    rows = rows.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & (F.col("host_rate") <= max_rate))
+    return rows.toDF(*columns, *free_names(columns, rows.columns[len(columns) :]))

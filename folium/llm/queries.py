@@ -166,7 +166,8 @@ select doc_id, shard, strlen(coalesce(text, ''))::bigint as n_bytes from documen
 """
 
 _MIX_SQL = """
-with d as (select row_number() over () as i, * from documents),
+with e as (select row_number() over () as i, *, md5(concat_ws(chr(31), coalesce('v' || doc_id::varchar, 'n'), coalesce('v' || text, 'n'), coalesce('v' || lang, 'n'), coalesce('v' || source, 'n'), coalesce('v' || n_chars::varchar, 'n'))) as digest from documents),
+d as (select *, digest || ':' || case when count(*) over (partition by digest) = 1 then 0 else row_number() over (partition by digest order by i) end as key from e),
 s as (select source, count(*) as n, sqrt(count(*)) as w from documents group by source),
 r as (select source, (w / sum(w) over ()) * (sum(n) over ())::double / n as rate from s),
 parts as (select source, rate, greatest(1, ceil(rate / 100.0))::int as parts, rate / greatest(1, ceil(rate / 100.0)) as m from r),
@@ -174,11 +175,11 @@ steps as (select source, rate, parts, m, unnest(range(0, ceil(m + 12 * sqrt(m) +
 logs as (select *, sum(case when k = 0 then -m else ln(m / k) end) over (partition by source order by k) as p from steps where m > 0),
 cdf as (select source, k, parts, sum(exp(p)) over (partition by source order by k) as c from logs),
 u as (
-  select i, d.source, part, ('0x' || substr(md5('0:' || coalesce(doc_id::varchar, '') || ':' || part), 1, 13))::bigint / 4503599627370496.0 as u
+  select i, d.source, part, ('0x' || substr(md5('0:' || key || ':' || part), 1, 13))::bigint / 4503599627370496.0 as u
   from d join (select source, unnest(range(1, parts + 1)) as part from parts) x on d.source is not distinct from x.source
 ),
 counts as (select i, sum((select count(*) from cdf where cdf.source is not distinct from u.source and cdf.c <= u.u))::int as copies from u group by i)
-select doc_id, source, n_chars, sha256(text) as text_sha256, copy::int as copy, copies, ('0x' || substr(md5('place 0:' || coalesce(doc_id::varchar, '') || ':' || copy), 1, 15))::bigint as place
+select doc_id, source, n_chars, sha256(text) as text_sha256, copy::int as copy, copies, ('0x' || substr(md5('place 0:' || key || ':' || copy), 1, 15))::bigint as place
 from d join (select i, copies, unnest(range(1, copies + 1)) as copy from counts) using (i)
 """
 

@@ -1,4 +1,6 @@
 import itertools
+import math
+from collections import Counter
 
 import duckdb
 import pytest
@@ -107,12 +109,40 @@ def test_mixing(spark):
 def test_poisson_shares(spark):
     docs = spark.range(20000).selectExpr("id as doc_id", "'s' as source")
     got = {r["copies"]: r["n"] for r in mixing.mix(docs).filter("copy = 1").groupBy("copies").agg(F.count("*").alias("n")).collect()}
-    import math
-
     for k in (1, 2, 3):
         assert abs(got[k] / 20000 - math.exp(-1) / math.factorial(k)) < 0.012
 
 
+@pytest.mark.parametrize("group", [4096, 37])
+def test_null_and_repeated_ids_are_drawn_one_by_one(spark, group, monkeypatch):
+    monkeypatch.setattr(mixing, "EQUAL_ROWS", group)
+    equal = spark.range(2000).selectExpr("cast(null as long) as doc_id", "'s' as source", "'same' as text")
+    other = spark.range(2000).selectExpr("7L as doc_id", "'s' as source", "concat('text ', id) as text")
+    got = mixing.mix(equal.unionByName(other).repartition(6)).filter("copy = 1").collect()
+    for rows in ([r for r in got if r["text"] == "same"], [r for r in got if r["doc_id"] == 7]):
+        drawn = Counter(r["copies"] for r in rows)
+        assert all(abs(drawn[k] / 2000 - math.exp(-1) / math.factorial(k)) < 0.04 for k in (1, 2, 3))
+        assert len({r["place"] for r in rows}) == len(rows)
+    again = mixing.mix(other.unionByName(equal).repartition(3)).filter("copy = 1").collect()
+    assert sorted(r["place"] for r in again) == sorted(r["place"] for r in got)
+
+
+def test_equal_rows_are_numbered_without_gaps(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "EQUAL_ROWS", 10)
+    rows = [(None, None)] * 95 + [(None, "")] * 3 + [(1, "n")] + [(1, "v")] * 2
+    found = mixing._numbered_equals(spark.createDataFrame(rows, "c0 int, c1 string").repartition(4)).collect()
+    got = sorted((repr(r["c0"]), repr(r["c1"]), r["number"]) for r in found)
+    want = [*(("None", "None", k) for k in range(1, 96)), *(("None", "''", k) for k in range(1, 4)), ("1", "'n'", 0), ("1", "'v'", 1), ("1", "'v'", 2)]
+    assert got == sorted(want)
+
+
+@pytest.mark.parametrize("name", ["host", "t", "n_words", "rate", "c0", "source"])
+def test_a_host_column_of_any_name(spark, name):
+    docs = spark.createDataFrame([(1, "a few plain words that are read here and there now", "h"), (2, None, None)], f"doc_id long, text string, `{name}` string")
+    found = quality_rules.judge(docs, host=name)
+    assert found.columns[:2] == ["doc_id", name] and sorted(r[1] or "" for r in found.collect()) == ["", "h"]
+
+
 def test_shards_round_trip_and_versions(spark):
     store = sharding.ShardStore(spark, scratch.folder(spark), target=4000)
     rows = [(k, "x" * (k % 50), None if k % 3 else "s") for k in range(600)] + [(None, None, None), (5, "dup", "s"), (5, "dup", "s")]
