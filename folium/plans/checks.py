@@ -266,7 +266,7 @@ def contract_json(spark: SparkSession, sf: str) -> DataFrame:
 
 
 SQL["contract_json"] = r"""with q(x) as (select '"'), iso as (select o_orderkey, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') as stamp, strftime(o_orderdate, '%Y%m%dT%H%M%SZ') as flat from orders),
-c as (select l_orderkey, string_agg('{"ordinal":' || l_linenumber || ',"text":"' || l_returnflag || '\"' || l_linestatus || '","char_count":3,"page_start":1,"page_end":2,"has_table":' || (l_linenumber = 2) || ',"has_image_ref":false,"metadata":{}}', ',' order by l_linenumber) as j,
+c as (select l_orderkey, string_agg('{"ordinal":' || l_linenumber || ',"text":"' || l_returnflag || '\"' || l_linestatus || '","char_count":3,"page_start":1,"page_end":2,"has_table":' || (l_linenumber = 2) || ',"has_image_ref":false,"metadata":{}}', ',' order by l_linenumber, l_returnflag, l_linestatus) as j,
   string_agg('{"role":"' || ['correct', 'confusa', 'distractor', 'distractor'][l_linenumber] || '","order_in_question":' || l_linenumber || ',"text":"o' || l_linenumber || '","is_correct":' || (l_linenumber = 1) || ',"metadata":{}}', ',' order by l_linenumber) filter (l_linenumber <= 4) as o from lineitem group by 1),
 n as (select o_custkey, string_agg('{"ref":"' || lpad(o_orderkey::varchar, 12, '0') || '","parent_ref":' || coalesce('"' || lpad(p.k::varchar, 12, '0') || '"', 'null') || ',"level":1,"level_label":"Capítulo","ordinal":"I","title":"' || o_orderpriority || '","breadcrumb":"' || o_orderstatus || '","page_start":1,"page_end":null,"is_anexo":' || (o_orderkey % 5 = 0) || ',"metadata":{},"chunks":[' || coalesce(c.j, '') || ']}', ',' order by o_orderkey) as j
   from orders left join c on l_orderkey = o_orderkey left join (select o_orderkey as k from orders) p on o_orderkey % 4 <> 0 and p.k = o_orderkey - 1 group by 1),
