@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from folium import shared
 from folium.functions import text as T
 from folium.operators import contents, quality, search
 from folium.plans import standins as S
 from folium.sources.bundles import next_versions
+from folium.sources.postings import Index
 
 SQL: dict[str, str] = {}
 
@@ -129,8 +131,9 @@ select p.doc_id, p.page, arg_max(n.local_id, n.level * 100000 + n.local_id) as l
 
 
 def bm25_topk(spark: SparkSession, sf: str) -> DataFrame:
-    docs = S.table(spark, sf, "documents").select(F.col("doc_id").alias("chunk_id"), "text")
-    return search.bm25(search.index(docs), search.parse("the of"), 50).select("chunk_id", F.round("rank", 9).alias("rank"))
+    index = Index(spark, shared.folder(spark))
+    index.apply(S.table(spark, sf, "documents").select(F.col("doc_id").alias("key"), "text"))
+    return index.top(search.parse("the of"), 50).select(F.col("key").alias("chunk_id"), F.round("rank", 9).alias("rank"))
 
 
 _TOKENS = "tokens as (select doc_id as chunk_id, unnest(list_filter(regexp_split_to_array(translate(lower(text), 'áàâäãåéèêëíìîïóòôöõúùûüñçýÿ', 'aaaaaaeeeeiiiiooooouuuuncyy'), '[^\\pL\\pN]+'), lambda x: x <> '')) as token, generate_subscripts(list_filter(regexp_split_to_array(translate(lower(text), 'áàâäãåéèêëíìîïóòôöõúùûüñçýÿ', 'aaaaaaeeeeiiiiooooouuuuncyy'), '[^\\pL\\pN]+'), lambda x: x <> ''), 1) as pos from documents)"
@@ -143,20 +146,54 @@ from s, t where a > 0 and b > 0 order by -(greatest(1e-6, ln((n - da + 0.5) / (d
 
 def phrase_search(spark: SparkSession, sf: str) -> DataFrame:
     docs = S.table(spark, sf, "documents").select(F.col("doc_id").alias("chunk_id"), "text")
-    return search.hits(search.index(docs), search.parse('"of the" OR "de la" AND une'))
+    return search.hits(search.index(docs), search.parse('("of the" NOT NEAR("of the" and, 3)) OR "de la" AND (une OR NEAR(la en que, 6))'))
 
 
 SQL["phrase_search"] = f"""with {_TOKENS},
-two as (select a.chunk_id, a.token || ' ' || b.token as p from tokens a join tokens b on a.chunk_id = b.chunk_id and b.pos = a.pos + 1 where a.token in ('of', 'de'))
-select distinct chunk_id from two where p = 'of the' or (p = 'de la' and chunk_id in (select chunk_id from tokens where token = 'une'))"""
+two as (select a.chunk_id, a.token || ' ' || b.token as p, a.pos from tokens a join tokens b on a.chunk_id = b.chunk_id and b.pos = a.pos + 1 where a.token in ('of', 'de')),
+near as (select distinct a.chunk_id from two a join tokens b on a.chunk_id = b.chunk_id and b.token = 'and' where p = 'of the' and (b.pos >= a.pos and b.pos - a.pos <= 5 or a.pos >= b.pos and a.pos - b.pos <= 4)),
+w as (select chunk_id, token, pos from tokens where token in ('la', 'en', 'que')),
+clump as (select distinct x.chunk_id from w x where (select count(distinct y.token) from w y where y.chunk_id = x.chunk_id and y.pos >= x.pos and y.pos - x.pos <= 7) = 3)
+select distinct chunk_id from two where p = 'of the' and chunk_id not in (from near)
+  or p = 'de la' and (chunk_id in (select chunk_id from tokens where token = 'une') or chunk_id in (from clump))"""
 
 
 def search_excerpts(spark: SparkSession, sf: str) -> DataFrame:
     docs = S.table(spark, sf, "documents").select(F.col("doc_id").alias("chunk_id"), "text")
-    query = search.parse("the")
+    query = search.parse("the OR of OR und OR que")
     return docs.join(search.hits(search.index(docs), query), "chunk_id", "left_semi").select("chunk_id", search.excerpt(F.col("text"), query).alias("excerpt"))
 
 
+SQL["search_excerpts"] = r"""with d as (select doc_id as chunk_id, regexp_split_to_array(regexp_replace(text, '^[ \t\n\x0B\f\r]+|[ \t\n\x0B\f\r]+$', '', 'g'), '[ \t\n\x0B\f\r]+') as ws from documents),
+p as (select chunk_id, unnest(ws) as w, generate_subscripts(ws, 1) - 1 as spot from d),
+h as (select *, list_distinct(list_filter(regexp_split_to_array(lower(w), '[^\pL\pN]+'), lambda x: x in ('the', 'of', 'und', 'que'))) as found from p),
+e as (select chunk_id, spot, unnest(found) as word from h),
+n as (select a.chunk_id, a.spot, count(distinct b.word) as n from (select distinct chunk_id, spot from e) a join e b on b.chunk_id = a.chunk_id and b.spot >= a.spot and b.spot < a.spot + 16 group by 1, 2),
+best as (select chunk_id, spot as first from n qualify row_number() over (partition by chunk_id order by n desc, spot) = 1),
+lasts as (select b.chunk_id, b.first, max(m) as last from best b join (select chunk_id, word, spot as m from e) x on x.chunk_id = b.chunk_id and m >= first and m < first + 16
+  and not exists (select 1 from e y where y.chunk_id = x.chunk_id and y.word = x.word and y.spot >= first and y.spot < x.m) group by 1, 2),
+s as (select chunk_id, greatest(0, first - ceil((16 - (last - first + 1)) / 2.0))::int as start from lasts)
+select h.chunk_id, case when any_value(start) > 0 then '…' else '' end || string_agg(case when len(found) > 0 then '<mark>' || w || '</mark>' else w end, ' ' order by spot) filter (spot >= start and spot < start + 16) || case when max(spot) + 1 > any_value(start) + 16 then '…' else '' end as excerpt
+from h join s on s.chunk_id = h.chunk_id group by h.chunk_id"""
+
+
+def index_generations(spark: SparkSession, sf: str) -> DataFrame:
+    """All texts, then the Spanish ones in capitals with another word and the German ones deleted, then merged."""
+    docs = S.table(spark, sf, "documents").select(F.col("doc_id").alias("key"), "text", "lang")
+    index = Index(spark, shared.folder(spark))
+    index.apply(docs)
+    index.apply(docs.filter("lang = 'es'").select("key", F.concat(F.upper("text"), F.lit(" quetzal")).alias("text")))
+    index.apply(docs.filter("lang = 'de'").select("key", F.lit(None).cast("string").alias("text")))
+    before = index.hits(search.parse("quetzal OR der OR the")).select(F.lit("before").alias("stage"), F.col("key").alias("chunk_id"))
+    before, _ = shared.stored(before)
+    index.merge()
+    return before.unionByName(index.top(search.parse("quetzal OR der OR the"), 1 << 30).select(F.lit("merged").alias("stage"), F.col("key").alias("chunk_id")))
+
+
+SQL["index_generations"] = f"""with {_TOKENS}, h as (select distinct doc_id as chunk_id from documents left join tokens on chunk_id = doc_id where lang = 'es' or (lang is distinct from 'de' and token in ('der', 'the')))
+select unnest(['before', 'merged']) as stage, chunk_id from h"""
+
+
 def index_backfill(spark: SparkSession, sf: str) -> DataFrame:
     docs = S.table(spark, sf, "documents").select(F.col("doc_id").alias("chunk_id"), "text", "lang")
     have = search.index(docs.filter("lang = 'en'"))
@@ -218,4 +255,4 @@ def guess_code(spark: SparkSession, sf: str) -> DataFrame:
 SQL["guess_code"] = """with p as (select p_partkey, p_brand, case when p_partkey % 2 = 0 then 'manual_dn m ' || p_partkey else replace(p_name, ' ', '-') end || '.v2' as stem from part)
 select p_partkey, case when p_partkey % 2 = 0 then 'DN M ' || p_partkey else replace(stem, '_', ' ') end as code, trim(translate(stem, '_-', '  ')) as title, case when starts_with(upper(p_brand), 'CJM') then 'JUS_MIL' else 'OPS_MIL' end as subject from p"""
 
-QUERIES = [toc_density_runs, toc_entries, toc_confidence, toc_gaps, page_offset_mode, asof_page_node, bm25_topk, phrase_search, search_excerpts, index_backfill, run_ref_iso, slug_version, sha256_digest, roman_to_int, page_labels, guess_code]
+QUERIES = [toc_density_runs, toc_entries, toc_confidence, toc_gaps, page_offset_mode, asof_page_node, bm25_topk, phrase_search, search_excerpts, index_generations, index_backfill, run_ref_iso, slug_version, sha256_digest, roman_to_int, page_labels, guess_code]

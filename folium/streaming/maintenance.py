@@ -6,16 +6,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from folium.operators import search
+from folium.sources.postings import Index
 
 
-def keep_index(texts: DataFrame, path: str, checkpoint: str, key: str = "chunk_id") -> StreamingQuery:
-    """Append the tokens of arriving texts (key, text) to the index at path; a batch that runs again replaces its own."""
+def keep_index(changes: DataFrame, index: Index, checkpoint: str, merge_beyond: int = 16) -> StreamingQuery:
+    """Keep an index in step with a stream of (key, text): new and changed texts come in, null texts take theirs away.
 
-    def add(batch: DataFrame, number: int) -> None:
-        search.index(batch, key).withColumn("batch", F.lit(number)).write.mode("overwrite").parquet(f"{path}/batch={number}")
+    A batch is one generation under its own number among the batches, so that one that runs again changes nothing;
+    beyond so many generations they are merged.
+    """
 
-    return texts.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    def follow(batch: DataFrame, number: int) -> None:
+        # merges take odd numbers behind those of the batches that they stand for
+        index.apply(batch.select("key", "text"), 2 * number)
+        if len(index.generations()) > merge_beyond:
+            index.merge()
+
+    return changes.writeStream.foreachBatch(follow).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def newest_status(reviews: DataFrame, delay: str = "1 day") -> DataFrame:
