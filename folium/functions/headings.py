@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column
@@ -71,6 +72,20 @@ def profile(name: str) -> Profile:
     return PROFILES[name]
 
 
+#: The profiles that documents are told to have.
+TOLD = ("manual", "codigo_legal", "ley_organica")
+
+
+def under(chosen: Profile | None, f: Callable[[Profile], Column]) -> Column:
+    """f under one profile, or with None under that which each row names in its column `profile`."""
+    if chosen is not None:
+        return f(chosen)
+    out = F.when(F.col("profile") == TOLD[0], f(profile(TOLD[0])))
+    for name in TOLD[1:]:
+        out = out.when(F.col("profile") == name, f(profile(name)))
+    return out
+
+
 def match(text: Column, kind: str, level: int | None = None) -> Column:
     """The heading of one kind that the text is, or null."""
     pattern, ordinal_at, title_at = PATTERNS[kind]
@@ -143,7 +158,7 @@ def depth_label(depth: Column) -> Column:
 
 
 def without_prefix(title: Column) -> Column:
-    """A contents title without its first two words, if they name a heading; else the title itself."""
+    """A contents title without its first two words, if they name a heading and more follow; else the title itself."""
     words = F.split(strip(title), r"(?U)\s+", 3)
-    names = F.lower(words[0]).rlike(r"(?U)^(parte|libro|t[íi]tulo|cap[íi]tulo|secci[óo]n|subsecci[óo]n|art[íi]culo|anexo)$")
-    return F.when(names & (F.size(words) == 3), strip(F.get(words, F.lit(2)))).when(names, F.lit("")).otherwise(title)
+    names = F.lower(words[0]).rlike(r"(?U)^(cap[íi]tulo|secci[óo]n|subsecci[óo]n|anexo|libro|t[íi]tulo|art[íi]culo)$")
+    return F.when(names & (F.size(words) == 3), strip(F.get(words, F.lit(2)))).otherwise(title)

@@ -2,14 +2,10 @@
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
 from dataclasses import dataclass
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from folium.functions.text import strip
@@ -42,41 +38,34 @@ def sizes_for(profile: str) -> Sizes:
     return MANUALS if profile.startswith("manual") else LEGAL
 
 
-def _value(part: str) -> int | None:
-    found = re.match(FRACTION, part.strip(), re.IGNORECASE)
-    if found and found.group(1).upper() in ROMANS:
-        return ROMANS.index(found.group(1).upper()) + 1
-    return None
-
-
-def reorder(parts: list[str]) -> list[str]:
-    """Fractions that stand behind a later article go back behind the nearest lower fraction, MOVES times at most."""
-    parts = list(parts)
-    if len(parts) < 3:
-        return parts
-    article = [bool(re.match(ARTICLE, p.strip(), re.IGNORECASE)) for p in parts]
-    value = [_value(p) for p in parts]
-    for _ in range(MOVES):
-        for i in range(1, len(parts)):
-            if not value[i] or value[i] < 2:
-                continue
-            lower = next((j for j in range(i - 1, -1, -1) if value[j] and value[j] < value[i]), None)
-            if lower is not None and any(article[lower:i]):
-                for row in (parts, article, value):
-                    row.insert(lower + 1, row.pop(i))
-                break
-        else:
-            break
-    return parts
+def reordered(parts: Column) -> Column:
+    """Fractions that stand behind a later article go back behind the nearest lower fraction, MOVES times at most.
+
+    One fold finds the first fraction to move: it keeps the last place of each fraction and of an article. What it finds
+    is cut out and put back by slices, and the search begins anew.
+    """
+    romans = F.array(*map(F.lit, ROMANS))
+    number = lambda x: F.array_position(romans, F.upper(F.regexp_extract(strip(x), "(?iU)" + FRACTION, 1))).cast("int")
+    items = F.transform(parts, lambda x: F.struct(x.alias("text"), number(x).alias("value"), strip(x).rlike("(?iU)" + ARTICLE).alias("article")))
+    none = F.lit(-1)
+
+    def look(a: Column, x: Column) -> Column:
+        lower = F.when(x["value"] >= 2, F.array_max(F.slice(a["last"], F.lit(1), F.greatest(x["value"] - 1, F.lit(1))))).otherwise(none)
+        here = (a["at"] < 0) & (lower >= 0) & (a["article"] >= lower)
+        last = F.when(x["value"] > 0, F.transform(a["last"], lambda e, k: F.when(k == x["value"] - 1, a["i"]).otherwise(e))).otherwise(a["last"])
+        return F.struct((a["i"] + 1).alias("i"), last.alias("last"), F.when(x["article"], a["i"]).otherwise(a["article"]).alias("article"), F.when(here, a["i"]).otherwise(a["at"]).alias("at"), F.when(here, lower).otherwise(a["behind"]).alias("behind"))
 
+    start = F.struct(F.lit(0).alias("i"), F.array_repeat(none, len(ROMANS)).alias("last"), none.alias("article"), none.alias("at"), none.alias("behind"))
 
-def _reordered(parts: Column) -> Column:
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
-            yield batch.map(lambda x: None if x is None else reorder(list(x)))
+    def move(x: Column) -> Column:
+        def put(f: Column) -> Column:
+            moved = F.concat(F.slice(x, F.lit(1), f["behind"] + 1), F.slice(x, f["at"] + 1, F.lit(1)), F.slice(x, f["behind"] + 2, f["at"] - f["behind"] - 1), F.slice(x, f["at"] + 2, F.size(x)))
+            return F.when(f["at"] < 0, x).otherwise(moved)
 
-    run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
-    return F.pandas_udf(run, T.ArrayType(T.StringType()))(parts)
+        return F.element_at(F.transform(F.array(F.aggregate(x, start, look)), put), 1)
+
+    mended = F.aggregate(F.sequence(F.lit(1), F.lit(MOVES)), items, lambda x, _: move(x))
+    return F.transform(mended, lambda x: x["text"])
 
 
 def parts_of(body: Column) -> Column:
@@ -97,21 +86,18 @@ def section_text(parts: Column) -> Column:
 
 
 def gather(frame: DataFrame, body: str = "body") -> DataFrame:
-    """Adds text, has_table and has_image_ref to rows with an array of elements; order is mended where it can be wrong.
-
-    Only the few sections that hold both an article and a fraction go through Python; the others pass as nulls.
-    """
+    """Adds text, has_table and has_image_ref to rows with an array of elements; order is mended where it can be wrong:
+    in the few sections that hold both an article and a fraction."""
     frame = frame.withColumn("_parts", parts_of(F.col(body)))
     doubtful = (F.size("_parts") >= 3) & F.exists("_parts", lambda x: strip(x).rlike("(?iU)" + ARTICLE)) & F.exists("_parts", lambda x: strip(x).rlike("(?iU)" + FRACTION))
-    frame = frame.withColumn("_mended", _reordered(F.when(doubtful, F.col("_parts"))))
     flags = {"has_table": F.exists(body, lambda x: x["kind"] == "table"), "has_image_ref": F.exists(body, lambda x: x["kind"] == "figure")}
-    return frame.withColumns({"text": section_text(F.coalesce("_mended", "_parts"))} | flags).drop("_parts", "_mended")
+    return frame.withColumns({"text": section_text(F.when(doubtful, reordered(F.col("_parts"))).otherwise(F.col("_parts")))} | flags).drop("_parts")
 
 
 _BODY = "array<struct<pos:int, kind:string, text:string>>"
 
 
-def merged(nodes: DataFrame, body: DataFrame, merge: int = MANUALS.merge) -> DataFrame:
+def merged(nodes: DataFrame, body: DataFrame, merge: int | Column = MANUALS.merge) -> DataFrame:
     """Nodes that keep text, with body, text and flags: texts shorter than `merge` have gone to their parents.
 
     Level by level from the deepest: a node's elements are its own, then those of the children that came up, the
@@ -120,7 +106,7 @@ def merged(nodes: DataFrame, body: DataFrame, merge: int = MANUALS.merge) -> Dat
     """
     own = body.filter("local_id is not null").groupBy("doc_id", "local_id").agg(F.array_sort(F.collect_list(F.struct(F.col("pos").cast("int").alias("pos"), "kind", "text"))).alias("body"))
     rows = nodes.join(own, ["doc_id", "local_id"], "left").withColumn("body", F.coalesce("body", F.expr(f"cast(array() as {_BODY})")))
-    if not merge:
+    if isinstance(merge, int) and not merge:
         return gather(rows.filter("not is_anexo")).filter("text != ''")
     rows = rows.withColumn("_came", F.expr(f"cast(array() as array<struct<local_id:bigint, body:{_BODY}>>)"))
     for level in range(DEEPEST, -1, -1):

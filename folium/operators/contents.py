@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from folium.functions import headings
 from folium.functions.text import is_roman_only, match_key, page_number, strip
+from folium.operators import elements as E
 from folium.operators.hierarchy import with_places
 
 # How lines of contents, levels and depths look, and when pages count as contents.
@@ -100,13 +101,70 @@ def summary(lines: DataFrame, found: DataFrame) -> DataFrame:
     return out.withColumn("found", (F.col("confidence") >= MIN_CONFIDENCE) & (F.col("n_entries") >= MIN_ENTRIES))
 
 
-def as_nodes(found: DataFrame, profile: headings.Profile = headings.MANUAL) -> DataFrame:
-    """Contents entries as sections: their titles' kind, or the label of their depth; places as in the body's tree."""
-    rows = found.withColumn("pos", F.col("line_number") * 2 + F.col("n")).withColumn("h", headings.classify(F.col("title"), profile))
-    rows = rows.withColumns({"level": F.coalesce("h.level", F.least("depth", F.lit(3))), "level_label": F.coalesce("h.label", headings.depth_label(F.col("depth"))), "ordinal": F.coalesce("h.ordinal", F.lit("")), "page_start": F.col("page")})
+def as_nodes(found: DataFrame, profile: headings.Profile | None = headings.MANUAL) -> DataFrame:
+    """Contents entries as sections: their titles' kind, or the label of their depth; places as in the body's tree.
+
+    section_title is what follows the heading's name and number in the title, or the title without such a name.
+    """
+    rows = found.withColumn("pos", F.col("line_number") * 2 + F.col("n")).withColumn("h", headings.under(profile, lambda p: headings.classify(F.col("title"), p)))
+    said = F.coalesce(F.nullif(F.col("h.remainder"), F.lit("")), headings.without_prefix(F.col("title")))
+    rows = rows.withColumns({"level": F.coalesce("h.level", F.least("depth", F.lit(3))), "level_label": F.coalesce("h.label", headings.depth_label(F.col("depth"))), "ordinal": F.coalesce("h.ordinal", F.lit("")), "page_start": F.col("page"), "section_title": said, "is_anexo": F.coalesce("h.is_anexo", F.lit(False))})
     return with_places(rows).drop("h")
 
 
+def found_in(elements: DataFrame) -> DataFrame:
+    """The entries of documents in which a table of contents is found, with last_page, the last of the pages it stands on.
+
+    It stands on the first run of pages that look like one. elements are lines with doc_id, pos, page_number and text;
+    contents that are too short or unsure are no contents.
+    """
+    pages = elements.groupBy("doc_id", F.col("page_number").alias("page")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "text"))), lambda x: x["text"]), "\n").alias("text"))
+    runs = page_runs(pages)
+    lines = elements.join(runs, "doc_id").filter(F.col("page_number").between(F.col("first_page"), F.col("last_page"))).select("doc_id", "pos", "text")
+    said = entries(lines)
+    sure = summary(lines, said).filter("found").select("doc_id")
+    return said.join(sure, "doc_id", "left_semi").join(runs.select("doc_id", "last_page"), "doc_id")
+
+
+def annotate(found: DataFrame, elements: DataFrame, profile: headings.Profile | None = headings.MANUAL) -> DataFrame:
+    """Elements of documents with contents, dealt to the entries as sections: rows as hierarchy.annotate gives them.
+
+    Entries are sections, the title being what follows the heading's name. An element that is the heading of an entry
+    (the same name and number, and titles that agree) opens its section; of several entries that with the nearest
+    page. Elements behind belong to the section opened last, those before the first to the deepest section that begins on
+    their printed page or before. All other elements but furniture are body, headings that no entry names among them.
+    Where found says on which page the contents end (last_page), nothing up to there opens a section.
+    """
+    if profile is None:
+        found = found.join(elements.select("doc_id", "profile").distinct(), "doc_id")
+    nodes = as_nodes(found, profile)
+    heading = F.struct(F.lit("").alias("kind"), F.col("level").cast("int").alias("level"), F.col("level_label").alias("label"), "ordinal", F.lit("").alias("remainder"), F.col("is_anexo"))
+    carried = ["profile"] * (profile is None)
+    heads = nodes.select("doc_id", "pos", F.col("page_start").alias("page_number"), F.lit("heading").alias("kind"), F.col("title").alias("text"), heading.alias("heading"), F.col("section_title").alias("title"), F.col("level").cast("int").alias("level"), F.col("local_id"), "parent_pos", "sort_key", F.lit(None).cast("bigint").alias("owner"), F.lit(False).alias("is_body"), *carried)
+
+    ahead = page_offset(found, elements)
+    rows = E.kept(elements, profile).filter(~F.col("kind").isin(*E.FURNITURE)).withColumn("h", headings.under(profile, lambda p: headings.classify(F.col("text"), p)))
+    if "last_page" in found.columns:
+        ahead = found.groupBy("doc_id").agg(F.max("last_page").alias("last_page")).join(ahead, "doc_id", "left")
+        rows = rows.join(ahead, "doc_id", "left").withColumn("h", F.when(F.col("page_number") > F.col("last_page"), F.col("h")))
+    else:
+        rows = rows.join(ahead, "doc_id", "left")
+    rows = rows.withColumn("printed", F.col("page_number") - F.coalesce("offset", F.lit(0)))
+    opens = rows.filter("h is not null").select("doc_id", "pos", "printed", F.col("h.label").alias("level_label"), F.col("h.ordinal").alias("ordinal"), match_key(F.col("h.remainder")).alias("own"))
+    named = nodes.select("doc_id", "local_id", "level_label", "ordinal", "page_start", match_key(F.col("section_title")).alias("want"))
+    agree = (F.col("own") == "") | (F.col("want") == "") | F.col("own").contains(F.col("want")) | F.col("want").contains(F.col("own"))
+    met = opens.join(named, ["doc_id", "level_label", "ordinal"]).filter(agree)
+    met = met.groupBy("doc_id", "pos").agg(F.min_by("local_id", F.struct(F.abs(F.col("printed") - F.col("page_start")), "local_id")).alias("opened"))
+    rows = rows.join(met, ["doc_id", "pos"], "left")
+    so_far = Window.partitionBy("doc_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = rows.withColumn("active", F.last("opened", ignorenulls=True).over(so_far))
+    by_page = page_node(rows.filter("active is null").select("doc_id", F.col("printed").alias("page")).distinct(), nodes)
+    rows = rows.join(by_page.select("doc_id", F.col("page").alias("printed"), F.col("local_id").alias("of_page")), ["doc_id", "printed"], "left")
+    owner = F.coalesce("active", "of_page").cast("bigint")
+    body = rows.filter("opened is null").select("doc_id", "pos", "page_number", "kind", "text", F.lit(None).cast(heads.schema["heading"].dataType).alias("heading"), F.lit(None).cast("string").alias("title"), F.lit(None).cast("int").alias("level"), F.lit(None).cast(heads.schema["local_id"].dataType).alias("local_id"), F.lit(None).cast(heads.schema["parent_pos"].dataType).alias("parent_pos"), F.lit(None).cast("string").alias("sort_key"), owner.alias("owner"), F.lit(True).alias("is_body"), *carried)
+    return heads.unionByName(body)
+
+
 def page_offset(found: DataFrame, elements: DataFrame, first: int = 50) -> DataFrame:
     """(doc_id, offset): by how much body pages are ahead of printed ones; the commonest, of those the first entry's.
 

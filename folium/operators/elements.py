@@ -15,9 +15,10 @@ FURNITURE = ("page_header", "page_footer", "page_number")
 SAMPLE_CHARS = 4000
 
 
-def kept(elements: DataFrame, profile: headings.Profile = headings.MANUAL) -> DataFrame:
-    """Elements with cleaned text, without blank and dropped ones; `pos` keeps the original order."""
-    return elements.withColumn("text", headings.clean(F.col("text"), profile)).filter(~headings.dropped(F.col("text"), profile))
+def kept(elements: DataFrame, profile: headings.Profile | None = headings.MANUAL) -> DataFrame:
+    """Elements with cleaned text, without blank and dropped ones; `pos` keeps the original order. None: see headings.under."""
+    rows = elements.withColumn("text", headings.under(profile, lambda p: headings.clean(F.col("text"), p)))
+    return rows.filter(~headings.under(profile, lambda p: headings.dropped(F.col("text"), p)))
 
 
 def drop_counts(elements: DataFrame, profile: headings.Profile = headings.MANUAL) -> DataFrame:

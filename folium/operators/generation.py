@@ -5,9 +5,10 @@ from __future__ import annotations
 import random
 import time
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -76,10 +77,10 @@ def _wait(attempt: int) -> float:
     return WAIT * 2**attempt + random.uniform(*JITTER)
 
 
-def generate(prompts: DataFrame, client: Client = stub_client, retries: int = 8, wait: Callable[[int], float] = _wait) -> DataFrame:
+def generate(prompts: DataFrame, client: Client = stub_client, retries: int = 8, wait: Callable[[int], float] = _wait, threads: int = 1) -> DataFrame:
     """(key, response, input_tokens, output_tokens, error, seconds) of prompts (key, prompt); seconds is the call's latency.
 
-    Overloads (429, 503) are tried again after wait(attempt) seconds.
+    Overloads (429, 503) are tried again after wait(attempt) seconds. A task makes so many calls at a time as `threads` says.
     """
 
     def call(prompt: str) -> dict:
@@ -93,12 +94,17 @@ def generate(prompts: DataFrame, client: Client = stub_client, retries: int = 8,
         raise AssertionError
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def timed(prompt: str | None) -> tuple[dict, float]:
+            began = time.monotonic()
+            return call(prompt or ""), time.monotonic() - began
+
         for batch in batches:
-            found, seconds = [], []
-            for p in batch["prompt"]:
-                began = time.monotonic()
-                found.append(call(p or ""))
-                seconds.append(time.monotonic() - began)
+            if threads > 1:
+                with ThreadPoolExecutor(threads) as pool:
+                    answers = list(pool.map(timed, batch["prompt"]))
+            else:
+                answers = [timed(p) for p in batch["prompt"]]
+            found, seconds = [x for x, _ in answers], [s for _, s in answers]
             yield pd.DataFrame({"key": batch["key"], "response": [x["text"] for x in found], "input_tokens": [x["input_tokens"] for x in found], "output_tokens": [x["output_tokens"] for x in found], "error": [x["error"] for x in found], "seconds": seconds})
 
     kind = prompts.schema["key"].dataType.simpleString()
@@ -121,6 +127,72 @@ def drafts(responses: DataFrame) -> DataFrame:
     return rows.select("key", "draft", "x.question_text", "x.justification", "x.options", "error")
 
 
+def answer(prompts: DataFrame, path: str, client: Client = stub_client, per_round: int = 500, threads: int = 8, retries: int = 8, wait: Callable[[int], float] = _wait) -> DataFrame:
+    """generate(), kept under a path round by round: a job that is killed and begun again asks only for what is left.
+
+    The prompts (key, prompt) are written once, in files of per_round; a stream takes a file at a time, and its progress
+    is logged when the file's answers are there. A round that was broken off is asked anew, and replaces what it left.
+    """
+    spark = prompts.sparkSession
+    if not _exists(spark, f"{path}/prompts/_SUCCESS"):
+        prompts.select("key", "prompt").write.mode("overwrite").option("maxRecordsPerFile", per_round).parquet(f"{path}/prompts")
+    schema = prompts.select("key", "prompt").schema
+
+    def ask(batch: DataFrame, number: int) -> None:
+        tasks = max(1, spark.sparkContext.defaultParallelism)
+        generate(batch.repartition(tasks), client, retries, wait, threads).write.mode("overwrite").parquet(f"{path}/answers/round={number}")
+
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/prompts")
+    stream.writeStream.foreachBatch(ask).option("checkpointLocation", f"{path}/progress").trigger(availableNow=True).start().awaitTermination()
+    kind = f"key {schema['key'].dataType.simpleString()}, response string, input_tokens long, output_tokens long, error string, seconds double"
+    answers = spark.read.schema(kind).parquet(f"{path}/answers") if _exists(spark, f"{path}/answers") else spark.createDataFrame([], kind)
+    return answers.select("key", "response", "input_tokens", "output_tokens", "error", "seconds")
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
+def _topics(name: str) -> Column:
+    return F.coalesce(F.nullif(F.array_join(name, ", "), F.lit("")), F.lit("(ninguno)"))
+
+
+def creator_instructions() -> Column:
+    """What a model is told that is to suggest questions, from the rules' columns (folium.operators.rules)."""
+    return F.concat(
+        F.lit("Eres evaluador de adiestramiento. Propón de una a tres preguntas cuya respuesta esté, palabra por palabra, en el texto. No des opciones ni respuestas.\nDocumento: "), "name",
+        F.lit("\nTemas preferentes: "), _topics("preferred_topics"), F.lit("\nTemas excluidos: "), _topics("forbidden_topics"), F.lit('\nResponde solo con JSON: {"questions": ["..."]}'),
+    )
+
+
+def solver_instructions(question: Column) -> Column:
+    """What a model is told that is to give the options of one question."""
+    return F.concat(
+        F.lit("Da cuatro opciones para la pregunta: una correct (cita literal del texto), una confusa y dos distractor, y una justificación.\nDocumento: "), "name",
+        F.lit("\nEstilo: "), F.coalesce(F.nullif("style_guide", F.lit("")), F.lit("(ninguno)")), F.lit("\nTemas preferentes: "), _topics("preferred_topics"), F.lit("\nTemas excluidos: "), _topics("forbidden_topics"),
+        F.lit("\nIndicaciones: "), F.coalesce(F.nullif("extra_instructions", F.lit("")), F.lit("(ninguna)")),
+        F.lit('\nResponde solo con JSON: {"question_text": "...", "justification": "...", "options": [{"role": "correct", "text": "..."}, ...]}\nPregunta: '), question,
+    )
+
+
+def suggested(responses: DataFrame, most: int = DRAFTS[1]) -> DataFrame:
+    """(key, draft, question) of responses that are JSON objects with a list `questions`; options in them are cut off.
+
+    Other responses, and questions of which nothing is left, give nothing; of more than `most` questions the first stay.
+    """
+    listed = F.slice(F.from_json("response", "questions array<string>")["questions"], 1, most)
+    rows = responses.filter("error is null").select("key", F.posexplode(listed).alias("draft", "question"))
+    return rows.withColumn("question", strip(without_options(F.col("question")))).filter("question != ''")
+
+
+def solved(responses: DataFrame) -> DataFrame:
+    """(key, question_text, justification, options) of responses that are one question as a JSON object."""
+    x = F.from_json("response", "question_text string, justification string, options array<struct<role:string, text:string>>")
+    rows = responses.filter("error is null").select("key", x.alias("x")).select("key", "x.*")
+    return rows.filter("question_text is not null and justification is not null and options is not null")
+
+
 def numbered(questions: DataFrame) -> DataFrame:
     """generation_order within each run, by section order and draft: the same each time, whatever finished first."""
     return questions.withColumn("generation_order", F.row_number().over(Window.partitionBy("run_id").orderBy("sort_key", "draft")))

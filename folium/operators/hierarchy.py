@@ -54,15 +54,16 @@ def with_places(rows: DataFrame, level: str = "level") -> DataFrame:
     return rows.drop(*(f"_{x}{k}" for x in "cps" for k in depth))
 
 
-def annotate(elements: DataFrame, profile: headings.Profile = headings.MANUAL) -> DataFrame:
+def annotate(elements: DataFrame, profile: headings.Profile | None = headings.MANUAL) -> DataFrame:
     """Kept elements with heading (struct or null), title, owner (local_id of the heading they belong to) and places.
 
     A heading without a title on its line takes the next kept element's text, unless that is a heading, longer than
     LONGEST_TITLE or an article; that element stays body text as well. Page furniture is neither heading nor body,
-    but can be a title. Elements before the first heading have no owner.
+    but can be a title. Elements before the first heading have no owner. With None as the profile each document is read
+    under the one that its column `profile` names, all in the same pass.
     """
     furniture = F.col("kind").isin(*E.FURNITURE)
-    rows = E.kept(elements, profile).withColumn("heading", headings.classify(F.col("text"), profile))
+    rows = E.kept(elements, profile).withColumn("heading", headings.under(profile, lambda p: headings.classify(F.col("text"), p)))
     # classified once: behind the shuffle that all windows share
     rows = rows.withColumns({"_next": F.lead("text").over(_doc()), "_next_is": F.lead(F.col("heading").isNotNull()).over(_doc())})
     rows = rows.withColumn("heading", F.when(~furniture, F.col("heading")))
@@ -75,13 +76,13 @@ def annotate(elements: DataFrame, profile: headings.Profile = headings.MANUAL) -
     return rows.withColumns({"owner": owner, "is_body": F.col("heading").isNull() & ~furniture}).drop("_next", "_next_is")
 
 
-def nodes(annotated: DataFrame, profile: headings.Profile = headings.MANUAL) -> DataFrame:
+def nodes(annotated: DataFrame, profile: headings.Profile | None = headings.MANUAL) -> DataFrame:
     """One row a heading, with parent, breadcrumb, pages and annotations.
 
     page_end is the page of the last body element, null without one. Notes of body elements come in order.
     """
     found = annotated.filter("heading is not null").select("doc_id", "pos", "local_id", "parent_pos", "sort_key", "level", F.col("heading.label").alias("level_label"), F.col("heading.ordinal").alias("ordinal"), "title", F.col("heading.is_anexo").alias("is_anexo"), F.col("page_number").alias("page_start"))
-    notes = headings.noted(F.col("text"), profile)
+    notes = headings.under(profile, lambda p: headings.noted(F.col("text"), p))
     body = annotated.filter("is_body and owner is not null").groupBy("doc_id", F.col("owner").alias("local_id")).agg(
         F.max_by("page_number", "pos").alias("page_end"),
         F.count("*").alias("n_body"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from folium import shared
 from folium.functions import headings
 from folium.operators import chunking, elements, hierarchy, quality
 from folium.plans import standins as S
@@ -167,9 +168,10 @@ SQL["pack_overlap"] = f"with recursive {S.CLASSIFIED}, {_CHUNKS} select * from p
 
 def _report(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     e = S.elements(spark, sf)
-    rows = hierarchy.annotate(e)
+    # headings are looked for once; sections, chunks and the report come from what that gave
+    rows, _ = shared.stored(hierarchy.annotate(e).select("doc_id", "pos", "page_number", "kind", "text", "heading", "title", "level", "local_id", "parent_pos", "sort_key", "owner", "is_body"))
     n = hierarchy.nodes(rows)
-    c = chunking.chunks(chunking.merged(n, hierarchy.body(rows), 0), _PACK)
+    c, _ = shared.stored(chunking.chunks(chunking.merged(n, hierarchy.body(rows), 0), _PACK))
     return e, e.groupBy("doc_id").agg(F.max("page_number").alias("page_count")), n, c
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -17,8 +17,8 @@ from folium.operators.explore import STATUSES, latest_status
 
 SCHEMAS = {
     "documents": "doc_id bigint, code string, title string, edition string, branch string, source_path string, page_count int, extractor string, ingested_at timestamp, metadata_json string",
-    "nodes": "node_id bigint, doc_id bigint, parent_id bigint, level int, level_label string, ordinal string, title string, breadcrumb string, page_start int, page_end int, sort_key string, is_anexo boolean",
-    "chunks": "doc_id bigint, node_id bigint, ordinal int, text string, char_count int, page_start int, page_end int, has_table boolean, has_image_ref boolean",
+    "nodes": "node_id bigint, doc_id bigint, local_id bigint, parent_id bigint, level int, level_label string, ordinal string, title string, breadcrumb string, page_start int, page_end int, sort_key string, is_anexo boolean",
+    "chunks": "doc_id bigint, local_id bigint, node_id bigint, ordinal int, text string, char_count int, page_start int, page_end int, has_table boolean, has_image_ref boolean",
     "runs": "run_id bigint, doc_id bigint, model string, mode string, status string, started_at timestamp, completed_at timestamp, nodes_total int, nodes_completed int, nodes_failed int, cost_estimate_usd double",
     "questions": "question_id bigint, run_id bigint, node_id bigint, doc_id bigint, generation_order int, question_text string, justification string, created_at timestamp",
     "options": "question_id bigint, order_in_question int, role string, text string, is_correct boolean",
@@ -31,6 +31,15 @@ SAVED = ("documents", "nodes", "chunks")
 _SAVES = "doc_id bigint, save_id string, saved_at timestamp"
 
 
+def node_id(doc_id: Column, local_id: Column) -> Column:
+    """A section's number from its document's and its own: both in one where they fit, else a 64-bit hash of the two.
+
+    Documents that are numbered by a hash (of a file's name, say) have ids of all sizes.
+    """
+    fits = doc_id.between(-(1 << 42), (1 << 42) - 1) & local_id.between(0, (1 << 20) - 1)
+    return F.when(local_id.isNull(), None).when(fits, F.try_add(F.try_multiply(doc_id, F.lit(1 << 20)), local_id)).otherwise(F.xxhash64(doc_id, local_id.cast("long")))
+
+
 class Store:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
@@ -62,11 +71,11 @@ class Store:
     def save_document(self, documents: DataFrame, nodes: DataFrame, chunks: DataFrame) -> None:
         """Documents with their sections (doc_id, local_id, parent_pos, pos, …) and chunks (doc_id, local_id, …).
 
-        Node ids are doc_id and local_id in one number; chunks of unknown sections are left out. A document that was
-        saved before is replaced; a save that fails half way leaves rows that no log names.
+        Chunks of unknown sections are left out. A document that was saved before is replaced; a save that fails half way
+        leaves rows that no log names.
         """
         save = F.lit(uuid.uuid4().hex).alias("save_id")
-        number = lambda c: F.col("doc_id") * F.lit(1 << 20) + c
+        number = lambda c: node_id(F.col("doc_id"), c)
         above = nodes.select("doc_id", F.col("pos").alias("parent_pos"), F.col("local_id").alias("_up"))
         rows = nodes.join(above, ["doc_id", "parent_pos"], "left").withColumns({"node_id": number(F.col("local_id")), "parent_id": number(F.col("_up"))})
         self.append("documents", documents.withColumn("save_id", save))

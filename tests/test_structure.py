@@ -1,10 +1,12 @@
 import random
+import re
 
 from pyspark.sql import functions as F
 
 from folium.functions import headings
-from folium.operators import chunking, hierarchy, quality
+from folium.operators import chunking, contents, hierarchy, quality
 from folium.plans import ingest
+from folium.sources import layout
 from folium.sources.store import Store
 
 
@@ -63,7 +65,7 @@ def consolidate(nodes, elements, merge):
     out = {}
     for n, parent, anexo in reversed(nodes):
         parts = [e.strip() for e in body[n] if e.strip()]
-        text = "\n\n".join(chunking.reorder(parts))
+        text = "\n\n".join(sequential_fractions(parts))
         if anexo or not text:
             continue
         if len(text) < merge and parent is not None:
@@ -91,10 +93,43 @@ def test_merging_against_the_sequential_way(spark):
     assert got == want
 
 
-def test_fractions():
+def sequential_fractions(parts):
+    """Fractions behind a later article go back behind the nearest lower one, ten times at most."""
+    romans = dict(zip(chunking.ROMANS, range(1, 21), strict=True))
+
+    def value(p):
+        found = re.match(r"\s*([IVXLC]+)\s*(?:Bis|Ter|Quáter)?\.?\s*[-.]", p, re.IGNORECASE)
+        return romans.get(found[1].upper()) if found else None
+
+    article = lambda p: re.match(r"\s*artículo\s+\d+", p, re.IGNORECASE)
+    for _ in range(10):
+        for i in range(1, len(parts)):
+            lower = [j for j in range(i) if value(parts[i]) and value(parts[j]) and value(parts[j]) < value(parts[i])]
+            if lower and any(article(p) for p in parts[lower[-1] : i]):
+                parts = [*parts[: lower[-1] + 1], parts[i], *parts[lower[-1] + 1 : i], *parts[i + 1 :]]
+                break
+        else:
+            break
+    return parts
+
+
+def test_fractions(spark):
     parts = ["Artículo 4. x", "I.- a", "III.- c", "IV.- d", "Artículo 5. y", "II.- b", "V.- e", "Artículo 6. z"]
-    assert [p.split(".")[0] for p in chunking.reorder(parts)] == ["Artículo 4", "I", "II", "III", "IV", "V", "Artículo 5", "Artículo 6"]
-    assert chunking.reorder(["II.- b", "Artículo 1"]) == ["II.- b", "Artículo 1"]
+    rng = random.Random(8)
+    cases = [parts, ["II.- b", "Artículo 1"], ["x"], []]
+    for _ in range(300):
+        cases.append([rng.choice([*(f" {rng.choice(chunking.ROMANS[:8])}{rng.choice(['.-', ' Bis. -', 'x', '.'])} t" for _ in range(3)), "artículo 7 x", "iv.- low", "texto", "XXV.- none"]) for _ in range(rng.randint(0, 25))])
+    cases.append([f"{chunking.ROMANS[k % 20]}.- {k}" if k % 7 else f"Artículo {k}" for k in range(600)])
+    frame = spark.createDataFrame([(c,) for c in cases], "parts array<string>")
+    got = [r[0] for r in frame.select(chunking.reordered(F.col("parts"))).collect()]
+    assert [p.split(".")[0] for p in got[0]] == ["Artículo 4", "I", "II", "III", "IV", "V", "Artículo 5", "Artículo 6"] and got[1] == cases[1]
+    assert got == [sequential_fractions(c) for c in cases]
+
+
+def test_no_python_in_merging(spark):
+    rows = hierarchy.annotate(frame(spark, MANUAL))
+    plan = chunking.merged(hierarchy.nodes(rows), hierarchy.body(rows), 100)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Pandas" not in plan
 
 
 def sequential_pack(text, s):
@@ -157,6 +192,74 @@ def test_ingest_fills_the_store(spark, tmp_path):
     assert store.table("documents").count() == 2
 
 
+LEGAL = [("LIBRO PRIMERO", 1, "title"), ("Código de x", 1, "narrative"), ("1 de 141", 1, "narrative"), ("CAPITULO I", 1, "title"), ("Artículo 1o.- Uno", 1, "narrative"), ("Artículo reformado DOF 13-06-2014", 2, "narrative")]
+
+
+def test_profiles_in_one_pass(spark):
+    """Documents of several genres at once are as each under its own profile."""
+    told = {1: ("manual", MANUAL), 2: ("codigo_legal", LEGAL), 3: ("ley_organica", LEGAL), 4: ("manual", LEGAL)}
+    all_ = None
+    for k, (name, lines) in told.items():
+        rows = frame(spark, lines, k).withColumn("profile", F.lit(name))
+        all_ = rows if all_ is None else all_.unionByName(rows)
+    marked = hierarchy.annotate(all_, None)
+    nodes, body = hierarchy.nodes(marked, None), hierarchy.body(marked)
+    for k, (name, _) in told.items():
+        alone = hierarchy.annotate(all_.filter(F.col("doc_id") == k).drop("profile"), headings.profile(name))
+        for mine, own in ((nodes, hierarchy.nodes(alone, headings.profile(name))), (body, hierarchy.body(alone))):
+            assert sorted(map(repr, mine.filter(F.col("doc_id") == k).select(*own.columns).collect())) == sorted(map(repr, own.collect()))
+
+
+CONTENTS = ["ÍNDICE", "PRIMERA PARTE ......... 3", "Capítulo I - De la guerra ........ 3", "Capítulo II - De la paz ......... 4", "Primera Sección .......... 4", "Capítulo III ........ 6", "Anexos varios ........ 9"]
+
+
+def with_contents(spark, doc_id):
+    lines = [(t, 1, "narrative") for t in CONTENTS]
+    lines += [("prólogo de hoy", 5, "narrative"), ("sigue", 6, "narrative"), ("PRIMERA PARTE", 5, "heading"), ("Capítulo I - De la guerra", 5, "heading"), ("texto uno", 5, "narrative"), ("Capítulo II - De la paz", 6, "heading"), ("pie", 6, "page_footer"), ("Segunda Sección", 6, "heading"), ("texto dos", 6, "narrative"), ("Capítulo III", 8, "heading"), ("texto tres", 9, "narrative")]
+    return frame(spark, lines, doc_id)
+
+
+def test_contents_path(spark, tmp_path):
+    rows = with_contents(spark, 5).unionByName(frame(spark, MANUAL, 7)).withColumn("profile", F.lit("manual"))
+    found = contents.found_in(rows)
+    assert {r["doc_id"] for r in found.select("doc_id").collect()} == {5}
+    marked = contents.annotate(found, rows.filter("doc_id = 5"), None)
+    nodes = hierarchy.nodes(marked, None).orderBy("local_id").collect()
+    assert [(n["level"], n["level_label"], n["ordinal"], n["title"], n["page_start"], n["sort_key"]) for n in nodes] == [
+        (0, "PARTE", "PRIMERA", "PRIMERA PARTE", 3, "01"), (1, "Capítulo", "I", "De la guerra", 3, "01.01"), (1, "Capítulo", "II", "De la paz", 4, "01.02"),
+        (2, "Sección", "Primera", "Primera Sección", 4, "01.02.01"), (1, "Capítulo", "III", "Capítulo III", 6, "01.03"), (0, "PARTE", "", "Anexos varios", 9, "02"),
+    ]
+    body = {r["text"]: r["local_id"] for r in hierarchy.body(marked).collect()}
+    assert body["texto uno"] == 1 and body["texto dos"] == 2 and body["Segunda Sección"] == 2 and body["texto tres"] == 4 and "Capítulo I - De la guerra" not in body and "pie" not in body
+    # before a heading of the contents has come: by the printed page, two behind the counted one
+    assert body["prólogo de hoy"] == 1 and body["sigue"] == 3 and body["ÍNDICE"] is None
+    store = Store(spark, f"file://{tmp_path}/store").create()
+    documents = spark.createDataFrame([(5, "A", 9), (7, "B", 5)], "doc_id long, code string, page_count int")
+    for c, kind in (("title", "string"), ("edition", "string"), ("branch", "string"), ("source_path", "string"), ("extractor", "string"), ("ingested_at", "timestamp"), ("metadata_json", "string")):
+        documents = documents.withColumn(c, F.lit(None).cast(kind))
+    report = {r["doc_id"]: r["n_nodes"] for r in ingest.run(store, documents, rows.drop("profile"), prefer_contents=True).collect()}
+    assert report == {5: 6, 7: 4}
+
+
+def test_text_files_are_ingested(spark, tmp_path):
+    """Documents are numbered by a hash of their files' names, of any size."""
+    (tmp_path / "in").mkdir()
+    for k in range(6):
+        (tmp_path / f"in/{k}.txt").write_text("PRIMERA PARTE\nCapítulo I\nTítulo\nTexto del capítulo\nCapítulo II\nMás texto\n")
+    rows = layout.reader("text")(spark, f"file://{tmp_path}/in")
+    documents = rows.groupBy("doc_id").agg(F.max("page_number").alias("page_count"))
+    for c, kind in (("code", "string"), ("title", "string"), ("edition", "string"), ("branch", "string"), ("source_path", "string"), ("extractor", "string"), ("ingested_at", "timestamp"), ("metadata_json", "string")):
+        documents = documents.withColumn(c, F.lit(None).cast(kind))
+    assert documents.filter(F.abs("doc_id") > 1 << 43).count() > 0
+    store = Store(spark, f"file://{tmp_path}/store").create()
+    assert [r["n_nodes"] for r in ingest.run(store, documents, rows).collect()] == [3] * 6
+    nodes = store.table("nodes")
+    assert nodes.select("node_id").distinct().count() == 18
+    up = nodes.alias("a").join(nodes.alias("b"), F.expr("a.parent_id = b.node_id"))
+    assert up.count() == 12 and up.filter("a.doc_id <> b.doc_id or not startswith(a.sort_key, b.sort_key || '.')").count() == 0
+    assert store.table("chunks").join(nodes, ["doc_id", "local_id", "node_id"], "left_anti").count() == 0
+
+
 def test_questions_and_reviews(spark, tmp_path):
     import pytest
 
