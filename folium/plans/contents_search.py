@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from folium import shared
 from folium.functions import text as T
-from folium.operators import contents, quality, search
+from folium.operators import contents, hierarchy, quality, search
 from folium.plans import standins as S
 from folium.sources.bundles import next_versions
 from folium.sources.postings import Index
@@ -121,6 +121,47 @@ c as (select doc_id, off, count(*) as n, min(k) as k from m group by doc_id, off
 select doc_id, off::int as "offset" from c qualify row_number() over (partition by doc_id order by n desc, k) = 1"""
 
 
+def _contents(spark: SparkSession, sf: str) -> DataFrame:
+    """Parts and chapters of each document as entries of its contents, two pages too early."""
+    heads = S.elements(spark, sf).filter("pos % 16 in (0, 3, 9)")
+    return heads.select("doc_id", F.col("pos").alias("line_number"), F.lit(0).alias("n"), F.col("text").alias("title"), (F.col("page_number") - 2).alias("page"), F.when(F.col("pos") % 16 == 0, 0).otherwise(1).alias("depth"))
+
+
+def contents_nodes(spark: SparkSession, sf: str) -> DataFrame:
+    nodes = contents.as_nodes(_contents(spark, sf))
+    return nodes.select("doc_id", "local_id", "level", "level_label", "ordinal", F.col("section_title").alias("title"), "page_start", "parent_pos", "sort_key")
+
+
+_CONTENTS_SQL = f"""{S.ELEMENTS},
+c as (select *, case when pos % 16 = 0 then 0 else 1 end as level, row_number() over (partition by doc_id order by pos) - 1 as local_id, count(*) filter (pos % 16 = 0) over (partition by doc_id order by pos) as part,
+  max(case when pos % 16 = 0 then pos end) over (partition by doc_id order by pos) as part_pos from elements where pos % 16 in (0, 3, 9))"""
+SQL["contents_nodes"] = f"""with {_CONTENTS_SQL}
+select doc_id, local_id, level, case level when 0 then 'PARTE' else 'Capítulo' end as level_label, case level when 0 then split_part(text, ' ', 1) else split_part(text, ' ', 2) end as ordinal,
+  case when level = 0 then text when contains(text, ' - ') then 'De la guerra' else text end as title, page_number - 2 as page_start, case when level = 1 then part_pos * 2 end as parent_pos,
+  lpad(part::varchar, 2, '0') || case level when 1 then '.' || lpad((row_number() over (partition by doc_id, part order by pos) - 1)::varchar, 2, '0') else '' end as sort_key
+from c"""
+
+
+def contents_body(spark: SparkSession, sf: str) -> DataFrame:
+    """Elements dealt to the contents' sections; without their first headings, the first of them go by page."""
+    found = _contents(spark, sf)
+    rows = contents.annotate(found, S.elements(spark, sf).filter("pos > 3"))
+    return hierarchy.body(rows).select("doc_id", "pos", "local_id")
+
+
+SQL["contents_body"] = f"""with {_CONTENTS_SQL},
+e as (select *, level as own_level from (select *, case when pos % 16 = 0 then 0 when pos % 16 in (3, 9) then 1 end as level from elements) where pos > 3 and kind <> 'page_header' and trim(text) <> ''),
+a as (select doc_id, k, page, {_KEY.replace('title', 'text')} as want from (select doc_id, text, page_number - 2 as page, row_number() over (partition by doc_id order by pos) as k from c) where k <= 50),
+b as (select doc_id, pos, page_number, {_KEY.replace('title', 'text')} as have from e where kind = 'heading'),
+m as (select a.doc_id, a.k, arg_min(b.page_number - a.page, b.pos) as off from a join b on a.doc_id = b.doc_id and (contains(have, want) or contains(want, have)) and page_number >= page group by a.doc_id, a.k),
+o as (select doc_id, off from (select doc_id, off, count(*) as n, min(k) as k from m group by doc_id, off) qualify row_number() over (partition by doc_id order by n desc, k) = 1),
+p as (select e.*, page_number - coalesce(off, 0) as printed from e left join o using (doc_id)),
+h as (select p.doc_id, p.pos, arg_min(c.local_id, abs(p.printed - c.page_number + 2) * 100000 + c.local_id) as opened from p join c on c.doc_id = p.doc_id and c.level = p.level and split_part(c.text, ' ', p.level + 1) = split_part(p.text, ' ', p.level + 1) group by p.doc_id, p.pos)
+select p.doc_id, p.pos, coalesce((select arg_max(opened, h.pos) from h where h.doc_id = p.doc_id and h.pos <= p.pos),
+  (select arg_max(local_id, c.level * 100000 + local_id) from c where c.doc_id = p.doc_id and c.page_number - 2 <= p.printed)) as local_id
+from p where not exists (select 1 from h where h.doc_id = p.doc_id and h.pos = p.pos)"""
+
+
 def asof_page_node(spark: SparkSession, sf: str) -> DataFrame:
     pages = S.elements(spark, sf).select("doc_id", F.col("page_number").alias("page")).distinct()
     return contents.page_node(pages, S.nodes(spark, sf))
@@ -255,4 +296,4 @@ def guess_code(spark: SparkSession, sf: str) -> DataFrame:
 SQL["guess_code"] = """with p as (select p_partkey, p_brand, case when p_partkey % 2 = 0 then 'manual_dn m ' || p_partkey else replace(p_name, ' ', '-') end || '.v2' as stem from part)
 select p_partkey, case when p_partkey % 2 = 0 then 'DN M ' || p_partkey else replace(stem, '_', ' ') end as code, trim(translate(stem, '_-', '  ')) as title, case when starts_with(upper(p_brand), 'CJM') then 'JUS_MIL' else 'OPS_MIL' end as subject from p"""
 
-QUERIES = [toc_density_runs, toc_entries, toc_confidence, toc_gaps, page_offset_mode, asof_page_node, bm25_topk, phrase_search, search_excerpts, index_generations, index_backfill, run_ref_iso, slug_version, sha256_digest, roman_to_int, page_labels, guess_code]
+QUERIES = [toc_density_runs, toc_entries, toc_confidence, toc_gaps, page_offset_mode, asof_page_node, contents_nodes, contents_body, bm25_topk, phrase_search, search_excerpts, index_generations, index_backfill, run_ref_iso, slug_version, sha256_digest, roman_to_int, page_labels, guess_code]

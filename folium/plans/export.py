@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folium.operators import validation
-from folium.sources import bundles
+from folium import shared
+from folium.operators import contract_checks, validation
+from folium.sources import bundle_files, bundles, contract
 
 
 class Unsound(ValueError):
@@ -38,13 +39,35 @@ def source_errors(nodes: DataFrame, runs: DataFrame, requested: DataFrame | None
     return twice.unionByName(gone)
 
 
-def export_store(documents: DataFrame, nodes: DataFrame, chunks: DataFrame, runs: DataFrame, questions: DataFrame, path: str | None, requested: DataFrame | None = None) -> DataFrame:
-    """Build the bundles of a store's tables and export them; with `requested` (run_id) only those runs' questions."""
+def export_store(documents: DataFrame, nodes: DataFrame, chunks: DataFrame, runs: DataFrame, questions: DataFrame, options: DataFrame, path: str | None, requested: DataFrame | None = None, include_raw: bool = False) -> DataFrame:
+    """Build the contract's bundles of a store's tables and deliver them; with `requested` (run_id) only those runs' questions."""
     errors = source_errors(nodes, runs, requested)
     if requested is not None:
         runs = runs.join(requested.select("run_id").distinct(), "run_id", "left_semi")
         questions = questions.join(requested.select("run_id").distinct(), "run_id", "left_semi")
-    return export(bundles.build(documents, nodes, chunks, runs, questions), path, before=errors)
+    return deliver(contract.build(documents, nodes, chunks, runs, questions, options, include_raw), path, before=errors)
+
+
+def deliver(built: DataFrame, path: str | None, shown: int = 20, before: DataFrame | None = None, gzip_bytes: int = bundle_files.GZIP_BYTES) -> DataFrame:
+    """Write bundles (bundle_id, code, generated_at, json) as files under path (None: only check them); returns their warnings.
+
+    The bundles are built once and kept; what is checked is what is written, all of it or nothing. Raises Unsound with
+    the first errors; `before` has errors found in what the bundles were built from.
+    """
+    spark = built.sparkSession
+    errors = before.orderBy("bundle_id", "path").limit(shown).collect() if before is not None else []
+    if errors:
+        raise Unsound(errors)
+    built, at = shared.stored(built)
+    try:
+        errors = contract_checks.errors(built).orderBy("bundle_id", "path", "rule").limit(shown).collect()
+        if errors:
+            raise Unsound(errors)
+        if path is not None:
+            bundle_files.write(bundle_files.versioned(built, bundle_files.names(spark, path)), path, gzip_bytes)
+        return shared.stored(contract_checks.warnings(built))[0]
+    finally:
+        shared.delete(spark, at)
 
 
 def export(built: DataFrame, path: str | None, shown: int = 20, before: DataFrame | None = None) -> DataFrame:

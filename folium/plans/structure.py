@@ -237,4 +237,26 @@ def symbol_frequencies(spark: SparkSession, sf: str) -> DataFrame:
 
 SQL["symbol_frequencies"] = "select symbol, count(*) as n from (select unnest(string_split(regexp_replace(text, '[\\pL\\pN\\pM\\s]', '', 'g'), '')) as symbol from documents) where symbol <> '' group by symbol order by n desc, symbol limit 15"
 
-QUERIES = [elements_explode, drop_filter, classify_headings, hierarchy_parent, hierarchy_sort_key, title_lookahead, body_attach, unattached, page_end_last, breadcrumbs, node_text, merge_small_nodes, pack_overlap, quality_report, level_distribution, extraction_metrics, profile_autodetect, symbol_frequencies]
+def fraction_order(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders as sections whose lines are articles and fractions out of order."""
+    kind = "case when l_linenumber % 4 = 1 then 'Artículo ' || l_suppkey || '. x' when l_linenumber % 7 = 5 then 'texto' else element_at(array('I', 'II', 'III', 'IV', 'V', 'VI'), cast((l_partkey + l_linenumber) % 6 as int) + 1) || '.- ' || l_suppkey end"
+    parts = S.table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.expr(f"transform(array_sort(collect_list(named_struct('n', l_linenumber, 't', {kind}))), x -> x.t)").alias("parts"))
+    return parts.select("l_orderkey", F.array_join(chunking.reordered(F.col("parts")), "|").alias("parts"))
+
+
+SQL["fraction_order"] = """with recursive l as (select l_orderkey, l_linenumber, case when l_linenumber % 4 = 1 then 'Artículo ' || l_suppkey || '. x' when l_linenumber % 7 = 5 then 'texto' else ['I', 'II', 'III', 'IV', 'V', 'VI'][(l_partkey + l_linenumber) % 6 + 1] || '.- ' || l_suppkey end as t,
+  case when l_linenumber % 4 = 1 or l_linenumber % 7 = 5 then 0 else (l_partkey + l_linenumber) % 6 + 1 end as v, l_linenumber % 4 = 1 as a from lineitem),
+p as (select l_orderkey, list({'t': t, 'v': v, 'a': a} order by l_linenumber, t) as x from l group by 1),
+w as (
+  select l_orderkey, x, 0 as n from p
+  union all
+  select l_orderkey, x[:j] || [x[i]] || x[j + 1:i - 1] || x[i + 1:], n + 1 from (
+    select l_orderkey, x, n, i, j from (
+      select *, list_max(list_filter(range(1, i), lambda k: x[k].v > 0 and x[k].v < x[i].v)) as j from (select l_orderkey, x, n, unnest(range(2, len(x) + 1)) as i from w where n < 10) where x[i].v >= 2
+    ) where j is not null and len(list_filter(x[j:i - 1], lambda e: e.a)) > 0 qualify row_number() over (partition by l_orderkey order by i) = 1
+  )
+)
+select l_orderkey, array_to_string(list_transform(x, lambda e: e.t), '|') as parts from w qualify row_number() over (partition by l_orderkey order by n desc) = 1"""
+
+
+QUERIES = [elements_explode, drop_filter, classify_headings, hierarchy_parent, hierarchy_sort_key, title_lookahead, body_attach, unattached, page_end_last, breadcrumbs, node_text, merge_small_nodes, pack_overlap, quality_report, level_distribution, extraction_metrics, profile_autodetect, fraction_order, symbol_frequencies]

@@ -182,7 +182,10 @@ class Corrupt(ValueError):
 
 
 def names(spark: SparkSession, path: str) -> DataFrame:
-    """The names of the bundle files under a path; their contents are not read."""
+    """The names of the bundle files under a path, none where there is nothing; their contents are not read."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
+        return spark.createDataFrame([], "name string")
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*--v*.json*").load(path)
     return files.select(F.regexp_extract("path", r"([^/]*)$", 1).alias("name"))
 

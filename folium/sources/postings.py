@@ -3,7 +3,8 @@
 A generation holds the postings of the texts that one change brought: for each token and block of texts one row, with the
 texts, their lengths and the token's places, and what bounds every score in the block (the most places, the least length).
 Beside it lie the texts that it brought or took away; of a text the newest generation counts. A generation is there once
-its log entry is; a merge writes the live postings anew and logs which generations they stand for.
+its log entry is; a merge writes the live postings anew, and its entry stands for all generations before. There is one
+writer at a time.
 """
 
 from __future__ import annotations
@@ -31,21 +32,23 @@ class Index:
         self.spark, self.path, self.block = spark, path.rstrip("/"), block
 
     def generations(self) -> list[int]:
-        """The generations that count, oldest first: those logged and not merged into another."""
-        if not self._there(f"{self.path}/log"):
-            return []
-        rows = self.spark.read.schema("generation bigint, merged array<bigint>").json(f"{self.path}/log").collect()
-        gone = {g for r in rows for g in r["merged"] or []}
-        return sorted({r["generation"] for r in rows} - gone)
-
-    def _there(self, path: str) -> bool:
-        where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return where.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(where)
-
-    def _log(self, generation: int, merged: list[int]) -> None:
-        """One file by one task, under the generation's own name, so that a change that runs again logs nothing new."""
-        entry = self.spark.createDataFrame([(generation, merged)], "generation bigint, merged array<bigint>")
-        entry.coalesce(1).write.mode("overwrite").json(f"{self.path}/log/of={generation}")
+        """The generations that count, oldest first: a merged one stands for all before it."""
+        where, files = self._files("log")
+        names = [x.getPath().getName() for x in files.listStatus(where)] if files.exists(where) else []
+        logged = {kind: {int(n[len(kind) + 1 :]) for n in names if n.startswith(f"{kind}=")} for kind in ("added", "merged")}
+        return sorted(g for g in logged["added"] | logged["merged"] if g >= max(logged["merged"], default=g))
+
+    def _files(self, *parts: str):
+        where = self.spark._jvm.org.apache.hadoop.fs.Path("/".join((self.path, *parts)))
+        return where, where.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _logged(self, generation: int) -> bool:
+        return any(files.exists(where) for where, files in (self._files("log", f"{kind}={generation}") for kind in ("added", "merged")))
+
+    def _log(self, kind: str, generation: int) -> None:
+        """One folder's name is the entry: it is there or not."""
+        where, files = self._files("log", f"{kind}={generation}")
+        files.mkdirs(where)
 
     def _read(self, name: str, generations: list[int]) -> DataFrame:
         paths = [f"{self.path}/{name}/generation={g}" for g in generations]
@@ -61,7 +64,7 @@ class Index:
         """
         have = self.generations()
         generation = (max(have, default=-1) + 1) if generation is None else generation
-        if self._there(f"{self.path}/log/of={generation}"):
+        if self._logged(generation):
             return generation
         texts = changes.groupBy("key").agg(F.max("text").alias("text"))
         texts, path = shared.stored(texts.select("key", "text", F.size(search.tokens(F.col("text"))).alias("dl")))
@@ -70,7 +73,7 @@ class Index:
         rows = rows.select("key", "dl", "block", F.posexplode(search.tokens(F.col("text"))).alias("pos", "token"))
         self._write(rows.select("token", "block", "key", "dl", "pos"), generation)
         texts.select("key", F.when(F.col("dl") > 0, F.col("dl")).alias("dl")).write.mode("overwrite").parquet(f"{self.path}/texts/generation={generation}")
-        self._log(generation, [])
+        self._log("added", generation)
         shared.delete(self.spark, path)
         return generation
 
@@ -80,21 +83,22 @@ class Index:
         blocks = by_text.groupBy("token", "block").agg(F.collect_list(F.struct("key", "dl", "at")).alias("entries"), F.count("*").alias("n"), F.max(F.size("at")).alias("most"), F.min("dl").alias("shortest"))
         blocks.sortWithinPartitions("token", "block").write.mode("overwrite").parquet(f"{self.path}/postings/generation={generation}")
 
-    def texts(self) -> DataFrame:
+    def texts(self, have: list[int] | None = None) -> DataFrame:
         """(key, dl, generation) of the live texts."""
-        newest = self._read("texts", self.generations()).groupBy("key").agg(F.max(F.struct(F.col("generation").cast("bigint").alias("generation"), "dl")).alias("x"))
+        newest = self._read("texts", self.generations() if have is None else have).groupBy("key").agg(F.max(F.struct(F.col("generation").cast("bigint").alias("generation"), "dl")).alias("x"))
         return newest.select("key", "x.dl", "x.generation").filter("dl is not null")
 
-    def _entries(self, words: list[str], blocks: DataFrame | None = None) -> DataFrame:
+    def _entries(self, words: list[str], blocks: DataFrame | None, have: list[int]) -> DataFrame:
         """(generation, block, token, key, dl, at) of tokens; only their row groups are read, and of those some blocks at most."""
-        rows = self._read("postings", self.generations()).filter(F.col("token").isin(words)).withColumn("generation", F.col("generation").cast("bigint"))
+        rows = self._read("postings", have).filter(F.col("token").isin(words)).withColumn("generation", F.col("generation").cast("bigint"))
         if blocks is not None:
             rows = rows.join(blocks, ["generation", "block"], "left_semi")
         return rows.select("generation", "block", "token", F.explode("entries").alias("e")).select("generation", "block", "token", "e.*")
 
     def tokens(self, words: list[str], blocks: DataFrame | None = None) -> DataFrame:
         """(key, token, pos) of live texts, for search.places."""
-        live = self._entries(words, blocks).join(self.texts().select("key", "generation"), ["key", "generation"], "left_semi")
+        have = self.generations()
+        live = self._entries(words, blocks, have).join(self.texts(have).select("key", "generation"), ["key", "generation"], "left_semi")
         return live.select("key", "token", F.explode("at").alias("pos"))
 
     def hits(self, query: search.Query) -> DataFrame:
@@ -108,9 +112,9 @@ class Index:
         the score of the limit-th match; blocks whose bound is below that are left out. How often phrases occur is counted
         over all texts that hold their words, since a score depends on it.
         """
-        words, all_ = search.words_of(query), search._all_phrases(query)
+        words, all_, have = search.words_of(query), search._all_phrases(query), self.generations()
         held = [i for i, p in enumerate(all_) if p in search.phrases(query)]
-        sizes, path = shared.stored(self.texts())
+        sizes, path = shared.stored(self.texts(have))
         t = sizes.agg(F.count("*").alias("n"), F.avg("dl").alias("avgdl")).first()
         empty = self.spark.createDataFrame([], "key bigint, rank double")
         if not t["n"] or not words:
@@ -119,7 +123,7 @@ class Index:
         single = all(len(all_[i].words) == 1 for i in held)
         if single:
             # the places stay unread: a word's texts are counted by their keys
-            rows = self._read("postings", self.generations()).filter(F.col("token").isin(words)).withColumn("generation", F.col("generation").cast("bigint"))
+            rows = self._read("postings", have).filter(F.col("token").isin(words)).withColumn("generation", F.col("generation").cast("bigint"))
             keys = rows.select("generation", "token", F.explode("entries.key").alias("key")).join(live, ["key", "generation"], "left_semi")
             by_word = {r["token"]: r["n"] for r in keys.groupBy("token").agg(F.count("*").alias("n")).collect()}
             df = {i: by_word.get(all_[i].words[0], 0) for i in held}
@@ -133,7 +137,7 @@ class Index:
             score = sum((search.weight(F.size(f"p{i}"), F.col("dl"), t["n"], df[i], t["avgdl"]) for i in held), F.lit(0.0))
             return found.select("key", (-score).alias("rank"))
 
-        heads = self._read("postings", self.generations()).filter(F.col("token").isin(words)).select(F.col("generation").cast("bigint").alias("generation"), "block", "token", "most", "shortest")
+        heads = self._read("postings", have).filter(F.col("token").isin(words)).select(F.col("generation").cast("bigint").alias("generation"), "block", "token", "most", "shortest")
         # a phrase comes no more often than the rarest of its words
         bounds = heads.groupBy("generation", "block").agg(*(F.max(F.when(F.col("token") == w, F.struct("most", "shortest"))).alias(f"h{k}") for k, w in enumerate(words)), F.min("shortest").alias("shortest"))
         number = {w: k for k, w in enumerate(words)}
@@ -158,7 +162,7 @@ class Index:
         have = self.generations()
         if len(have) < 2:
             return None
-        texts, path = shared.stored(self.texts())
+        texts, path = shared.stored(self.texts(have))
         generation = max(have) + 1
         rows = self._read("postings", have).withColumn("generation", F.col("generation").cast("bigint"))
         rows = rows.select("generation", "token", F.explode("entries").alias("e")).select("generation", "token", "e.*")
@@ -166,6 +170,6 @@ class Index:
         rows = rows.withColumn("block", F.pmod(F.xxhash64("key"), F.lit(max(1, texts.count() // self.block))).cast("int"))
         self._write(rows.select("token", "block", "key", "dl", F.explode("at").alias("pos")), generation)
         texts.select("key", "dl").write.mode("overwrite").parquet(f"{self.path}/texts/generation={generation}")
-        self._log(generation, have)
+        self._log("merged", generation)
         shared.delete(self.spark, path)
         return generation

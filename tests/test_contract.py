@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from folium.operators import contract_checks, validation
+from folium.plans import export
 from folium.sources import bundle_files, contract
 
 CHUNK = {"ordinal": 0, "text": "Texto", "char_count": 5, "page_start": 1, "page_end": 1, "has_table": False, "has_image_ref": False, "metadata": {}}
@@ -121,7 +122,7 @@ def test_cycles_by_doubling(spark):
     assert validation.cycles(frame.limit(0)).count() == 0
 
 
-def test_built_bundles_keep_the_contract(spark):
+def test_built_bundles_keep_the_contract(spark, tmp_path):
     stamp = "timestamp'2024-01-01 00:00:00'"
     documents = spark.sql(f"select 1L as doc_id, 'CJM 7' as code, cast(null as string) as edition, 'Tít\"ulo' as title, 'b' as branch, 'a.pdf' as source_path, 9 as page_count, 'docling' as extractor, {stamp} as ingested_at, {stamp} as generated_at, '{{\"a\": [1, \"ñ\"]}}' as metadata_json union all select 2L, 'M', null, 'Otro', null, 'b.pdf', 1, 'text', {stamp}, {stamp}, 'no json'")
     nodes = spark.sql("select * from values (11L, 1L, '01', cast(null as long), 0, 'PARTE', 'I', 'uno', 'b', 1, 2, false), (12L, 1L, '01.01', 11L, 1, 'Capítulo', '', 'dos\n', 'b', 2, cast(null as int), true) t(node_id, doc_id, sort_key, parent_id, level, level_label, ordinal, title, breadcrumb, page_start, page_end, is_anexo)")
@@ -140,6 +141,16 @@ def test_built_bundles_keep_the_contract(spark):
     assert [list(r) for r in one["runs"]] == [list(RUN)] and one["runs"][0]["cost_estimate_usd"] == 0.123457 and one["runs"][0]["rules_snapshot"] == {"k": 1}
     assert list(one["questions"][0]) == list(QUESTION) and [o["order_in_question"] for o in one["questions"][0]["options"]] == [0, 1, 2, 3]
     assert two["manual"]["metadata"] == {} and two["nodes"] == two["runs"] == two["questions"] == []
+    path = f"file://{tmp_path}/out"
+    told = export.export_store(documents, nodes, chunks, runs, questions, options, path)
+    assert sorted((r["bundle_id"], r["rule"]) for r in told.collect()) == [("1", "failed_nodes"), ("1", "uncovered"), ("2", "no_questions")]
+    assert [r["json"] and json.loads(r["json"])["manual"]["code"] for r in bundle_files.checked(spark, path).orderBy("name").collect()] == ["CJM 7", "M"]
+    asked = spark.createDataFrame([(99,)], "run_id long")
+    for change in (dict(requested=asked), dict(questions=questions.withColumn("justification", F.lit(" ")))):
+        tables = dict(documents=documents, nodes=nodes, chunks=chunks, runs=runs, questions=questions, options=options) | change
+        with pytest.raises(export.Unsound):
+            export.export_store(**tables, path=path)
+    assert bundle_files.read(spark, path).count() == 2
     raw = json.loads(contract.build(documents, nodes, chunks, runs, questions, options, include_raw=True).filter("bundle_id = '1'").first()["json"])
     assert raw["questions"][0]["raw_response"] == {"raw": True}
 
