@@ -14,6 +14,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
 from folium.llm.columns import free_names
@@ -67,9 +68,9 @@ class ShardStore:
         return base + 1
 
     def _write(self, rows: DataFrame, under: str) -> str:
-        """Rows with their shard's name, as one folder for each shard in a new folder under the named one."""
-        folder = f"{under}/{uuid.uuid4().hex}"
-        tidy_write(self.spark, lambda: rows.write.partitionBy("shard").option("compression", "zstd").parquet(f"{self.path}/{folder}"))
+        """Rows with their shard's name, as one folder for each shard in a new folder, whose name begins as told."""
+        folder = f"{under}-{uuid.uuid4().hex}"
+        tidy_write(self.spark, lambda: rows.write.partitionBy("shard").option("compression", "zstd").parquet(f"{self.path}/rows/folder={folder}"))
         return folder
 
     def append(self, docs: DataFrame, arrival: Column, size: Column) -> int:
@@ -84,16 +85,22 @@ class ShardStore:
         rows = docs.select(F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("row"), F.coalesce(size, F.lit(0)).cast("long").alias("n_bytes"), F.concat(arrival.cast("string"), F.lit(f"-v{base + 1}")).alias("shard"))
         tidy_write(self.spark, lambda: self.spark.createDataFrame([], rows.schema).write.parquet(f"{self.path}/schemas/{uuid.uuid4().hex}-v{base + 1}"))
         folder = self._write(rows.hint("rebalance", "shard"), "data")
-        added = self._read(folder, rows).groupBy("shard").agg(F.sum("n_bytes").alias("size"), F.count("*").alias("n"))
+        added = self._read([folder], rows.schema).groupBy("shard").agg(F.sum("n_bytes").alias("size"), F.count("*").alias("n"))
         seq = F.regexp_extract("shard", r"^(-?\d+)", 1).cast("long")
         added = added.select("shard", seq.alias("seq"), seq.alias("last"), "size", "n", F.lit(folder).alias("folder"))
         return self._commit(before.unionByName(added) if before is not None else added, base)
 
-    def _read(self, folder: str, like: DataFrame | None = None) -> DataFrame:
-        reader = self.spark.read.option("basePath", f"{self.path}/{folder}")
-        if like is not None:
-            reader = reader.schema(like.schema)
-        return reader.parquet(f"{self.path}/{folder}")
+    def _read(self, folders: list[str], schema: StructType | None = None) -> DataFrame:
+        """The rows of folders in one scan, with their folder and shard; columns that an append lacked are null."""
+        reader = self.spark.read.option("basePath", f"{self.path}/rows").schema(self._schema() if schema is None else schema)
+        rows = reader.parquet(*(f"{self.path}/rows/folder={x}" for x in folders))
+        if "folder" not in rows.columns:  # nothing but folders without rows
+            rows = rows.withColumn("folder", F.lit(None))
+        return rows.withColumns({"folder": F.col("folder").cast("string"), "shard": F.col("shard").cast("string")})
+
+    def _schema(self) -> StructType:
+        """The columns of all appends together, from the empty tables that they left."""
+        return self.spark.read.option("mergeSchema", "true").parquet(f"{self.path}/schemas/*").schema
 
     def plan(self) -> DataFrame:
         """The newest shards that are to be rewritten, with the new shard of each and the files that it gets.
@@ -112,7 +119,7 @@ class ShardStore:
         group = Window.partitionBy("tier", "span", "part")
         name = F.concat_ws("-", F.min("seq").over(group).cast("string"), F.max("last").over(group).cast("string"), F.concat(F.lit("t"), F.col("tier").cast("string")), F.lit(f"v{base + 1}"))
         small = small.withColumn("runs", F.count("*").over(group)).withColumn("into", name).filter("runs > 1").drop("part", "runs", "tier", "span").withColumn("files", F.lit(1).cast("long"))
-        large = manifest.filter((F.col("size") >= self.target // 2) & F.col("folder").startswith("data/"))
+        large = manifest.filter((F.col("size") >= self.target // 2) & F.col("folder").startswith("data-"))
         return small.unionByName(large.withColumn("into", F.col("shard")).withColumn("files", F.ceil(F.col("size") / F.lit(self.target))))
 
     def compact(self) -> int:
@@ -129,16 +136,10 @@ class ShardStore:
         merges = plan.select("shard", "folder", "into", "files").join(first, "into")
         # a row's place in the store deals it to a file, so that equal rows spread and a repeated task deals alike
         file = F.pmod(F.xxhash64("__at.file_path", "__at.row_index"), F.col("files"))
-        parts = []
-        for folder in folders:
-            # the list of shards is small beside their rows, and only the rewritten ones are read
-            rows = self._read(folder)
-            rows = rows.select("*", F.col("_metadata").alias("__at")).withColumn("shard", F.col("shard").cast("string"))
-            rows = rows.join(merges.filter(F.col("folder") == folder).drop("folder"), "shard").drop("shard").withColumnRenamed("into", "shard")
-            parts.append(rows.withColumn("__file", (F.col("first") + file).cast("int")).drop("__at", "files", "first"))
-        rows = parts[0]
-        for part in parts[1:]:
-            rows = rows.unionByName(part, allowMissingColumns=True)
+        # the list of shards is small beside their rows, and of the folders read only the rewritten ones stay
+        rows = self._read(folders)
+        rows = rows.select("row", "n_bytes", "shard", "folder", F.col("_metadata").alias("__at")).join(merges, ["shard", "folder"])
+        rows = rows.select("row", "n_bytes", F.col("into").alias("shard"), (F.col("first") + file).cast("int").alias("__file"))
         # a merged shard has the target's size at most and one small one more: it fits a task
         count = made.agg(F.sum("files")).first()[0]
         folder = self._write(rows.repartitionById(count, F.col("__file")).drop("__file"), "merged")
@@ -149,21 +150,13 @@ class ShardStore:
     def read(self, version: int | None = None) -> DataFrame:
         """All rows of a version with the shard and n_bytes of each; these get underscores if rows have such columns.
 
-        A version without shards has no rows, and the columns of the newest append.
+        A version without shards has no rows, and the columns of all appends.
         """
         manifest = self.manifest(version)
         folders = [r["folder"] for r in manifest.select("folder").distinct().collect()]
-        parts = []
-        for folder in folders:
-            rows = self._read(folder).withColumn("shard", F.col("shard").cast("string"))
-            live = manifest.filter(F.col("folder") == folder).select("shard")
-            parts.append(rows.join(live, "shard", "left_semi").select("row", "n_bytes", "shard"))
-        if not parts:
-            where, files = self._files("schemas")
-            newest = max((x.getPath().getName() for x in files.listStatus(where)), key=lambda n: int(n.rpartition("v")[2]))
-            parts = [self.spark.read.parquet(f"{self.path}/schemas/{newest}")]
-        rows = parts[0]
-        for part in parts[1:]:
-            rows = rows.unionByName(part, allowMissingColumns=True)
+        if folders:
+            rows = self._read(folders).join(manifest.select("shard", "folder"), ["shard", "folder"], "left_semi").select("row", "n_bytes", "shard")
+        else:
+            rows = self.spark.createDataFrame([], self._schema())
         columns = rows.schema["row"].dataType.names
         return rows.select("row.*", "n_bytes", "shard").toDF(*columns, *free_names(columns, ("n_bytes", "shard")))

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from folium.llm import attention, bpe, language_id, lm_scoring, mixing, near_dedup, nearest, quality_rules, scratch, sharding, suffix_dedup, url_filter
+from folium.llm import attention, bpe, language_id, lm_scoring, mixing, near_dedup, nearest, quality_model, quality_rules, scratch, sharding, suffix_dedup, url_filter
 from folium.llm.queries import word_vocabulary
 
 SMALL = "/root/testdata/sf0.001"
@@ -44,6 +44,7 @@ OPERATORS = {
     "op5": quality_rules.judge,
     "op6": lambda d: language_id.identify(d, language_id.dictionaries(d)),
     "op7": op7,
+    "op12": lambda d: quality_model.score(d, d.sparkSession.createDataFrame([(2, 1), (3, 0)], "doc_id long, quality int"), F.lit(True)),
     "op9": lambda d: bpe.digests(bpe.encode(d, word_vocabulary())),
 }
 

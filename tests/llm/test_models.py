@@ -196,3 +196,43 @@ def test_pieces_rebuild_words():
     pieces = subwords.chosen(word_vocabulary(), data, starts, ends, 50)
     ids, counts = subwords.cut(pieces, data, starts, ends)
     assert counts.sum() == len(ids) and (counts >= 1).all() and (ids < pieces.border).all() and counts[0] == 1
+
+
+def test_languages_against_brute_force(spark):
+    """Dictionaries and sizes made in a plain way, for all rows of the small table."""
+    import re
+
+    import zstandard
+
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    rows = docs.select("doc_id", "text", "lang", F.xxhash64("text", F.lit(6)).alias("h")).collect()
+    bare = lambda t: re.sub(r"[\W\d_]+", " ", t.lower())
+    samples = {}
+    for lang in sorted({r["lang"] for r in rows if r["lang"]}):
+        texts = {(len(r["text"]) < 40, r["h"], r["text"][:1200]) for r in rows if r["lang"] == lang and r["text"] and any(map(str.isalpha, r["text"])) and crc32(str(r["doc_id"]).encode()) % 4 != 2}
+        assert len(texts) <= 4 * 96
+        samples[lang] = bare("\n".join(t for _, _, t in sorted(texts)[:96])).encode()
+    ways = {k: zstandard.ZstdCompressor(level=6, dict_data=zstandard.ZstdCompressionDict(v, dict_type=zstandard.DICT_TYPE_RAWCONTENT), write_content_size=False, write_checksum=False) for k, v in samples.items()}
+    got = {r["doc_id"]: r for r in op6_language_id(spark, SMALL).collect()}
+    assert len(got) == len(rows) == 200
+    for r in rows:
+        mine = got[r["doc_id"]]
+        assert mine["held_out"] == (crc32(str(r["doc_id"]).encode()) % 4 == 2)
+        if not r["text"] or not any(map(str.isalpha, r["text"])):
+            assert (mine["lang_pred"], mine["score"], mine["accepted"]) == ("und", 0.0, False)
+            continue
+        raw = bare(r["text"]).encode()
+        sizes = sorted((sum(len(w.compress(raw[at : at + (1 << 14)])) for at in range(0, len(raw), 1 << 14)), k) for k, w in ways.items())
+        margin = (sizes[1][0] - sizes[0][0]) / sizes[1][0]
+        assert mine["lang_pred"] == sizes[0][1] and abs(mine["score"] - margin) < 1e-12 and mine["accepted"] == (margin >= 0.004)
+
+
+def test_scores_do_not_depend_on_the_split(spark, monkeypatch):
+    """The same table in one task and in seven, with repeated rows, several parts and two steps of sums."""
+    for name, value in (("PIECES", 200), ("PART_BLOCKS", 3), ("SUMS", 4), ("TUNE_TEXTS", 1), ("TUNE_BLOCKS", 1), ("LOT", 2)):
+        monkeypatch.setattr(lm_scoring, name, value)
+    monkeypatch.setattr(attention, "EPOCHS", 1)
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").filter("doc_id < 60").select("doc_id", "text")
+    docs = docs.unionByName(docs.filter("doc_id < 5"))
+    runs = [{(r["doc_id"], round(r["score"], 3)) for r in lm_scoring.score(d, language_id.fold(F.col("doc_id"), 5) == 1, word_vocabulary()).collect()} for d in (docs.coalesce(1), docs.repartition(7))]
+    assert runs[0] == runs[1]

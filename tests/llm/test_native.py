@@ -14,7 +14,7 @@ SMALL = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_queries_match_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "labels"):
         con.execute(f"create view {table} as select * from '{SMALL}/{table}.parquet'")
     frame = queries.queries()[name](spark, SMALL)
     columns = sorted(frame.columns)
@@ -173,7 +173,7 @@ def test_large_arrivals_get_files_of_target_size(spark):
     assert store.append(docs, sharding.arrival_of(F.col("doc_id"), 20), F.octet_length("text")) == 1
     assert store.compact() == 2
     folder = {r["folder"] for r in store.manifest().collect()}.pop()
-    files = store._read(folder).select("row.text", "shard", F.col("_metadata.file_path").alias("f")).groupBy("shard", "f").agg(F.sum(F.length("text")).alias("size")).collect()
+    files = store._read([folder]).select("row.text", "shard", F.col("_metadata.file_path").alias("f")).groupBy("shard", "f").agg(F.sum(F.length("text")).alias("size")).collect()
     sizes = {k: sorted(r["size"] for r in files if r["shard"] == k) for k in ("-1-v1", "0-v1")}
     assert {r["folder"] for r in store.manifest().collect()} == {folder}
     assert len(sizes["-1-v1"]) == 5 and max(sizes["-1-v1"]) < 8000 and sizes["0-v1"] == [3000]
@@ -199,5 +199,5 @@ def test_stores_keep_columns_of_any_name(spark):
     assert sorted(map(repr, store.read().select(*docs.columns).collect())) == sorted(map(repr, docs.collect()))
     # an arrival's rows come together before they are written
     folder = {r["folder"] for r in store.manifest(1).collect()}.pop()
-    files = store._read(folder).select(F.col("_metadata.file_path").alias("f"), "shard").distinct()
+    files = store._read([folder]).select(F.col("_metadata.file_path").alias("f"), "shard").distinct()
     assert files.count() == 10 and files.select("shard").distinct().count() == 10
