@@ -12,16 +12,17 @@ from folium.functions.text import capitalize, collapse, strip
 
 # Kinds with their labels, ordinals, suffixes and phrases must be these for equal results.
 LABELS = {"PARTE": "PARTE", "LIBRO": "LIBRO", "TITULO": "TÍTULO", "CAPITULO": "Capítulo", "SECCION": "Sección", "SUBSECCION": "Subsección", "ARTICULO": "Artículo", "ANEXO": "Anexo"}
-UNITS = ["PRIMER[OA]?", "SEGUND[OA]", "TERCER[OA]?", "CUART[OA]", "QUINT[OA]", "SEXT[OA]", "S[ÉE]PTIM[OA]", "OCTAV[OA]", "NOVEN[OA]"]
-OTHERS = ["D[ÉE]CIM[OA]", "VIG[ÉE]SIM[OA]", "UND[ÉE]CIM[OA]", "DUOD[ÉE]CIM[OA]", "[ÚU]NIC[OA]", "PRELIMINAR"]
 SUFFIXES = "Bis|Ter|Qu[áa]ter|Quinquies|Sexies|Septies|Octies|Nonies|Decies|Quintus|Sextus|Septimus|Octavus|Nonus|Decimus"
-
-#: Tens joined to units, tens before units, then single words.
-ORDINALS = "|".join([*(f"D[ÉE]CIMO?{u}" for u in UNITS), *(f"VIG[ÉE]SIMO?{u}" for u in UNITS[:5]), *(rf"D[ÉE]CIM[OA]\s+{u}" for u in UNITS[:6]), *UNITS, *OTHERS])
+ORDINALS = "|".join([
+    "D[ÉE]CIMO?PRIMER[OA]?", "D[ÉE]CIMO?SEGUND[OA]", "D[ÉE]CIMO?TERCER[OA]?", "D[ÉE]CIMO?CUART[OA]", "D[ÉE]CIMO?QUINT[OA]", "D[ÉE]CIMO?SEXT[OA]", "D[ÉE]CIMO?S[ÉE]PTIM[OA]", "D[ÉE]CIMO?OCTAV[OA]", "D[ÉE]CIMO?NOVEN[OA]",
+    "VIG[ÉE]SIMO?PRIMER[OA]?", "VIG[ÉE]SIMO?SEGUND[OA]", "VIG[ÉE]SIMO?TERCER[OA]?", "VIG[ÉE]SIMO?CUART[OA]", "VIG[ÉE]SIMO?QUINT[OA]",
+    r"D[ÉE]CIM[OA]\s+PRIMER[OA]?", r"D[ÉE]CIM[OA]\s+SEGUND[OA]", r"D[ÉE]CIM[OA]\s+TERCER[OA]?", r"D[ÉE]CIM[OA]\s+CUART[OA]", r"D[ÉE]CIM[OA]\s+QUINT[OA]", r"D[ÉE]CIM[OA]\s+SEXT[OA]",
+    "PRIMER[OA]?", "SEGUND[OA]", "TERCER[OA]?", "CUART[OA]", "QUINT[OA]", "SEXT[OA]", "S[ÉE]PTIM[OA]", "OCTAV[OA]", "NOVEN[OA]", "D[ÉE]CIM[OA]", "VIG[ÉE]SIM[OA]", "UND[ÉE]CIM[OA]", "DUOD[ÉE]CIM[OA]", "[ÚU]NIC[OA]", "PRELIMINAR",
+])
 
 _TAIL = r"(?:\s+(.+?))?\s*$"
 _SEPARATED = r"(?:\s*[-–:.\s]+(.+))?\s*$"
-#: For each kind, in the order in which kinds are tried: pattern, group of the ordinal, group of the title (0: none).
+# For each kind, in the order in which kinds are tried: pattern, group of the ordinal, group of the title (0: none).
 PATTERNS = {
     "SUBSECCION": (r"^[\s\-–·]*Subsecci[oó]n\s*\(\s*([A-Z])\s*\)\s*$", 1, 0),
     "ARTICULO": (rf"^\s*Art[íi]culo\s+(\d+)(?:\s*[oº°]\.?)?(?:\s*\.?\s*({SUFFIXES}))?\.?\s*[-–]?\s*(.*)?$", 1, 3),

@@ -259,4 +259,47 @@ w as (
 select l_orderkey, array_to_string(list_transform(x, lambda e: e.t), '|') as parts from w qualify row_number() over (partition by l_orderkey order by n desc) = 1"""
 
 
-QUERIES = [elements_explode, drop_filter, classify_headings, hierarchy_parent, hierarchy_sort_key, title_lookahead, body_attach, unattached, page_end_last, breadcrumbs, node_text, merge_small_nodes, pack_overlap, quality_report, level_distribution, extraction_metrics, profile_autodetect, fraction_order, symbol_frequencies]
+def _legal_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines of documents, seven of thirteen of which become headings and running heads of laws, by position."""
+    rows = S.table(spark, sf, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    return rows.selectExpr(
+        "doc_id", "pos", "cast(1 as int) as page_number", "'narrative' as kind",
+        """case pos % 13 when 0 then 'LIBRO ' || element_at(array('PRIMERO', 'Segundo', 'DÉCIMO TERCERO', 'DECIMOPRIMERO', 'vigésimo', 'ÚNICO'), cast(doc_id % 6 as int) + 1) || ' De la organización'
+           when 1 then 'TITULO ' || element_at(array('PRELIMINAR', 'IV', '12', 'Cuarto'), cast(doc_id % 4 as int) + 1)
+           when 2 then if(doc_id % 2 = 0, ' Capítulo II bis', 'CAPITULO X - De las armas')
+           when 3 then 'Artículo ' || (doc_id % 40 + 1) || element_at(array('o.- Uno', 'o. Bis.- Dos', '.- Tres', 'o. septimus.-', 'º Cinco'), cast(doc_id % 5 as int) + 1)
+           when 4 then '  1 de 141 ' when 5 then 'CÁMARA DE DIPUTADOS DEL H. CONGRESO DE LA UNIÓN' when 6 then 'Última Reforma DOF 13-06-2014'
+           when 7 then if(doc_id % 2 = 0, 'Anexo "B" - Formato', 'ANEXO C') else line end as text""",
+    )
+
+
+def legal_headings(spark: SparkSession, sf: str) -> DataFrame:
+    """Books, titles, chapters and articles of laws, and the annexes of manuals."""
+    lines, parts = _legal_lines(spark, sf), []
+    for p in (headings.LEGAL_ARTICLES, headings.MANUAL_ANNEXES):
+        rows = elements.kept(lines, p).withColumn("h", headings.classify(F.col("text"), p)).filter("h is not null")
+        parts.append(rows.select(F.lit(p.name).alias("profile"), "doc_id", "pos", F.col("h.kind").alias("heading_kind"), "h.level", F.col("h.label").alias("level_label"), "h.ordinal", "h.remainder"))
+    return parts[0].unionByName(parts[1])
+
+
+SQL["legal_headings"] = """with l as (select doc_id, generate_subscripts(string_split(text, chr(10)), 1) - 1 as pos from documents),
+h as (select *, pos % 13 as k, case pos % 13
+  when 0 then ['PRIMERO', 'SEGUNDO', 'DÉCIMO TERCERO', 'DECIMOPRIMERO', 'VIGÉSIMO', 'ÚNICO'][doc_id % 6 + 1] when 1 then ['PRELIMINAR', 'IV', '12', 'CUARTO'][doc_id % 4 + 1]
+  when 2 then case when doc_id % 2 = 0 then 'II BIS' else 'X' end when 3 then (doc_id % 40 + 1) || 'o' || ['', ' Bis', '', ' Septimus', ''][doc_id % 5 + 1] when 7 then case when doc_id % 2 = 0 then 'B' else 'C' end end as ordinal,
+  case pos % 13 when 0 then 'De la organización' when 2 then case when doc_id % 2 = 0 then '' else 'De las armas' end when 3 then ['Uno', 'Dos', 'Tres', '', 'Cinco'][doc_id % 5 + 1]
+    when 7 then case when doc_id % 2 = 0 then 'Formato' else '' end else '' end as remainder from l)
+select 'codigo_legal_articulos' as profile, doc_id, pos, ['LIBRO', 'TITULO', 'CAPITULO', 'ARTICULO'][k + 1] as heading_kind, k::int as level, ['LIBRO', 'TÍTULO', 'Capítulo', 'Artículo'][k + 1] as level_label, ordinal, remainder from h where k < 4
+union all select 'manual_anexos', doc_id, pos, case k when 2 then 'CAPITULO' else 'ANEXO' end, case k when 2 then 1 else 0 end, case k when 2 then 'Capítulo' else 'Anexo' end, ordinal, remainder from h where k in (2, 7)"""
+
+
+def legal_drops(spark: SparkSession, sf: str) -> DataFrame:
+    parts = [elements.drop_counts(_legal_lines(spark, sf), p).withColumn("profile", F.lit(p.name)) for p in (headings.LEGAL_ARTICLES, headings.LEGAL_CODE, headings.ORGANIC_LAW)]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+SQL["legal_drops"] = """with l as (select doc_id, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) - 1 as pos from documents),
+p as (select unnest(['codigo_legal_articulos', 'codigo_legal', 'ley_organica']) as profile)
+select profile, doc_id, count(*) as n_elements, count(*) filter (pos % 13 in (4, 5) or (pos % 13 = 6 and profile <> 'codigo_legal') or (pos % 13 > 7 and trim(line) = '') or (pos % 13 > 7 and profile = 'ley_organica' and contains(lower(line), 'dof'))) as n_dropped
+from l, p group by profile, doc_id"""
+
+QUERIES = [elements_explode, drop_filter, classify_headings, hierarchy_parent, hierarchy_sort_key, title_lookahead, body_attach, unattached, page_end_last, breadcrumbs, node_text, merge_small_nodes, pack_overlap, quality_report, level_distribution, extraction_metrics, profile_autodetect, legal_headings, legal_drops, fraction_order, symbol_frequencies]
