@@ -172,6 +172,16 @@ select p.doc_id, p.page, arg_max(n.local_id, n.level * 100000 + n.local_id) as l
 
 
 def bm25_topk(spark: SparkSession, sf: str) -> DataFrame:
+    """The texts are read twice: for their lengths, and for the query's own words; both are kept, as narrow tables."""
+    docs = S.table(spark, sf, "documents").select(F.col("doc_id").alias("chunk_id"), "text")
+    query = search.parse("the of")
+    sizes, _ = shared.stored(search.text_lengths(docs))
+    indexed, _ = shared.stored(search.index(docs).filter(F.col("token").isin(search.words_of(query))))
+    return search.bm25(indexed, query, 50, sizes=sizes).select("chunk_id", F.round("rank", 9).alias("rank"))
+
+
+def bm25_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    """The same through an index that is built for all words."""
     index = Index(spark, shared.folder(spark))
     index.apply(S.table(spark, sf, "documents").select(F.col("doc_id").alias("key"), "text"))
     return index.top(search.parse("the of"), 50).select(F.col("key").alias("chunk_id"), F.round("rank", 9).alias("rank"))
@@ -183,6 +193,7 @@ s as (select chunk_id, count(*) as dl, count(*) filter (token = 'the') as a, cou
 t as (select count(*) as n, avg(dl) as avgdl, count(*) filter (a > 0) as da, count(*) filter (b > 0) as db from s)
 select chunk_id, round(-(greatest(1e-6, ln((n - da + 0.5) / (da + 0.5))) * a * 2.2 / (a + 1.2 * (0.25 + 0.75 * dl / avgdl)) + greatest(1e-6, ln((n - db + 0.5) / (db + 0.5))) * b * 2.2 / (b + 1.2 * (0.25 + 0.75 * dl / avgdl))), 9) as rank
 from s, t where a > 0 and b > 0 order by -(greatest(1e-6, ln((n - da + 0.5) / (da + 0.5))) * a * 2.2 / (a + 1.2 * (0.25 + 0.75 * dl / avgdl)) + greatest(1e-6, ln((n - db + 0.5) / (db + 0.5))) * b * 2.2 / (b + 1.2 * (0.25 + 0.75 * dl / avgdl))), chunk_id limit 50"""
+SQL["bm25_blocks"] = SQL["bm25_topk"]
 
 
 def phrase_search(spark: SparkSession, sf: str) -> DataFrame:
@@ -296,4 +307,4 @@ def guess_code(spark: SparkSession, sf: str) -> DataFrame:
 SQL["guess_code"] = """with p as (select p_partkey, p_brand, case when p_partkey % 2 = 0 then 'manual_dn m ' || p_partkey else replace(p_name, ' ', '-') end || '.v2' as stem from part)
 select p_partkey, case when p_partkey % 2 = 0 then 'DN M ' || p_partkey else replace(stem, '_', ' ') end as code, trim(translate(stem, '_-', '  ')) as title, case when starts_with(upper(p_brand), 'CJM') then 'JUS_MIL' else 'OPS_MIL' end as subject from p"""
 
-QUERIES = [toc_density_runs, toc_entries, toc_confidence, toc_gaps, page_offset_mode, asof_page_node, contents_nodes, contents_body, bm25_topk, phrase_search, search_excerpts, index_generations, index_backfill, run_ref_iso, slug_version, sha256_digest, roman_to_int, page_labels, guess_code]
+QUERIES = [toc_density_runs, toc_entries, toc_confidence, toc_gaps, page_offset_mode, asof_page_node, contents_nodes, contents_body, bm25_topk, bm25_blocks, phrase_search, search_excerpts, index_generations, index_backfill, run_ref_iso, slug_version, sha256_digest, roman_to_int, page_labels, guess_code]
