@@ -1,8 +1,9 @@
 """Checks of bundles as they arrive: JSON of any shape, held against the delivery contract.
 
 A bundle is (bundle_id, json). The text becomes a VARIANT, so that a text, a number and a boolean in the wrong place can be
-told apart. All rules of a part are one array of findings, which is exploded once; what ties rows together (references,
-repeats) goes through one aggregate by bundle and reference. Findings are (bundle_id, path, rule, message).
+told apart. A bundle is parsed once: one pass gives for its head and for each section, run and question an array of
+findings and an array of the keys that it says, and only those are kept. What ties rows together (references, repeats)
+goes through one aggregate by bundle and key. Findings are (bundle_id, path, rule, message).
 """
 
 from __future__ import annotations
@@ -25,6 +26,10 @@ MESSAGES = {
 }
 _FOUND = "array<struct<path:string, rule:string>>"
 _NONE = f"cast(array() as {_FOUND})"
+#: The keys that a part defines or refers to: of which kind, and where it stands.
+_SAID = "array<struct<kind:string, key:string, defines:boolean, path:string>>"
+#: What a JSON text shows somewhere if a secret may be in it.
+TRACE = "|".join([r'(?i:"(?:api[_-]?keys?|secrets?|passwords?|passwd|tokens?|credentials?|authorizations?)"\s*:)', *(p.replace(r"\b", "") for p in SECRETS.values())])
 
 
 def _kind(x: str, key: str) -> str:
@@ -107,12 +112,8 @@ def parsed(bundles: DataFrame) -> DataFrame:
     return bundles.select("bundle_id", "json", F.expr("try_parse_json(json)").alias("v"))
 
 
-def _told(rows: DataFrame, findings: str) -> DataFrame:
-    return rows.select("bundle_id", F.explode(F.expr(findings)).alias("e")).select("bundle_id", "e.path", "e.rule")
-
-
-def header_findings(docs: DataFrame) -> DataFrame:
-    """What is wrong with the head of parsed bundles: JSON, version, generator, the document's fields, the lists."""
+def _head_rules() -> str:
+    """What is wrong with the head of a bundle v: JSON, version, generator, the document's fields, the lists."""
     root = Fields("v", "'$'").stamp("generated_at")
     for key in ("nodes", "runs", "questions"):
         root.rules.append(f"named_struct('path', '$.{key}', 'rule', if({_kind('v', key)} like 'ARRAY%', null, 'list'))")
@@ -125,17 +126,11 @@ def header_findings(docs: DataFrame) -> DataFrame:
     absent = lambda key, found: f"if({_kind('v', key)} = 'VOID', {one(f'$.{key}', 'object')}, {found})"
     hinted = f"if({_kind('v', 'catalog_hint')} = 'VOID', {_NONE}, {hint})"
     # without a known version nothing else means anything
-    return _told(docs, f"case when v is null or not coalesce(schema_of_variant(v) like 'OBJECT%', false) then {one('$', 'json')} when not coalesce({version}, false) then {one('$.bundle_version', 'version')} else concat({root.sql()}, {absent('generator', maker)}, {absent('manual', manual)}, {hinted}) end")
-
-
-def _part(docs: DataFrame, name: str) -> DataFrame:
-    """(bundle_id, i, x, at) of the objects in one of the lists, and where each stands."""
-    rows = docs.select("bundle_id", F.posexplode(F.expr(f"try_variant_get(v, '$.{name}', 'array<variant>')")).alias("i", "x"))
-    return rows.withColumn("at", F.expr(f"concat('$.{name}[', i, ']')"))
+    return f"case when v is null or not coalesce(schema_of_variant(v) like 'OBJECT%', false) then {one('$', 'json')} when not coalesce({version}, false) then {one('$.bundle_version', 'version')} else concat({root.sql()}, {absent('generator', maker)}, {absent('manual', manual)}, {hinted}) end"
 
 
-def node_findings(nodes: DataFrame) -> DataFrame:
-    """Findings on sections and their chunks, each by itself."""
+def _node_rules() -> str:
+    """Findings on a section and its chunks, each by itself."""
     own = Fields("x", "at").text("ref", LIMITS["ref"]).text("parent_ref", needed=False, empty=True).whole("level").text("level_label", LIMITS["level_label"]).text("ordinal", LIMITS["ordinal"], empty=True).text("title", LIMITS["node_title"]).text("breadcrumb", empty=True).whole("page_start").whole("page_end", False).truth("is_anexo").free("metadata")
     own.rules.append(f"named_struct('path', concat(at, '.chunks'), 'rule', if({_kind('x', 'chunks')} like 'ARRAY%', null, 'list'))")
     where = "concat(at, '.chunks[', j, ']')"
@@ -143,18 +138,18 @@ def node_findings(nodes: DataFrame) -> DataFrame:
     list_ = "try_variant_get(x, '$.chunks', 'array<variant>')"
     chunks = f"coalesce(flatten(transform({list_}, (c, j) -> {chunk})), {_NONE})"
     ordinals = f"filter(transform({list_}, (c, j) -> named_struct('v', if({_kind('c', 'ordinal')} = 'BIGINT', {_value('c', 'ordinal', 'bigint')}, null), 'j', j)), e -> e.v is not null)"
-    return _told(nodes, f"concat({own.sql()}, {chunks}, coalesce({_repeats(ordinals, "concat(at, '.chunks[', e.j, '].ordinal')")}, {_NONE}))")
+    return f"concat({own.sql()}, {chunks}, coalesce({_repeats(ordinals, "concat(at, '.chunks[', e.j, '].ordinal')")}, {_NONE}))"
 
 
-def run_findings(runs: DataFrame) -> DataFrame:
+def _run_rules() -> str:
     own = Fields("x", "at").text("ref").text("model", LIMITS["model"]).text("profile_used", LIMITS["profile"]).known("mode", MODES).known("status", RUN_STATUSES, ("running", "running")).stamp("started_at").stamp("completed_at", False)
     for key in ("nodes_total", "nodes_completed", "nodes_failed", "cost_input_tokens", "cost_output_tokens", "cost_cached_tokens"):
         own.whole(key)
-    return _told(runs, own.number("cost_estimate_usd").free("rules_snapshot").free("metadata").sql())
+    return own.number("cost_estimate_usd").free("rules_snapshot").free("metadata").sql()
 
 
-def question_findings(questions: DataFrame) -> DataFrame:
-    """Findings on questions and their options, each by itself."""
+def _question_rules() -> str:
+    """Findings on a question and its options, each by itself."""
     own = Fields("x", "at").text("run_ref").text("node_ref").whole("generation_order").text("question_text", LIMITS["question"]).text("justification", LIMITS["justification"]).stamp("created_at").stamp("validated_at", False).free("metadata").known("validation_status", STATUSES)
     own.rules.append(f"named_struct('path', concat(at, '.options'), 'rule', if({_kind('x', 'options')} like 'ARRAY%', null, 'list'))")
     list_ = "try_variant_get(x, '$.options', 'array<variant>')"
@@ -168,53 +163,71 @@ def question_findings(questions: DataFrame) -> DataFrame:
     wrong_roles = " or ".join(f"size(filter({role}, r -> r = '{r}')) <> {n}" for r, n in ROLES.items())
     whole = Fields("x", "at").when(f"size({list_}) <> {sum(ROLES.values())}", "four_options").when(wrong_roles, "roles")
     whole.when(f"size({marked}) <> 1 or not coalesce({_value(f'get({marked}, 0)', 'role')} = 'correct', false)", "correct").when(f"size(array_distinct({same})) < size({same})", "same_text").when(f"size(array_distinct({places})) < size({places})", "same_place")
-    return _told(questions, f"concat({own.sql()}, if({list_} is null, {_NONE}, concat({options}, {whole.sql()})))")
+    return f"concat({own.sql()}, if({list_} is null, {_NONE}, concat({options}, {whole.sql()})))"
 
 
-def reference_findings(nodes: DataFrame, runs: DataFrame, questions: DataFrame) -> DataFrame:
-    """Repeated keys, and references to nothing, by one aggregate over (bundle, kind, key).
+def _said(*keys: tuple[str, str, bool, str]) -> str:
+    """The keys of a part, of (kind, field, whether it defines the key, what is added to the path); only texts count."""
+    each = (f"if({_kind('x', field)} = 'STRING', named_struct('kind', '{kind}', 'key', {_value('x', field)}, 'defines', {str(defines).lower()}, 'path', concat(at, '.{field}')), null)" for kind, field, defines in keys)
+    return f"cast(filter(array({', '.join(each)}), e -> e is not null) as {_SAID})"
 
-    Only texts count as keys and references. Tasks add up before they shuffle, so a key that all rows name is no burden;
-    then only rows of the keys that are wrong are looked at again.
-    """
 
-    def named(rows: DataFrame, kind: str, key: str, defines: bool, path: str) -> DataFrame:
-        said = rows.filter(F.expr(f"{_kind('x', key)} = 'STRING'"))
-        return said.select("bundle_id", F.lit(kind).alias("kind"), F.expr(_value("x", key)).alias("key"), F.lit(defines).alias("defines"), "i", F.concat("at", F.lit(path)).alias("path"))
+def surveyed(bundles: DataFrame) -> DataFrame:
+    """(bundle_id, part, i, found, said, up, v) in one pass over bundles, each parsed once.
 
-    pair = questions.filter(F.expr(f"{_kind('x', 'run_ref')} = 'STRING' and {_kind('x', 'node_ref')} = 'STRING'"))
-    pair = pair.select("bundle_id", F.lit("pair").alias("kind"), F.to_json(F.array(F.expr(_value("x", "run_ref")), F.expr(_value("x", "node_ref")))).alias("key"), F.lit(True).alias("defines"), "i", F.col("at").alias("path"))
-    rows = reduce(DataFrame.unionByName, [
-        named(nodes, "node", "ref", True, ".ref"), named(nodes, "node", "parent_ref", False, ".parent_ref"), named(questions, "node", "node_ref", False, ".node_ref"),
-        named(runs, "run", "ref", True, ".ref"), named(questions, "run", "run_ref", False, ".run_ref"), pair,
-    ])
+    A bundle with a wrong head is one row of part `head`. Of others there is a row for each section (`up` is its parent's
+    ref), run and question, and one of part `whole` with the bundle as v where its text shows a trace of a secret.
+    """
+    lists = (f"transform(try_variant_get(v, '$.{name}', 'array<variant>'), (x, i) -> named_struct('part', '{name}', 'i', i, 'x', x))" for name in ("nodes", "runs", "questions"))
+    one = lambda part, x: f"array(named_struct('part', '{part}', 'i', 0, 'x', {x}))"
+    nothing = "cast(array() as array<struct<part:string, i:int, x:variant>>)"
+    whole = f"if(traced, {one('whole', 'v')}, {nothing})"
+    parts = f"if(size(head) > 0, {one('head', 'cast(null as variant)')}, concat({', '.join(f'coalesce({x}, {nothing})' for x in lists)}, {whole}))"
+    rows = parsed(bundles).select("bundle_id", "v", F.expr(_head_rules()).alias("head"), F.to_json("v").rlike(TRACE).alias("traced")).select("bundle_id", "head", F.explode(F.expr(parts)).alias("p"))
+    rows = rows.select("bundle_id", "head", "p.*").withColumn("at", F.expr("concat('$.', part, '[', i, ']')"))
+    pair = f"if({_kind('x', 'run_ref')} = 'STRING' and {_kind('x', 'node_ref')} = 'STRING', array(named_struct('kind', 'pair', 'key', to_json(array({_value('x', 'run_ref')}, {_value('x', 'node_ref')})), 'defines', true, 'path', at)), cast(array() as {_SAID}))"
+    said = {
+        "nodes": _said(("node", "ref", True), ("node", "parent_ref", False)), "runs": _said(("run", "ref", True)),
+        "questions": f"concat({_said(('node', 'node_ref', False), ('run', 'run_ref', False))}, {pair})",
+    }
+    found = {"head": "head", "nodes": _node_rules(), "runs": _run_rules(), "questions": _question_rules()}
+    case = lambda rules, other: f"case part {' '.join(f"when '{k}' then {x}" for k, x in rules.items())} else {other} end"
+    return rows.selectExpr("bundle_id", "part", "i", f"{case(found, _NONE)} as found", f"{case(said, f'cast(array() as {_SAID})')} as said", f"if(part = 'nodes', {_value('x', 'parent_ref')}, null) as up", "if(part = 'whole', x, null) as v")
+
+
+def reference_findings(parts: DataFrame) -> DataFrame:
+    """Repeated keys, and references to nothing, of surveyed bundles, by one aggregate over (bundle, kind, key).
+
+    Tasks add up before they shuffle, so a key that all rows name is no burden; then only rows of the keys that are wrong
+    are looked at again.
+    """
+    rows = parts.select("bundle_id", "i", F.explode("said").alias("e")).select("bundle_id", "i", "e.*")
     keys = ["bundle_id", "kind", "key"]
     wrong = rows.groupBy(*keys).agg(F.count_if("defines").alias("n")).filter("n <> 1")
-    rows = rows.join(wrong, keys)
-    lost = rows.filter("n = 0 and not defines").select("bundle_id", "path", F.lit("reference").alias("rule"))
-    later = F.row_number().over(Window.partitionBy(*keys).orderBy("i"))
-    twice = rows.filter("n > 1 and defines").withColumn("k", later).filter("k > 1").select("bundle_id", "path", F.lit("unique").alias("rule"))
-    return lost.unionByName(twice)
+    later = F.row_number().over(Window.partitionBy(*keys, "defines").orderBy("i"))
+    rows = rows.join(wrong, keys).withColumn("k", F.when(F.col("defines"), later))
+    lost = (F.col("n") == 0) & ~F.col("defines")
+    return rows.filter(lost | (F.col("k") > 1)).select("bundle_id", "path", F.when(lost, "reference").otherwise("unique").alias("rule"))
 
 
-def tree_findings(nodes: DataFrame) -> DataFrame:
-    """Bundles without a root, and those whose sections go round."""
-    edges = nodes.filter(F.expr(f"{_kind('x', 'ref')} = 'STRING'")).select("bundle_id", F.expr(_value("x", "ref")).alias("ref"), F.expr(_value("x", "parent_ref")).alias("parent_ref"))
+def tree_findings(parts: DataFrame) -> DataFrame:
+    """Surveyed bundles without a root, and those whose sections go round."""
+    own = F.filter("said", lambda e: (e["kind"] == "node") & e["defines"])
+    edges = parts.filter("part = 'nodes'").select("bundle_id", F.explode(own).alias("e"), F.col("up").alias("parent_ref")).select("bundle_id", F.col("e.key").alias("ref"), "parent_ref")
     rootless = edges.groupBy("bundle_id").agg(F.count_if(F.col("parent_ref").isNull()).alias("roots")).filter("roots = 0")
     looped = cycles(edges).select("bundle_id").distinct()
     at = F.lit("$.nodes").alias("path")
     return rootless.select("bundle_id", at, F.lit("root").alias("rule")).unionByName(looped.select("bundle_id", at, F.lit("cycle").alias("rule")))
 
 
-def secret_findings(docs: DataFrame) -> DataFrame:
-    """Texts anywhere in parsed bundles that look like secrets, or whose field's name does and that are long enough.
+def secret_findings(parts: DataFrame) -> DataFrame:
+    """Texts anywhere in surveyed bundles that look like secrets, or whose field's name does and that are long enough.
 
     Bundles whose whole text shows no trace are not looked into. The others are walked level by level, objects and lists
     alike, until no level holds any; an object's secret field is reported once and not looked into.
     """
-    spark = docs.sparkSession
-    trace = "|".join([r'(?i:"(?:api[_-]?keys?|secrets?|passwords?|passwd|tokens?|credentials?|authorizations?)"\s*:)', *(p.replace(r"\b", "") for p in SECRETS.values())])
-    level = docs.filter(F.to_json("v").rlike(trace)).select("bundle_id", F.lit("$").alias("path"), F.lit("").alias("name"), "v")
+    spark = parts.sparkSession
+    level = parts.filter("part = 'whole'").select("bundle_id", F.lit("$").alias("path"), F.lit("").alias("name"), "v")
     by_value = F.lit(False)
     for pattern in SECRETS.values():
         by_value = by_value | F.col("s").rlike(pattern)
@@ -246,13 +259,11 @@ def errors(bundles: DataFrame) -> DataFrame:
     Null and empty texts are no JSON. Fields that the contract doesn't know play no part; of fields that stand twice in
     an object none is taken, so that the bundle counts as no JSON. No bundles have no errors.
     """
-    docs = parsed(bundles)
-    head, _ = shared.stored(header_findings(docs))
-    sound = docs.join(head.select("bundle_id").distinct(), "bundle_id", "left_anti")
-    nodes, runs, questions = (_part(sound, name) for name in ("nodes", "runs", "questions"))
-    parts = [head, node_findings(nodes), run_findings(runs), question_findings(questions), reference_findings(nodes, runs, questions), tree_findings(nodes), secret_findings(sound)]
+    parts, _ = shared.stored(surveyed(bundles))
+    own = parts.select("bundle_id", F.explode("found").alias("e")).select("bundle_id", "e.path", "e.rule")
+    told = [own, reference_findings(parts), tree_findings(parts), secret_findings(parts)]
     messages = F.create_map(*(F.lit(x) for pair in MESSAGES.items() for x in pair))
-    return reduce(DataFrame.unionByName, parts).withColumn("message", messages[F.col("rule")])
+    return reduce(DataFrame.unionByName, told).withColumn("message", messages[F.col("rule")])
 
 
 def _sizes(docs: DataFrame) -> DataFrame:

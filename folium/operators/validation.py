@@ -100,26 +100,66 @@ def _broken(rows: DataFrame, path: Column, rules: list[tuple[Column, str, str]])
     return rows.select("bundle_id", path.alias("path"), F.explode(F.filter(told, lambda e: e.isNotNull())).alias("e")).select("bundle_id", "path", "e.rule", "e.message")
 
 
+_SAID = "array<struct<kind:string, key:string, second:string, defines:boolean, i:int, path:string, rule:string, message:string>>"
+
+
+def _own(rules: list[tuple[Column, str, str]], path: Column, i: Column) -> Column:
+    """The rules that a part breaks, as sayings of their own kind that no others meet."""
+    each = (F.when(F.coalesce(bad, F.lit(False)), _saying("own", path, None, False, i, path, rule, message)) for bad, rule, message in rules)
+    return F.filter(F.array(*each), lambda e: e.isNotNull())
+
+
+def _saying(kind: str, key: Column, second: Column | None, defines: bool, i: Column, path: Column, rule: str, message: str) -> Column:
+    """A key that a part defines or refers to, and what is wrong if it is repeated, or refers to nothing."""
+    fields = {"kind": F.lit(kind), "key": key.cast("string"), "second": F.lit(None).cast("string") if second is None else second.cast("string"), "defines": F.lit(defines), "i": i.cast("int"), "path": path, "rule": F.lit(rule), "message": F.lit(message)}
+    return F.struct(*(c.alias(n) for n, c in fields.items()))
+
+
+def _settled(bundles: DataFrame, *sayings: Column) -> DataFrame:
+    """Findings from arrays of sayings: bundles are read once, and keys meet in one shuffle.
+
+    Of kind `own` all are findings; of others those that define a key again, and those whose key nobody defines.
+    """
+    rows = bundles.select("bundle_id", F.explode(F.concat(*(F.coalesce(x.cast(_SAID), F.expr(f"cast(array() as {_SAID})")) for x in sayings))).alias("e")).select("bundle_id", "e.*")
+    keys = ["bundle_id", "kind", "key", "second"]
+    known = F.max("defines").over(Window.partitionBy(*keys)) & F.col("key").isNotNull()
+    place = F.row_number().over(Window.partitionBy(*keys, "defines").orderBy("i"))
+    rows = rows.withColumns({"known": known, "place": place})
+    wrong = (F.col("kind") == "own") | F.when(F.col("defines"), F.col("place") > 1).otherwise(~F.col("known"))
+    return rows.filter(wrong & F.col("rule").isNotNull()).select("bundle_id", "path", "rule", "message")
+
+
+def _place(name: str, i: Column) -> Column:
+    return F.concat(F.lit(f"$.{name}["), i.cast("string"), F.lit("]"))
+
+
 def node_errors(bundles: DataFrame) -> DataFrame:
-    rows = nodes_of(bundles)
-    refs = rows.select("bundle_id", "ref").distinct()
-    bad = _text(F.col("ref"), LIMITS["ref"]) | _text(F.col("level_label"), LIMITS["level_label"]) | _text(F.col("title"), LIMITS["node_title"], False) | _text(F.col("ordinal"), LIMITS["ordinal"], False)
-    numbers = F.col("level").isNull() | (F.col("level") < 0) | (F.col("page_start") < 0)
-    chunks = rows.select("bundle_id", "i", F.posexplode("chunks").alias("j", "c")).select("bundle_id", "i", "j", "c.*")
-    chunk_path = F.concat(_at("nodes"), F.lit(".chunks["), F.col("j").cast("string"), F.lit("]"))
-    orphans = rows.filter("parent_ref is not null").join(refs.withColumnRenamed("ref", "parent_ref"), ["bundle_id", "parent_ref"], "left_anti")
-    rootless = rows.filter("ref is not null").groupBy("bundle_id").agg(F.count_if(F.col("parent_ref").isNull()).alias("roots"))
-    looped = cycles(rows).groupBy("bundle_id").agg(F.min("ref").alias("ref"))
-    true = F.lit(True)
-    return reduce(DataFrame.unionByName, [
-        _broken(rows, _at("nodes"), [(bad, "node_fields", "a text is missing, blank or too long"), (numbers, "node_numbers", "a number is missing or negative")]),
-        _found(_repeated(rows.filter("ref is not null"), ["ref"]), true, _at("nodes"), "node_ref_unique", "ref is repeated"),
-        _found(chunks, F.col("ordinal").isNull() | (F.col("ordinal") < 0) | F.col("text").isNull() | (strip(F.col("text")) == ""), chunk_path, "chunk_fields", "a chunk's text or ordinal is wrong"),
-        _found(_repeated(chunks, ["i", "ordinal"], "j"), true, chunk_path, "chunk_ordinal_unique", "ordinal is repeated"),
-        _found(orphans, true, _at("nodes"), "parent_exists", "parent_ref names no section"),
-        _found(rootless, F.col("roots") == 0, F.lit("$.nodes"), "root", "no section is a root"),
-        _found(looped, true, F.lit("$.nodes"), "cycle", "sections are their own ancestors"),
-    ])
+    """Findings on sections and chunks. A ref or ordinal that is repeated is one for each time but the first."""
+
+    def section(x: Column, i: Column) -> Column:
+        at = _place("nodes", i)
+        bad = _text(x["ref"], LIMITS["ref"]) | _text(x["level_label"], LIMITS["level_label"]) | _text(x["title"], LIMITS["node_title"], False) | _text(x["ordinal"], LIMITS["ordinal"], False)
+        numbers = x["level"].isNull() | (x["level"] < 0) | (x["page_start"] < 0)
+        own = _own([(bad, "node_fields", "a text is missing, blank or too long"), (numbers, "node_numbers", "a number is missing or negative")], at, i)
+        keys = F.array(
+            F.when(x["ref"].isNotNull(), _saying("node", x["ref"], None, True, i, at, "node_ref_unique", "ref is repeated")),
+            F.when(x["parent_ref"].isNotNull(), _saying("node", x["parent_ref"], None, False, i, at, "parent_exists", "parent_ref names no section")),
+        )
+
+        def chunk(c: Column, j: Column) -> Column:
+            where = F.concat(at, F.lit(".chunks["), j.cast("string"), F.lit("]"))
+            wrong = c["ordinal"].isNull() | (c["ordinal"] < 0) | c["text"].isNull() | (strip(c["text"]) == "")
+            again = _saying("ordinal", i, c["ordinal"], True, j, where, "chunk_ordinal_unique", "ordinal is repeated")
+            return F.concat(_own([(wrong, "chunk_fields", "a chunk's text or ordinal is wrong")], where, j), F.array(again))
+
+        chunks = F.coalesce(F.flatten(F.transform(x["chunks"], chunk)), F.expr(f"cast(array() as {_SAID})"))
+        return F.concat(own.cast(_SAID), F.filter(keys, lambda e: e.isNotNull()).cast(_SAID), chunks.cast(_SAID))
+
+    named = F.filter("nodes", lambda x: x["ref"].isNotNull())
+    root = [((F.size(named) > 0) & ~F.exists(named, lambda x: x["parent_ref"].isNull()), "root", "no section is a root")]
+    settled = _settled(bundles, F.flatten(F.transform("nodes", section)), _own(root, F.lit("$.nodes"), F.lit(0)))
+    looped = cycles(nodes_of(bundles)).groupBy("bundle_id").agg(F.min("ref").alias("ref"))
+    return settled.unionByName(_found(looped, F.lit(True), F.lit("$.nodes"), "cycle", "sections are their own ancestors"))
 
 
 def run_errors(bundles: DataFrame) -> DataFrame:
@@ -137,28 +177,37 @@ def run_errors(bundles: DataFrame) -> DataFrame:
 
 
 def question_errors(bundles: DataFrame) -> DataFrame:
-    rows = questions_of(bundles)
-    nodes, runs = nodes_of(bundles).select("bundle_id", F.col("ref").alias("node_ref")).distinct(), runs_of(bundles).select("bundle_id", F.col("ref").alias("run_ref")).distinct()
-    role = lambda r: F.size(F.filter("options", lambda o: o["role"] == r))
-    right = F.filter("options", lambda o: o["is_correct"])
-    texts = F.transform("options", lambda o: option_key(o["text"]))
-    places = F.transform("options", lambda o: o["order_in_question"])
-    roles = reduce(lambda a, b: a | b, [role(r) != n for r, n in ROLES.items()])
-    found = [
-        (_text(F.col("question"), LIMITS["question"]) | _text(F.col("justification"), LIMITS["justification"]), "question_fields", "a text is missing, blank or too long"),
-        (~F.coalesce(F.col("status").isin(*STATUSES), F.lit(False)), "question_status", "unknown status"),
-        (F.coalesce(F.size("options"), F.lit(0)) != 4, "four_options", "there must be four options"),
-        (F.exists("options", lambda o: _text(o["text"], LIMITS["option"])), "option_fields", "an option is missing, blank or too long"),
-        (roles, "option_roles", "one correct, one confusa and two distractor options are wanted"),
-        ((F.size(right) != 1) | F.exists(right, lambda o: o["role"] != "correct"), "option_correct", "exactly the option with the role correct must be marked"),
-        (F.size(F.array_distinct(texts)) < F.size(texts), "option_texts", "two options say the same"),
-        (F.size(F.array_distinct(places)) < F.size(places), "option_order", "two options have the same place"),
-    ]
-    parts = [_broken(rows, _at("questions"), found)]
-    parts.append(_found(rows.join(nodes, ["bundle_id", "node_ref"], "left_anti"), F.lit(True), _at("questions"), "node_exists", "node_ref names no section"))
-    parts.append(_found(rows.join(runs, ["bundle_id", "run_ref"], "left_anti"), F.lit(True), _at("questions"), "run_exists", "run_ref names no run"))
-    parts.append(_found(_repeated(rows, ["run_ref", "node_ref"]), F.lit(True), _at("questions"), "pair_unique", "a run has one question a section"))
-    return reduce(DataFrame.unionByName, parts)
+    """Findings on questions and options, on what they refer to, and on a run's second question for a section."""
+
+    def question(x: Column, i: Column) -> Column:
+        at, options = _place("questions", i), x["options"]
+        role = lambda r: F.size(F.filter(options, lambda o: o["role"] == r))
+        right = F.filter(options, lambda o: o["is_correct"])
+        texts = F.transform(options, lambda o: option_key(o["text"]))
+        places = F.transform(options, lambda o: o["order_in_question"])
+        roles = reduce(lambda a, b: a | b, [role(r) != n for r, n in ROLES.items()])
+        own = _own([
+            (_text(x["question"], LIMITS["question"]) | _text(x["justification"], LIMITS["justification"]), "question_fields", "a text is missing, blank or too long"),
+            (~F.coalesce(x["status"].isin(*STATUSES), F.lit(False)), "question_status", "unknown status"),
+            (F.coalesce(F.size(options), F.lit(0)) != 4, "four_options", "there must be four options"),
+            (F.exists(options, lambda o: _text(o["text"], LIMITS["option"])), "option_fields", "an option is missing, blank or too long"),
+            (roles, "option_roles", "one correct, one confusa and two distractor options are wanted"),
+            ((F.size(right) != 1) | F.exists(right, lambda o: o["role"] != "correct"), "option_correct", "exactly the option with the role correct must be marked"),
+            (F.size(F.array_distinct(texts)) < F.size(texts), "option_texts", "two options say the same"),
+            (F.size(F.array_distinct(places)) < F.size(places), "option_order", "two options have the same place"),
+        ], at, i)
+        keys = F.array(
+            _saying("node", x["node_ref"], None, False, i, at, "node_exists", "node_ref names no section"), _saying("run", x["run_ref"], None, False, i, at, "run_exists", "run_ref names no run"),
+            _saying("pair", x["run_ref"], x["node_ref"], True, i, at, "pair_unique", "a run has one question a section"),
+        )
+        return F.concat(own.cast(_SAID), keys.cast(_SAID))
+
+    def defined(name: str, kind: str) -> Column:
+        # no finding here, whatever is repeated: that is for the checks on sections and runs
+        key = lambda x, i: F.struct(F.lit(kind).alias("kind"), x["ref"].alias("key"), F.lit(None).cast("string").alias("second"), F.lit(True).alias("defines"), i.alias("i"), *(F.lit(None).cast("string").alias(c) for c in ("path", "rule", "message")))
+        return F.transform(name, key)
+
+    return _settled(bundles, F.flatten(F.transform("questions", question)), defined("nodes", "node"), defined("runs", "run"))
 
 
 def _strings(value: Column, kind: T.DataType, path: Column, name: Column) -> Column | None:
