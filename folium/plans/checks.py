@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folium import shared
-from folium.operators import contract_checks, rules, validation
+from folium.operators import contract_checks, generation, rules, validation
 from folium.plans import standins as S
 from folium.sources import bundle_files, bundles, contract, extractors, layout
 
@@ -138,12 +138,15 @@ def bundle_json(spark: SparkSession, sf: str) -> DataFrame:
     return bundles.as_json(_bundles(spark, sf)).select("bundle_id", "sha256", F.length("json").alias("n_chars"))
 
 
-def merge_rules(spark: SparkSession, sf: str) -> DataFrame:
+def _rules(spark: SparkSession, sf: str) -> DataFrame:
     name = F.element_at(F.array(*map(F.lit, ("manual", "codigo_legal", "ley_organica", None))), (F.col("c_custkey") % 4 + 1).cast("int"))
     topics = F.when(F.col("c_custkey") % 3 == 0, F.array("c_mktsegment"))
     over = S.table(spark, sf, "customer").select(F.col("c_custkey").alias("doc_id"), name.alias("profile"), topics.alias("forbidden_topics"), F.lit(None).cast("array<string>").alias("preferred_topics"), F.when(F.col("c_custkey") % 5 == 0, "").alias("style_guide"), F.lit(None).cast("string").alias("extra_instructions"))
-    out = rules.merged(rules.table(spark), over)
-    return out.select("doc_id", "name", F.array_join("forbidden_topics", "|").alias("forbidden_topics"), F.array_join("preferred_topics", "|").alias("preferred_topics"), "style_guide", "extra_instructions")
+    return rules.merged(rules.table(spark), over)
+
+
+def merge_rules(spark: SparkSession, sf: str) -> DataFrame:
+    return _rules(spark, sf).select("doc_id", "name", F.array_join("forbidden_topics", "|").alias("forbidden_topics"), F.array_join("preferred_topics", "|").alias("preferred_topics"), "style_guide", "extra_instructions")
 
 
 _DEFAULTS = ", ".join("('{}', '{}', '{}', '{}', '{}')".format(r.name, "|".join(r.forbidden_topics), "|".join(r.preferred_topics), r.style_guide, r.extra_instructions) for r in rules.DEFAULTS.values())
@@ -151,6 +154,18 @@ SQL["merge_rules"] = f"""with d(name, f, p, s, e) as (values {_DEFAULTS}), o as
 select doc_id, name, case when doc_id % 3 = 0 then c_mktsegment else f end as forbidden_topics, p as preferred_topics, case when doc_id % 5 = 0 then '' else s end as style_guide, e as extra_instructions from o join d using (name)"""
 
 
+def model_instructions(spark: SparkSession, sf: str) -> DataFrame:
+    return _rules(spark, sf).select("doc_id", generation.creator_instructions().alias("creator"), generation.solver_instructions(F.concat(F.lit("¿"), "name", F.lit("?"))).alias("solver"))
+
+
+SQL["model_instructions"] = f"""with m as ({SQL["merge_rules"]}), t as (select *, coalesce(nullif(replace(preferred_topics, '|', ', '), ''), '(ninguno)') as wanted, coalesce(nullif(replace(forbidden_topics, '|', ', '), ''), '(ninguno)') as shunned from m)
+select doc_id, 'Eres evaluador de adiestramiento. Propón de una a tres preguntas cuya respuesta esté, palabra por palabra, en el texto. No des opciones ni respuestas.' || chr(10) || 'Documento: ' || name
+  || chr(10) || 'Temas preferentes: ' || wanted || chr(10) || 'Temas excluidos: ' || shunned || chr(10) || 'Responde solo con JSON: {{"questions": ["..."]}}' as creator,
+  'Da cuatro opciones para la pregunta: una correct (cita literal del texto), una confusa y dos distractor, y una justificación.' || chr(10) || 'Documento: ' || name || chr(10) || 'Estilo: ' || coalesce(nullif(style_guide, ''), '(ninguno)')
+  || chr(10) || 'Temas preferentes: ' || wanted || chr(10) || 'Temas excluidos: ' || shunned || chr(10) || 'Indicaciones: ' || coalesce(nullif(extra_instructions, ''), '(ninguna)')
+  || chr(10) || 'Responde solo con JSON: {{"question_text": "...", "justification": "...", "options": [{{"role": "correct", "text": "..."}}, ...]}}' || chr(10) || 'Pregunta: ¿' || name || '?' as solver from t"""
+
+
 def html_elements(spark: SparkSession, sf: str) -> DataFrame:
     return layout.from_html(S.table(spark, sf, "pages")).groupBy("page_id", "kind").agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("chars"))
 
@@ -292,4 +307,4 @@ SQL["bundle_file_names"] = """with r as (select c_custkey % 2 as part, c_name, r
 n as (select *, row_number() over (partition by slug, part order by j) + case when part = 1 then count(*) filter (part = 0) over (partition by slug) else 0 end as v from r)
 select slug || '--' || case part when 0 then '20240506' else '20240507' end || '--v' || v || '.json' as name, 'ok' as state, c_name from n"""
 
-QUERIES = [bundle_header_errors, orphan_parent, run_checks, role_counts, secret_scan_flat, secret_scan, bundle_warnings, bundle_counts, bundle_json, merge_rules, html_elements, vendor_labels, layout_elements, contract_errors, contract_json, bundle_file_names]
+QUERIES = [bundle_header_errors, orphan_parent, run_checks, role_counts, secret_scan_flat, secret_scan, bundle_warnings, bundle_counts, bundle_json, merge_rules, model_instructions, html_elements, vendor_labels, layout_elements, contract_errors, contract_json, bundle_file_names]

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folium.functions import cost
-from folium.operators import explore, generation
+from folium.operators import explore, generation, lookup
 from folium.plans import standins as S
+from folium.plans import structure
 
 SQL: dict[str, str] = {}
 
@@ -301,4 +302,69 @@ def generation_stub(spark: SparkSession, sf: str) -> DataFrame:
     return generation.generate(asked)
 
 
-QUERIES = [global_kpis, counts_default_zero, chunks_per_node, questions_per_run, question_kpis, coverage_table, status_by_node, tree_badges, siblings, children, ancestors, display_tree, select_nodes, missing_questions, list_questions, paginate_chunks, recent_runs, open_batches, question_options, latest_status, literal_citation, strip_inline_options, question_shape, reconcile_batch, batch_outcomes, run_totals, cost_actual, cost_estimate, cost_scenarios, generation_stub]
+def _paged(spark: SparkSession, sf: str) -> DataFrame:
+    """Sections that end as many pages on as they are deep."""
+    return S.nodes(spark, sf).withColumn("page_end", F.col("page_start") + F.col("level"))
+
+
+_PAGES = "case when level = 0 then 'p. ' || page_number else 'pp. ' || page_number || '-' || (page_number + level) end"
+_TRAILS = f"trails as ({structure.SQL['breadcrumbs']})"
+
+
+def tree_labels(spark: SparkSession, sf: str) -> DataFrame:
+    nodes = lookup.with_counts(S.nodes(spark, sf), S.chunks(spark, sf)).join(explore.tree_badges(S.nodes(spark, sf), S.questions(spark, sf)).drop("doc_id"), "node_id")
+    return nodes.select("doc_id", "node_id", lookup.label(F.col("badge")).alias("label"))
+
+
+SQL["tree_labels"] = f"""with {S.STORE}, c as (select node_id, count(*) as n from chunks group by 1), q as (select node_id, count(*) filter (status in ('pending', 'valid')) as s, count(*) as n from questions group by 1)
+select doc_id, node_id, case level when 0 then '📚' when 1 then '📖' when 2 then '📄' when 3 then '•' else '·' end || case when upper(level_label) <> 'PARTE' then ' **' || level_label || ' ' || ordinal || '**' else '' end
+  || case when title = '' then '' when upper(level_label) <> 'PARTE' then ' — ' || title else ' ' || title end || case when c.n > 0 then '   ·  ' || c.n || ' chunk(s)' else '' end
+  || '   ·  ' || case when q.n is null then '⚠ sin pregunta' else '❓' || s || '/' || q.n end as label
+from nodes left join c using (node_id) left join q using (node_id)"""
+
+
+def chunk_previews(spark: SparkSession, sf: str) -> DataFrame:
+    return lookup.previews(S.chunks(spark, sf), 60).select("node_id", "ordinal", "preview")
+
+
+SQL["chunk_previews"] = f"with {S.STORE} select node_id, ordinal, case when length(text) > 60 then text[1:60] || '…' else text end as preview from chunks"
+
+
+def section_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """The sections that questions are about, looked up by their numbers."""
+    found = lookup.pick(S.nodes(spark, sf), "node_id", S.questions(spark, sf))
+    return lookup.with_counts(found, S.chunks(spark, sf)).select("node_id", "sort_key", "title", "n_chunks")
+
+
+SQL["section_lookup"] = f"with {S.STORE} select node_id, sort_key, title, (select count(*) from chunks c where c.node_id = n.node_id) as n_chunks from nodes n where exists (select 1 from questions q where q.node_id = n.node_id)"
+
+
+def question_cards(spark: SparkSession, sf: str) -> DataFrame:
+    turns = S.table(spark, sf, "conversations")
+    options = turns.select((F.col("conv_id") * 100 + F.col("turn") % 2).alias("question_id"), F.col("turn").cast("int").alias("order_in_question"), "role", "text")
+    cards = lookup.cards(S.questions(spark, sf), options, _paged(spark, sf))
+    shown = F.array_join(F.transform("options", lambda o: F.concat(F.lit("("), o["role"], F.lit(") "), o["text"])), "|")
+    return cards.select("question_id", "breadcrumb", "pages", "question_text", "status", shown.alias("options"))
+
+
+SQL["question_cards"] = f"""with {S.STORE}, {_TRAILS}, o as (select conv_id * 100 + turn % 2 as question_id, string_agg('(' || role || ') ' || text, '|' order by turn, role, text) as options from conversations group by 1)
+select question_id, breadcrumb, {_PAGES} as pages, question_text, status, coalesce(options, '') as options from questions left join nodes n using (node_id) left join trails t on t.doc_id = n.doc_id and t.local_id = n.local_id left join o using (question_id)"""
+
+
+def sibling_places(spark: SparkSession, sf: str) -> DataFrame:
+    return lookup.neighbours(S.nodes(spark, sf))
+
+
+SQL["sibling_places"] = f"""with {S.CLASSIFIED} select doc_id, local_id, row_number() over w as place, count(*) over (partition by doc_id, parent_pos) as "of", lag(local_id) over w as previous, lead(local_id) over w as next from parents window w as (partition by doc_id, parent_pos order by pos)"""
+
+
+def generation_prompts(spark: SparkSession, sf: str) -> DataFrame:
+    return generation.prompts(_paged(spark, sf), S.chunks(spark, sf))
+
+
+SQL["generation_prompts"] = f"""with {S.STORE}, {_TRAILS}, b as (select node_id, string_agg(text, chr(10) || chr(10) order by ordinal) as body from chunks group by 1)
+select node_id, 'Bloque: ' || level_label || ' ' || ordinal || chr(10) || 'Título: ' || title || chr(10) || 'Páginas: ' || {_PAGES} || chr(10) || 'Ruta: ' || breadcrumb || chr(10) || chr(10) || coalesce(body, '(sin texto)') as prompt
+from nodes join trails using (doc_id, local_id) left join b using (node_id)"""
+
+
+QUERIES = [global_kpis, counts_default_zero, chunks_per_node, questions_per_run, question_kpis, coverage_table, status_by_node, tree_badges, siblings, children, ancestors, display_tree, select_nodes, missing_questions, list_questions, paginate_chunks, recent_runs, open_batches, question_options, latest_status, literal_citation, strip_inline_options, question_shape, reconcile_batch, batch_outcomes, run_totals, cost_actual, cost_estimate, cost_scenarios, generation_stub, tree_labels, chunk_previews, section_lookup, question_cards, sibling_places, generation_prompts]

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from folium.operators import lookup
 from folium.operators.explore import STATUSES, latest_status
 
 SCHEMAS = {
@@ -64,9 +65,11 @@ class Store:
         newest = saves.groupBy("doc_id").agg(F.max_by("save_id", F.struct("saved_at", "save_id")).alias("save_id"))
         return rows.join(newest, ["doc_id", "save_id"], "left_semi").drop("save_id").select(*(f.name for f in self.spark.createDataFrame([], SCHEMAS[name]).schema))
 
-    def append(self, name: str, rows: DataFrame) -> None:
+    def append(self, name: str, rows: DataFrame, order: tuple[str, ...] = ()) -> None:
+        """Append rows, those of each file in the given order."""
         columns = [f.name for f in self.spark.createDataFrame([], self._schema(name)).schema]
-        rows.select(*(F.col(c) for c in columns)).write.mode("append").parquet(f"{self.path}/{name}")
+        rows = rows.select(*(F.col(c) for c in columns))
+        (rows.sortWithinPartitions(*order) if order else rows).write.mode("append").parquet(f"{self.path}/{name}")
 
     def save_document(self, documents: DataFrame, nodes: DataFrame, chunks: DataFrame) -> None:
         """Documents with their sections (doc_id, local_id, parent_pos, pos, …) and chunks (doc_id, local_id, …).
@@ -79,8 +82,8 @@ class Store:
         above = nodes.select("doc_id", F.col("pos").alias("parent_pos"), F.col("local_id").alias("_up"))
         rows = nodes.join(above, ["doc_id", "parent_pos"], "left").withColumns({"node_id": number(F.col("local_id")), "parent_id": number(F.col("_up"))})
         self.append("documents", documents.withColumn("save_id", save))
-        self.append("nodes", rows.withColumn("save_id", save))
-        self.append("chunks", chunks.join(nodes.select("doc_id", "local_id"), ["doc_id", "local_id"]).withColumns({"node_id": number(F.col("local_id")), "save_id": save}))
+        self.append("nodes", rows.withColumn("save_id", save), ("doc_id", "local_id"))
+        self.append("chunks", chunks.join(nodes.select("doc_id", "local_id"), ["doc_id", "local_id"]).withColumns({"node_id": number(F.col("local_id")), "save_id": save}), ("doc_id", "local_id", "ordinal"))
         saved = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), save, F.current_timestamp().alias("saved_at"))
         saved.distinct().coalesce(1).write.mode("append").parquet(f"{self.path}/saves")
 
@@ -101,6 +104,21 @@ class Store:
         newest = latest_status(self.table("reviews"), "question_id", "status", "validated_at", "seq").drop("seq")
         return self.table("questions").join(newest, "question_id", "left").withColumn("status", F.coalesce("status", F.lit("pending")))
 
+    def document(self, doc_id: int) -> DataFrame:
+        """One document's row, or none."""
+        return lookup.pick(self.table("documents"), "doc_id", doc_id)
+
+    def tree(self, doc_id: int) -> DataFrame:
+        return lookup.tree(self.table("nodes"), self.table("chunks"), doc_id)
+
+    def section(self, node_id: int) -> DataFrame:
+        return lookup.section(self.table("nodes"), self.table("chunks"), node_id)
+
+    def question(self, question_id: int) -> DataFrame:
+        """One question with its newest status, its options and where its section stands, or no row."""
+        one = lookup.pick(self.questions(), "question_id", question_id)
+        return lookup.cards(one, lookup.pick(self.table("options"), "question_id", question_id), self.table("nodes"))
+
     def current_runs(self) -> DataFrame:
         """Runs by their newest entry: a run is logged when it begins and when it ends."""
         order = Window.partitionBy("run_id").orderBy(F.desc_nulls_last("completed_at"))
