@@ -117,23 +117,25 @@ def _logs(z: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return chosen - np.log(total), total
 
 
-def choose(w: dict[str, np.ndarray], groups: Groups, r: np.ndarray, target: np.ndarray, scale: float | None = None) -> tuple[np.ndarray, np.ndarray | None, dict[str, np.ndarray]]:
-    """The log of each target's probability after its hidden layer; given a scale, also the loss's gradients."""
+def choose(w: dict[str, np.ndarray], groups: Groups, r: np.ndarray, target: np.ndarray, scale: float | np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray | None, dict[str, np.ndarray]]:
+    """The log of each target's probability after its hidden layer; given a scale, one for all or each its own, also the loss's gradients."""
 
-    def loss(z: np.ndarray, at: np.ndarray, total: np.ndarray) -> np.ndarray:
+    def loss(z: np.ndarray, at: np.ndarray, total: np.ndarray, scale: np.ndarray) -> np.ndarray:
         z *= (scale / total).astype(z.dtype)[:, None]
-        z[np.arange(len(z)), at] -= z.dtype.type(scale)
+        z[np.arange(len(z)), at] -= scale.astype(z.dtype)
         return z
 
     order = np.argsort(groups.of[target].astype(np.int16), kind="stable")
     r, target = r[order], target[order]
+    if scale is not None:
+        scale = np.broadcast_to(scale, len(order))[order]
     of = groups.of[target]
     z = r @ w["out"]
     z += w["prior"]
     logs, total = _logs(z, of)
     g, dr = {}, None
     if scale is not None:
-        dz = loss(z, of, total)
+        dz = loss(z, of, total, scale)
         g = {"out": r.T @ dz, "prior": dz.sum(0), "member": np.zeros_like(w["member"]), "usual": np.zeros_like(w["usual"])}
         dr = dz @ w["out"].T
     bounds = np.searchsorted(of, np.arange(len(groups.edges)))
@@ -145,7 +147,7 @@ def choose(w: dict[str, np.ndarray], groups: Groups, r: np.ndarray, target: np.n
         more, total = _logs(z, place[rows])
         logs[rows] += more
         if scale is not None:
-            dz = loss(z, place[rows], total)
+            dz = loss(z, place[rows], total, scale[rows])
             g["member"][:, own], g["usual"][own] = r[rows].T @ dz, dz.sum(0)
             dr[rows] += dz @ w["member"][:, own].T
     back = np.empty_like(order)
@@ -155,14 +157,19 @@ def choose(w: dict[str, np.ndarray], groups: Groups, r: np.ndarray, target: np.n
 
 def subword_groups(stream: np.ndarray, n: int, groups: int, rounds: int = 15) -> Groups:
     """Groups of the subwords below n by what they follow and precede in a stream; those not in it are dealt in turn."""
-    counts = np.bincount(stream, minlength=n).astype(np.float64)
+    return pair_groups(np.bincount(stream, minlength=n), np.bincount(stream[:-1] * n + stream[1:], minlength=n * n).reshape(n, n), groups, rounds)
+
+
+def pair_groups(counts: np.ndarray, pairs: np.ndarray, groups: int, rounds: int = 15) -> Groups:
+    """The same by how often each subword comes, and how often it (a row) comes before each other one (a column)."""
+    n, counts = len(counts), counts.astype(np.float64)
     order = np.argsort(-counts, kind="stable")
     seen = order[: int((counts > 0).sum())]
     marks = np.full(n, 255)
     marks[order[:255]] = np.arange(min(n, 255))
-    around = np.zeros((n, 512))
-    np.add.at(around, (stream[1:], marks[stream[:-1]]), 1)
-    np.add.at(around, (stream[:-1], 256 + marks[stream[1:]]), 1)
+    mark = np.zeros((n, 256))
+    mark[np.arange(n), marks] = 1
+    around = np.concatenate([pairs.T @ mark, pairs @ mark], 1)
     around = np.sqrt(around[seen] / np.maximum(around[seen].sum(1, keepdims=True), 1))
     m = min(groups, len(seen))
     centres = around[np.linspace(0, min(len(seen), 8 * m) - 1, m).astype(int)]
@@ -186,11 +193,12 @@ class Trainer:
         self.w, self.groups, self.steps = {k: v.copy() for k, v in weights.items()}, groups, 0
         self.first, self.second = ({k: np.zeros_like(v) for k, v in weights.items()} for _ in range(2))
 
-    def learn(self, whole: np.ndarray, places: np.ndarray, exists: np.ndarray, rate: float) -> None:
-        """One step on windows of the ids `whole`."""
+    def learn(self, whole: np.ndarray, places: np.ndarray, exists: np.ndarray, rate: float, times: np.ndarray | None = None) -> None:
+        """One step on windows of the ids `whole`, each of which counts once or so many times."""
         r, kept = forward(self.w, whole[places])
         dr = np.zeros_like(r)
-        _, dr[exists], grads = choose(self.w, self.groups, r[exists], whole[places[exists] + 1], 1 / max(1, exists.sum()))
+        weight = exists[exists] if times is None else np.broadcast_to(times[:, None], exists.shape)[exists]
+        _, dr[exists], grads = choose(self.w, self.groups, r[exists], whole[places[exists] + 1], weight / max(1, weight.sum()))
         self.steps += 1
         rate *= min(1, self.steps / 50)
         for k, g in (grads | backward(self.w, kept, dr)).items():
@@ -199,13 +207,16 @@ class Trainer:
             self.w[k] -= np.float32(rate) * (self.first[k] / (1 - 0.9**self.steps)) / (np.sqrt(self.second[k] / (1 - 0.99**self.steps)) + 1e-8)
 
 
-def train(streams: list[np.ndarray], n: int, seed: int = 4, epochs: int | None = None) -> Model:
-    """A model of streams of subword ids below n; before its first step it gives each subword its share in them."""
+def train(streams: list[np.ndarray], n: int, seed: int = 4, epochs: int | None = None, pairs: np.ndarray | None = None) -> Model:
+    """A model of streams of subword ids below n; before its first step it gives each subword its share in them.
+
+    Given pairs, how often each subword comes before each other one, the shares and groups are theirs instead.
+    """
     one_thread()
     epochs = EPOCHS if epochs is None else epochs
     whole = np.concatenate(streams)
-    groups = subword_groups(whole, n, GROUPS)
-    smooth = np.bincount(whole, minlength=n) + 0.05
+    groups = subword_groups(whole, n, GROUPS) if pairs is None else pair_groups(pairs.sum(0), pairs, GROUPS)
+    smooth = (np.bincount(whole, minlength=n) if pairs is None else pairs.sum(0)) + 0.05
     totals = np.bincount(groups.of, smooth)
     rng = np.random.default_rng(seed)
     d = WIDTH
@@ -225,12 +236,13 @@ def train(streams: list[np.ndarray], n: int, seed: int = 4, epochs: int | None =
     return Model(trainer.w, groups)
 
 
-def tune(trainer: Trainer, streams: list[np.ndarray]) -> int:
-    """One pass over more streams at the rate that training ended with, doubled; returns the number of windows."""
-    whole = np.concatenate(streams)
-    places, exists, _ = window_places(np.array([len(s) for s in streams]))
+def tune(trainer: Trainer, streams: list[np.ndarray], times: np.ndarray) -> int:
+    """One pass over more streams, which stand for so many each, at the rate that training ended with, doubled; returns the number of windows."""
+    whole, lengths = np.concatenate(streams), np.array([len(s) for s in streams])
+    places, exists, _ = window_places(lengths)
+    times = times[np.searchsorted(np.cumsum(lengths), places[:, 0], "right")]
     for at in range(0, len(places), BATCH):
-        trainer.learn(whole, places[at : at + BATCH], exists[at : at + BATCH], RATE * 0.1)
+        trainer.learn(whole, places[at : at + BATCH], exists[at : at + BATCH], RATE * 0.1, times[at : at + BATCH])
     return len(places)
 
 

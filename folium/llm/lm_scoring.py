@@ -1,8 +1,9 @@
 """Language-model scores of whole texts: a self-attention model over subwords, mixed with corpus-wide word counts.
 
-The attention model learns from blocks of words that are drawn by hashes, anywhere in whole training texts. A bounded
-number of them starts it in the driver; then tasks go on from there with one block in 64, dealt to parts by hash, so that
-what it learns from grows with the corpus, and the parts' weights are averaged. The counts are of all training
+The attention model learns from every block of words of all training texts. Its pieces are those that their words use
+most, and its groups and first shares follow from all pairs of neighbouring pieces. A bounded number of blocks, drawn by
+hashes, brings the first weights near; then tasks go on from there with all blocks, dealt to parts by hash, in rounds,
+after each of which the parts' weights are averaged. The counts are of all training
 texts, and a word's probability is a fixed mixture of its share in the corpus and of what the attention model gives
 its subwords. The commonest words' counts go to all tasks, a fixed number of them; every other word travels to its
 count, so that no table of all words is held anywhere.
@@ -24,12 +25,14 @@ from folium.llm.shingles import lowered, word_spans
 from folium.llm.tasks import frugal, slices
 from folium.llm.windows import flat_bytes, hash_between, prefix_hashes
 
-#: Words, about, that the attention model starts from; words of a block; pieces besides single bytes.
+#: Words, about, that the attention model's first weights come from; words of a block; pieces besides single bytes.
 START_WORDS, BLOCK_WORDS, PIECES = 400_000, 64, 600
-#: One in so many texts, and of their blocks, goes on training it.
-TUNE_TEXTS, TUNE_BLOCKS = 16, 4
-#: Blocks of a part, about, which one model is trained on; those that it learns from at a time; tasks that parts go to at most.
-PART_BLOCKS, LOT, MOST_TASKS = 256, 64, 4096
+#: One in so many texts, and of their blocks, trains it: all of them.
+TUNE_TEXTS, TUNE_BLOCKS = 1, 1
+#: Blocks of a part, at least, which one model is trained on; those that it learns from at a time; parts at most, whose sums of weights are stored.
+PART_BLOCKS, LOT, MOST_PARTS = 1024, 64, 4096
+#: Rounds that parts are dealt to; each goes on from the averaged weights of the one before.
+ROUNDS = 8
 #: Partial sums of weights that one step adds up at most, the driver's included.
 SUMS = 64
 #: Words whose counts every task gets: 16 bytes each.
@@ -50,21 +53,32 @@ class Scorer:
     divisor: float
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The different words of a batch with their numbers."""
-    for batch in batches:
-        found, number = [], []
-        for at, n in slices(batch.column(0)):
-            data, offsets = flat_bytes(batch.column(0).slice(at, n))
-            starts, ends, _ = word_spans(data, offsets)
-            total, inverse = prefix_hashes(lowered(data))
-            words, counts = np.unique(hash_between(total, inverse, starts, ends), return_counts=True)
-            found.append(words)
-            number.append(counts)
-        if found:
-            words, where = np.unique(np.concatenate(found), return_inverse=True)
-            counts = np.bincount(where, np.concatenate(number), len(words)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(counts)], ["word", "c"])
+def _count(shared):
+    """The different words of a batch with their numbers, and how often a task's words use each piece of the whole vocabulary."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        full: subwords.Pieces = shared.value
+        used = np.zeros(full.size, np.int64)
+        rows = lambda keys, counts, piece: pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), piece)), pa.array(keys.view(np.int64)), pa.array(counts)], ["piece", "word", "c"])
+        for batch in batches:
+            found, number = [], []
+            for at, n in slices(batch.column(0)):
+                data, offsets = flat_bytes(batch.column(0).slice(at, n))
+                data = lowered(data)
+                starts, ends, _ = word_spans(data, offsets)
+                total, inverse = prefix_hashes(data)
+                words, where, counts = np.unique(hash_between(total, inverse, starts, ends), return_index=True, return_counts=True)
+                ids, each = subwords.cut(full, data, starts[where], ends[where])
+                used += np.bincount(ids, np.repeat(counts, each), full.size).astype(np.int64)
+                found.append(words)
+                number.append(counts)
+            if found:
+                words, where = np.unique(np.concatenate(found), return_inverse=True)
+                yield rows(words, np.bincount(where, np.concatenate(number), len(words)).astype(np.int64), False)
+        pieces = np.flatnonzero(used)
+        yield rows(pieces, used[pieces], True)
+
+    return run
 
 
 def _streams(pieces: subwords.Pieces, ids: np.ndarray, counts: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -91,7 +105,7 @@ def _blocks(texts: pa.Array, share: float) -> Iterator[tuple[np.ndarray, np.ndar
         begin = first[row] + place * BLOCK_WORDS
         stop = np.minimum(begin + BLOCK_WORDS, first[row + 1])
         total, inverse = prefix_hashes(data)
-        drawn = hash_between(total, inverse, starts[begin], ends[stop - 1]) < np.uint64(min(2**64 - 1, int(share * 2**64)))
+        drawn = np.ones(len(begin), bool) if share >= 1 else hash_between(total, inverse, starts[begin], ends[stop - 1]) < np.uint64(int(share * 2**64))
         begin, stop, row, place = begin[drawn], stop[drawn], row[drawn], place[drawn]
         if len(begin):
             words = np.repeat(begin - np.cumsum(stop - begin) + (stop - begin), stop - begin) + np.arange((stop - begin).sum())
@@ -116,14 +130,39 @@ def _block_streams(pieces: subwords.Pieces, data: np.ndarray, starts: np.ndarray
     return [p[0 if e[0] else 1 : len(p) if e[1] else len(p) - 1] for p, e in zip(parts, edges, strict=True)]
 
 
-def train(blocks: pa.Table, path: str) -> tuple[attention.Model, subwords.Pieces]:
-    """A model of blocks (words, begins, ends), over the pieces of the vocabulary at `path` that they use most."""
-    data, offsets = flat_bytes(blocks["words"])
-    starts, ends, first = word_spans(data, offsets)
-    pieces = subwords.chosen(path, data, starts, ends, PIECES)
-    edges = np.stack([blocks["begins"].to_numpy(), blocks["ends"].to_numpy()], 1)
-    streams = _block_streams(pieces, data, starts, ends, np.diff(first), edges)
-    return attention.train(streams, pieces.size + 1), pieces
+def _table_streams(pieces: subwords.Pieces, words, begins: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
+    """The same of blocks as a table holds them."""
+    data, offsets = flat_bytes(words)
+    starts, stops, first = word_spans(data, offsets)
+    return _block_streams(pieces, data, starts, stops, np.diff(first), np.stack([begins, ends], 1))
+
+
+def _pairs(shared):
+    """How often pieces come one behind the other in the blocks of a task, as the first one's id times all pieces plus the second's."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces: subwords.Pieces = shared.value
+        n = pieces.size + 1
+        counts = np.zeros(n * n, np.int64)
+        for batch in batches:
+            for at, rows in slices(batch.column(0)):
+                words, begins, ends, times = (batch.column(k).slice(at, rows) for k in range(4))
+                streams = _table_streams(pieces, words, begins.to_numpy(zero_copy_only=False), ends.to_numpy(zero_copy_only=False))
+                stream, lengths = np.concatenate(streams), np.array([len(x) for x in streams])
+                inside = np.ones(len(stream), bool)
+                inside[np.cumsum(lengths) - 1] = False
+                at_first = np.flatnonzero(inside)
+                counts += np.bincount(stream[at_first] * n + stream[at_first + 1], np.repeat(times.to_numpy(), lengths)[at_first], n * n).astype(np.int64)
+        pairs = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(counts[pairs])], ["pair", "c"])
+
+    return run
+
+
+def train(blocks: pa.Table, pieces: subwords.Pieces, pairs: np.ndarray) -> attention.Model:
+    """A model of blocks (words, begins, ends), with the groups and first shares of all pairs of neighbouring pieces."""
+    streams = _table_streams(pieces, blocks["words"], blocks["begins"].to_numpy(), blocks["ends"].to_numpy())
+    return attention.train(streams, pieces.size + 1, pairs=pairs)
 
 
 def _tune(shared):
@@ -139,13 +178,11 @@ def _tune(shared):
             return pa.RecordBatch.from_arrays([pa.array([part]), pa.array([windows]), pa.array([flat.tobytes()], pa.binary())], ["part", "windows", "sums"])
 
         # lots of blocks are the same however the rows come in batches
-        waiting: list[tuple[int, bytes, bool, bool]] = []
+        waiting: list[tuple[int, bytes, bool, bool, int]] = []
 
         def learn() -> int:
-            data, offsets = flat_bytes(pa.array([x[1] for x in waiting], pa.binary()))
-            starts, ends, first = word_spans(data, offsets)
-            edges = np.array([x[2:] for x in waiting], bool)
-            return attention.tune(trainer, _block_streams(pieces, data, starts, ends, np.diff(first), edges))
+            _, words, begins, ends, times = zip(*waiting, strict=True)
+            return attention.tune(trainer, _table_streams(pieces, pa.array(words, pa.binary()), np.array(begins), np.array(ends)), np.array(times))
 
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -180,34 +217,44 @@ def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([part]), pa.array([windows]), pa.array([total.tobytes()], pa.binary())], ["part", "windows", "sums"])
 
 
-def tuned(model: attention.Model, pieces: subwords.Pieces, training: DataFrame) -> attention.Model:
-    """The model after tasks have gone on training it on blocks from the whole corpus; their weights are averaged by windows.
+def blocks_of(training: DataFrame) -> DataFrame:
+    """(words, begins, ends, times): every different block of the texts, and how often it comes."""
+    rows = training.filter(F.pmod(F.xxhash64("text", F.lit(5)), F.lit(TUNE_TEXTS)) == 0).select("text")
+    drawn = rows.mapInArrow(frugal(_draw(1 / TUNE_BLOCKS)), "words binary, begins boolean, ends boolean")
+    return drawn.groupBy("words", "begins", "ends").agg(F.count("*").alias("times"))
+
+
+def tuned(model: attention.Model, pieces: subwords.Pieces, blocks: DataFrame) -> attention.Model:
+    """The model after tasks have gone on training it on all blocks (words, begins, ends, times), each once and weighed by its times.
 
-    The blocks drawn are dealt to parts by their hash, about PART_BLOCKS a part, and each part is trained through in the
-    order of the hashes, from the same start. So what comes out follows from the texts, not from how rows lie in tasks.
-    Blocks that stand in several texts teach once.
+    The blocks are dealt to parts by their hash, PART_BLOCKS a part or more, and the parts to ROUNDS rounds. Each part
+    of a round is trained through in the order of the hashes, from the same start; the next round starts from their
+    weights, averaged by windows. So what comes out follows from the texts, not from how rows lie in tasks.
     """
-    spark = training.sparkSession
-    shared = spark.sparkContext.broadcast((model, pieces))
-    rows = training.filter(F.pmod(F.xxhash64("text", F.lit(5)), F.lit(TUNE_TEXTS)) == 0).select("text")
+    spark = blocks.sparkSession
     kind = "part long, windows long, sums binary"
-    with Scratch(spark) as own:
-        blocks = own.stored(rows.mapInArrow(frugal(_draw(1 / TUNE_BLOCKS)), "words binary, begins boolean, ends boolean").distinct())
-        parts = max(1, blocks.count() // PART_BLOCKS)
-        h = F.xxhash64("words", "begins", "ends", F.lit(6))
-        dealt = blocks.select(F.pmod(h, F.lit(parts)).alias("part"), "words", "begins", "ends", h.alias("h")).repartition(min(parts, MOST_TASKS), "part")
-        dealt = dealt.sortWithinPartitions("part", "h").select("part", "words", "begins", "ends")
-        sums = own.stored(dealt.mapInArrow(frugal(_tune(shared)), kind))
-        while parts > SUMS:
-            parts = -(-parts // SUMS)
-            by_group = sums.withColumn("group", F.floor(F.col("part") / SUMS)).repartition(min(parts, MOST_TASKS), "group").sortWithinPartitions("group", "part")
-            sums = own.stored(by_group.select("part", "windows", "sums").mapInArrow(frugal(_add), kind))
-        found = sorted(sums.collect(), key=lambda r: r["part"])
-    windows = sum(r["windows"] for r in found)
-    if not windows:
-        return model
-    total = np.sum([np.frombuffer(r["sums"], np.float64) for r in found], axis=0)
-    return attention.Model(attention.unpacked(total / windows, model.weights), model.groups)
+    all_parts = min(MOST_PARTS, max(1, blocks.count() // PART_BLOCKS))
+    rounds = min(ROUNDS, all_parts)
+    h = F.xxhash64("words", "begins", "ends", F.lit(6))
+    dealt = blocks.withColumn("h", h).withColumn("of_all", F.pmod("h", F.lit(all_parts)))
+    for turn in range(rounds):
+        shared = spark.sparkContext.broadcast((model, pieces))
+        parts = len(range(turn, all_parts, rounds))
+        with Scratch(spark) as own:
+            mine = dealt.filter(F.pmod("of_all", F.lit(rounds)) == turn).withColumn("part", F.floor(F.col("of_all") / rounds))
+            mine = mine.repartition(parts, "part").sortWithinPartitions("part", "h").select("part", "words", "begins", "ends", "times")
+            sums = own.stored(mine.mapInArrow(frugal(_tune(shared)), kind))
+            while parts > SUMS:
+                parts = -(-parts // SUMS)
+                by_group = sums.withColumn("group", F.floor(F.col("part") / SUMS)).repartition(parts, "group").sortWithinPartitions("group", "part")
+                sums = own.stored(by_group.select("part", "windows", "sums").mapInArrow(frugal(_add), kind))
+            found = sorted(sums.collect(), key=lambda r: r["part"])
+        shared.destroy()
+        windows = sum(r["windows"] for r in found)
+        if windows:
+            total = np.sum([np.frombuffer(r["sums"], np.float64) for r in found], axis=0)
+            model = attention.Model(attention.unpacked(total / windows, model.weights), model.groups)
+    return model
 
 
 def _score(shared):
@@ -273,7 +320,9 @@ def score(docs: DataFrame, held_out: Column, path: str, text: str = "text", doc_
     own = Scratch(spark)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(held_out, F.lit(False)).alias("held_out"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     training = rows.filter(~F.col("held_out"))
-    counts = own.keep(training.select("text").mapInArrow(frugal(_count), "word long, c long").groupBy("word").agg(F.sum("c").alias("c")))
+    full = spark.sparkContext.broadcast(subwords.whole(path))
+    counted = own.keep(training.select("text").mapInArrow(frugal(_count(full)), "piece boolean, word long, c long").groupBy("piece", "word").agg(F.sum("c").alias("c")))
+    counts = counted.filter("not piece").select("word", "c")
     sums = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     ends = training.count()
     total, kinds = sums["n"] + ends, sums["v"] + (ends > 0)
@@ -289,15 +338,24 @@ def score(docs: DataFrame, held_out: Column, path: str, text: str = "text", doc_
     top = counts.filter(step >= least).toArrow() if least is not None else counts.limit(0).toArrow()
     hashes, number = top["word"].to_numpy().view(np.uint64), top["c"].to_numpy()
     order = np.argsort(hashes)
-    # a few blocks of many texts: of texts four times the wanted share, and of their blocks what is left to draw
-    wanted = START_WORDS / max(1, sums["n"])
-    share = min(1.0, 4 * wanted)
-    some = training.filter((F.xxhash64("text", F.lit(4)) / F.lit(2.0**64) + 0.5) < share).select("text")
-    blocks = some.mapInArrow(frugal(_draw(min(1.0, wanted / share))), "words binary, begins boolean, ends boolean").distinct().toArrow()
     model = pieces = None
-    if blocks.num_rows:
-        model, pieces = train(blocks.sort_by([("words", "ascending"), ("begins", "ascending"), ("ends", "ascending")]), path)
-        model = tuned(model, pieces, training)
+    with Scratch(spark) as passing:
+        blocks = passing.stored(blocks_of(training))
+        if blocks.limit(1).count():
+            use = counted.filter("piece").toArrow()
+            used = np.zeros(full.value.size, np.int64)
+            used[use["word"].to_numpy()] = use["c"].to_numpy()
+            pieces = subwords.most_used(path, used, PIECES)
+            # as many numbers as there are pairs of pieces, at most
+            beside = blocks.mapInArrow(frugal(_pairs(spark.sparkContext.broadcast(pieces))), "pair long, c long").groupBy("pair").agg(F.sum("c").alias("c")).toArrow()
+            pairs = np.zeros((pieces.size + 1) ** 2, np.int64)
+            pairs[beside["pair"].to_numpy()] = beside["c"].to_numpy()
+            # first weights from a bounded number of blocks, before all of them train it
+            first = blocks.orderBy(F.xxhash64("words", "begins", "ends", F.lit(4)), "words", "begins", "ends").limit(-(-START_WORDS // BLOCK_WORDS))
+            first = first.select("words", "begins", "ends").toArrow()
+            first = first.sort_by([("words", "ascending"), ("begins", "ascending"), ("ends", "ascending")])
+            model = train(first, pieces, pairs.reshape(pieces.size + 1, -1))
+            model = tuned(model, pieces, blocks)
     shared = spark.sparkContext.broadcast(Scorer(model, pieces, hashes[order], number[order], ends, divisor))
     kind = rows.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base double, mixed double, words array<long>, logs array<float>"

@@ -87,13 +87,22 @@ def cut(pieces: Pieces, data: np.ndarray, starts: np.ndarray, ends: np.ndarray)
     return out, counts
 
 
+def whole(path: str) -> Pieces:
+    """All pieces of the vocabulary, besides all single bytes."""
+    return _table(vocabulary(path))
+
+
 def chosen(path: str, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, size: int) -> Pieces:
-    """The `size` pieces that a sample of words uses most, besides all single bytes."""
-    names = vocabulary(path)
-    full = _table(names)
+    """The `size` pieces that words use most, besides all single bytes."""
+    full = whole(path)
     ids, _ = cut(full, data, starts, ends)
-    counts = np.bincount(ids, minlength=full.size)
+    return most_used(path, np.bincount(ids, minlength=full.size), size)
+
+
+def most_used(path: str, counts: np.ndarray, size: int) -> Pieces:
+    """The same by how often words use each of the whole vocabulary's pieces."""
+    counts = counts.copy()
     counts[:512] = 0
     best = np.argsort(-counts, kind="stable")[:size]
-    every = [p for p in dict.fromkeys(names) if len(p[0]) > 1]
+    every = [p for p in dict.fromkeys(vocabulary(path)) if len(p[0]) > 1]
     return _table([every[i - 512] for i in best.tolist() if counts[i]])

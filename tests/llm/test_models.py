@@ -183,6 +183,43 @@ def test_scores_against_a_plain_mixture_and_the_base(spark, monkeypatch):
     assert alone > base and sum(got[i]["score"] for i, _ in held) > base
 
 
+def test_every_training_text_teaches(spark, monkeypatch):
+    """However few blocks the first weights come from, one more text or one more copy changes the model; pieces are those that all words use."""
+    for name, value in (("PIECES", 60), ("START_WORDS", 1), ("PART_BLOCKS", 2), ("SUMS", 4)):
+        monkeypatch.setattr(lm_scoring, name, value)
+    monkeypatch.setattr(attention, "EPOCHS", 1)
+    texts = [r["text"] for r in spark.read.parquet(f"{SMALL}/documents.parquet").filter("doc_id < 30 and length(text) < 2500").orderBy("doc_id").select("text").collect()][:14]
+    tuned, fitted = lm_scoring.tuned, []
+    monkeypatch.setattr(lm_scoring, "tuned", lambda model, pieces, *more: fitted.append((tuned(model, pieces, *more), pieces)) or fitted[-1][0])
+
+    def weights(some):
+        lm_scoring.score(spark.createDataFrame(list(enumerate(some)), "doc_id long, text string"), F.lit(False), word_vocabulary())
+        return attention.packed(fitted[-1][0].weights)
+
+    base = weights(texts[:12])
+    for more in (texts[12], texts[13], texts[3]):
+        other = weights([*texts[:12], more])
+        assert other.shape != base.shape or np.abs(other - base).max() > 1e-7
+    ws = [w for t in texts[:12] for w in words(t)]
+    data = np.frombuffer(" ".join(ws).encode(), np.uint8)
+    want = subwords.chosen(word_vocabulary(), data, *word_spans(data, np.array([0, len(data)]))[:2], 60)
+    assert np.array_equal(np.sort(fitted[0][1].hashes), np.sort(want.hashes))
+
+
+def test_weighed_windows_learn_like_repeated_ones():
+    rng = np.random.default_rng(3)
+    stream = rng.integers(0, 9, 60)
+    model = attention.train([stream], 10, epochs=1)
+    places, exists, _ = attention.window_places(np.array([60]))
+    one, many = (attention.Trainer(model.weights, model.groups) for _ in range(2))
+    one.learn(stream, places, exists, 1e-3, np.array([3, 1, 2]))
+    twice = [0, 0, 0, 1, 2, 2]
+    many.learn(stream, places[twice], exists[twice], 1e-3)
+    assert all(np.allclose(one.first[k], many.first[k], atol=1e-6) and one.first[k].any() for k in one.w)
+    pairs = np.bincount(stream[:-1] * 10 + stream[1:], minlength=100).reshape(10, 10)
+    assert (attention.pair_groups(np.bincount(stream, minlength=10), pairs, 3).of == attention.subword_groups(stream, 10, 3).of).all()
+
+
 def test_scores_without_training_or_rows(spark):
     docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     row = lm_scoring.score(docs, F.lit(True), word_vocabulary()).first()
