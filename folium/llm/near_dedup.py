@@ -30,6 +30,8 @@ BANDS, ROWS = 38, 6
 LED = 400
 #: Shingles of all members in one block of a bucket, about.
 BLOCK_SHINGLES = 1 << 20
+#: Bits a key of the map that sifts rows before a join, and bits of the map at most: 4096 pieces of 4 KB.
+SIFT_KEY, SIFT_MOST = 16, 1 << 27
 
 
 def _sign(size: int, bands: int, rows: int):
@@ -155,6 +157,23 @@ def _blocks(percent: int):
     return run
 
 
+def sifted(rows: DataFrame, key: str, found: DataFrame, found_key: str) -> DataFrame:
+    """The rows whose key is among those found, and a few others: a join with them then deals out little else.
+
+    Every task gets a bitmap of the found keys' hashes, in pieces; it keeps all rows with a found key, whatever its size.
+    """
+    bits = 1 << 15
+    while bits < min(SIFT_MOST, SIFT_KEY * found.count()):
+        bits *= 2
+    spot = lambda c: F.pmod(F.xxhash64(c), F.lit(bits)) + 1
+    pieces = found.select(spot(found_key).alias("_spot")).withColumn("_piece", F.bitmap_bucket_number("_spot")).repartition("_piece")
+    pieces = pieces.groupBy("_piece").agg(F.bitmap_construct_agg(F.bitmap_bit_position("_spot")).alias("_bits"))
+    place = "int(bitmap_bit_position(_at))"
+    hit = f"bit_get(int(conv(hex(substring(_bits, {place} div 8 + 1, 1)), 16, 10)), {place} % 8) = 1"
+    marked = rows.withColumn("_at", spot(key))
+    return marked.join(F.broadcast(pieces), F.bitmap_bucket_number("_at") == F.col("_piece")).filter(hit).select(rows.columns)
+
+
 def group(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept, tid, root) of each row.
 
@@ -177,15 +196,16 @@ def group(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size: int
         # the small side of each join below is a table of its own, so that Spark can split a hot key of the other one
         places = classes.select(F.explode("keys").alias("key"), "cid", "n")
         leaders = own.stored(places.groupBy("key").agg(F.min(F.struct("cid", "n")).alias("leader"), F.count("*").alias("size")).filter("size > 1").select("key", F.col("leader.cid").alias("leader"), F.col("leader.n").alias("leader_n")))
-        members = own.stored(places.join(leaders, "key").filter("cid != leader"))
+        members = own.stored(sifted(places, "key", leaders, "key").join(leaders, "key").filter("cid != leader"))
         # 100 i >= p u needs 100 * smaller size >= p * larger size
         possible = F.expr(f"100 * least(n, leader_n) >= {percent} * greatest(n, leader_n)")
         pairs = own.stored(members.filter(possible).select("leader", "cid").distinct())
         led = own.stored(pairs.groupBy("leader").agg(F.ceil(F.count("*") / LED).cast("int").alias("shares")))
         # only texts of classes that meet another one travel
         met = own.stored(members.select("cid").union(members.select("leader")).distinct())
+        # no semi-join, which Spark would move ahead of the sifting; met holds each text once
         # grouped by an expression, so that copies are combined before they are dealt anew and a hot text can be split
-        texts = own.stored(named.join(met, F.col("tid") == F.col("cid"), "left_semi").groupBy(F.substring("tid", 1, 16).alias("tid")).agg(F.first("text").alias("text")))
+        texts = own.stored(sifted(named, "tid", met, "cid").join(met, F.col("tid") == F.col("cid")).groupBy(F.substring("tid", 1, 16).alias("tid")).agg(F.first("text").alias("text")))
         none = F.lit(None).cast("binary")
         fronts = led.join(texts, F.col("leader") == F.col("tid")).select("leader", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), none.alias("member"), "text")
         dealt = pairs.join(led, "leader").select("leader", F.pmod(F.xxhash64("cid"), "shares").cast("int").alias("share"), F.col("cid").alias("member"))

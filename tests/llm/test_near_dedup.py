@@ -76,3 +76,39 @@ def test_components_of_long_chains(spark):
         part = order[k : k + 50]
         assert {got[name(x)] for x in part} == {name(min(part))}
     assert components(frame.limit(0)).count() == 0
+
+
+def test_sifting_keeps_all_found_keys_and_little_else(spark, monkeypatch):
+    rows = spark.range(4000).selectExpr("id", "unhex(md5(string(id))) as key")
+    found = rows.filter("id % 40 = 0").select(F.col("key").alias("cid"))
+    for most, extra in ((1 << 27, 300), (1 << 15, 300)):
+        monkeypatch.setattr(near_dedup, "SIFT_MOST", most)
+        got = {r["id"] for r in near_dedup.sifted(rows, "key", found, "cid").collect()}
+        assert set(range(0, 4000, 40)) <= got and len(got) <= 100 + extra
+    assert near_dedup.sifted(rows, "key", found.limit(0), "cid").count() == 0
+
+
+def test_texts_that_meet_no_other_are_not_dealt_out(spark, tmp_path):
+    """With broadcast joins out of the way, as on large tables, shuffles move far less than the texts."""
+    rng = random.Random(5)
+    texts = [" ".join(f"{rng.getrandbits(40):x}" for _ in range(3000)) for _ in range(150)]
+    rows = [(k, t) for k, t in enumerate([*texts, texts[7] + " more"])]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    store, gateway = spark.sparkContext._jsc.sc().statusStore(), spark.sparkContext._gateway
+    none = gateway.new_array(gateway.jvm.double, 0)
+
+    def stages():
+        found = store.stageList(None, False, False, none, None)
+        return {(s.stageId(), s.attemptId()): s.shuffleWriteBytes() for s in map(found.apply, range(found.size()))}
+
+    before = dict.fromkeys(stages(), 0)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        got = {r["doc_id"]: r["component_id"] for r in near_dedup.group(docs, size=2).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert got == {k: 7 if k == 150 else k for k in range(151)}
+    moved = sum(v for k, v in stages().items() if before.get(k) is None)
+    assert moved < 0.5 * sum(map(len, texts)), (moved, sum(map(len, texts)))
