@@ -73,37 +73,64 @@ def _distance() -> np.ndarray:
     return np.maximum(i[:, None] - i[None, :], 0)
 
 
+def _joint(w: dict[str, np.ndarray]) -> np.ndarray:
+    """What an embedding is multiplied with, side by side: for its queries (scaled), keys, values and hidden layer."""
+    return np.concatenate([w["q"] * w["q"].dtype.type(1 / np.sqrt(w["q"].shape[1])), w["k"], w["v"], w["own"]], 1)
+
+
+def _attend(a: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    """The softmax over the places up to each one, written over the products of queries and keys."""
+    if max(a.max(initial=0), -a.min(initial=0)) + np.abs(bias).max() < 60:
+        # the causal mask and the distances' bias are factors
+        np.exp(a, out=a)
+        a *= np.exp(bias[_distance()]) * np.tri(WINDOW, dtype=a.dtype)
+    else:
+        a += bias[_distance()] + _mask()
+        a -= a.max(-1, keepdims=True)
+        np.exp(a, out=a)
+    a /= (a.reshape(-1, WINDOW) @ np.ones(WINDOW, a.dtype)).reshape(*a.shape[:2], 1)
+    return a
+
+
 def forward(w: dict[str, np.ndarray], ids: np.ndarray) -> tuple[np.ndarray, tuple]:
     """What each position has seen (its hidden layer), for windows of ids at once; and what backward() needs."""
-    x = w["embed"][ids]
-    q, k, v = x @ w["q"], x @ w["k"], x @ w["v"]
-    a = q @ k.transpose(0, 2, 1)
-    a *= np.float32(1 / np.sqrt(q.shape[-1]))
-    a += w["bias"][_distance()] + _mask()
-    a -= a.max(-1, keepdims=True)
-    np.exp(a, out=a)
-    a /= a.sum(-1, keepdims=True)
-    o = a @ v
-    r = np.maximum(x @ w["own"] + o @ w["seen"] + w["base"], 0)
-    return r, (ids, x, q, k, v, a, o, r)
+    d = w["q"].shape[1]
+    x = w["embed"][ids.reshape(-1)]
+    p = (x @ _joint(w)).reshape(*ids.shape, -1)
+    a = _attend(p[..., :d] @ p[..., d : 2 * d].transpose(0, 2, 1), w["bias"])
+    o = (a @ p[..., 2 * d : 3 * d]).reshape(-1, d)
+    r = o @ w["seen"]
+    r += p.reshape(len(x), -1)[:, 3 * d :]
+    r += w["base"]
+    np.maximum(r, 0, out=r)
+    return r.reshape(*ids.shape, -1), (ids, x, p, a, o, r)
 
 
 def backward(w: dict[str, np.ndarray], kept: tuple, dr: np.ndarray) -> dict[str, np.ndarray]:
-    ids, x, q, k, v, a, o, r = kept
-    flat = lambda m: m.reshape(-1, m.shape[-1])
-    dh = dr * (r > 0)
-    g = {"own": flat(x).T @ flat(dh), "seen": flat(o).T @ flat(dh), "base": flat(dh).sum(0)}
-    dx, do = dh @ w["own"].T, dh @ w["seen"].T
-    da, dv = do @ v.transpose(0, 2, 1), a.transpose(0, 2, 1) @ do
-    ds = a * (da - (da * a).sum(-1, keepdims=True))
-    g["bias"] = np.bincount(_distance().reshape(-1), ds.sum(0).reshape(-1), WINDOW).astype(np.float32)
-    ds *= np.float32(1 / np.sqrt(q.shape[-1]))
-    dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
-    for name, d in (("q", dq), ("k", dk), ("v", dv)):
-        g[name] = flat(x).T @ flat(d)
-        dx = dx + d @ w[name].T
-    g["embed"] = np.zeros_like(w["embed"])
-    np.add.at(g["embed"], ids.reshape(-1), flat(dx))
+    ids, x, p, a, o, r = kept
+    d = w["q"].shape[1]
+    q, k, v = (p[..., n * d : (n + 1) * d] for n in range(3))
+    of_p = np.empty_like(p)
+    flat = of_p.reshape(len(x), -1)
+    dh = flat[:, 3 * d :]
+    np.multiply(dr.reshape(r.shape), r > 0, out=dh)
+    g = {"seen": o.T @ dh, "base": np.ones(len(dh), dh.dtype) @ dh}
+    do = dh @ w["seen"].T
+    # what all of a place's attention has in common is its product with what it saw
+    common = ((do * o) @ np.ones(d, o.dtype)).reshape(*ids.shape, 1)
+    do = do.reshape(*ids.shape, d)
+    ds = do @ v.transpose(0, 2, 1)
+    ds -= common
+    ds *= a
+    np.matmul(ds, k, out=of_p[..., :d])
+    np.matmul(ds.transpose(0, 2, 1), q, out=of_p[..., d : 2 * d])
+    np.matmul(a.transpose(0, 2, 1), do, out=of_p[..., 2 * d : 3 * d])
+    g["bias"] = np.bincount(_distance().reshape(-1), ds.sum(0).reshape(-1), WINDOW).astype(ds.dtype)
+    both = x.T @ flat
+    g |= {"q": both[:, :d] * both.dtype.type(1 / np.sqrt(d)), "k": both[:, d : 2 * d], "v": both[:, 2 * d : 3 * d], "own": both[:, 3 * d :]}
+    dx = flat @ _joint(w).T
+    cells = ids.reshape(-1, 1) * d + np.arange(d)
+    g["embed"] = np.bincount(cells.reshape(-1), dx.reshape(-1), w["embed"].size).reshape(-1, d).astype(dx.dtype)
     return g
 
 
@@ -119,40 +146,59 @@ def _logs(z: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def choose(w: dict[str, np.ndarray], groups: Groups, r: np.ndarray, target: np.ndarray, scale: float | np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray | None, dict[str, np.ndarray]]:
     """The log of each target's probability after its hidden layer; given a scale, one for all or each its own, also the loss's gradients."""
+    held = np.ones((len(r), r.shape[1] + 1), r.dtype)
+    held[:, :-1] = r
+    return _choose(w, groups, held, target, scale)
 
-    def loss(z: np.ndarray, at: np.ndarray, total: np.ndarray, scale: np.ndarray) -> np.ndarray:
-        z *= (scale / total).astype(z.dtype)[:, None]
-        z[np.arange(len(z)), at] -= scale.astype(z.dtype)
-        return z
 
-    order = np.argsort(groups.of[target].astype(np.int16), kind="stable")
-    r, target = r[order], target[order]
-    if scale is not None:
-        scale = np.broadcast_to(scale, len(order))[order]
+def _choose(w: dict[str, np.ndarray], groups: Groups, held: np.ndarray, target: np.ndarray, scale: float | np.ndarray | None) -> tuple[np.ndarray, np.ndarray | None, dict[str, np.ndarray]]:
+    """The same of hidden layers with a column of ones, so that products include what is added."""
+    n, width = len(held), held.shape[1] - 1
     of = groups.of[target]
-    z = r @ w["out"]
-    z += w["prior"]
+    order = np.argsort(of.astype(np.int16), kind="stable")
+    of, target = of[order], target[order]
+    held = held[order]
+    first, then = np.concatenate([w["out"], w["prior"][None]]), np.concatenate([w["member"], w["usual"][None]])
+    z = held @ first
     logs, total = _logs(z, of)
-    g, dr = {}, None
-    if scale is not None:
-        dz = loss(z, of, total, scale)
-        g = {"out": r.T @ dz, "prior": dz.sum(0), "member": np.zeros_like(w["member"]), "usual": np.zeros_like(w["usual"])}
-        dr = dz @ w["out"].T
-    bounds = np.searchsorted(of, np.arange(len(groups.edges)))
+    edges = groups.edges.tolist()
+    bounds = np.searchsorted(of, np.arange(len(edges))).tolist()
     place = groups.place[target] - groups.edges[of]
-    for k in np.flatnonzero(np.diff(bounds)).tolist():
-        rows, own = slice(bounds[k], bounds[k + 1]), slice(groups.edges[k], groups.edges[k + 1])
-        z = r[rows] @ w["member"][:, own]
-        z += w["usual"][own]
-        more, total = _logs(z, place[rows])
-        logs[rows] += more
-        if scale is not None:
-            dz = loss(z, place[rows], total, scale[rows])
-            g["member"][:, own], g["usual"][own] = r[rows].T @ dz, dz.sum(0)
-            dr[rows] += dz @ w["member"][:, own].T
+    parts = [(slice(bounds[k], bounds[k + 1]), slice(edges[k], edges[k + 1])) for k in range(len(edges) - 1) if bounds[k] < bounds[k + 1]]
     back = np.empty_like(order)
-    back[order] = np.arange(len(order))
-    return logs[back], None if dr is None else dr[back], g
+    back[order] = np.arange(n)
+    if scale is None:
+        for rows, own in parts:
+            logs[rows] += _logs(held[rows] @ then[:, own], place[rows])[0]
+        return logs[back], None, {}
+    scale = np.broadcast_to(scale, n)[order].astype(held.dtype)
+    z *= (scale / total)[:, None]
+    z[np.arange(n), of] -= scale
+    both = held.T @ z
+    g = {"out": both[:width], "prior": both[width]}
+    dr = z @ w["out"].T
+    # the members' rows of all groups end to end, so that all but the products is done for all at once
+    sizes = np.diff(groups.edges)[of]
+    ends = np.cumsum(sizes)
+    starts = ends - sizes
+    z = np.empty(int(sizes.sum()), held.dtype)
+    pieces = [z[starts[rows.start] : ends[rows.stop - 1]].reshape(-1, own.stop - own.start) for rows, own in parts]
+    for (rows, own), piece in zip(parts, pieces, strict=True):
+        np.matmul(held[rows], then[:, own], out=piece)
+    if not abs(z.max(initial=0)) < 80:
+        z -= np.repeat(np.maximum.reduceat(z, starts), sizes)
+    at = starts + place
+    chosen = z[at]
+    np.exp(z, out=z)
+    total = np.add.reduceat(z, starts)
+    logs += chosen - np.log(total)
+    z *= np.repeat(scale / total, sizes)
+    z[at] -= scale
+    both = np.zeros_like(then)
+    for (rows, own), piece in zip(parts, pieces, strict=True):
+        np.matmul(held[rows].T, piece, out=both[:, own])
+        dr[rows] += piece @ w["member"][:, own].T
+    return logs[back], dr[back], g | {"member": both[:width], "usual": both[width]}
 
 
 def subword_groups(stream: np.ndarray, n: int, groups: int, rounds: int = 15) -> Groups:
@@ -190,8 +236,14 @@ class Trainer:
     """Weights that learn by Adam from batches of windows."""
 
     def __init__(self, weights: dict[str, np.ndarray], groups: Groups):
-        self.w, self.groups, self.steps = {k: v.copy() for k, v in weights.items()}, groups, 0
-        self.first, self.second = ({k: np.zeros_like(v) for k, v in weights.items()} for _ in range(2))
+        ends = np.cumsum([v.size for v in weights.values()])
+        # all weights end to end; what goes by name are views of them
+        self._all, self._grads, self._first, self._second, self._passing = (np.zeros(ends[-1], np.float32) for _ in range(5))
+        views = lambda flat: {k: flat[e - v.size : e].reshape(v.shape) for (k, v), e in zip(weights.items(), ends, strict=True)}
+        self.w, self._by_name, self.first, self.second = (views(x) for x in (self._all, self._grads, self._first, self._second))
+        self.groups, self.steps = groups, 0
+        for k, v in weights.items():
+            self.w[k][...] = v
 
     def learn(self, whole: np.ndarray, places: np.ndarray, exists: np.ndarray, rate: float, times: np.ndarray | None = None) -> None:
         """One step on windows of the ids `whole`, each of which counts once or so many times."""
@@ -202,9 +254,21 @@ class Trainer:
         self.steps += 1
         rate *= min(1, self.steps / 50)
         for k, g in (grads | backward(self.w, kept, dr)).items():
-            self.first[k] += 0.1 * (g - self.first[k])
-            self.second[k] += 0.01 * (g * g - self.second[k])
-            self.w[k] -= np.float32(rate) * (self.first[k] / (1 - 0.9**self.steps)) / (np.sqrt(self.second[k] / (1 - 0.99**self.steps)) + 1e-8)
+            self._by_name[k][...] = g
+        g, t = self._grads, self._passing
+        np.subtract(g, self._first, out=t)
+        t *= np.float32(0.1)
+        self._first += t
+        np.multiply(g, g, out=t)
+        t -= self._second
+        t *= np.float32(0.01)
+        self._second += t
+        np.multiply(self._second, np.float32(1 / (1 - 0.99**self.steps)), out=t)
+        np.sqrt(t, out=t)
+        t += np.float32(1e-8)
+        np.divide(self._first, t, out=t)
+        t *= np.float32(rate / (1 - 0.9**self.steps))
+        self._all -= t
 
 
 def train(streams: list[np.ndarray], n: int, seed: int = 4, epochs: int | None = None, pairs: np.ndarray | None = None) -> Model:
@@ -272,7 +336,7 @@ def score(model: Model, stream: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     table = w["embed"] @ joint  # what an id brings to its queries, keys, values and hidden layer
     table[:, 3 * d] = 1
     near = np.exp(w["bias"][_distance()]) * np.tri(WINDOW, dtype=np.float32)
-    seen: list[np.ndarray] = []
+    held, filled = np.ones((LOTS * SCORED * WINDOW, 2 * d + 1), np.float32), 0
     following: list[np.ndarray] = []
     for at in range(0, len(places), SCORED):
         p, c = places[at : at + SCORED], counts[at : at + SCORED]
@@ -285,10 +349,11 @@ def score(model: Model, stream: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         o, h = o[c], x[..., 3 * d + 1 :][c]
         h += (o[:, :d] / o[:, d:]) @ w["seen"]
         h += w["base"]
-        seen.append(np.maximum(h, 0, out=h))
+        np.maximum(h, 0, out=held[filled : filled + len(h), :-1])
+        filled += len(h)
         following.append(p[c] + 1)
-        if len(seen) == LOTS or at + SCORED >= len(places):
+        if len(following) == LOTS or at + SCORED >= len(places):
             nxt = np.concatenate(following)
-            out[nxt] = choose(w, model.groups, np.concatenate(seen), stream[nxt])[0]
-            seen, following = [], []
+            out[nxt] = _choose(w, model.groups, held[:filled], stream[nxt], None)[0]
+            filled, following = 0, []
     return out

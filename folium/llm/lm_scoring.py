@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -58,7 +59,7 @@ def _count(shared):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         full: subwords.Pieces = shared.value
-        used = np.zeros(full.size, np.int64)
+        cutter, used = subwords.Cutter(full), np.zeros(full.size, np.int64)
         rows = lambda keys, counts, piece: pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), piece)), pa.array(keys.view(np.int64)), pa.array(counts)], ["piece", "word", "c"])
         for batch in batches:
             found, number = [], []
@@ -68,7 +69,7 @@ def _count(shared):
                 starts, ends, _ = word_spans(data, offsets)
                 total, inverse = prefix_hashes(data)
                 words, where, counts = np.unique(hash_between(total, inverse, starts, ends), return_index=True, return_counts=True)
-                ids, each = subwords.cut(full, data, starts[where], ends[where])
+                ids, each = cutter.cut(data, starts[where], ends[where], words)
                 used += np.bincount(ids, np.repeat(counts, each), full.size).astype(np.int64)
                 found.append(words)
                 number.append(counts)
@@ -93,8 +94,8 @@ def _streams(pieces: subwords.Pieces, ids: np.ndarray, counts: np.ndarray, first
     return out, lengths
 
 
-def _blocks(texts: pa.Array, share: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """Words of the drawn blocks of texts: the bytes, starts and ends, and of each block its words and whether it begins or ends a text."""
+def _blocks(texts: pa.Array, share: float, cutter: subwords.Cutter) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The ids of the drawn blocks of texts end to end, with the border where a text begins or ends, and their numbers."""
     for at, n in slices(texts):
         data, offsets = flat_bytes(texts.slice(at, n))
         data = lowered(data)
@@ -109,60 +110,63 @@ def _blocks(texts: pa.Array, share: float) -> Iterator[tuple[np.ndarray, np.ndar
         begin, stop, row, place = begin[drawn], stop[drawn], row[drawn], place[drawn]
         if len(begin):
             words = np.repeat(begin - np.cumsum(stop - begin) + (stop - begin), stop - begin) + np.arange((stop - begin).sum())
-            yield data, starts[words], ends[words], stop - begin, np.stack([place == 0, stop == first[row + 1]], 1)
+            ids, each = _cut_all(cutter, data, starts[words], ends[words], hash_between(total, inverse, starts[words], ends[words]))
+            stream, lengths = _streams(cutter.pieces, ids, each, np.concatenate([[0], np.cumsum(stop - begin)]))
+            head, tail = place > 0, stop < first[row + 1]
+            inside, last = np.ones(len(stream), bool), np.cumsum(lengths) - 1
+            inside[(last - lengths + 1)[head]] = inside[last[tail]] = False
+            yield stream[inside], lengths - head - tail
 
 
-def _draw(share: float):
+def _cut_all(cutter: subwords.Cutter, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of words one after another, and the number of each; a word that comes again is cut once."""
+    kinds, where, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+    ids, counts = cutter.cut(data, starts[where], ends[where], kinds)
+    head, each = np.cumsum(counts) - counts, counts[inverse]
+    return ids[np.arange(each.sum()) + np.repeat(head[inverse] - np.cumsum(each) + each, each)], each
+
+
+def _draw(share: float, shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cutter = subwords.Cutter(shared.value)
         for batch in batches:
-            for data, starts, ends, sizes, edges in _blocks(batch.column(0), share):
-                at = np.concatenate([[0], np.cumsum(sizes)])
-                texts = [b" ".join(data[starts[k] : ends[k]].tobytes() for k in range(a, b)) for a, b in zip(at[:-1], at[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(texts, pa.binary()), pa.array(edges[:, 0]), pa.array(edges[:, 1])], ["words", "begins", "ends"])
+            for stream, lengths in _blocks(batch.column(0), share, cutter):
+                offsets = np.concatenate([[0], np.cumsum(2 * lengths)]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(stream.astype(np.uint16))])], ["ids"])
 
     return run
 
 
-def _block_streams(pieces: subwords.Pieces, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, sizes: np.ndarray, edges: np.ndarray) -> list[np.ndarray]:
-    """The ids of each block, with the border where a text begins or ends."""
-    stream, lengths = _streams(pieces, *subwords.cut(pieces, data, starts, ends), np.concatenate([[0], np.cumsum(sizes)]))
-    parts = np.split(stream, np.cumsum(lengths)[:-1])
-    return [p[0 if e[0] else 1 : len(p) if e[1] else len(p) - 1] for p, e in zip(parts, edges, strict=True)]
-
-
-def _table_streams(pieces: subwords.Pieces, words, begins: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
-    """The same of blocks as a table holds them."""
-    data, offsets = flat_bytes(words)
-    starts, stops, first = word_spans(data, offsets)
-    return _block_streams(pieces, data, starts, stops, np.diff(first), np.stack([begins, ends], 1))
+def _stored_streams(ids: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of blocks as a table holds them, two bytes each, end to end, and their numbers."""
+    data, offsets = flat_bytes(ids)
+    return data.view(np.uint16).astype(np.int64), np.diff(offsets) // 2
 
 
-def _pairs(shared):
-    """How often pieces come one behind the other in the blocks of a task, as the first one's id times all pieces plus the second's."""
+def _pairs(size: int):
+    """How often pieces, below size, come one behind the other in the blocks of a task, as the first one's id times size plus the second's."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces: subwords.Pieces = shared.value
-        n = pieces.size + 1
-        counts = np.zeros(n * n, np.int64)
+        counts = np.zeros(size * size, np.int64)
         for batch in batches:
             for at, rows in slices(batch.column(0)):
-                words, begins, ends, times = (batch.column(k).slice(at, rows) for k in range(4))
-                streams = _table_streams(pieces, words, begins.to_numpy(zero_copy_only=False), ends.to_numpy(zero_copy_only=False))
-                stream, lengths = np.concatenate(streams), np.array([len(x) for x in streams])
+                stream, lengths = _stored_streams(batch.column(0).slice(at, rows))
                 inside = np.ones(len(stream), bool)
                 inside[np.cumsum(lengths) - 1] = False
                 at_first = np.flatnonzero(inside)
-                counts += np.bincount(stream[at_first] * n + stream[at_first + 1], np.repeat(times.to_numpy(), lengths)[at_first], n * n).astype(np.int64)
+                times = np.repeat(batch.column(1).slice(at, rows).to_numpy(), lengths)[at_first]
+                pairs, where = np.unique(stream[at_first] * size + stream[at_first + 1], return_inverse=True)
+                counts[pairs] += np.bincount(where, times, len(pairs)).astype(np.int64)
         pairs = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(counts[pairs])], ["pair", "c"])
 
     return run
 
 
-def train(blocks: pa.Table, pieces: subwords.Pieces, pairs: np.ndarray) -> attention.Model:
-    """A model of blocks (words, begins, ends), with the groups and first shares of all pairs of neighbouring pieces."""
-    streams = _table_streams(pieces, blocks["words"], blocks["begins"].to_numpy(), blocks["ends"].to_numpy())
-    return attention.train(streams, pieces.size + 1, pairs=pairs)
+def train(ids: pa.Array, pieces: subwords.Pieces, pairs: np.ndarray) -> attention.Model:
+    """A model of blocks, with the groups and first shares of all pairs of neighbouring pieces."""
+    stream, lengths = _stored_streams(ids)
+    return attention.train(np.split(stream, np.cumsum(lengths)[:-1]), pieces.size + 1, pairs=pairs)
 
 
 def _tune(shared):
@@ -170,7 +174,7 @@ def _tune(shared):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         attention.one_thread()
-        model, pieces = shared.value
+        model: attention.Model = shared.value
         part, trainer, windows = None, None, 0
 
         def done() -> pa.RecordBatch:
@@ -178,11 +182,11 @@ def _tune(shared):
             return pa.RecordBatch.from_arrays([pa.array([part]), pa.array([windows]), pa.array([flat.tobytes()], pa.binary())], ["part", "windows", "sums"])
 
         # lots of blocks are the same however the rows come in batches
-        waiting: list[tuple[int, bytes, bool, bool, int]] = []
+        waiting: list[tuple[int, bytes, int]] = []
 
         def learn() -> int:
-            _, words, begins, ends, times = zip(*waiting, strict=True)
-            return attention.tune(trainer, _table_streams(pieces, pa.array(words, pa.binary()), np.array(begins), np.array(ends)), np.array(times))
+            _, ids, times = zip(*waiting, strict=True)
+            return attention.tune(trainer, [np.frombuffer(x, np.uint16).astype(np.int64) for x in ids], np.array(times))
 
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -217,15 +221,14 @@ def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([part]), pa.array([windows]), pa.array([total.tobytes()], pa.binary())], ["part", "windows", "sums"])
 
 
-def blocks_of(training: DataFrame) -> DataFrame:
-    """(words, begins, ends, times): every different block of the texts, and how often it comes."""
+def blocks_of(training: DataFrame, pieces) -> DataFrame:
+    """(ids, times): every different block of the texts, by the ids of its pieces, and how often it comes."""
     rows = training.filter(F.pmod(F.xxhash64("text", F.lit(5)), F.lit(TUNE_TEXTS)) == 0).select("text")
-    drawn = rows.mapInArrow(frugal(_draw(1 / TUNE_BLOCKS)), "words binary, begins boolean, ends boolean")
-    return drawn.groupBy("words", "begins", "ends").agg(F.count("*").alias("times"))
+    return rows.mapInArrow(frugal(_draw(1 / TUNE_BLOCKS, pieces)), "ids binary").groupBy("ids").agg(F.count("*").alias("times"))
 
 
 def tuned(model: attention.Model, pieces: subwords.Pieces, blocks: DataFrame) -> attention.Model:
-    """The model after tasks have gone on training it on all blocks (words, begins, ends, times), each once and weighed by its times.
+    """The model after tasks have gone on training it on all blocks (ids, times), each once and weighed by its times.
 
     The blocks are dealt to parts by their hash, PART_BLOCKS a part or more, and the parts to ROUNDS rounds. Each part
     of a round is trained through in the order of the hashes, from the same start; the next round starts from their
@@ -235,14 +238,14 @@ def tuned(model: attention.Model, pieces: subwords.Pieces, blocks: DataFrame) ->
     kind = "part long, windows long, sums binary"
     all_parts = min(MOST_PARTS, max(1, blocks.count() // PART_BLOCKS))
     rounds = min(ROUNDS, all_parts)
-    h = F.xxhash64("words", "begins", "ends", F.lit(6))
+    h = F.xxhash64("ids", F.lit(6))
     dealt = blocks.withColumn("h", h).withColumn("of_all", F.pmod("h", F.lit(all_parts)))
     for turn in range(rounds):
-        shared = spark.sparkContext.broadcast((model, pieces))
+        shared = spark.sparkContext.broadcast(model)
         parts = len(range(turn, all_parts, rounds))
         with Scratch(spark) as own:
             mine = dealt.filter(F.pmod("of_all", F.lit(rounds)) == turn).withColumn("part", F.floor(F.col("of_all") / rounds))
-            mine = mine.repartition(parts, "part").sortWithinPartitions("part", "h").select("part", "words", "begins", "ends", "times")
+            mine = mine.repartition(parts, "part").sortWithinPartitions("part", "h", "ids").select("part", "ids", "times")
             sums = own.stored(mine.mapInArrow(frugal(_tune(shared)), kind))
             while parts > SUMS:
                 parts = -(-parts // SUMS)
@@ -261,6 +264,7 @@ def _score(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         attention.one_thread()
         s: Scorer = shared.value
+        cutter = s.pieces and subwords.Cutter(s.pieces)
         for batch in batches:
             texts = batch.column(batch.num_columns - 1)
             for at, n in slices(texts):
@@ -273,8 +277,7 @@ def _score(shared):
                 if s.model is None:
                     of_word, of_end = np.zeros(len(h)), np.zeros(n)
                 else:
-                    # each different word is cut once
-                    ids, counts = subwords.cut(s.pieces, data, starts[where], ends[where])
+                    ids, counts = cutter.cut(data, starts[where], ends[where], kinds)
                     head = np.cumsum(counts) - counts
                     each = counts[inverse_of]
                     place = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each) + np.repeat(head[inverse_of], each)
@@ -340,21 +343,21 @@ def score(docs: DataFrame, held_out: Column, path: str, text: str = "text", doc_
     order = np.argsort(hashes)
     model = pieces = None
     with Scratch(spark) as passing:
-        blocks = passing.stored(blocks_of(training))
-        if blocks.limit(1).count():
-            use = counted.filter("piece").toArrow()
-            used = np.zeros(full.value.size, np.int64)
-            used[use["word"].to_numpy()] = use["c"].to_numpy()
+        use = counted.filter("piece").toArrow()
+        used = np.zeros(full.value.size, np.int64)
+        used[use["word"].to_numpy()] = use["c"].to_numpy()
+        if used.any():
             pieces = subwords.most_used(path, used, PIECES)
+            size = pieces.size + 1
+            blocks = passing.stored(blocks_of(training, spark.sparkContext.broadcast(pieces)))
             # as many numbers as there are pairs of pieces, at most
-            beside = blocks.mapInArrow(frugal(_pairs(spark.sparkContext.broadcast(pieces))), "pair long, c long").groupBy("pair").agg(F.sum("c").alias("c")).toArrow()
-            pairs = np.zeros((pieces.size + 1) ** 2, np.int64)
+            beside = blocks.mapInArrow(frugal(_pairs(size)), "pair long, c long").groupBy("pair").agg(F.sum("c").alias("c")).toArrow()
+            pairs = np.zeros(size * size, np.int64)
             pairs[beside["pair"].to_numpy()] = beside["c"].to_numpy()
             # first weights from a bounded number of blocks, before all of them train it
-            first = blocks.orderBy(F.xxhash64("words", "begins", "ends", F.lit(4)), "words", "begins", "ends").limit(-(-START_WORDS // BLOCK_WORDS))
-            first = first.select("words", "begins", "ends").toArrow()
-            first = first.sort_by([("words", "ascending"), ("begins", "ascending"), ("ends", "ascending")])
-            model = train(first, pieces, pairs.reshape(pieces.size + 1, -1))
+            first = blocks.orderBy(F.xxhash64("ids", F.lit(4)), "ids").limit(-(-START_WORDS // BLOCK_WORDS)).select("ids").toArrow()["ids"]
+            first = first.combine_chunks().cast(pa.binary())
+            model = train(first.take(pc.sort_indices(first)), pieces, pairs.reshape(size, size))
             model = tuned(model, pieces, blocks)
     shared = spark.sparkContext.broadcast(Scorer(model, pieces, hashes[order], number[order], ends, divisor))
     kind = rows.schema["doc_id"].dataType.simpleString()

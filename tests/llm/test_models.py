@@ -1,8 +1,10 @@
 import math
 from collections import Counter
+from types import SimpleNamespace
 from zlib import crc32
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from brute import words
 from pyspark.sql import functions as F
@@ -10,6 +12,8 @@ from pyspark.sql import functions as F
 from folium.llm import attention, bpe, language_id, lm_scoring, subwords
 from folium.llm.queries import op6_language_id, word_vocabulary
 from folium.llm.shingles import word_spans
+from folium.llm.tasks import slices
+from folium.llm.windows import hash_between, prefix_hashes
 
 SMALL = "/root/testdata/sf0.001"
 tokenizers = pytest.importorskip("tokenizers")
@@ -273,3 +277,69 @@ def test_scores_do_not_depend_on_the_split(spark, monkeypatch):
     docs = docs.unionByName(docs.filter("doc_id < 5"))
     runs = [{(r["doc_id"], round(r["score"], 3)) for r in lm_scoring.score(d, language_id.fold(F.col("doc_id"), 5) == 1, word_vocabulary()).collect()} for d in (docs.coalesce(1), docs.repartition(7))]
     assert runs[0] == runs[1]
+
+
+def test_words_are_cut_once_a_task(monkeypatch):
+    """Texts whose words come again and again: the tasks that count, deal out blocks and score cut each word once, and train without cutting."""
+    words_of = ["alpha", "beta", "gamma", "delta's", "épsilon"] * 700
+    texts = [" ".join(words_of[k:] + words_of[:k]) for k in range(40)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(texts[k : k + 10])], ["text"]) for k in range(0, 40, 10)]
+    monkeypatch.setattr(lm_scoring, "slices", lambda column: slices(column, 1 << 16))
+    number, cut = [], subwords.cut
+    monkeypatch.setattr(subwords, "cut", lambda pieces, data, starts, ends: number.append(len(starts)) or cut(pieces, data, starts, ends))
+    shared = lambda value: SimpleNamespace(value=value)
+    list(lm_scoring._count(shared(subwords.whole(word_vocabulary())))(iter(batches)))
+    assert sum(number) == 5
+    data = np.frombuffer(texts[0].encode(), np.uint8)
+    starts, ends, _ = word_spans(data, np.array([0, len(data)]))
+    pieces = subwords.chosen(word_vocabulary(), data, starts, ends, 20)
+    number.clear()
+    blocks = pa.Table.from_batches(lm_scoring._draw(1, shared(pieces))(iter(batches)))["ids"]
+    assert sum(number) == 5 and len(blocks) == 40 * -(-3500 // 64)
+    stream, lengths = lm_scoring._stored_streams(blocks.combine_chunks())
+    ids, _ = cut(pieces, data, starts, ends)
+    assert np.array_equal(stream[: len(ids) + 2], [pieces.border, *ids, pieces.border]) and lengths.sum() == len(stream)
+    number.clear()
+    model = attention.train([stream[:200]], pieces.size + 1, epochs=1)
+    rows = pa.RecordBatch.from_arrays([pa.array([0] * 55), blocks.combine_chunks()[:55], pa.array([1] * 55)], ["part", "ids", "times"])
+    assert [r.num_rows for r in lm_scoring._tune(shared(model))(iter([rows]))] == [1] and not number
+    scorer = lm_scoring.Scorer(model, pieces, np.empty(0, np.uint64), np.empty(0, np.int64), 1, 10.0)
+    assert sum(r.num_rows for r in lm_scoring._score(shared(scorer))(iter(batches))) == 40 and sum(number) == 5
+
+
+@pytest.mark.parametrize(("slots", "pool"), [(4, 1 << 20), (1 << 10, 50), (1 << 20, 1 << 22)])
+def test_remembered_cuts_are_the_same(slots, pool, monkeypatch):
+    """However few words have a place, and however soon all are forgotten."""
+    monkeypatch.setattr(subwords, "SLOTS", slots)
+    monkeypatch.setattr(subwords, "POOL", pool)
+    data = np.frombuffer(("the theory of étude \U0001f600x 10 theatre others then " + "ab" * 300).encode(), np.uint8)
+    starts, ends, _ = word_spans(data, np.array([0, len(data)]))
+    pieces = subwords.chosen(word_vocabulary(), data, starts, ends, 12)
+    hashes = hash_between(*prefix_hashes(data), starts, ends)
+    rng, cutter = np.random.default_rng(2), subwords.Cutter(pieces)
+    for _ in range(30):
+        some = rng.permutation(len(starts))[: rng.integers(0, len(starts) + 1)]
+        got, want = cutter.cut(data, starts[some], ends[some], hashes[some]), subwords.cut(pieces, data, starts[some], ends[some])
+        assert all(np.array_equal(a, b) for a, b in zip(got, want, strict=True))
+
+
+@pytest.mark.parametrize("factor", [1, 60])
+def test_steps_with_large_weights(factor):
+    """Attention, probabilities and what they learn, where their exponentials would overflow too."""
+    rng = np.random.default_rng(5)
+    model = attention.train([rng.integers(0, 30, 400)], 31, epochs=1)
+    w = {k: v.astype(np.float64) * (factor if k in ("q", "member") else 1) for k, v in model.weights.items()}
+    ids, target = rng.integers(0, 31, (3, attention.WINDOW)), rng.integers(0, 31, 3 * attention.WINDOW)
+    x = w["embed"][ids]
+    a = (x @ w["q"]) @ (x @ w["k"]).transpose(0, 2, 1) / math.sqrt(attention.WIDTH) + w["bias"][attention._distance()]
+    a = np.where(np.tri(attention.WINDOW, dtype=bool), a, -np.inf)
+    a = np.exp(a - a.max(-1, keepdims=True))
+    want = np.maximum(x @ w["own"] + a / a.sum(-1, keepdims=True) @ (x @ w["v"]) @ w["seen"] + w["base"], 0)
+    got, _ = attention.forward(w, ids)
+    assert np.allclose(got, want)
+    r = got.reshape(len(target), -1)
+    logs, dr, grads = attention.choose(w, model.groups, r, target, 1.0)
+    assert np.allclose(logs, attention.choose(w, model.groups, r, target)[0]) and all(np.isfinite(g).all() for g in (dr, *grads.values()))
+    step = 1e-6 * rng.standard_normal(r.shape)
+    up, down = (attention.choose(w, model.groups, r + s, target)[0].sum() for s in (step, -step))
+    assert abs((up - down) / 2 + (dr * step).sum()) < 1e-4 * np.abs(dr * step).sum() + 1e-9
