@@ -1,7 +1,8 @@
 """Bundle files as a data source: spark.write.format("bundle") and spark.read.format("bundle").
 
 A bundle is one file, {slug}--{day}--v{n}.json, with its SHA-256 beside it. Tasks write into a staging folder; the files
-come to their place when all tasks are done, and nothing of a job that fails stays.
+come to their place when all tasks are done, and nothing of a job that fails stays. The driver sees names folder by folder
+only, and keeps of each bundle a few bytes.
 """
 
 from __future__ import annotations
@@ -9,14 +10,17 @@ from __future__ import annotations
 import gzip
 import hashlib
 import json
+import os
 import posixpath
 import re
 import uuid
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+import numpy as np
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,8 +36,10 @@ NAME = r"^([a-z0-9._-]+)--(\d{8})--v(\d+)\.json(\.gz)?$"
 STATES = ("ok", "mismatch", "missing")
 #: Files that the driver moves at once.
 MOVES = 16
-#: Bytes of files in one partition.
-RANGE = 32 << 20
+#: Bundles in one folder of staging.
+FOLDER = 2000
+#: Bytes of files in one partition, and files at most.
+RANGE, RANGE_FILES = 32 << 20, 5000
 
 
 def _store(path: str) -> tuple[fs.FileSystem, str]:
@@ -50,12 +56,31 @@ def _read(store: fs.FileSystem, path: str) -> bytes:
         return raw.read()
 
 
+def _listed(store: fs.FileSystem, folder: str) -> Iterator[tuple[str, int]]:
+    """(name, bytes) of the bundles in a folder; those of a local one one by one, others as Arrow lists them, at once."""
+    if isinstance(store, fs.LocalFileSystem):
+        with os.scandir(folder) as found:
+            yield from ((f.name, f.stat().st_size) for f in found if re.match(NAME, f.name) and f.is_file())
+    else:
+        found = store.get_file_info(fs.FileSelector(folder))
+        yield from ((f.base_name, f.size) for f in found if re.match(NAME, f.base_name) and f.type == fs.FileType.File)
+
+
+def _plain(name: str) -> str:
+    return name.removesuffix(".gz")
+
+
+def _key(plain: str) -> bytes:
+    return hashlib.blake2b(plain.encode(), digest_size=8).digest()
+
+
 @dataclass
 class Written(WriterCommitMessage):
-    """The folder of a task's attempt, and the files in it."""
+    """The folder of a task's attempt, how many folders of bundles are in it, and a hash of 8 bytes of each name."""
 
     folder: str
-    names: list[str]
+    parts: int
+    keys: bytes
 
 
 class BundleWriter(DataSourceWriter):
@@ -74,36 +99,47 @@ class BundleWriter(DataSourceWriter):
         store, top = _store(self.path)
         # an attempt has a folder of its own, so that one begun twice can't spoil the other's files; it is not made where
         # the job's folder is gone, so that an attempt that outlives an aborted job leaves nothing
-        folder, names = f"{self._staging(top)}/{uuid.uuid4().hex}", []
+        folder, part, seen = f"{self._staging(top)}/{uuid.uuid4().hex}", "", set()
         store.create_dir(folder, recursive=False)
         for row in rows:
-            name = f"{row['slug']}--{row['day']}--v{row['version']}.json"
+            plain = name = f"{row['slug']}--{row['day']}--v{row['version']}.json"
             if not re.match(NAME, name):
                 raise ValueError(f"not the name of a bundle: {name!r}")
             payload = (json.dumps(json.loads(row["json"]), ensure_ascii=False, indent=2) + "\n").encode()
             if len(payload) > self.threshold:
                 name, payload = f"{name}.gz", gzip.compress(payload, mtime=0)
-            if name in names:
-                raise ValueError(f"two bundles are named {name}")
-            _write(store, f"{folder}/{name}", payload)
-            _write(store, f"{folder}/{name}.sha256", f"{hashlib.sha256(payload).hexdigest()}  {name}\n".encode())
-            names.append(name)
-        return Written(folder, names)
+            if plain in seen:
+                raise FileExistsError(f"bundles exist already, or twice in one write: {[plain]}")
+            if len(seen) % FOLDER == 0:
+                part = f"{folder}/{len(seen) // FOLDER}"
+                store.create_dir(part, recursive=False)
+            _write(store, f"{part}/{name}", payload)
+            _write(store, f"{part}/{name}.sha256", f"{hashlib.sha256(payload).hexdigest()}  {name}\n".encode())
+            seen.add(plain)
+        return Written(folder, -(-len(seen) // FOLDER), b"".join(map(_key, seen)))
 
     def commit(self, messages: list[Written | None]) -> None:
         store, top = _store(self.path)
         done = [m for m in messages if m is not None]
-        names = [n for m in done for n in m.names]
-        taken = {f.base_name.removesuffix(".gz") for f in store.get_file_info(fs.FileSelector(top)) if f.type == fs.FileType.File}
-        asked = Counter(n.removesuffix(".gz") for n in names)
-        twice = sorted(n for n, k in asked.items() if k > 1 or n in taken)
+        parts = [f"{m.folder}/{k}" for m in done for k in range(m.parts)]
+        keys = np.sort(np.frombuffer(b"".join(m.keys for m in done), np.uint64))
+        alike = {k.tobytes() for k in keys[1:][keys[1:] == keys[:-1]]}
+        taken, asked = [], Counter()
+        for part in parts:
+            names = [_plain(n) for n, _ in _listed(store, part)]
+            there = store.get_file_info([f"{top}/{n}{end}" for n in names for end in ("", ".gz")])
+            taken = (taken + [_plain(f.base_name) for f in there if f.type == fs.FileType.File])[:5]
+            asked.update(n for n in names if alike and _key(n) in alike)
+        twice = sorted({*taken, *(n for n, k in asked.items() if k > 1)})
         if twice:
             self.abort(messages)
             raise FileExistsError(f"bundles exist already, or twice in one write: {twice[:5]}")
         with ThreadPoolExecutor(MOVES) as pool:
-            # digests first: a bundle in its place always has one
-            for suffix in (".sha256", ""):
-                list(pool.map(lambda x: store.move(*x), [(f"{m.folder}/{n}{suffix}", f"{top}/{n}{suffix}") for m in done for n in m.names]))
+            for part in parts:
+                names = [n for n, _ in _listed(store, part)]
+                # digests first: a bundle in its place always has one
+                for suffix in (".sha256", ""):
+                    list(pool.map(lambda x: store.move(*x), [(f"{part}/{n}{suffix}", f"{top}/{n}{suffix}") for n in names]))
         store.delete_dir(self._staging(top))
 
     def abort(self, messages: list[Written | None]) -> None:
@@ -114,30 +150,48 @@ class BundleWriter(DataSourceWriter):
 
 @dataclass
 class Files(InputPartition):
-    paths: list[str]
+    """Names in a folder, packed: many names say nearly the same."""
+
+    folder: str
+    packed: bytes
+
+    @classmethod
+    def of(cls, folder: str, names: list[str]) -> Files:
+        return cls(folder, zlib.compress("\n".join(sorted(names)).encode()))
+
+    def names(self) -> list[str]:
+        return zlib.decompress(self.packed).decode().split("\n") if self.packed else []
 
 
 class BundleReader(DataSourceReader):
     def __init__(self, options: dict):
         self.path, self.size = options["path"], int(options.get("rangebytes", RANGE))
+        self.names_only = options.get("namesonly", "false").lower() == "true"
 
     def partitions(self) -> list[Files]:
         store, top = _store(self.path)
         info = store.get_file_info(top)
-        found = [info] if info.type == fs.FileType.File else store.get_file_info(fs.FileSelector(top))
+        if self.names_only and info.type == fs.FileType.NotFound:
+            return [Files(top, b"")]
+        one = info.type == fs.FileType.File
+        folder = posixpath.dirname(top) if one else top
         out, now, size = [], [], 0
-        for f in sorted((f for f in found if f.type == fs.FileType.File and re.match(NAME, f.base_name)), key=lambda f: f.path):
-            now.append(f.path)
-            size += f.size
-            if size >= self.size:
-                out.append(Files(now))
+        for name, n in ((f, n) for f, n in [(info.base_name, info.size)] if re.match(NAME, f)) if one else _listed(store, top):
+            now.append(name)
+            size += 0 if self.names_only else n
+            if size >= self.size or len(now) >= RANGE_FILES:
+                out.append(Files.of(folder, now))
                 now, size = [], 0
-        return [*out, Files(now)]
+        return [*out, Files.of(folder, now) if now else Files(folder, b"")]
 
     def read(self, partition: Files) -> Iterator[tuple]:
+        if self.names_only:
+            yield from ((name,) for name in partition.names())
+            return
         store, _ = _store(self.path)
-        for path in partition.paths:
-            name, payload = posixpath.basename(path), _read(store, path)
+        for name in partition.names():
+            path = f"{partition.folder}/{name}"
+            payload = _read(store, path)
             digest = hashlib.sha256(payload).hexdigest()
             beside = store.get_file_info(f"{path}.sha256").type == fs.FileType.File
             said = _read(store, f"{path}.sha256").decode().split()[:1] if beside else []
@@ -153,9 +207,10 @@ class BundleReader(DataSourceReader):
 class BundleSource(DataSource):
     """Writes rows (slug, day, version, json) as bundle files; reads them as (name, slug, day, version, json, sha256, state).
 
-    Options: path (any that Arrow can open), gzipBytes, rangeBytes. state is ok, mismatch, or missing where no digest lies
-    beside a file; json is null where a file can't be decoded. Files of other names are left alone. Writing fails, and
-    leaves nothing, if a bundle of that name exists or two rows have one name.
+    Options: path (any that Arrow can open), gzipBytes, rangeBytes, namesOnly. state is ok, mismatch, or missing where no
+    digest lies beside a file; json is null where a file can't be decoded. Files of other names are left alone. Writing
+    fails, and leaves nothing, if a bundle of that name exists or two rows have one name. With namesOnly just (name) is
+    read, without opening the files, and nothing where there is no folder.
     """
 
     @classmethod
@@ -163,6 +218,8 @@ class BundleSource(DataSource):
         return "bundle"
 
     def schema(self) -> str:
+        if self._options().get("namesonly", "false").lower() == "true":
+            return "name string"
         return "name string, slug string, day string, version int, json string, sha256 string, state string"
 
     def _options(self) -> dict:
@@ -183,11 +240,8 @@ class Corrupt(ValueError):
 
 def names(spark: SparkSession, path: str) -> DataFrame:
     """The names of the bundle files under a path, none where there is nothing; their contents are not read."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
-        return spark.createDataFrame([], "name string")
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*--v*.json*").load(path)
-    return files.select(F.regexp_extract("path", r"([^/]*)$", 1).alias("name"))
+    register(spark)
+    return spark.read.format("bundle").option("namesOnly", "true").load(path)
 
 
 def versioned(bundles: DataFrame, existing: DataFrame) -> DataFrame:
@@ -207,10 +261,13 @@ def register(spark: SparkSession) -> None:
 
 def write(bundles: DataFrame, path: str, gzip_bytes: int = GZIP_BYTES) -> None:
     """Bundles (slug, day, version, json) as files under a path, which is made if it isn't there."""
-    register(bundles.sparkSession)
+    spark = bundles.sparkSession
+    register(spark)
     store, top = _store(path)
     store.create_dir(top, recursive=True)
-    bundles.select("slug", "day", "version", "json").write.format("bundle").option("gzipBytes", gzip_bytes).mode("append").save(path)
+    # dealt by name: few bytes can be very many files, which would otherwise meet in one task
+    dealt = bundles.select("slug", "day", "version", "json").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "slug", "day", "version")
+    dealt.write.format("bundle").option("gzipBytes", gzip_bytes).mode("append").save(path)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:

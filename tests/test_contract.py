@@ -4,6 +4,7 @@ import copy
 import gzip
 import json
 import os
+import pickle
 
 import pytest
 from pyspark.sql import functions as F
@@ -201,3 +202,28 @@ def test_failed_writes_leave_nothing(spark, tmp_path):
         assert sorted(os.listdir(tmp_path / "out")) == before
     with pytest.raises(Exception, match="never replaced"):
         good.select("slug", "day", "version", "json").write.format("bundle").mode("overwrite").save(path)
+
+
+def test_driver_holds_few_bytes_of_each_bundle(tmp_path):
+    """Very many bundles: neither what tasks report nor the partitions to be read hold names at length."""
+    n, path = 6001, f"file://{tmp_path}/out"
+    os.makedirs(tmp_path / "out")
+    rows = [{"slug": f"a-rather-long-code-{k % 7}", "day": "20240506", "version": k, "json": f'{{"k": {k}}}'} for k in range(n)]
+    writer = bundle_files.BundleWriter({"path": path})
+    told = [writer.write(iter(rows[::2])), writer.write(iter(rows[1::2])), None]
+    assert len(pickle.dumps(told)) < 10 * n
+    writer.commit(told)
+    assert len(os.listdir(tmp_path / "out")) == 2 * n
+    want = {f"{r['slug']}--20240506--v{r['version']}.json" for r in rows}
+    for options in ({}, {"namesonly": "true"}):
+        reader = bundle_files.BundleReader({"path": path} | options)
+        parts = reader.partitions()
+        assert len(parts) > 1 and len(pickle.dumps(parts)) < 10 * n
+        got = [r for p in parts for r in reader.read(p)]
+        assert len(got) == n and {r[0] for r in got} == want and all(options or r[-1] == "ok" for r in got)
+    # one name in two tasks, compressed in one of them
+    twice = bundle_files.BundleWriter({"path": path, "gzipbytes": "20"})
+    told = [twice.write(iter([{"slug": "b", "day": "20240506", "version": 1, "json": x}])) for x in ('{"k": 1}', '{"k": "a longer one, to be compressed"}')]
+    with pytest.raises(FileExistsError, match="twice.*b--20240506--v1"):
+        twice.commit(told)
+    assert len(os.listdir(tmp_path / "out")) == 2 * n
