@@ -215,11 +215,12 @@ def _contract(spark: SparkSession, sf: str) -> DataFrame:
     chunk = f"""concat('{{"ordinal": ', l_linenumber % 6, ', "text": ', if(l_quantity > 2, {q('l_returnflag')}, if(l_quantity = 2, '" "', '7')), ', "char_count": ', if(l_orderkey % 13 = 0, 'null', '1'), ', "page_start": 1, "page_end": ', if(l_orderkey % 17 = 0, 'true', '1'), ', "has_table": ', if(l_orderkey % 19 = 0, '"no"', 'false'), ', "has_image_ref": true}}')"""
     chunks = li.groupBy("l_orderkey").agg(F.expr(f"array_join(transform(array_sort(collect_list(named_struct('n', l_linenumber, 'j', {chunk}))), x -> x.j), ',')").alias("chunks"))
     parent = "case when o_custkey % 50 = 7 then cast(lead(o_orderkey, 1, first(o_orderkey) over (partition by o_custkey order by o_orderkey)) over (partition by o_custkey order by o_orderkey) as string) when o_orderkey % 4 <> 0 then cast(o_orderkey - o_orderkey % 4 as string) end"
-    o = o.withColumn("parent", F.expr(parent)).join(chunks, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    # JSON packs well, so that tables too large for memory look small enough to be broadcast: these are merged
+    o = o.withColumn("parent", F.expr(parent)).join(chunks.hint("merge"), F.col("o_orderkey") == F.col("l_orderkey"), "left")
     node = f"""concat('{{"ref": ', {q('o_orderkey')}, ', "parent_ref": ', coalesce({q('parent')}, 'null'), ', "level": ', case o_orderkey % 7 when 0 then '-1' when 1 then '"1"' when 2 then '1.0' when 3 then 'true' else '2' end, ', "level_label": ', case o_orderkey % 9 when 0 then '""' when 1 then '5' else '"Capítulo"' end, if(o_orderkey % 11 = 0, '', ', "ordinal": ""'), ', "title": ', {q('o_orderpriority')}, ', "breadcrumb": "", "page_start": 1, "is_anexo": ', if(o_orderkey % 23 = 0, 'null', 'false'), ', "metadata": ', if(o_orderkey % 29 = 0, '[]', '{{}}'), ', "chunks": [', coalesce(chunks, ''), ']}}')"""
     run = f"""concat('{{"ref": ', {q('o_orderkey % 50')}, ', "model": "m", "profile_used": "manual", "mode": ', case o_orderstatus when 'F' then '"batch"' when 'O' then '"immediate"' else '"other"' end, ', "status": ', if(o_orderkey % 5 = 0, '"running"', '"succeeded"'), ', "started_at": ', if(o_orderkey % 31 = 0, '"2024-01-01 00:00:00"', '"2024-01-01T00:00:00Z"'), ', "completed_at": null, "nodes_total": 1, "nodes_completed": 1, "nodes_failed": ', o_orderkey % 6 - 1, ', "cost_input_tokens": 98765432109876543210, "cost_output_tokens": 0, "cost_cached_tokens": ', if(o_orderkey % 37 = 0, '1.5', '0'), ', "cost_estimate_usd": ', if(o_orderkey % 41 = 0, '"1"', '0.5'), '}}')"""
     parts = o.groupBy("o_custkey").agg(*(F.expr(f"array_join(transform(array_sort(collect_list(named_struct('k', o_orderkey, 'j', {x}))), x -> x.j), ',')").alias(k) for k, x in (("nodes", node), ("runs", run))))
-    rows = c.join(parts, F.col("c_custkey") == F.col("o_custkey"), "left").withColumn("k", F.col("c_custkey"))
+    rows = c.join(parts.hint("merge"), F.col("c_custkey") == F.col("o_custkey"), "left").withColumn("k", F.col("c_custkey"))
     text = f"""concat('{{"bundle_version": ', if(k % 30 = 0, '"1"', '1'), ', "generated_at": ', if(k % 25 = 0, '5', '"2024-01-01T00:00:00Z"'), ', "generator": ', case k % 28 when 0 then 'null' when 1 then '{{"tool": 1, "version": "1"}}' else '{{"tool": "t", "version": "1"}}' end,
       ', "manual": {{"code": ', {q('c_name')}, ', "title": ', case k % 15 when 0 then '" "' when 1 then 'false' else {q('c_mktsegment')} end, ', "source_path": "a.pdf", "extractor_used": "docling", "page_count": ', case k % 12 when 0 then '"3"' when 1 then '-3' else '3' end, ', "ingested_at": ', if(k % 22 = 0, 'null', '"2024-01-01T00:00:00Z"'), '}}, "catalog_hint": ', case k % 26 when 0 then '[]' when 1 then '{{"grado_code": 1}}' else 'null' end,
       ', "nodes": ', if(k % 35 = 0, '{{}}', concat('[', coalesce(nodes, ''), ']')), ', "runs": [', coalesce(runs, ''), '], "questions": []}}')"""

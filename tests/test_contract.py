@@ -227,3 +227,19 @@ def test_driver_holds_few_bytes_of_each_bundle(tmp_path):
     with pytest.raises(FileExistsError, match="twice.*b--20240506--v1"):
         twice.commit(told)
     assert len(os.listdir(tmp_path / "out")) == 2 * n
+
+
+def test_secrets_are_traced_however_they_are_written(spark):
+    """A text is looked through only where it shows a trace; escapes must hide none, and a bundle without one is left alone."""
+    hidden = {"k": "A" + "Iza" + "x" * 20, "s": "sk" + "-" + "x" * 20, "c": "postgres://u:p@h", "p": "-----BEGIN " + "PRIVATE KEY-----"}
+    rows = [(k, json.dumps(SOUND | {"extra": v})) for k, v in hidden.items()] + [("u" + k, json.dumps(SOUND | {"extra": "@"}).replace("@", "".join(f"\\u{ord(c):04x}" for c in v))) for k, v in hidden.items()]
+    rows += [("slash", json.dumps(SOUND | {"extra": hidden["c"]}).replace("/", "\\/")), ("name", json.dumps(SOUND | {"Api-Key": "x" * 12})), ("uname", json.dumps(SOUND | {"@": "x" * 12}).replace("@", "\\u0061pi_key"))]
+    rows += [("none", json.dumps(SOUND | {"extra": "a token, no sk- and http:/x"}))]
+    got = {r["bundle_id"] for r in contract_checks.errors(spark.createDataFrame(rows, "bundle_id string, json string")).collect() if r["rule"] == "secret"}
+    assert got == {r[0] for r in rows} - {"none"}
+
+
+def test_each_object_is_taken_apart_once(spark):
+    """Chunks' fields and kinds are taken together: as many looks into the variant as there are objects, not fields times rules."""
+    rules = contract_checks._node_rules()
+    assert rules.count("schema_of_variant") <= 20 and "try_variant_get(c, " not in rules
