@@ -34,6 +34,11 @@ PATTERNS = {
     "ANEXO": (rf'^\s*Anexo\s*"?([A-Z])"?{_SEPARATED}', 1, 2),
 }
 _FLAGS = "(?iUd)"
+#: How a heading of each kind begins: whether a line does is told without reading it to its end.
+STARTS = {
+    "SUBSECCION": r"[\s\-–·]*Subsecci", "ARTICULO": r"\s*Art", "SECCION": rf"\s*(?:Secci|Terce|{ORDINALS})", "CAPITULO": r"\s*Cap",
+    "TITULO": r"\s*T[ÍI]TULO", "LIBRO": r"\s*Libro", "PARTE": rf"\s*(?:{ORDINALS})\s", "ANEXO": r"\s*Anexo",
+}
 
 TYPE = "struct<kind:string, level:int, label:string, ordinal:string, remainder:string, is_anexo:boolean>"
 
@@ -113,7 +118,8 @@ def match(text: Column, kind: str, level: int | None = None) -> Column:
 def classify(text: Column, chosen: Profile = MANUAL) -> Column:
     """The heading that the text is under the profile, or null; kinds are tried from the most specific on."""
     tried = [match(text, k, chosen.depths[k]) for k in chosen.kinds]
-    return F.coalesce(*tried) if len(tried) > 1 else tried[0]
+    begins = text.rlike(f"{_FLAGS}^(?:{'|'.join(STARTS[k] for k in chosen.kinds)})")
+    return F.when(begins, F.coalesce(*tried) if len(tried) > 1 else tried[0])
 
 
 def clean(text: Column, chosen: Profile) -> Column:
@@ -124,10 +130,9 @@ def clean(text: Column, chosen: Profile) -> Column:
 
 def dropped(text: Column, chosen: Profile) -> Column:
     """Whether a line of text is dropped: blank, or it holds one of the profile's phrases."""
-    bare = strip(text)
-    out = bare.isNull() | (bare == "")
+    out = text.isNull() | ~text.rlike(r"(?U)\S")
     for pattern in chosen.drops:
-        out = out | bare.rlike(pattern)
+        out = out | strip(text).rlike(pattern)
     return out
 
 

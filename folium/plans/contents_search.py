@@ -91,7 +91,8 @@ select doc_id, coalesce(n_entries, 0) as n_entries, m / greatest(c, 1) as confid
 
 def toc_gaps(spark: SparkSession, sf: str) -> DataFrame:
     """Every third section stands in the contents, besides two entries that no section has."""
-    nodes = S.nodes(spark, sf)
+    # headings are looked for once; entries and sections, each read twice, come from what that gave
+    nodes, _ = shared.stored(S.annotated(spark, sf).filter("heading is not null").select("doc_id", "local_id", "title"))
     entries = nodes.filter("local_id % 3 = 0 and title != ''").select("doc_id", F.concat(F.lit("— "), "title", F.lit("!")).alias("title")).unionByName(nodes.filter("local_id < 2").select("doc_id", F.concat(F.lit("falta "), F.col("local_id").cast("string")).alias("title")))
     return quality.contents_gaps(entries, nodes)
 

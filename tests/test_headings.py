@@ -68,3 +68,18 @@ def test_genres(spark):
     rows = spark.createDataFrame([(d, i, t) for d, ts in docs.items() for i, t in enumerate(ts)], "doc_id int, pos int, text string")
     got = {r["doc_id"]: r["profile"] for r in elements.genres(rows).collect()}
     assert got == {1: "codigo_legal", 2: "manual", 3: "ley_organica", 4: "ley_organica", 5: "manual", 6: "manual"}
+
+
+def test_beginnings_hide_no_heading(spark):
+    """Whatever a kind's pattern matches begins as its start says, in any case and behind any white space; most lines don't."""
+    lines = ["  Capítulo I", "TÍTULO IV", "título preliminar", "lIbRo ÚNICO", " –· subsección ( b )", "terce  r a sección", "SECCIÓN DÉCIMA", "vigésima primera PARTE x", "anexo \"B\" - f", "ANEXOC", "artículo 5o. Bis.- x", "ſección primera", "Primera vez", "La parte primera", "Texto. Capítulo I"]
+    rows = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "i int, t string")
+    found = 0
+    for p in headings.PROFILES.values():
+        plain = F.coalesce(*(headings.match(F.col("t"), k, p.depths[k]) for k in p.kinds), F.lit(None))
+        for r in rows.select(headings.classify(F.col("t"), p).alias("a"), plain.alias("b")).collect():
+            assert r["a"] == r["b"]
+            found += r["a"] is not None
+    assert found > 15
+    start = rows.select(*(F.col("t").rlike(headings._FLAGS + "^(?:" + s + ")").alias(k) for k, s in headings.STARTS.items())).collect()
+    assert not any(start[-2]) and not any(start[-1])

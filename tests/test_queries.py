@@ -33,3 +33,9 @@ def test_query(spark, con, name):
     if sql := catalog.oracle_sql().get(name):
         names = ", ".join(f'"{c}"' for c in columns)
         assert got == sorted(repr([norm(v) for v in r]) for r in con.sql(f"select {names} from ({sql.strip()})").fetchall())
+
+
+def test_toc_gaps_looks_for_headings_once(spark):
+    """Entries and sections come from one stored pass over the documents."""
+    plan = catalog.queries()["toc_gaps"](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "posexplode" not in plan
