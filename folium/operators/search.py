@@ -36,6 +36,22 @@ def tokens(text: Column) -> Column:
     return F.array_remove(F.split(fold(text), r"(?U)[^\p{L}\p{N}]+"), "")
 
 
+def token_places(text: Column) -> Column:
+    """Each token of a text once, with its places in order: array of struct (token, at)."""
+    ordered = F.sort_array(F.transform(tokens(text), lambda t, i: F.struct(t.alias("token"), i.alias("pos"))))
+
+    def runs(o: Column) -> Column:
+        starts = F.filter(F.transform(o, lambda x, i: i), lambda i: (i == 0) | (F.get(o, i - 1)["token"] != F.get(o, i)["token"]))
+
+        def each(s: Column) -> Column:
+            upto = lambda k: F.coalesce(F.get(s, k + 1), F.size(o))
+            return F.transform(s, lambda at, k: F.struct(F.get(o, at)["token"].alias("token"), F.transform(F.slice(o, at + 1, upto(k) - at), lambda x: x["pos"]).alias("at")))
+
+        return F.flatten(F.transform(F.array(starts), each))
+
+    return F.flatten(F.transform(F.array(ordered), runs))
+
+
 def index(chunks: DataFrame, key: str = "chunk_id", text: str = "text") -> DataFrame:
     """(key, token, pos) of all texts."""
     return chunks.select(key, F.posexplode(tokens(F.col(text))).alias("pos", "token")).select(key, "token", "pos")

@@ -19,6 +19,8 @@ from folium.operators import search
 BLOCK = 256
 #: Blocks that are read first, for a score that the others have to reach.
 FIRST_BLOCKS = 64
+#: Tokens of texts that one task brings into order.
+TASK_TOKENS = 2 << 20
 _SCHEMAS = {
     "texts": "key bigint, dl int, generation bigint",
     "postings": "token string, block int, entries array<struct<key:bigint, dl:int, at:array<int>>>, n bigint, most int, shortest int, generation bigint",
@@ -68,20 +70,27 @@ class Index:
             return generation
         texts = changes.groupBy("key").agg(F.max("text").alias("text"))
         texts, path = shared.stored(texts.select("key", "text", F.size(search.tokens(F.col("text"))).alias("dl")))
-        n = texts.count()
-        rows = texts.filter("dl > 0").withColumn("block", F.pmod(F.xxhash64("key"), F.lit(max(1, n // self.block))).cast("int"))
-        rows = rows.select("key", "dl", "block", F.posexplode(search.tokens(F.col("text"))).alias("pos", "token"))
-        self._write(rows.select("token", "block", "key", "dl", "pos"), generation)
+        # whole texts are dealt out, so that a token's places in a block are brought together where they are found
+        dealt = self._dealt(texts.filter("dl > 0"), texts)
+        rows = dealt.select("block", "key", "dl", F.explode(search.token_places(F.col("text"))).alias("e"))
+        self._write(rows.select("e.token", "block", "key", "dl", "e.at"), generation)
         texts.select("key", F.when(F.col("dl") > 0, F.col("dl")).alias("dl")).write.mode("overwrite").parquet(f"{self.path}/texts/generation={generation}")
         self._log("added", generation)
         shared.delete(self.spark, path)
         return generation
 
+    def _dealt(self, rows: DataFrame, texts: DataFrame, *others: DataFrame) -> DataFrame | tuple[DataFrame, ...]:
+        """Rows with a key, and their block among `texts`, dealt out by that; others with a key alike."""
+        t = texts.agg(F.count("*").alias("n"), F.sum("dl").alias("tokens")).first()
+        blocks = max(1, t["n"] // self.block)
+        block, parts = F.pmod(F.xxhash64("key"), F.lit(blocks)).cast("int"), max(1, min(blocks, -(-(t["tokens"] or 0) // TASK_TOKENS)))
+        out = tuple(x.withColumn("block", block).repartition(parts, "block") for x in (rows, *others))
+        return out if others else out[0]
+
     def _write(self, rows: DataFrame, generation: int) -> None:
-        """Postings of (token, block, key, dl, pos): one shuffle by token and block, which splits common tokens."""
-        by_text = rows.repartition("token", "block").groupBy("token", "block", "key", "dl").agg(F.sort_array(F.collect_list("pos")).alias("at"))
-        blocks = by_text.groupBy("token", "block").agg(F.collect_list(F.struct("key", "dl", "at")).alias("entries"), F.count("*").alias("n"), F.max(F.size("at")).alias("most"), F.min("dl").alias("shortest"))
-        blocks.sortWithinPartitions("token", "block").write.mode("overwrite").parquet(f"{self.path}/postings/generation={generation}")
+        """Postings of (token, block, key, dl, at), which are dealt out by block already."""
+        blocks = rows.groupBy("token", "block").agg(F.collect_list(F.struct("key", "dl", "at")).alias("entries"), F.count("*").alias("n"), F.max(F.size("at")).alias("most"), F.min("dl").alias("shortest"))
+        shared.write(blocks.sortWithinPartitions("token", "block"), f"{self.path}/postings/generation={generation}", "overwrite")
 
     def texts(self, have: list[int] | None = None) -> DataFrame:
         """(key, dl, generation) of the live texts."""
@@ -166,9 +175,11 @@ class Index:
         generation = max(have) + 1
         rows = self._read("postings", have).withColumn("generation", F.col("generation").cast("bigint"))
         rows = rows.select("generation", "token", F.explode("entries").alias("e")).select("generation", "token", "e.*")
-        rows = rows.join(texts.select("key", "generation"), ["key", "generation"], "left_semi")
-        rows = rows.withColumn("block", F.pmod(F.xxhash64("key"), F.lit(max(1, texts.count() // self.block))).cast("int"))
-        self._write(rows.select("token", "block", "key", "dl", F.explode("at").alias("pos")), generation)
+        # the live texts of a block are one row, which meets its postings where these are brought together
+        rows, live = self._dealt(rows, texts, texts.select("key", "generation"))
+        live = live.groupBy("block").agg(F.map_from_entries(F.collect_list(F.struct("key", "generation"))).alias("live"))
+        rows = rows.join(live.hint("shuffle_hash"), "block").filter(F.try_element_at("live", F.col("key")) == F.col("generation"))
+        self._write(rows.select("token", "block", "key", "dl", "at"), generation)
         texts.select("key", "dl").write.mode("overwrite").parquet(f"{self.path}/texts/generation={generation}")
         self._log("merged", generation)
         shared.delete(self.spark, path)

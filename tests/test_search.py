@@ -147,3 +147,19 @@ def test_excerpts(spark, size):
     rows = [r for r in rows if set(r.lower().replace(",", " ").split()) & set("abc")]
     got = spark.createDataFrame([(r,) for r in rows], "t string").select("t", search.excerpt(F.col("t"), search.parse("a OR b OR c NOT q"), size)).collect()
     assert [r[1] for r in got] == [plain_excerpt(r[0], "abc", size) for r in got]
+
+
+def test_postings_are_made_where_texts_are(spark, tmp_path):
+    """Texts are dealt out by block, once; neither their tokens nor a merge's places are shuffled row by row."""
+    rows = spark.createDataFrame([("b a  b", ["a", "b"], [[1], [0, 2]]), ("", [], []), ("x", ["x"], [[0]])], "t string, words array<string>, ats array<array<int>>")
+    for r in rows.withColumn("got", search.token_places(F.col("t"))).collect():
+        assert [(g["token"], g["at"]) for g in r["got"]] == list(zip(r["words"], r["ats"], strict=True))
+    plans, real = [], Index._write
+    index = Index(spark, f"file://{tmp_path}", block=4)
+    index._write = lambda rows, g: (plans.append(rows._jdf.queryExecution().executedPlan().toString()), real(index, rows, g))
+    index.apply(spark.createDataFrame([(k, "a b c a") for k in range(30)], "key long, text string"))
+    index.apply(spark.createDataFrame([(k, "b b") for k in range(5)], "key long, text string"))
+    index.merge()
+    assert len(plans) == 3 and not any("hashpartitioning(token" in p or "posexplode" in p for p in plans)
+    got = sorted((r["key"], r["token"], r["pos"]) for r in index.tokens(["a", "b", "c"]).collect())
+    assert got == sorted((k, w, i) for k in range(30) for i, w in enumerate("b b".split() if k < 5 else "a b c a".split()))
